@@ -15,6 +15,25 @@ def safe_div(num: Column, den: Column, default: float | None = 0.0) -> Column:
     return q if default is None else F.coalesce(q, F.lit(default))
 
 
+def cents(c: Column) -> Column:
+    """Money as whole cents (BIGINT)."""
+    return F.round(c * F.lit(100.0)).cast("long")
+
+
+def money_sum(c: Column) -> Column:
+    """Sum of money rounded to cents, computed exactly in integer cents.
+
+    Integer sums do not depend on the order rows are added in, so the result
+    is the same on every run and partitioning (a double sum is not).
+    """
+    return F.sum(cents(c)) / F.lit(100.0)
+
+
+def money_avg(c: Column) -> Column:
+    """Mean of money rounded to cents (half away from zero), from the exact cent sum."""
+    return F.round(F.sum(cents(c)) / F.count(c)) / F.lit(100.0)
+
+
 def cut_labels(c: Column, edges: Sequence[float], labels: Sequence[str] | None = None) -> Column:
     """PRJ-12: ``pd.cut`` semantics, right-closed (a, b]; outside -> null.
 
@@ -52,7 +71,7 @@ def md5_bucket_sql(expr: str, n: int = 100) -> str:
 
 def whole_days(a: Column, b: Column) -> Column:
     """FN-04: whole days from a to b (truncated like ``timedelta.days`` for b >= a)."""
-    return F.timestampdiff("DAY", a, b)
+    return F.timestamp_diff("DAY", a, b)
 
 
 def frac_days(a: Column, b: Column) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import safe_div
+from tidewater.functions.core import money_avg, money_sum, safe_div
 from tidewater.functions.ranks import exact_quantiles
 
 
@@ -30,8 +30,8 @@ def customer_summary(
     """AGG-01: per-customer order summary rounded to 2 decimals."""
     return _nonnull(df, [key]).groupBy(key).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.round(F.sum(amount), 2).alias("total_spent"),
-        F.round(F.avg(amount), 2).alias("avg_order_value"),
+        money_sum(F.col(amount)).alias("total_spent"),
+        money_avg(F.col(amount)).alias("avg_order_value"),
         F.round(F.max(amount), 2).alias("max_order_value"),
         F.round(F.sum(qty), 2).alias("total_items"),
         F.min(ts).alias("first_order_date"),
@@ -46,9 +46,9 @@ def category_performance(df: DataFrame, key="category", amount="total_amount", q
         .groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            F.round(F.sum(amount), 2).alias("total_revenue"),
+            money_sum(F.col(amount)).alias("total_revenue"),
             F.round(F.sum(qty), 2).alias("total_quantity"),
-            F.round(F.avg(price), 2).alias("avg_price"),
+            money_avg(F.col(price)).alias("avg_price"),
         )
         .orderBy(F.desc("total_revenue"), key)
     )
@@ -62,7 +62,7 @@ def daily_sales(df: DataFrame, ts="order_ts", amount="total_amount", customer="c
     """
     return df.groupBy(F.to_date(ts).alias("order_date")).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.round(F.sum(amount), 2).alias("total_revenue"),
+        money_sum(F.col(amount)).alias("total_revenue"),
         F.countDistinct(customer).alias("unique_customers"),
         F.round(F.sum(qty), 2).alias("total_items"),
     )
@@ -78,7 +78,7 @@ def country_performance(
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            F.round(F.sum(amount), 2).alias("total_revenue"),
+            money_sum(F.col(amount)).alias("total_revenue"),
             F.countDistinct(customer).alias("unique_customers"),
         )
         .orderBy(F.desc("total_revenue"), *keys)
@@ -113,8 +113,8 @@ def daily_summary(df: DataFrame, ts="order_ts", amount="total_amount", customer=
     wd = F.weekday(F.col(ts))
     return df.groupBy(F.to_date(ts).alias("order_date")).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.round(F.sum(amount), 2).alias("total_revenue"),
-        F.round(F.avg(amount), 2).alias("avg_order_value"),
+        money_sum(F.col(amount)).alias("total_revenue"),
+        money_avg(F.col(amount)).alias("avg_order_value"),
         F.countDistinct(customer).alias("unique_customers"),
         F.countDistinct(product).alias("unique_products"),
         F.count_if(wd >= 5).alias("weekend_orders"),

@@ -50,19 +50,20 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, quartile
     return stats.join(q, "feature", "left")
 
 
-def feature_summary(df: DataFrame, segment_col: str | None = None) -> DataFrame:
-    """AGG-13: row count, column count, and column counts by name rule, as long rows.
+# The name rules that sort feature columns into groups.
+FEATURE_NAME_RULES = {
+    "rfm": ("rfm", "recency", "frequency", "monetary"),
+    "temporal": ("days", "date", "time"),
+    "behavioral": ("category", "items", "cancel"),
+    "value": ("revenue", "value", "clv"),
+}
 
-    Name rules: rfm_/recency/frequency/monetary, temporal (days/hour/weekday),
-    behaviour (category/items/rate), value (revenue/order_value/engagement).
-    """
-    rules = {
-        "rfm": ("rfm", "recency", "frequency", "monetary"),
-        "temporal": ("days", "hour", "weekday", "weekend"),
-        "behavioral": ("category", "items", "rate"),
-        "value": ("revenue", "order_value", "engagement"),
+
+def feature_summary(df: DataFrame, segment_col: str | None = None) -> DataFrame:
+    """AGG-13: rows, columns, column counts by name rule and segment counts, as long rows."""
+    counts = {
+        k: sum(1 for c in df.columns if any(t in c.lower() for t in v)) for k, v in FEATURE_NAME_RULES.items()
     }
-    counts = {k: sum(1 for c in df.columns if any(t in c for t in v)) for k, v in rules.items()}
     head = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit("rows").alias("metric"), F.col("value"))
     spark = df.sparkSession
     fixed = spark.createDataFrame(

@@ -68,7 +68,7 @@ def query(
             raise ValueError(f"duplicate query {name}")
         rnd = dict(rounding or {})
         for c in floats:
-            rnd[c] = digits if digits is not None else 6
+            rnd[c] = digits if digits is not None else 9
         REGISTRY[name] = Query(name, fn, sql, tuple(views), rnd, headline)
         return fn
 

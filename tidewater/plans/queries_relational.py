@@ -57,7 +57,7 @@ CLEANED_ORDERS_SQL = """
 @query(
     "agg03_daily_sales",
     f"""SELECT CAST(order_ts AS DATE) AS order_date, count(*) AS total_orders,
-               round(sum(total_amount), 2) AS total_revenue,
+               CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue,
                count(DISTINCT customer_id) AS unique_customers, round(sum(quantity), 2) AS total_items
         FROM ({ORDER_LINES_SQL}) s GROUP BY 1""",
     headline=True,
@@ -68,8 +68,8 @@ def agg03_daily_sales(t: Tables):
 
 @query(
     "agg01_customer_summary",
-    f"""SELECT customer_id, count(*) AS total_orders, round(sum(total_amount), 2) AS total_spent,
-               round(avg(total_amount), 2) AS avg_order_value, round(max(total_amount), 2) AS max_order_value,
+    f"""SELECT customer_id, count(*) AS total_orders, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_spent,
+               round(CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / count(total_amount)) / 100 AS avg_order_value, round(max(total_amount), 2) AS max_order_value,
                round(sum(quantity), 2) AS total_items, min(order_ts) AS first_order_date,
                max(order_ts) AS last_order_date
         FROM ({ORDER_LINES_SQL}) s WHERE customer_id IS NOT NULL GROUP BY 1""",
@@ -81,8 +81,8 @@ def agg01_customer_summary(t: Tables):
 
 @query(
     "agg02_category_performance",
-    """SELECT category, count(*) AS total_orders, round(sum(total_amount), 2) AS total_revenue,
-              round(sum(quantity), 2) AS total_quantity, round(avg(price), 2) AS avg_price
+    """SELECT category, count(*) AS total_orders, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue,
+              round(sum(quantity), 2) AS total_quantity, round(CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / count(price)) / 100 AS avg_price
        FROM sales WHERE category IS NOT NULL GROUP BY 1""",
     views=["sales"],
 )
@@ -92,7 +92,7 @@ def agg02_category_performance(t: Tables):
 
 @query(
     "agg04_country_performance",
-    """SELECT country, count(*) AS total_orders, round(sum(total_amount), 2) AS total_revenue,
+    """SELECT country, count(*) AS total_orders, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue,
               count(DISTINCT customer_id) AS unique_customers
        FROM sales WHERE country IS NOT NULL GROUP BY 1""",
     views=["sales"],
@@ -103,7 +103,7 @@ def agg04_country_performance(t: Tables):
 
 @query(
     "agg04_country_category",
-    """SELECT country, category, count(*) AS total_orders, round(sum(total_amount), 2) AS total_revenue,
+    """SELECT country, category, count(*) AS total_orders, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue,
               count(DISTINCT customer_id) AS unique_customers
        FROM sales WHERE country IS NOT NULL AND category IS NOT NULL GROUP BY 1, 2""",
     views=["sales"],

@@ -21,6 +21,9 @@ BASE_TABLES = (
 # Fixed split date of the events table into reference / current periods.
 EVENTS_SPLIT_TS = "2024-01-16 00:00:00"
 EXPERIMENT = "feed_v2"
+# Fixed "now" of each fact table (the reference reads the wall clock instead).
+ORDERS_AS_OF = "2001-09-01 00:00:00"
+EVENTS_AS_OF = "2024-01-31 00:00:00"
 
 
 def _m50(c: str) -> Column:
@@ -80,6 +83,18 @@ class Tables:
             )
         )
 
+    # ---- one row per order, named like the reference's order table ------------
+    @cached_property
+    def corders(self) -> DataFrame:
+        return self.base("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("order_ts"),
+            F.col("o_totalprice").alias("total_amount"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_orderpriority").alias("payment_method"),
+        )
+
     # ---- orders with injected defects (cleaning / quality checks) -------------
     @cached_property
     def dirty_orders(self) -> DataFrame:
@@ -183,6 +198,10 @@ class Tables:
 # The same views for the DuckDB oracle.
 # ---------------------------------------------------------------------------
 VIEW_SQL = {
+    "corders": """
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_ts,
+               o_totalprice AS total_amount, o_orderstatus AS status, o_orderpriority AS payment_method
+        FROM orders""",
     "sales": """
         SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS customer_id,
                l.l_partkey AS product_id, o.o_orderdate AS order_ts, l.l_quantity AS quantity,
@@ -250,4 +269,7 @@ def with_views(sql: str, *views: str) -> str:
     if not views:
         return sql
     ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v]})" for v in views)
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"

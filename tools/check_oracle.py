@@ -41,6 +41,25 @@ def _norm(v):
     return v
 
 
+def _coarse(row):
+    return repr(tuple(float(f"{v:.4g}") if isinstance(v, float) else v for v in row))
+
+
+def _close(a, b) -> bool:
+    if len(a) != len(b):
+        return False
+    for x, y in zip(a, b):
+        if isinstance(x, float) and isinstance(y, float):
+            if not math.isclose(x, y, rel_tol=1e-7, abs_tol=1e-9):
+                return False
+        elif isinstance(x, (int, float)) and isinstance(y, (int, float)) and not isinstance(x, bool):
+            if not math.isclose(float(x), float(y), rel_tol=1e-9, abs_tol=1e-12):
+                return False
+        elif x != y:
+            return False
+    return True
+
+
 def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
@@ -89,7 +108,10 @@ def main() -> int:
             bad += 1
             continue
         if sset != dset:
-            diff = [(a, b) for a, b in zip(sset, dset) if a != b][:3]
+            sset = sorted(sset, key=_coarse)
+            dset = sorted(dset, key=_coarse)
+        if not all(_close(a, b) for a, b in zip(sset, dset)):
+            diff = [(a, b) for a, b in zip(sset, dset) if not _close(a, b)][:3]
             print(f"VALUES {name}: cols={order}\n   first diffs: {diff}")
             bad += 1
             continue

@@ -57,30 +57,42 @@ def rfm_base(df: DataFrame, key="customer_id", ts="order_ts", amount="total_amou
     )
 
 
-def qcut_score(df: DataFrame, column: str, alias: str, reverse: bool = False) -> DataFrame:
-    """AGG-06: quintile score of a column over the whole table (``pd.qcut(q=5, duplicates='drop')``).
-
-    Edges are exact quantiles; repeated edges are dropped; bins are (a, b]
-    with the lowest edge included.  Score = bin number 1..m (m = bins that
-    exist), reversed (m..1) when ``reverse`` (recency).  See hazard H1.
+def qcut_scores(df: DataFrame, specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    """AGG-06: quintile scores of several columns over the whole table (``pd.qcut(q=5, duplicates='drop')``).
+
+    ``specs`` holds (column, score name, reverse).  Edges are exact quantiles
+    of every column, computed in one pass over the unpivoted columns; repeated
+    edges are dropped; bins are (a, b] with the lowest edge included.  Score =
+    bin number 1..m (m = bins that exist), reversed (m..1) for recency.  See
+    hazard H1: the reference fails when edges repeat, this keeps the bins
+    that exist.
     """
+    cols = [c for c, _, _ in specs]
     names = [f"_e{i}" for i in range(len(QCUT_PROBS))]
-    q = exact_quantiles(df, column, QCUT_PROBS, [], names)
-    edges = q.select(F.array_distinct(F.array(*[F.col(n).cast("double") for n in names])).alias(f"_edges_{alias}"))
-    j = with_scalars(df, edges)
-    e = F.col(f"_edges_{alias}")
-    m = F.size(e) - 1
-    inner = F.slice(e, 1, F.greatest(m, F.lit(1)))
-    b = F.greatest(F.lit(1), F.size(F.filter(inner, lambda x: x < F.col(column).cast("double"))))
-    score = (m + 1 - b) if reverse else b
-    return j.withColumn(alias, F.when(F.col(column).isNotNull(), score.cast("int"))).drop(f"_edges_{alias}")
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
+    q = exact_quantiles(long, "value", QCUT_PROBS, ["feature"], names)
+    edges = q.select("feature", F.array_distinct(F.array(*[F.col(n) for n in names])).alias("edges"))
+    one = edges.agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(f"_edges_{alias}") for c, alias, _ in specs]
+    )
+    out = with_scalars(df, one)
+    for c, alias, reverse in specs:
+        e = F.col(f"_edges_{alias}")
+        m = F.size(e) - 1
+        inner = F.slice(e, 1, F.greatest(m, F.lit(1)))
+        b = F.greatest(F.lit(1), F.size(F.filter(inner, lambda x: x < F.col(c).cast("double"))))
+        score = (m + 1 - b) if reverse else b
+        out = out.withColumn(alias, F.when(F.col(c).isNotNull(), score.cast("int")))
+    return out.drop(*[f"_edges_{alias}" for _, alias, _ in specs])
 
 
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """AGG-06/07: recency/frequency/monetary scores, mean score, segment."""
-    out = qcut_score(rfm, "recency_days", "recency_score", reverse=True)
-    out = qcut_score(out, "frequency", "frequency_score")
-    out = qcut_score(out, "monetary_total", "monetary_score")
+    out = qcut_scores(
+        rfm,
+        [("recency_days", "recency_score", True), ("frequency", "frequency_score", False),
+         ("monetary_total", "monetary_score", False)],
+    )
     out = out.withColumn(
         "rfm_score", (F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")) / F.lit(3.0)
     )

@@ -101,15 +101,15 @@ def exact_quantiles(
     by = _group_keys(user_by)
     cum = cumulative(vc, ["_n"], user_by, buckets).withColumn("_lo_rank", F.col("_n_cum") - F.col("_n"))
     # Targets: per group and probability, the two ranks around q*(n-1).
-    n = vc.groupBy(*by).agg(F.sum("_n").alias("_N"))
+    n = vc.groupBy(*by).agg(F.sum("_n").alias("_total"))
     targets = n.select(
         *by,
         F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_q"),
-        "_N",
+        "_total",
     ).select(
         *by,
         "_qi",
-        (F.col("_q") * (F.col("_N") - 1)).alias("_pos"),
+        (F.col("_q") * (F.col("_total") - 1)).alias("_pos"),
     )
     targets = targets.select(
         *by,

@@ -282,3 +282,127 @@ def prj23_target_encoding(t: Tables):
     i = t.interactions
     train = i.where(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
     return clean.target_encode(train, i.select("interaction_id", "item_id"), "item_id", "click")
+
+
+# ---------------------------------------------------------------------------
+# JN: joins
+# ---------------------------------------------------------------------------
+from tidewater.operators import joins as jn  # noqa: E402
+
+SUMMARY_SQL = f"""SELECT customer_id, count(*) AS total_orders,
+                         CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_spent
+                  FROM ({ORDER_LINES_SQL}) s WHERE customer_id IS NOT NULL GROUP BY 1"""
+
+
+@query(
+    "jn01_enhanced_customers",
+    f"""SELECT c.customer_id, c.name, c.segment, coalesce(s.total_orders, 0) AS total_orders,
+               coalesce(s.total_spent, 0.0) AS total_spent
+        FROM dirty_customers c LEFT JOIN ({SUMMARY_SQL}) s ON c.customer_id = s.customer_id""",
+    views=["dirty_customers"],
+)
+def jn01_enhanced_customers(t: Tables):
+    summ = agg.customer_summary(order_lines(t)).select("customer_id", "total_orders", "total_spent")
+    cust = t.dirty_customers.select("customer_id", "name", "segment")
+    return jn.left_join_fill(cust, summ, "customer_id", {"total_orders": 0, "total_spent": 0.0})
+
+
+@query(
+    "jn02_enrich_with_products",
+    """SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, l.l_partkey AS product_id, l.l_quantity AS quantity,
+              p.p_retailprice AS price, p.p_brand AS category, round(p.p_retailprice * 0.75, 2) AS cost,
+              (p.p_retailprice - round(p.p_retailprice * 0.75, 2)) * l.l_quantity AS profit
+       FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
+    floats=["profit"],
+)
+def jn02_enrich_with_products(t: Tables):
+    facts = t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                              F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity"))
+    products = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").alias("price"),
+                             F.col("p_brand").alias("category"),
+                             F.round(F.col("p_retailprice") * 0.75, 2).alias("cost"))
+    return jn.enrich_with_products(facts, products)
+
+
+@query(
+    "jn04_join_aggregates_back",
+    f"""WITH c AS (SELECT customer_id, count(*) AS customer_orders, avg(total_amount) AS customer_avg_amount
+                   FROM sales GROUP BY 1),
+             p AS (SELECT product_id, count(*) AS product_orders, avg(price) AS product_avg_price FROM sales GROUP BY 1)
+        SELECT s.order_id, s.line_no, s.customer_id, s.product_id, s.total_amount,
+               c.customer_orders, c.customer_avg_amount, p.product_orders, p.product_avg_price
+        FROM sales s LEFT JOIN c ON s.customer_id = c.customer_id LEFT JOIN p ON s.product_id = p.product_id""",
+    views=["sales"],
+    floats=["customer_avg_amount", "product_avg_price"],
+)
+def jn04_join_aggregates_back(t: Tables):
+    s = t.sales.select("order_id", "line_no", "customer_id", "product_id", "total_amount", "price")
+    c = s.groupBy("customer_id").agg(F.count(F.lit(1)).alias("customer_orders"),
+                                     F.avg("total_amount").alias("customer_avg_amount"))
+    p = s.groupBy("product_id").agg(F.count(F.lit(1)).alias("product_orders"), F.avg("price").alias("product_avg_price"))
+    from tidewater.operators.features import entity_join
+
+    return entity_join(s, (c, "customer_id"), (p, "product_id")).drop("price")
+
+
+@query(
+    "jn05_interaction_features",
+    """WITH u AS (SELECT user_id, avg(click) AS user_ctr FROM interactions GROUP BY 1),
+            it AS (SELECT item_id, avg(dwell_time) AS item_avg_dwell FROM interactions GROUP BY 1)
+       SELECT i.interaction_id, i.user_id, i.item_id, i.click, u.user_ctr, it.item_avg_dwell
+       FROM interactions i JOIN u ON i.user_id = u.user_id JOIN it ON i.item_id = it.item_id""",
+    views=["interactions"],
+    floats=["user_ctr", "item_avg_dwell"],
+)
+def jn05_interaction_features(t: Tables):
+    i = t.interactions
+    u = i.groupBy("user_id").agg(F.avg("click").alias("user_ctr"))
+    it = i.groupBy("item_id").agg(F.avg("dwell_time").alias("item_avg_dwell"))
+    return jn.attach_entity_features(i.select("interaction_id", "user_id", "item_id", "click"), u, it)
+
+
+@query(
+    "jn07_unscored_rows",
+    """SELECT d.doc_id, d.n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+)
+def jn07_unscored_rows(t: Tables):
+    return jn.unscored(t.documents.select("doc_id", "n_chars"), t.labels, "doc_id")
+
+
+@query(
+    "jn09_predictions_with_labels",
+    """SELECT s.doc_id, s.s1 AS score, l.quality AS label FROM scored s JOIN labels l ON s.doc_id = l.doc_id""",
+    views=["scored"],
+)
+def jn09_predictions_with_labels(t: Tables):
+    preds = t.scored.select("doc_id", F.col("s1").alias("score"))
+    return jn.attach_labels(preds, t.labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
+
+
+@query(
+    "top01_top3_categories",
+    f"""SELECT category, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue
+        FROM sales GROUP BY 1 ORDER BY total_revenue DESC, category LIMIT 3""",
+    views=["sales"],
+)
+def top01_top3_categories(t: Tables):
+    from tidewater.functions.core import money_sum
+
+    g = t.sales.groupBy("category").agg(money_sum(F.col("total_amount")).alias("total_revenue"))
+    return jn.top_n(g, [F.desc("total_revenue"), F.col("category")], 3)
+
+
+@query(
+    "set01_union_periods",
+    """SELECT 'early' AS period, event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY 2
+       UNION ALL
+       SELECT 'late', event_type, count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY 2""",
+)
+def set01_union_periods(t: Tables):
+    e = t.events
+    split = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    early = e.where(F.col("ts") < split).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("early").alias("period"), "event_type", "n")
+    late = e.where(F.col("ts") >= split).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("late").alias("period"), "event_type", "n")
+    return jn.concat_frames([early, late])

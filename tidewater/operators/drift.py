@@ -209,7 +209,8 @@ def chi2_categorical(ref: DataFrame, cur: DataFrame, column: str) -> DataFrame:
     r = ref.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("e0"))
     c = cur.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("o"))
     j = r.join(c, column, "full").fillna(0, ["e0", "o"])
-    tot = j.agg(F.sum("e0").alias("ne"), F.sum("o").alias("no"))
+    # expected is rescaled to the observed total of the testable categories, so sum(o) == sum(e)
+    tot = j.agg(F.sum("e0").alias("ne"), F.sum(F.when(F.col("e0") > 0, F.col("o"))).alias("no"))
     from tidewater.functions.core import with_scalars
 
     j = with_scalars(j, tot).withColumn("e", F.col("e0") * F.col("no") / F.col("ne"))

@@ -47,15 +47,17 @@ def chunk_keys(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int | None
         df.join(hot, keys)
         .groupBy(*keys)
         .agg(F.max("_cnt").alias("_cnt"), F.percentile_approx(tsn, probs, 20 * GRID).alias("_grid"))
-        .withColumn("_nchunks", F.least(F.ceil(F.col("_cnt") / F.lit(max_rows)), F.lit(GRID)).cast("int"))
+        .withColumn("_want", F.least(F.ceil(F.col("_cnt") / F.lit(max_rows)), F.lit(GRID)).cast("int"))
         .select(
             *keys,
-            "_nchunks",
-            F.transform(
-                F.sequence(F.lit(1), F.col("_nchunks") - 1),
-                lambda j: F.element_at("_grid", (j * GRID / F.col("_nchunks")).cast("int")),
-            ).alias("_bounds"),
+            # distinct bounds: every chunk after the first holds at least the row equal to its bound,
+            # so the carry-in of chunk c always comes from chunk c - 1
+            F.array_distinct(F.transform(
+                F.sequence(F.lit(1), F.col("_want") - 1),
+                lambda j: F.element_at("_grid", (j * GRID / F.col("_want")).cast("int")),
+            )).alias("_bounds"),
         )
+        .withColumn("_nchunks", F.size("_bounds") + 1)
     )
     j = df.join(sketch, keys, "left")
     chunk = F.coalesce(F.size(F.filter("_bounds", lambda b: tsn >= b)), F.lit(0))

@@ -169,7 +169,7 @@ CHI_CAT_SQL = f"""
     WITH r AS (SELECT event_type, count(*) AS e0 FROM interactions WHERE ts < {SPLIT} GROUP BY 1),
          c AS (SELECT event_type, count(*) AS o FROM interactions WHERE ts >= {SPLIT} GROUP BY 1),
          j AS (SELECT coalesce(r.e0, 0) AS e0, coalesce(c.o, 0) AS o FROM r FULL JOIN c ON r.event_type = c.event_type),
-         tot AS (SELECT sum(e0) AS ne, sum(o) AS no FROM j),
+         tot AS (SELECT sum(e0) AS ne, sum(CASE WHEN e0 > 0 THEN o END) AS no FROM j),
          x AS (SELECT e0, o, e0 * no / ne AS e FROM j, tot)
     SELECT 'event_type' AS feature, sum(CASE WHEN e > 0 THEN (o - e) * (o - e) / e END) AS chi2_statistic,
            CAST(count_if(e > 0) - 1 AS BIGINT) AS dof, CAST(count_if(e0 = 0) AS BIGINT) AS unseen_categories

@@ -37,7 +37,7 @@ LONG_SQL = f"""
     WHERE v IS NOT NULL AND NOT isnan(v)"""
 
 STATS_SQL = """
-    SELECT feature, count_if(sample = 'ref') AS n_ref, count_if(sample = 'cur') AS n_cur,
+    SELECT feature, CAST(count_if(sample = 'ref') AS BIGINT) AS n_ref, CAST(count_if(sample = 'cur') AS BIGINT) AS n_cur,
            avg(CASE WHEN sample = 'ref' THEN value END) AS mean_ref, avg(CASE WHEN sample = 'cur' THEN value END) AS mean_cur,
            stddev_pop(CASE WHEN sample = 'ref' THEN value END) AS std_ref,
            stddev_pop(CASE WHEN sample = 'cur' THEN value END) AS std_cur,
@@ -64,7 +64,7 @@ def psi_sql(bins=10) -> str:
                  CASE WHEN c_ref / n_ref = 0 THEN 0.0001 ELSE c_ref / n_ref END AS pe,
                  CASE WHEN c_cur / n_cur = 0 THEN 0.0001 ELSE c_cur / n_cur END AS pa
           FROM c JOIN e ON c.feature = e.feature),
-    psi AS (SELECT p.feature, sum((pa - pe) * ln(pa / pe)) AS psi, any_value(len(e.edges)) - 1 AS psi_bins
+    psi AS (SELECT p.feature, sum((pa - pe) * ln(pa / pe)) AS psi, CAST(any_value(len(e.edges)) - 1 AS INTEGER) AS psi_bins
             FROM p JOIN e ON p.feature = e.feature GROUP BY p.feature)"""
 
 
@@ -423,7 +423,7 @@ def dft15_threshold_alerts(t: Tables):
                                          CASE WHEN accuracy < 0.85 THEN 'low_accuracy' END,
                                          CASE WHEN new_rows > 100000 THEN 'new_data' END], lambda x: x IS NOT NULL)) > 0 AS retrain
                   FROM (SELECT count_if(drift_detected) > 0 AS drift_detected, max(psi) AS max_psi, FALSE AS forced,
-                               12 AS days_since_training, 0 AS alerts, 0.8 AS auc, 0.9 AS accuracy,
+                               12 AS days_since_training, 0 AS alerts, CAST(0.8 AS DOUBLE) AS auc, CAST(0.9 AS DOUBLE) AS accuracy,
                                (SELECT count(*) FROM interactions WHERE ts >= {SPLIT}) AS new_rows
                         FROM ({REPORT_BODY}) r) s""", psi_sql(), KS_SQL, JS_SQL),
     views=["interactions"],

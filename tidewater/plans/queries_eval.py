@@ -16,7 +16,7 @@ EPS = ev.FLOAT64_EPS
 def _auc_sql(score: str, by: str | None = None) -> str:
     g = f"{by}, " if by else ""
     part = f"PARTITION BY {by} " if by else ""
-    return f"""(SELECT {g}sum(pos * (below + neg * 0.5)) / (sum(pos) * sum(neg)) AS auc FROM (
+    return f"""(SELECT {g}CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (below + neg * 0.5)) / (sum(pos) * sum(neg)) END AS auc FROM (
                  SELECT {g}s, pos, neg, sum(neg) OVER ({part}ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below
                  FROM (SELECT {g}{score} AS s, sum(y) AS pos, count(*) - sum(y) AS neg FROM scored
                        WHERE y IS NOT NULL AND {score} IS NOT NULL GROUP BY {g}{score}) g) c
@@ -353,7 +353,7 @@ def abt04_contingency_test(t: Tables):
 
 @query(
     "jn08_assignment_outcomes",
-    f"SELECT user_id, variant, count(*) AS events, sum(click) AS clicks FROM ({AB_DATA_SQL}) d GROUP BY 1, 2",
+    f"SELECT user_id, variant, count(*) AS events, CAST(sum(click) AS BIGINT) AS clicks FROM ({AB_DATA_SQL}) d GROUP BY 1, 2",
     views=["assignments", "interactions"],
 )
 def jn08_assignment_outcomes(t: Tables):

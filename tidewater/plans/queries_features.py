@@ -424,9 +424,9 @@ DAILY_SQL = f"""SELECT CAST(order_ts AS DATE) AS order_date, count(*) AS total_o
 @query(
     "agg22_rolling_7day",
     f"""SELECT order_date,
-              avg(total_orders) OVER w AS avg_orders_7d, sum(total_orders) OVER w AS sum_orders_7d,
+              avg(total_orders) OVER w AS avg_orders_7d, CAST(sum(total_orders) OVER w AS BIGINT) AS sum_orders_7d,
               avg(total_revenue) OVER w AS avg_revenue_7d, sum(total_revenue) OVER w AS sum_revenue_7d,
-              sum(unique_customers) OVER w AS sum_daily_unique_7d, count(*) OVER w AS days_with_data,
+              CAST(sum(unique_customers) OVER w AS BIGINT) AS sum_daily_unique_7d, count(*) OVER w AS days_with_data,
               (total_revenue - avg(total_revenue) OVER w) / nullif(avg(total_revenue) OVER w, 0) * 100 AS revenue_growth_pct
        FROM ({DAILY_SQL}) d
        WINDOW w AS (ORDER BY epoch_ms(order_date) // 86400000 RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)""",
@@ -769,7 +769,7 @@ def jn11_prior_pair_count_history(t: Tables):
 
 
 PIT_SQL = """SELECT interaction_id, user_id, ts, click, dwell_time,
-                    count(*) OVER w AS user_hist_count, coalesce(sum(click) OVER w, 0) AS user_hist_clicks,
+                    count(*) OVER w AS user_hist_count, CAST(coalesce(sum(click) OVER w, 0) AS BIGINT) AS user_hist_clicks,
                     CASE WHEN count(*) OVER w > 0 THEN CAST(sum(click) OVER w AS DOUBLE) / count(*) OVER w END AS user_hist_ctr,
                     CASE WHEN count(*) OVER w > 0 THEN sum(dwell_time) OVER w / count(*) OVER w END AS user_hist_avg_dwell
              FROM interactions

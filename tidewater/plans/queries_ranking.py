@@ -30,7 +30,7 @@ USERS_SQL = """SELECT u.user_id, e.embedding AS user_vec FROM (SELECT DISTINCT u
 
 @query(
     "evl12_item_embeddings",
-    f"""SELECT item_id, category, len(item_vec) AS dim,
+    f"""SELECT item_id, category, CAST(len(item_vec) AS INTEGER) AS dim,
                sqrt(list_sum(list_transform(CAST(item_vec AS DOUBLE[]), lambda x: x * x))) AS norm
         FROM ({ITEMS_SQL}) i""",
     views=["items"],
@@ -201,7 +201,7 @@ def evl18_mmr_diversity(t: Tables):
 
 @query(
     "set04_topk_overlap",
-    f"""SELECT user_id, count(*) AS ranked, sum(CASE WHEN hit THEN 1 ELSE 0 END) AS hits,
+    f"""SELECT user_id, count(*) AS ranked, CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS hits,
                CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS overlap
         FROM (SELECT c.user_id, c.item_id, EXISTS (SELECT 1 FROM interactions s WHERE s.user_id = c.user_id
                                                    AND s.item_id = c.item_id AND s.ts >= TIMESTAMP '{EVENTS_SPLIT_TS}') AS hit

@@ -131,7 +131,7 @@ def str04_stream_health(t: Tables):
 @query(
     "str05_rolling_item_activity",
     """SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, item_id, count(*) AS views,
-              sum(liked) AS likes, count(DISTINCT user_id) AS unique_viewers
+              CAST(sum(liked) AS BIGINT) AS likes, count(DISTINCT user_id) AS unique_viewers
        FROM (SELECT date_trunc('hour', ts) - to_hours(k) AS window_start, item_id, liked, user_id
              FROM interactions, range(0, 24) r(k)) w
        GROUP BY 1, 2, 3""",
@@ -159,7 +159,7 @@ def str06_sessions(t: Tables):
 
 @query(
     "str07_running_counters",
-    """SELECT user_id, count(*) AS total_events, sum(click) AS total_clicks, sum(liked) AS total_likes
+    """SELECT user_id, count(*) AS total_events, CAST(sum(click) AS BIGINT) AS total_clicks, CAST(sum(liked) AS BIGINT) AS total_likes
        FROM interactions GROUP BY 1""",
     views=["interactions"],
 )

@@ -60,6 +60,29 @@ def _close(a, b) -> bool:
     return True
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "double": "DOUBLE",
+    "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def _type_issues(sdf, res) -> list[str]:
+    duck = {d[0]: str(d[1]) for d in res.description}
+    out = []
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(st)
+        got = duck.get(f.name, "?")
+        if want is None:
+            if st.startswith("array") and got.endswith("[]"):
+                continue
+            out.append(f"{f.name}:{st}/{got}")
+        elif want != got.upper():
+            out.append(f"{f.name}:{st}/{got}")
+    return out
+
+
 def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
@@ -94,6 +117,10 @@ def main() -> int:
             print(f"FAIL-SQL {name}: {exc}")
             bad += 1
             continue
+        issues = _type_issues(sdf, res)
+        if issues:
+            print(f"TYPES {name}: {issues}")
+            bad += 1
         if sorted(scols) != sorted(dcols):
             print(f"COLS {name}: spark={scols} duck={dcols}")
             bad += 1

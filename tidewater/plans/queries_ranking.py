@@ -56,7 +56,7 @@ def evl13_topk_neighbors(t: Tables):
     e = t.embeddings
     q = e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
     i = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("item_vec"))
-    out = rk.top_k_inner_product(q, i, 5, exclude_self=True, query_block=256, item_block=256)
+    out = rk.top_k_inner_product(q, i, 5, exclude_self=True)
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -68,7 +68,7 @@ CAND_SQL = f"""SELECT user_id, item_id, score, rank FROM (
 
 def _candidates(t: Tables, k: int):
     return rk.top_k_inner_product(user_vectors(t), item_vectors(t), k, q_id="user_id", q_vec="user_vec",
-                                  i_id="item_id", i_vec="item_vec", query_block=64, item_block=64)
+                                  i_id="item_id", i_vec="item_vec")
 
 
 @query("jn10_user_item_candidates", CAND_SQL, views=["interactions", "items"], floats=["score"])
@@ -88,7 +88,7 @@ def jn10_user_item_candidates(t: Tables):
     floats=["score"],
 )
 def set03_hard_negatives(t: Tables):
-    out = rk.unseen_top_k(user_vectors(t), item_vectors(t), t.interactions, 10, query_block=64, item_block=64)
+    out = rk.unseen_top_k(user_vectors(t), item_vectors(t), t.interactions, 10)
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -118,7 +118,7 @@ def _feed(t: Tables):
     active = t.interactions.where(F.col("ts") >= ref - F.expr("INTERVAL 30 DAYS")).select("user_id").distinct()
     users = user_vectors(t).join(active, "user_id", "left_semi")
     cands = rk.top_k_inner_product(users, item_vectors(t), 100, q_id="user_id", q_vec="user_vec",
-                                   i_id="item_id", i_vec="item_vec", query_block=64, item_block=64)
+                                   i_id="item_id", i_vec="item_vec")
     it = t.items.select("item_id", "category", "creator_id", "quality",
                         F.timestamp_diff("HOUR", F.col("created_at"), ref).alias("age_hours"))
     c = cands.drop("rank").join(it, "item_id")
@@ -169,7 +169,7 @@ def evl16_promoted_slots(t: Tables):
     active = t.interactions.where(F.col("ts") >= ref - F.expr("INTERVAL 30 DAYS")).select("user_id").distinct()
     users = user_vectors(t).join(active, "user_id", "left_semi")
     cands = rk.top_k_inner_product(users, item_vectors(t), 100, q_id="user_id", q_vec="user_vec",
-                                   i_id="item_id", i_vec="item_vec", query_block=64, item_block=64)
+                                   i_id="item_id", i_vec="item_vec")
     rest = cands.join(ranked.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti").join(
         t.items.select("item_id", "quality"), "item_id")
     w = Window.partitionBy("user_id").orderBy(F.desc("quality"), F.col("item_id"))

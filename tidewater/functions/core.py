@@ -15,6 +15,13 @@ def safe_div(num: Column, den: Column, default: float | None = 0.0) -> Column:
     return q if default is None else F.coalesce(q, F.lit(default))
 
 
+def round_to(c: Column, digits: int) -> Column:
+    """FN-07: round(x * 10^d) / 10^d - the rounding of the scaled double, as numpy and DuckDB do
+    (Spark's ``round`` rounds the decimal string instead, which differs on exact ties)."""
+    scale = float(10 ** digits)
+    return F.round(c * F.lit(scale)) / F.lit(scale)
+
+
 def cents(c: Column) -> Column:
     """Money as whole cents (BIGINT)."""
     return F.round(c * F.lit(100.0)).cast("long")

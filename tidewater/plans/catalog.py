@@ -86,6 +86,7 @@ def load_all() -> dict[str, Query]:
         "queries_eval",
         "queries_ranking",
         "queries_sources",
+        "queries_functions",
     ):
         try:
             __import__(f"tidewater.plans.{mod}")

@@ -92,8 +92,12 @@ def train_classifier(train: DataFrame, features: Sequence[str], label: str, kind
 def train_implicit_als(interactions: DataFrame, user: str, item: str, weight: str, rank: int = 16,
                        seed: int = 42, max_iter: int = 10):
     """EVL-11: implicit-feedback ALS; user and item factors come back as array columns."""
+    from tidewater.session import ensure_checkpoint_dir
+
+    # ALS checkpoints its factor lineage every few iterations into the shared checkpoint folder
+    ensure_checkpoint_dir(interactions.sparkSession)
     als = ALS(userCol=user, itemCol=item, ratingCol=weight, implicitPrefs=True, rank=rank, seed=seed,
-              maxIter=max_iter, coldStartStrategy="drop", nonnegative=False)
+              maxIter=max_iter, coldStartStrategy="drop", nonnegative=False, checkpointInterval=5)
     return als.fit(interactions)
 
 

@@ -166,8 +166,10 @@ def last_n_flag(df, keys, order, n, alias="is_recent", max_rows=None) -> DataFra
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order, desc=True))
     last = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
-    last = last.withColumn(alias, F.lit(1))
-    return df.join(last, df.columns, "left").withColumn(alias, F.coalesce(F.col(alias), F.lit(0)))
+    last = last.select(*[F.col(c).alias(f"_l_{c}") for c in df.columns], F.lit(1).alias(alias))
+    cond = [df[c].eqNullSafe(last[f"_l_{c}"]) for c in df.columns]
+    out = df.join(last, cond, "left").select(*[df[c] for c in df.columns], F.coalesce(last[alias], F.lit(0)).alias(alias))
+    return out
 
 
 def top_k_per_group(df, keys, order, k, rank_col="rank") -> DataFrame:

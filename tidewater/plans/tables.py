@@ -22,7 +22,7 @@ BASE_TABLES = (
 EVENTS_SPLIT_TS = "2024-01-16 00:00:00"
 EXPERIMENT = "feed_v2"
 # Fixed "now" of each fact table (the reference reads the wall clock instead).
-ORDERS_AS_OF = "2001-09-01 00:00:00"
+ORDERS_AS_OF = "2001-08-02 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 
 

@@ -20,8 +20,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+import math
+
 from tidewater.session import shuffle_partitions
 
+# A group with at most this many distinct values is ordered inside one task.
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 100_000
+
 
 GLOBAL = "_g"
 
@@ -47,6 +53,19 @@ def default_buckets(df: DataFrame) -> int:
     return max(1, shuffle_partitions(df.sparkSession))
 
 
+def estimate_buckets(df: DataFrame, value: str | Column, by: Sequence[str] = (),
+                     rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets needed so that no bucket of any group holds more than ``rows_per_bucket``
+    distinct values.  One small job: a HyperLogLog sketch per group (combined map-side),
+    and only the largest estimate reaches the driver."""
+    v = F.col(value) if isinstance(value, str) else value
+    nn = df.where(v.isNotNull())
+    per_group = nn.groupBy(*by).agg(F.approx_count_distinct(v, 0.05).alias("_d")) if by else nn.agg(
+        F.approx_count_distinct(v, 0.05).alias("_d"))
+    d = per_group.agg(F.max("_d").alias("_m")).first()["_m"]
+    return max(1, min(MAX_BUCKETS, math.ceil((d or 0) * 1.15 / rows_per_bucket)))
+
+
 def cumulative(
     vc: DataFrame, measures: Sequence[str], by: Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:
@@ -55,6 +74,13 @@ def cumulative(
     Also adds ``<m>_tot`` (group total).  ``vc`` must have one row per (by, _v),
     as made by ``value_counts`` with the same ``by``.
     """
+    return cumulative_with_offsets(vc, measures, by, buckets)[0]
+
+
+def cumulative_with_offsets(
+    vc: DataFrame, measures: Sequence[str], by: Sequence[str] = (), buckets: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``cumulative`` plus the small per-bucket table (by, _bucket, _o_<m>, _t_<m>, <m>_tot)."""
     by = _group_keys(by)
     nb = buckets or default_buckets(vc)
     if nb > 1:
@@ -70,17 +96,19 @@ def cumulative(
     off = tot.select(
         *by,
         "_bucket",
+        *[F.col(f"_t_{m}") for m in measures],
         *[F.coalesce(F.sum(f"_t_{m}").over(prev), F.lit(0)).alias(f"_o_{m}") for m in measures],
         *[F.sum(f"_t_{m}").over(whole).alias(f"{m}_tot") for m in measures],
     )
-    j = b.join(off, [*by, "_bucket"])
+    j = b.join(off.drop(*[f"_t_{m}" for m in measures]), [*by, "_bucket"])
     run = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    return j.select(
+    cum = j.select(
         *vc.columns,
         "_bucket",
         *[(F.sum(m).over(run) + F.col(f"_o_{m}")).alias(f"{m}_cum") for m in measures],
         *[f"{m}_tot" for m in measures],
     )
+    return cum, off
 
 
 def exact_quantiles(
@@ -99,9 +127,17 @@ def exact_quantiles(
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
     vc = value_counts(df, value, user_by)
     by = _group_keys(user_by)
-    cum = cumulative(vc, ["_n"], user_by, buckets).withColumn("_lo_rank", F.col("_n_cum") - F.col("_n"))
-    # Targets: per group and probability, the two ranks around q*(n-1).
-    n = vc.groupBy(*by).agg(F.sum("_n").alias("_total"))
+    nb = buckets if buckets is not None else estimate_buckets(df, value, user_by)
+    if nb == 1:
+        # every group fits one task: one exact aggregate over the pre-aggregated counts
+        q = vc.groupBy(*by).agg(
+            F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]), F.col("_n")).alias("_qs"))
+        return q.select(*user_by, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
+    cum, off = cumulative_with_offsets(vc, ["_n"], user_by, nb)
+    cum = cum.withColumn("_lo_rank", F.col("_n_cum") - F.col("_n"))
+    # Targets: per group and probability, the two ranks around q*(n-1); group sizes come
+    # from the small bucket table, not from another pass over the values.
+    n = off.groupBy(*by).agg(F.max("_n_tot").alias("_total"))
     targets = n.select(
         *by,
         F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_q"),
@@ -117,12 +153,10 @@ def exact_quantiles(
         (F.col("_pos") - F.floor("_pos")).alias("_frac"),
         F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_r"),
     ).dropDuplicates([*by, "_qi", "_r"])
-    # Bucket of every target rank from the (small) bucket offsets.
-    bucket_ranges = cum.groupBy(*by, "_bucket").agg(
-        F.min("_lo_rank").alias("_b_lo"), F.max("_n_cum").alias("_b_hi")
-    )
-    tb = targets.join(bucket_ranges, by)
-    tb = tb.where((F.col("_r") >= F.col("_b_lo")) & (F.col("_r") < F.col("_b_hi"))).drop("_b_lo", "_b_hi")
+    # Bucket of every target rank from the bucket offsets (small x small).
+    tb = targets.join(off.select(*by, "_bucket", "_o__n", "_t__n"), by)
+    tb = tb.where((F.col("_r") >= F.col("_o__n")) & (F.col("_r") < F.col("_o__n") + F.col("_t__n"))).drop(
+        "_o__n", "_t__n")
     hit = tb.join(cum.select(*by, "_bucket", "_v", "_lo_rank", "_n_cum"), [*by, "_bucket"]).where(
         (F.col("_r") >= F.col("_lo_rank")) & (F.col("_r") < F.col("_n_cum"))
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
-from tidewater.functions.ranks import cumulative, exact_quantiles, value_counts
+from tidewater.functions.ranks import cumulative, estimate_buckets, exact_quantiles, value_counts
 from tidewater.functions.stats import chi2_sf, ks_asymptotic_p
 from tidewater.operators.profile import long_form
 
@@ -137,7 +137,8 @@ def ks_test(long: DataFrame, buckets: int | None = None) -> DataFrame:
         long, "value", ["feature"],
         {"_c1": (F.col("sample") == REF).cast("long"), "_c2": (F.col("sample") == CUR).cast("long")},
     )
-    cum = cumulative(vc, ["_c1", "_c2"], ["feature"], buckets)
+    nb = buckets if buckets is not None else estimate_buckets(long, "value", ["feature"])
+    cum = cumulative(vc, ["_c1", "_c2"], ["feature"], nb)
     diff = F.abs(cum._c1_cum / cum._c1_tot - cum._c2_cum / cum._c2_tot)
     d = cum.groupBy("feature").agg(
         F.max(diff).alias("ks_statistic"), F.first("_c1_tot").alias("_n1"), F.first("_c2_tot").alias("_n2")

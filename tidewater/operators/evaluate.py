@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
-from tidewater.functions.ranks import cumulative, value_counts
+from tidewater.functions.ranks import cumulative, estimate_buckets, value_counts
 
 # Default decision thresholds of the comparison rules.
 PROMOTE_AUC_GAIN = 0.02
@@ -64,7 +64,8 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), weigh
         df.where(F.col(label).isNotNull()), score, by,
         {"_pos": F.when(y, w).otherwise(0), "_neg": F.when(~y, w).otherwise(0)},
     )
-    cum = cumulative(vc, ["_neg"], by, buckets)
+    nb = buckets if buckets is not None else estimate_buckets(df, score, by)
+    cum = cumulative(vc, ["_neg"], by, nb)
     below = cum._neg_cum - cum._neg
     keys = list(by) if by else ["_g"]
     g = cum.groupBy(*keys).agg(

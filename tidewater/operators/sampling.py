@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import md5_bucket, safe_div, with_scalars
-from tidewater.functions.ranks import cumulative, value_counts
+from tidewater.functions.ranks import cumulative, estimate_buckets, value_counts
 
 
 def hash_split(df: DataFrame, key: str, fractions: Mapping[str, float], salt: str = "split") -> DataFrame:
@@ -42,7 +42,7 @@ def stratified_split(df: DataFrame, key: str, label: str, train_frac: float = 0.
     h = F.xxhash64(F.col(key).cast("string"), F.lit(salt))
     d = df.withColumn("_h", h)
     vc = value_counts(d, "_h", [label])
-    cum = cumulative(vc, ["_n"], [label]).select(label, F.col("_v").alias("_h"), "_n_cum", "_n_tot")
+    cum = cumulative(vc, ["_n"], [label], estimate_buckets(d, "_h", [label])).select(label, F.col("_v").alias("_h"), "_n_cum", "_n_tot")
     j = d.join(cum, [label, "_h"])
     n_train = F.floor(F.col("_n_tot") * F.lit(train_frac))
     # rows sharing a hash (duplicate keys) stay together; they are counted by their last position
@@ -67,7 +67,7 @@ def temporal_split(df: DataFrame, ts: str, order: Sequence[str], fractions: Sequ
         acc += f
         cuts.append(acc)
     vc = value_counts(df, ts)
-    cum = cumulative(vc, ["_n"]).select(F.col("_v").alias(ts), "_n", "_n_cum")
+    cum = cumulative(vc, ["_n"], buckets=estimate_buckets(df, ts)).select(F.col("_v").alias(ts), "_n", "_n_cum")
     j = with_scalars(df.join(cum, ts), n)
     pos_expr = [F.floor(F.col("_rows_total") * F.lit(c)).cast("long") for c in cuts]
     start = F.col("_n_cum") - F.col("_n")
@@ -147,7 +147,7 @@ def training_pairs(positives: DataFrame, items: DataFrame, user: str, item: str,
     are removed with a left anti join (the reference may emit true positives).
     """
     cat = items.select(item).distinct()
-    ranked = cumulative(value_counts(cat, item), ["_n"]).select(F.col("_v").alias("_neg_item"),
+    ranked = cumulative(value_counts(cat, item), ["_n"], buckets=estimate_buckets(cat, item)).select(F.col("_v").alias("_neg_item"),
                                                                   (F.col("_n_cum") - 1).alias("_rank"))
     size = cat.agg(F.count(F.lit(1)).alias("_size"))
     pos = positives.select(user, item, *([ts] if ts else []))

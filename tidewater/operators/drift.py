@@ -79,13 +79,14 @@ def _bin_counts(binned: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # DFT-01: PSI on quantile bins of the reference
 # ---------------------------------------------------------------------------
-def psi_quantile(long: DataFrame, bins: int = 10, stats: DataFrame | None = None) -> DataFrame:
+def psi_quantile(long: DataFrame, bins: int = 10, stats: DataFrame | None = None,
+                 buckets: int | None = None) -> DataFrame:
     """PSI with reference-quantile edges (duplicates dropped, equal-width fallback when
     fewer than 3 edges), bin = number of inner edges <= x, empty share -> 0.0001."""
     st = stats if stats is not None else sample_stats(long)
     probs = [i / bins for i in range(bins + 1)]
     names = [f"_q{i}" for i in range(bins + 1)]
-    q = exact_quantiles(long.where(F.col("sample") == REF), "value", probs, ["feature"], names)
+    q = exact_quantiles(long.where(F.col("sample") == REF), "value", probs, ["feature"], names, buckets)
     q = q.select("feature", F.array_distinct(F.array(*[F.col(n) for n in names])).alias("_qe"))
     e = st.join(q, "feature", "left").select(
         "feature",
@@ -243,9 +244,10 @@ def feature_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], psi_bi
     """DFT-07: one row per feature: PSI, KS, JS with flags; drifted if any flag."""
     long = stack_samples(ref, cur, columns)
     st = sample_stats(long)
+    nb = estimate_buckets(long, "value", ["feature"])  # one sizing job shared by PSI and KS
     out = (
-        st.join(psi_quantile(long, psi_bins, st), "feature")
-        .join(ks_test(long), "feature")
+        st.join(psi_quantile(long, psi_bins, st, nb), "feature")
+        .join(ks_test(long, nb), "feature")
         .join(js_divergence(long, js_bins, st), "feature")
         .where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     )

@@ -36,9 +36,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._base: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # one reader per table: the file listing and footer schema are read once per query
+        if name not in self._base:
+            self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._base[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:

@@ -22,6 +22,27 @@ def round_to(c: Column, digits: int) -> Column:
     return F.round(c * F.lit(scale)) / F.lit(scale)
 
 
+def sig_round(c: Column, digits: int = 12, max_decimals: int = 9) -> Column:
+    """Round a double to ``digits`` significant digits but at most ``max_decimals`` decimals.
+
+    Used to compare results across engines: sums of doubles differ in their last bits
+    between engines and runs; a fixed number of decimals does not absorb that for large
+    magnitudes, a fixed number of significant digits does not for small ones.  The value is
+    scaled by a power of ten, rounded and scaled back, the same arithmetic on both sides.
+    0, null, NaN and infinities pass through.
+    """
+    k = F.least(F.lit(max_decimals), F.lit(digits - 1) - F.floor(F.log10(F.abs(c))))
+    factor = F.pow(F.lit(10.0), k)
+    special = c.isNull() | F.isnan(c) | (c == 0) | (F.abs(c) == F.lit(float("inf")))
+    return F.when(special, c).otherwise(F.round(c * factor) / factor)
+
+
+def sig_round_sql(x: str, digits: int = 12, max_decimals: int = 9) -> str:
+    """The same rounding in DuckDB SQL."""
+    f = f"pow(10.0, least({max_decimals}, {digits - 1} - floor(log10(abs({x})))))"
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR isinf({x}) THEN {x} ELSE round({x} * {f}) / {f} END"
+
+
 def cents(c: Column) -> Column:
     """Money as whole cents (BIGINT)."""
     return F.round(c * F.lit(100.0)).cast("long")

@@ -14,8 +14,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.core import sig_round, sig_round_sql
 from tidewater.plans.tables import Tables, with_views
 
+SIGNIFICANT = 12
+
 Builder = Callable[[Tables], DataFrame]
 
 
@@ -32,7 +35,7 @@ class Query:
         df = self.build(Tables(spark, sf_dir))
         if self.rounding:
             df = df.select(
-                *[F.round(F.col(c), self.rounding[c]).alias(c) if c in self.rounding else F.col(c) for c in df.columns]
+                *[sig_round(F.col(c), SIGNIFICANT).alias(c) if c in self.rounding else F.col(c) for c in df.columns]
             )
         return df
 
@@ -42,7 +45,7 @@ class Query:
         sql = with_views(self.sql, *self.views)
         if not self.rounding:
             return sql
-        repl = ", ".join(f"round({c}, {d}) AS {c}" for c, d in self.rounding.items())
+        repl = ", ".join(f"{sig_round_sql(c, SIGNIFICANT)} AS {c}" for c in self.rounding)
         return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
 
 
@@ -60,7 +63,8 @@ def query(
 ):
     """Decorator registering ``fn(tables) -> DataFrame`` under ``name``.
 
-    ``floats`` + ``digits`` is a shorthand for rounding several columns alike.
+    ``floats`` (or ``rounding``) names the double columns that both sides round to
+    ``SIGNIFICANT`` significant digits before comparison.
     """
 
     def deco(fn: Builder) -> Builder:

@@ -23,11 +23,14 @@ from tidewater.plans.tables import BASE_TABLES  # noqa: E402
 from tidewater.session import local_session  # noqa: E402
 
 
+STRICT = bool(__import__("os").environ.get("STRICT"))
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if isinstance(v, (list, tuple)):
@@ -142,6 +145,11 @@ def main() -> int:
             print(f"VALUES {name}: cols={order}\n   first diffs: {diff}")
             bad += 1
             continue
+        if STRICT:
+            exact_bad = sorted({order[i] for a, b in zip(sset, dset) for i, (x, y) in enumerate(zip(a, b))
+                                if isinstance(x, float) and isinstance(y, float) and x != y and not (x != x and y != y)})
+            if exact_bad:
+                print(f"INEXACT {name}: {exact_bad}")
         print(f"ok {name}: {len(sset)} rows  {ts:.1f}s")
     print(f"mismatches: {bad}")
     return 1 if bad else 0

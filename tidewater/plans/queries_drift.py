@@ -9,6 +9,10 @@ from tidewater.plans.catalog import query
 from tidewater.plans.tables import EVENTS_SPLIT_TS, Tables
 
 FEATS = ["dwell_time", "item_id", "hour", "user_id"]
+AUC_S1_SQL = """(SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (below + neg * 0.5)) / (sum(pos) * sum(neg)) END AS auc
+                 FROM (SELECT s, pos, neg, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below
+                       FROM (SELECT s1 AS s, sum(y) AS pos, count(*) - sum(y) AS neg FROM scored
+                             WHERE y IS NOT NULL AND s1 IS NOT NULL GROUP BY s1) g) c)"""
 SPLIT = f"TIMESTAMP '{EVENTS_SPLIT_TS}'"
 
 
@@ -423,24 +427,31 @@ def dft15_threshold_alerts(t: Tables):
                                          CASE WHEN accuracy < 0.85 THEN 'low_accuracy' END,
                                          CASE WHEN new_rows > 100000 THEN 'new_data' END], lambda x: x IS NOT NULL)) > 0 AS retrain
                   FROM (SELECT count_if(drift_detected) > 0 AS drift_detected, max(psi) AS max_psi, FALSE AS forced,
-                               12 AS days_since_training, 0 AS alerts, CAST(0.8 AS DOUBLE) AS auc, CAST(0.9 AS DOUBLE) AS accuracy,
+                               12 AS days_since_training, 0 AS alerts,
+                               (SELECT auc FROM {AUC_S1_SQL} a) AS auc,
+                               (SELECT avg(CASE WHEN CAST(s1 >= 0.5 AS INTEGER) = y THEN 1.0 ELSE 0.0 END) FROM scored) AS accuracy,
                                (SELECT count(*) FROM interactions WHERE ts >= {SPLIT}) AS new_rows
                         FROM ({REPORT_BODY}) r) s""", psi_sql(), KS_SQL, JS_SQL),
-    views=["interactions"],
-    floats=["max_psi"],
+    views=["interactions", "scored"],
+    floats=["max_psi", "auc", "accuracy"],
 )
 def dft16_retrain_decision(t: Tables):
     ref, cur = drift_inputs(t)
     rep = dft.feature_drift(ref, cur, FEATS)
     from tidewater.functions.core import glue
 
+    from tidewater.operators import evaluate as ev
+
+    s = t.scored
     state = glue(
         rep.agg(F.max(F.col("drift_detected").cast("int")).cast("boolean").alias("drift_detected"),
                 F.max("psi").alias("max_psi")),
         cur.agg(F.count(F.lit(1)).alias("new_rows")),
+        ev.roc_auc(s, "y", "s1"),
+        s.agg(F.avg(((F.col("s1") >= 0.5).cast("int") == F.col("y")).cast("double")).alias("accuracy")),
     ).select(
         "drift_detected", "max_psi", F.lit(False).alias("forced"), F.lit(12).alias("days_since_training"),
-        F.lit(0).alias("alerts"), F.lit(0.8).alias("auc"), F.lit(0.9).alias("accuracy"), "new_rows",
+        F.lit(0).alias("alerts"), "auc", "accuracy", "new_rows",
     )
     return dft.retrain_decision(state)
 

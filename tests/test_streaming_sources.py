@@ -82,3 +82,34 @@ def test_snapshot_latest(spark, tmp_path):
     src.write_snapshot(df, str(tmp_path / "fs"), "v1")
     src.write_snapshot(df.where("id < 2"), str(tmp_path / "fs"), "v2")
     assert src.read_latest(spark, str(tmp_path / "fs")).count() == 2
+
+
+def test_csv_with_explicit_schema_and_dates(spark, tmp_path):
+    p = tmp_path / "orders.csv"
+    p.write_text("order_id,customer_id,order_date,total_amount\n1,C1,2024-01-02 10:00:00,12.5\n2,,bad-date,\n")
+    df = src.read_csv(spark, str(p), "order_id int, customer_id string, order_date string, total_amount double",
+                      ["order_date"], "yyyy-MM-dd HH:mm:ss")
+    rows = sorted(df.collect(), key=lambda r: r.order_id)
+    assert str(rows[0].order_date).startswith("2024-01-02 10:00")
+    assert rows[1].order_date is None and rows[1].customer_id is None and rows[1].total_amount is None
+
+
+def test_json_lines_log_append_and_nested_read(spark, tmp_path):
+    base = str(tmp_path / "log")
+    log = spark.createDataFrame(
+        [(1, [(10, 0.9, 1), (11, 0.8, 2)], "v1")],
+        "user_id long, predictions array<struct<item_id: long, score: double, rank: int>>, model_version string")
+    src.append_json_lines(log, base)
+    src.append_json_lines(log, base)
+    back = src.read_json_lines(spark, base, log.schema)
+    assert back.count() == 2
+    assert back.select(F.explode("predictions").alias("p")).where("p.rank = 1").count() == 2
+
+
+def test_unknown_check_kind_is_a_failed_row(spark):
+    from tidewater.operators import quality as dq
+
+    df = spark.range(3)
+    rows = dq.run_checks(df, [dq.Spec("no_such_kind", "id"), dq.Spec("non_empty")]).collect()
+    by = {r.check_name: r for r in rows}
+    assert by["no_such_kind"].passed is False and by["non_empty"].passed is True

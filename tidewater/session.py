@@ -8,7 +8,6 @@ it, not overridden.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession

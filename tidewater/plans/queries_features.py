@@ -806,3 +806,13 @@ def jn12_as_of_snapshot_join(t: Tables):
         F.count(F.lit(1)).alias("daily_events"), F.avg("dwell_time").alias("daily_dwell")
     )
     return sq.as_of_join(i.select("interaction_id", "user_id", "ts"), snaps, ["user_id"], "ts", "snapshot_ts")
+
+
+@query("agg19_daily_breakdown_maps", None)
+def agg19_daily_breakdown_maps(t: Tables):
+    """AGG-19 map form: per day and dimension a value -> count map (bounded by the dimension's values)."""
+    s = t.sales
+    long = agg.daily_breakdown(
+        s, {"category": F.col("category"), "hour": F.hour("order_ts"), "payment_method": F.col("payment_method")}
+    )
+    return agg.daily_breakdown_maps(long)

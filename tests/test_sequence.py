@@ -70,3 +70,17 @@ def test_as_of_join_keeps_unmatched(spark):
         .withColumn("snap_ts", F.to_timestamp("t").cast("timestamp_ntz")).drop("t")
     got = sorted((r.u, str(r.ts)[:10], r.f) for r in sq.as_of_join(facts, snaps, ["u"], "ts", "snap_ts").collect())
     assert got == [(1, "2024-01-02", 10), (1, "2024-01-05", 20), (2, "2024-01-01", None)]
+
+
+def test_feature_operators_identical_under_forced_hot_keys(spark):
+    from tidewater.operators import features as fe
+    from tidewater.plans.tables import Tables
+
+    o = Tables(spark, "/root/testdata/sf0.001").corders
+    order = ["order_ts", "order_id"]
+    plain = sorted(map(tuple, fe.temporal_features(o, order=order, max_rows=None).collect()))
+    hot = sorted(map(tuple, fe.temporal_features(o, order=order, max_rows=3).collect()))
+    assert plain == hot
+    v_plain = sorted(map(tuple, fe.value_features(o, "2001-08-02 00:00:00", order=order, max_rows=None).collect()))
+    v_hot = sorted(map(tuple, fe.value_features(o, "2001-08-02 00:00:00", order=order, max_rows=3).collect()))
+    assert v_plain == v_hot

@@ -134,3 +134,15 @@ def test_chi2_with_unseen_category(spark):
     r = dft.chi2_categorical(ref, cur, "c").first()
     assert r.unseen_categories == 1 and r.dof == 1
     assert r.chi2_statistic == pytest.approx((40 - 45) ** 2 / 45 + (50 - 45) ** 2 / 45)
+
+
+def test_counts_based_statistics_same_for_any_bucket_count(spark):
+    rng = np.random.default_rng(11)
+    r, c = _frame(spark, np.round(rng.normal(0, 1, 500), 2), np.round(rng.normal(0.2, 1.2, 400), 2))
+    vc = dft.sample_counts(dft.stack_samples(r, c, ["x"]))
+    st = dft.stats_from_counts(vc)
+    one = dft.psi_from_counts(vc, st, 10, 1).join(dft.ks_from_counts(vc, 1), "feature").first()
+    many = dft.psi_from_counts(vc, st, 10, 4).join(dft.ks_from_counts(vc, 4), "feature").first()
+    assert one.psi == pytest.approx(many.psi) and one.ks_statistic == pytest.approx(many.ks_statistic)
+    direct = dft.psi_quantile(dft.stack_samples(r, c, ["x"])).first()
+    assert one.psi == pytest.approx(direct.psi)

@@ -123,11 +123,29 @@ def exact_quantiles(
 
     Groups with no non-null value are absent.
     """
+    vc = value_counts(df, value, list(by))
+    nb = buckets if buckets is not None else estimate_buckets(df, value, list(by))
+    return quantiles_from_counts(vc, "_n", probs, by, names, nb)
+
+
+def quantiles_from_counts(
+    vc: DataFrame,
+    count_col: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+    buckets: int = 1,
+) -> DataFrame:
+    """Exact quantiles from pre-aggregated (by, _v, count) rows (weighted by ``count_col``).
+
+    ``vc`` is a ``value_counts`` table (with ``_g`` when ``by`` is empty); rows with a zero
+    count are ignored.
+    """
     user_by = list(by)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    vc = value_counts(df, value, user_by)
     by = _group_keys(user_by)
-    nb = buckets if buckets is not None else estimate_buckets(df, value, user_by)
+    vc = vc.select(*by, "_v", F.col(count_col).alias("_n")).where(F.col("_n") > 0)
+    nb = buckets
     if nb == 1:
         # every group fits one task: one exact aggregate over the pre-aggregated counts
         q = vc.groupBy(*by).agg(

@@ -9,13 +9,21 @@ tables (edges, ranges, bin grids) have a size bounded by features x bins.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
-from tidewater.functions.ranks import cumulative, estimate_buckets, exact_quantiles, value_counts
+from tidewater.functions.ranks import (
+    ROWS_PER_BUCKET,
+    cumulative,
+    estimate_buckets,
+    exact_quantiles,
+    quantiles_from_counts,
+    value_counts,
+)
 from tidewater.functions.stats import chi2_sf, ks_asymptotic_p
 from tidewater.operators.profile import long_form
 
@@ -237,18 +245,116 @@ def chi2_binned(long: DataFrame, bins: int = 10, stats: DataFrame | None = None)
     )
 
 
+# ---------------------------------------------------------------------------
+# the same statistics from one pre-aggregated counts table
+# ---------------------------------------------------------------------------
+def sample_counts(long: DataFrame) -> DataFrame:
+    """(feature, _v, _n, c_ref, c_cur): one row per feature and distinct value.
+
+    This is the only step that reads and shuffles the raw rows; a heavy value is one row.
+    """
+    return value_counts(long, "value", ["feature"], {
+        "c_ref": (F.col("sample") == REF).cast("long"), "c_cur": (F.col("sample") == CUR).cast("long")})
+
+
+def stats_from_counts(vc: DataFrame) -> DataFrame:
+    """Per feature: counts, means, population std (two passes over the counts), min, max."""
+    v = F.col("_v")
+    m = vc.groupBy("feature").agg(
+        F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"),
+        F.sum(v * F.col("c_ref")).alias("_sr"), F.sum(v * F.col("c_cur")).alias("_sc"),
+        F.min(v).alias("lo"), F.max(v).alias("hi"),
+    ).select("feature", "n_ref", "n_cur", "lo", "hi",
+             safe_div(F.col("_sr"), F.col("n_ref"), None).alias("mean_ref"),
+             safe_div(F.col("_sc"), F.col("n_cur"), None).alias("mean_cur"))
+    sq = vc.join(m.select("feature", "mean_ref", "mean_cur"), "feature").groupBy("feature").agg(
+        F.sum(F.col("c_ref") * (v - F.col("mean_ref")) ** 2).alias("_qr"),
+        F.sum(F.col("c_cur") * (v - F.col("mean_cur")) ** 2).alias("_qc"),
+    )
+    return m.join(sq, "feature").select(
+        "feature", "n_ref", "n_cur", "mean_ref", "mean_cur",
+        F.sqrt(safe_div(F.col("_qr"), F.col("n_ref"), None)).alias("std_ref"),
+        F.sqrt(safe_div(F.col("_qc"), F.col("n_cur"), None)).alias("std_cur"),
+        "lo", "hi",
+    )
+
+
+def psi_from_counts(vc: DataFrame, st: DataFrame, bins: int = 10, buckets: int = 1) -> DataFrame:
+    probs = [i / bins for i in range(bins + 1)]
+    names = [f"_q{i}" for i in range(bins + 1)]
+    q = quantiles_from_counts(vc, "c_ref", probs, ["feature"], names, buckets)
+    q = q.select("feature", F.array_distinct(F.array(*[F.col(n) for n in names])).alias("_qe"))
+    e = st.join(q, "feature", "left").select(
+        "feature", "n_ref", "n_cur",
+        F.when(F.coalesce(F.size("_qe"), F.lit(0)) < 3, _linspace(F.col("lo"), F.col("hi"), bins))
+        .otherwise(F.col("_qe")).alias("edges"),
+    )
+    inner = F.slice("edges", 2, F.size("edges") - 2)
+    binned = vc.join(e.select("feature", inner.alias("_inner")), "feature").select(
+        "feature", "c_ref", "c_cur", F.size(F.filter("_inner", lambda x: F.col("_v") >= x)).alias("bin"))
+    c = binned.groupBy("feature", "bin").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur")).join(
+        e.select("feature", "n_ref", "n_cur"), "feature")
+    pe = c.c_ref / c.n_ref
+    pa = c.c_cur / c.n_cur
+    pe = F.when(pe == 0, F.lit(PSI_EMPTY_SHARE)).otherwise(pe)
+    pa = F.when(pa == 0, F.lit(PSI_EMPTY_SHARE)).otherwise(pa)
+    psi = c.groupBy("feature").agg(F.sum((pa - pe) * F.ln(pa / pe)).alias("psi"))
+    out = psi.join(e.select("feature", (F.size("edges") - 1).alias("psi_bins")), "feature")
+    return out.withColumn("psi_drift", F.col("psi") >= F.lit(PSI_THRESHOLD))
+
+
+def ks_from_counts(vc: DataFrame, buckets: int = 1) -> DataFrame:
+    cum = cumulative(vc.select("feature", "_v", F.col("c_ref").alias("_c1"), F.col("c_cur").alias("_c2")),
+                     ["_c1", "_c2"], ["feature"], buckets)
+    diff = F.abs(cum._c1_cum / cum._c1_tot - cum._c2_cum / cum._c2_tot)
+    d = cum.groupBy("feature").agg(
+        F.max(diff).alias("ks_statistic"), F.first("_c1_tot").alias("_n1"), F.first("_c2_tot").alias("_n2"))
+    return d.select(
+        "feature", "ks_statistic", ks_asymptotic_p(F.col("ks_statistic"), F.col("_n1"), F.col("_n2")).alias("ks_p_value"),
+    ).withColumn("ks_drift", F.col("ks_p_value") < F.lit(KS_P_THRESHOLD))
+
+
+def js_from_counts(vc: DataFrame, st: DataFrame, bins: int = 50) -> DataFrame:
+    r = st.select("feature", "lo", "hi", "n_ref", "n_cur")
+    binned = vc.join(r.select("feature", "lo", "hi"), "feature").select(
+        "feature", "c_ref", "c_cur", _width_bin(F.col("_v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    c = binned.groupBy("feature", "bin").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    h = _grid(r, bins).join(c, ["feature", "bin"], "left").fillna(0, ["c_ref", "c_cur"]).join(r, "feature")
+    e = F.col("c_ref") / F.col("n_ref")
+    a = F.col("c_cur") / F.col("n_cur")
+    h = h.select("feature", F.when(e == 0, F.lit(EPS)).otherwise(e).alias("e"),
+                 F.when(a == 0, F.lit(EPS)).otherwise(a).alias("a")).withColumn("m", (F.col("e") + F.col("a")) * 0.5)
+    s = h.groupBy("feature").agg(F.sum("e").alias("se"), F.sum("a").alias("sa"), F.sum("m").alias("sm"))
+    j = h.join(s, "feature")
+    pe, pa, pm = j.e / j.se, j.a / j.sa, j.m / j.sm
+    out = j.groupBy("feature").agg(
+        (F.lit(0.5) * F.sum(pe * F.ln(pe / pm)) + F.lit(0.5) * F.sum(pa * F.ln(pa / pm))).alias("js_divergence"))
+    return out.withColumn("js_drift", F.col("js_divergence") >= F.lit(JS_THRESHOLD))
+
+
 # ---------------------------------------------------------------------------
 # DFT-07 / 08 / 09 / 10: reports
 # ---------------------------------------------------------------------------
 def feature_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], psi_bins=10, js_bins=50) -> DataFrame:
-    """DFT-07: one row per feature: PSI, KS, JS with flags; drifted if any flag."""
+    """DFT-07: one row per feature: PSI, KS, JS with flags; drifted if any flag.
+
+    The raw rows are read and shuffled once, into per-(feature, value) counts of both
+    samples.  That table is checkpointed into the session's checkpoint folder (reliable,
+    lineage cut), its size per feature picks the bucket count, and every statistic is
+    computed from it, so the report never rescans the inputs.
+    """
+    from tidewater.session import ensure_checkpoint_dir
+
     long = stack_samples(ref, cur, columns)
-    st = sample_stats(long)
-    nb = estimate_buckets(long, "value", ["feature"])  # one sizing job shared by PSI and KS
+    ensure_checkpoint_dir(long.sparkSession)
+    vc = sample_counts(long).checkpoint()
+    widest = vc.groupBy("feature").agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d").alias("m")).first()["m"] or 0
+    nb = max(1, math.ceil(widest * 1.15 / ROWS_PER_BUCKET))
+    st = stats_from_counts(vc)
     out = (
-        st.join(psi_quantile(long, psi_bins, st, nb), "feature")
-        .join(ks_test(long, nb), "feature")
-        .join(js_divergence(long, js_bins, st), "feature")
+        st.join(psi_from_counts(vc, st, psi_bins, nb), "feature")
+        .join(ks_from_counts(vc, nb), "feature")
+        .join(js_from_counts(vc, st, js_bins), "feature")
         .where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     )
     return out.withColumn("drift_detected", F.col("psi_drift") | F.col("ks_drift") | F.col("js_drift")).drop("lo", "hi")

@@ -20,7 +20,6 @@ from tidewater.functions.ranks import (
     ROWS_PER_BUCKET,
     cumulative,
     estimate_buckets,
-    exact_quantiles,
     quantiles_from_counts,
     value_counts,
 )
@@ -45,18 +44,7 @@ def stack_samples(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> Dat
 
 def sample_stats(long: DataFrame) -> DataFrame:
     """Per feature: counts, means, population std of each sample, joint min/max."""
-    is_r, is_c = F.col("sample") == REF, F.col("sample") == CUR
-    v = F.col("value")
-    return long.groupBy("feature").agg(
-        F.count_if(is_r).alias("n_ref"),
-        F.count_if(is_c).alias("n_cur"),
-        F.avg(F.when(is_r, v)).alias("mean_ref"),
-        F.avg(F.when(is_c, v)).alias("mean_cur"),
-        F.stddev_pop(F.when(is_r, v)).alias("std_ref"),
-        F.stddev_pop(F.when(is_c, v)).alias("std_cur"),
-        F.min(v).alias("lo"),
-        F.max(v).alias("hi"),
-    )
+    return stats_from_counts(sample_counts(long))
 
 
 def _linspace(lo: Column, hi: Column, n: int) -> Column:
@@ -78,125 +66,64 @@ def _grid(stats: DataFrame, n: int) -> DataFrame:
     return stats.select("feature", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("bin"))
 
 
-def _bin_counts(binned: DataFrame) -> DataFrame:
-    return binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col("sample") == REF).alias("c_ref"), F.count_if(F.col("sample") == CUR).alias("c_cur")
-    )
+def _hist_from_counts(vc: DataFrame, st: DataFrame, bins: int, full_grid: bool = True) -> DataFrame:
+    """(feature, bin, c_ref, c_cur, n_ref, n_cur, lo, hi) on equal-width bins of the joint range."""
+    r = st.select("feature", "lo", "hi", "n_ref", "n_cur")
+    binned = vc.join(r.select("feature", "lo", "hi"), "feature").select(
+        "feature", "c_ref", "c_cur", _width_bin(F.col("_v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    c = binned.groupBy("feature", "bin").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    if full_grid:
+        c = _grid(r, bins).join(c, ["feature", "bin"], "left").fillna(0, ["c_ref", "c_cur"])
+    return c.join(r, "feature")
 
 
 # ---------------------------------------------------------------------------
-# DFT-01: PSI on quantile bins of the reference
+# DFT-01..05: single statistics over a long (feature, sample, value) table.
+# Each pre-aggregates the raw rows once (``sample_counts``); Spark reuses that
+# exchange for every branch of the plan.
 # ---------------------------------------------------------------------------
 def psi_quantile(long: DataFrame, bins: int = 10, stats: DataFrame | None = None,
                  buckets: int | None = None) -> DataFrame:
-    """PSI with reference-quantile edges (duplicates dropped, equal-width fallback when
+    """DFT-01: PSI with reference-quantile edges (duplicates dropped, equal-width fallback when
     fewer than 3 edges), bin = number of inner edges <= x, empty share -> 0.0001."""
-    st = stats if stats is not None else sample_stats(long)
-    probs = [i / bins for i in range(bins + 1)]
-    names = [f"_q{i}" for i in range(bins + 1)]
-    q = exact_quantiles(long.where(F.col("sample") == REF), "value", probs, ["feature"], names, buckets)
-    q = q.select("feature", F.array_distinct(F.array(*[F.col(n) for n in names])).alias("_qe"))
-    e = st.join(q, "feature", "left").select(
-        "feature",
-        "n_ref",
-        "n_cur",
-        F.when(F.coalesce(F.size("_qe"), F.lit(0)) < 3, _linspace(F.col("lo"), F.col("hi"), bins))
-        .otherwise(F.col("_qe"))
-        .alias("edges"),
-    )
-    inner = F.slice("edges", 2, F.size("edges") - 2)
-    binned = long.join(e.select("feature", inner.alias("_inner")), "feature").select(
-        "feature", "sample", F.size(F.filter("_inner", lambda x: F.col("value") >= x)).alias("bin")
-    )
-    c = _bin_counts(binned).join(e.select("feature", "n_ref", "n_cur"), "feature")
-    pe = c.c_ref / c.n_ref
-    pa = c.c_cur / c.n_cur
-    pe = F.when(pe == 0, F.lit(PSI_EMPTY_SHARE)).otherwise(pe)
-    pa = F.when(pa == 0, F.lit(PSI_EMPTY_SHARE)).otherwise(pa)
-    psi = c.groupBy("feature").agg(F.sum((pa - pe) * F.ln(pa / pe)).alias("psi"))
-    out = psi.join(e.select("feature", (F.size("edges") - 1).alias("psi_bins")), "feature")
-    return out.withColumn("psi_drift", F.col("psi") >= F.lit(PSI_THRESHOLD))
+    vc = sample_counts(long)
+    st = stats if stats is not None else stats_from_counts(vc)
+    nb = buckets if buckets is not None else estimate_buckets(long.where(F.col("sample") == REF), "value", ["feature"])
+    return psi_from_counts(vc, st, bins, nb)
 
 
-# ---------------------------------------------------------------------------
-# DFT-02: PSI on equal-width bins
-# ---------------------------------------------------------------------------
 def psi_width(long: DataFrame, bins: int = 10, eps: float = EPS, stats: DataFrame | None = None) -> DataFrame:
-    st = stats if stats is not None else sample_stats(long)
-    r = st.select("feature", "lo", "hi", "n_ref", "n_cur")
-    binned = long.join(r.select("feature", "lo", "hi"), "feature").select(
-        "feature", "sample", _width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin")
-    )
-    c = _bin_counts(binned).join(r.select("feature", "n_ref", "n_cur"), "feature")
+    """DFT-02: PSI on equal-width bins of the joint range, shares + eps."""
+    vc = sample_counts(long)
+    st = stats if stats is not None else stats_from_counts(vc)
+    c = _hist_from_counts(vc, st, bins, full_grid=False)
     pe = c.c_ref / c.n_ref + F.lit(eps)
     pa = c.c_cur / c.n_cur + F.lit(eps)
     return c.groupBy("feature").agg(F.sum((pa - pe) * F.ln(pa / pe)).alias("psi_width"))
 
 
-# ---------------------------------------------------------------------------
-# DFT-03: two-sample KS
-# ---------------------------------------------------------------------------
 def ks_test(long: DataFrame, buckets: int | None = None) -> DataFrame:
-    """D = max |F_ref - F_cur| over the distinct values; asymptotic p-value (H19).
+    """DFT-03: D = max |F_ref - F_cur| over the distinct values; asymptotic p-value (H19).
 
     Running counts come from ``cumulative`` (bucketed windows), so a feature
     with billions of rows is never one window partition.
     """
-    vc = value_counts(
-        long, "value", ["feature"],
-        {"_c1": (F.col("sample") == REF).cast("long"), "_c2": (F.col("sample") == CUR).cast("long")},
-    )
     nb = buckets if buckets is not None else estimate_buckets(long, "value", ["feature"])
-    cum = cumulative(vc, ["_c1", "_c2"], ["feature"], nb)
-    diff = F.abs(cum._c1_cum / cum._c1_tot - cum._c2_cum / cum._c2_tot)
-    d = cum.groupBy("feature").agg(
-        F.max(diff).alias("ks_statistic"), F.first("_c1_tot").alias("_n1"), F.first("_c2_tot").alias("_n2")
-    )
-    return d.select(
-        "feature",
-        "ks_statistic",
-        ks_asymptotic_p(F.col("ks_statistic"), F.col("_n1"), F.col("_n2")).alias("ks_p_value"),
-    ).withColumn("ks_drift", F.col("ks_p_value") < F.lit(KS_P_THRESHOLD))
-
-
-# ---------------------------------------------------------------------------
-# DFT-04 / DFT-05: histogram divergences
-# ---------------------------------------------------------------------------
-def _hist(long: DataFrame, bins: int, stats: DataFrame | None) -> DataFrame:
-    st = stats if stats is not None else sample_stats(long)
-    r = st.select("feature", "lo", "hi", "n_ref", "n_cur")
-    binned = long.join(r.select("feature", "lo", "hi"), "feature").select(
-        "feature", "sample", _width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin")
-    )
-    c = _bin_counts(binned)
-    full = _grid(r, bins).join(c, ["feature", "bin"], "left").fillna(0, ["c_ref", "c_cur"])
-    return full.join(r, "feature")
+    return ks_from_counts(sample_counts(long), nb)
 
 
 def js_divergence(long: DataFrame, bins: int = 50, stats: DataFrame | None = None) -> DataFrame:
-    """Jensen-Shannon (natural log, range [0, ln 2], H7): shares with 0 -> 1e-10,
+    """DFT-04: Jensen-Shannon (natural log, range [0, ln 2], H7): shares with 0 -> 1e-10,
     each distribution renormalised as ``scipy.stats.entropy`` does."""
-    h = _hist(long, bins, stats)
-    e = F.col("c_ref") / F.col("n_ref")
-    a = F.col("c_cur") / F.col("n_cur")
-    h = h.select(
-        "feature",
-        F.when(e == 0, F.lit(EPS)).otherwise(e).alias("e"),
-        F.when(a == 0, F.lit(EPS)).otherwise(a).alias("a"),
-    ).withColumn("m", (F.col("e") + F.col("a")) * 0.5)
-    s = h.groupBy("feature").agg(F.sum("e").alias("se"), F.sum("a").alias("sa"), F.sum("m").alias("sm"))
-    j = h.join(s, "feature")
-    pe, pa, pm = j.e / j.se, j.a / j.sa, j.m / j.sm
-    out = j.groupBy("feature").agg(
-        (F.lit(0.5) * F.sum(pe * F.ln(pe / pm)) + F.lit(0.5) * F.sum(pa * F.ln(pa / pm))).alias("js_divergence")
-    )
-    return out.withColumn("js_drift", F.col("js_divergence") >= F.lit(JS_THRESHOLD))
+    vc = sample_counts(long)
+    return js_from_counts(vc, stats if stats is not None else stats_from_counts(vc), bins)
 
 
 def kl_divergence(long: DataFrame, bins: int = 50, eps: float = EPS, stats: DataFrame | None = None) -> DataFrame:
-    """KL of reference p vs current q on densities: p/(sum p + eps) + eps, then
+    """DFT-05: KL of reference p vs current q on densities: p/(sum p + eps) + eps, then
     sum(p ln(p/q) - p + q) (``scipy.special.kl_div``)."""
-    h = _hist(long, bins, stats)
+    vc = sample_counts(long)
+    h = _hist_from_counts(vc, stats if stats is not None else stats_from_counts(vc), bins)
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     dens_p = F.col("c_ref") / (F.col("n_ref") * w)
     dens_q = F.col("c_cur") / (F.col("n_cur") * w)
@@ -237,7 +164,8 @@ def chi2_categorical(ref: DataFrame, cur: DataFrame, column: str) -> DataFrame:
 
 def chi2_binned(long: DataFrame, bins: int = 10, stats: DataFrame | None = None) -> DataFrame:
     """Chi-square statistic on equal-width bins of each numeric feature (expected rescaled)."""
-    h = _hist(long, bins, stats)
+    vc = sample_counts(long)
+    h = _hist_from_counts(vc, stats if stats is not None else stats_from_counts(vc), bins)
     e = F.col("c_ref") * F.col("n_cur") / F.col("n_ref")
     return h.groupBy("feature").agg(
         F.sum(F.when(e > 0, (F.col("c_cur") - e) ** 2 / e)).alias("chi2_statistic"),
@@ -315,11 +243,7 @@ def ks_from_counts(vc: DataFrame, buckets: int = 1) -> DataFrame:
 
 
 def js_from_counts(vc: DataFrame, st: DataFrame, bins: int = 50) -> DataFrame:
-    r = st.select("feature", "lo", "hi", "n_ref", "n_cur")
-    binned = vc.join(r.select("feature", "lo", "hi"), "feature").select(
-        "feature", "c_ref", "c_cur", _width_bin(F.col("_v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
-    c = binned.groupBy("feature", "bin").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
-    h = _grid(r, bins).join(c, ["feature", "bin"], "left").fillna(0, ["c_ref", "c_cur"]).join(r, "feature")
+    h = _hist_from_counts(vc, st, bins)
     e = F.col("c_ref") / F.col("n_ref")
     a = F.col("c_cur") / F.col("n_cur")
     h = h.select("feature", F.when(e == 0, F.lit(EPS)).otherwise(e).alias("e"),

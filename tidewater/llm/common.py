@@ -59,35 +59,6 @@ def unit(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 1.0) * (1.0 / (1 << 53))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, filled on demand; emptied when it holds too many words."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: str) -> int:
-        import hashlib
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        self[word] = h
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-_words: WordHashes | None = None
-
-
-def word_hashes() -> WordHashes:
-    """The worker's shared word table."""
-    global _words
-    if _words is None:
-        _words = WordHashes()
-    return _words
-
-
 def shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
     """Hashes of the ``n``-word shingles of a word-hash sequence, in order.
 
@@ -103,10 +74,113 @@ def shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
     return mix64(out)
 
 
-def shingle_set(text: str, n: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of the lower-cased, space-separated words."""
-    return np.unique(shingles(word_hashes().of(text.lower().split()), n))
-
-
 def env_single_thread() -> None:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+
+# ---------------------------------------------------------------------------
+# words of many texts at once
+# ---------------------------------------------------------------------------
+def _classes(marks: int) -> np.ndarray:
+    """Byte classes: 0 white space, 1 ASCII letters, digits and all non-ASCII bytes, ``marks`` the rest."""
+    c = np.full(256, marks, dtype=np.int8)
+    c[128:] = 1
+    for b in range(128):
+        if chr(b).isalnum():
+            c[b] = 1
+        elif chr(b).isspace() or b < 32:
+            c[b] = 0
+    return c
+
+
+WORDS = _classes(0)  # marks separate words
+WORDS_AND_MARKS = _classes(2)  # runs of marks are words of their own
+_spaced = np.ones(256, dtype=np.int8)
+_spaced[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = 0
+SPACED = _spaced  # whatever white space separates
+
+_STEP = 0x9E3779B97F4A7C15
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+_powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd step and of its inverse modulo 2**64, at least ``n`` of each."""
+    if len(_powers["up"]) < n:
+        size = 1 << max(20, (n - 1).bit_length())
+        for name, step in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
+            t = np.full(size, step, dtype=np.uint64)
+            t[0] = 1
+            _powers[name] = np.multiply.accumulate(t)
+    return _powers["up"], _powers["down"]
+
+
+def span_hashes(buffer: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans of a buffer (never 0)."""
+    raw = np.frombuffer(buffer, dtype=np.uint8)
+    up, down = _power_tables(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[raw] * up[:len(raw)], out=sums[1:])
+    return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)) | np.uint64(1)
+
+
+class Words:
+    """Hashes of the words of several texts: ``h``, byte spans in ``buffer``, ``edges`` per text."""
+
+    def __init__(self, texts: list[bytes], classes: np.ndarray):
+        buffer = b"\n".join(texts) + b"\n"
+        c = classes[np.frombuffer(buffer, dtype=np.uint8)]
+        turn = np.empty(len(c), dtype=bool)
+        turn[0] = c[0] != 0
+        np.not_equal(c[1:], c[:-1], out=turn[1:])
+        at = np.flatnonzero(turn)
+        word = c[at] != 0
+        after = np.append(at[1:], len(c))
+        self.start, self.end = at[word], after[word]
+        self.h = span_hashes(buffer, self.start, self.end)
+        sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
+        self.text_end = np.cumsum(sizes)  # one past the separator
+        self.text_start = self.text_end - sizes
+        self.edges = np.concatenate([[0], np.searchsorted(self.start, self.text_end)])
+
+    def owner(self) -> np.ndarray:
+        """Number of the text that each word belongs to."""
+        return np.repeat(np.arange(len(self.edges) - 1), np.diff(self.edges))
+
+
+def shingle_runs(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all ``n``-word shingles of all texts in order, and their edges per text.
+
+    A text of 1 to n-1 words has one shingle, all its words.
+    """
+    h, count = words.h, np.diff(words.edges)
+    out = np.full(max(len(h) - n + 1, 0), n, dtype=np.uint64)
+    for j in range(n):
+        out = (out ^ h[j:len(h) - n + 1 + j]) * _M1
+        out ^= out >> np.uint64(29)
+    out = mix64(out)
+    per = np.where(count >= n, count - n + 1, (count > 0).astype(np.int64))
+    edges = np.concatenate([[0], np.cumsum(per)])
+    if (count >= n).all():
+        at = np.arange(edges[-1]) + np.repeat(words.edges[:-1] - edges[:-1], per)
+        return out[at], edges
+    at = np.arange(edges[-1]) + np.repeat(words.edges[:-1] - edges[:-1], per)
+    got = out[np.minimum(at, len(out) - 1)] if len(out) else np.zeros(len(at), dtype=np.uint64)
+    for i in np.flatnonzero((count > 0) & (count < n)):
+        got[edges[i]] = shingles(h[words.edges[i]:words.edges[i + 1]], n)[0]
+    return got, edges
+
+
+def lowered(texts: list[str | None]) -> list[bytes]:
+    return [t.lower().encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+
+
+def distinct_per_text(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of each text and their edges."""
+    owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    order = np.lexsort((values, owner))
+    v, o = values[order], owner[order]
+    new = np.ones(len(v), dtype=bool)
+    new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
+    v, o = v[new], o[new]
+    return v, np.searchsorted(o, np.arange(len(edges)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, mixing, packing, token_files
+from tidewater.llm import exact_dedup, fingerprints, licenses, mixing, packing, quality, revisits, token_files
 from tidewater.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,15 +25,40 @@ def op4_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(documents(spark, sf_dir), "byte_bpe_50k.json", end_id=2)
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = revisits.resolve(revisits.crawl_records(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    h = F.col("headers")
+    return resolved.select(
+        "record_id", "canonical_url", "full_id", "state", "digest", F.element_at(h, "etag").alias("etag"),
+        F.element_at(h, "content-length").alias("content_length"), F.element_at(h, "cache-control").alias("cache_control"),
+        F.element_at(h, "date").alias("date"), F.size(h).alias("n_headers"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), "word_bpe_49k.json", end_id=1, max_tokens=4096).drop("row")
 
 
+def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_poisson_mixing": op2_poisson_mixing,
     "op4_huffman_token_files": op4_huffman_token_files,
+    "op5_warc_revisits": op5_warc_revisits,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_vector_best_fit": op7_vector_best_fit,
+    "op9_imatch_fingerprints": op9_imatch_fingerprints,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -53,4 +78,30 @@ ORACLES: dict[str, str] = {
         SELECT d.*, c.copy::INTEGER AS copy, round(r.rate, 9) AS rate,
                ('0x' || substr(md5('mix:order:' || d.doc_id || ':' || c.copy), 1, 13))::BIGINT / 4503599627370496.0 AS mix_key
         FROM documents d JOIN n USING (doc_id) JOIN r ON r.src = coalesce(d.source, ''), range(1, n.n + 1) AS c(copy)""",
+    "op5_warc_revisits": r"""
+        WITH a AS (SELECT page_id AS p, html, regexp_replace(regexp_replace(trim(coalesce(url, '')), '#.*$', ''),
+                          '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages WHERE page_id IS NOT NULL),
+        b AS (SELECT p, html, regexp_replace(u, '\?.*$', '') AS base,
+                     list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda x: x <> '' AND regexp_extract(x, '^[^=]*')
+                     NOT IN ('ref', 'utm_campaign', 'utm_content', 'utm_medium', 'utm_source', 'utm_term'))) AS q FROM a),
+        c AS (SELECT p, html, regexp_replace(regexp_replace(lower(regexp_extract(base, '^[^/]*')), ':(80|443)$', ''), '^www\.', '')
+                     || regexp_replace(regexp_extract(base, '^[^/]*(.*)$', 1), '/+$', '')
+                     || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS key FROM b),
+        f AS (SELECT 2 * p AS full_id, p, key, 10 * p AS t, md5(html) AS d, length(html) AS n FROM c WHERE html IS NOT NULL),
+        v AS (SELECT 2 * p + 1 AS record_id, p, key, 10 * (p + p % 1000) + 5 AS t, md5(html) AS own, p % 5 AS kind FROM c),
+        m AS (SELECT v.record_id, max(f.p) AS fp FROM v JOIN f ON f.key = v.key AND f.t < v.t GROUP BY 1),
+        j AS (SELECT v.*, f.full_id, f.p AS fp, f.d, f.n FROM v LEFT JOIN m USING (record_id) LEFT JOIN f ON f.p = m.fp AND f.key = v.key),
+        s AS (SELECT *, CASE WHEN full_id IS NULL THEN 'no_response'
+                 WHEN kind IN (0, 1, 3) AND fp % 5 <> 2 AND (kind = 3 OR own IS NOT NULL)
+                      THEN CASE WHEN kind <> 3 AND own = d THEN 'resolved' ELSE 'validator_mismatch' END
+                 WHEN kind = 2 THEN CASE WHEN p // 100 = fp // 100 THEN 'resolved' ELSE 'validator_mismatch' END
+                 WHEN kind = 4 AND own IS NOT NULL THEN CASE WHEN own = d THEN 'resolved' ELSE 'validator_mismatch' END
+                 ELSE 'unchecked' END AS state FROM j)
+        SELECT record_id, key AS canonical_url, full_id, state, CASE WHEN good THEN d END AS digest,
+               CASE WHEN good THEN CASE WHEN kind = 0 AND own IS NOT NULL THEN '"' || own || '"' WHEN kind = 1 AND own IS NOT NULL
+                    THEN 'W/"' || own || '"' WHEN kind = 3 THEN '"other"' WHEN fp % 5 <> 2 THEN '"' || d || '"' END END AS etag,
+               CASE WHEN good THEN n::VARCHAR END AS content_length, CASE WHEN good THEN 'max-age=3600' END AS cache_control,
+               CASE WHEN good THEN 'second ' || p END AS date,
+               CASE WHEN good THEN 5 + (fp % 5 <> 2 OR (kind IN (0, 1) AND own IS NOT NULL) OR kind = 3)::INTEGER END AS n_headers
+        FROM (SELECT *, state IN ('resolved', 'unchecked') AS good FROM s)""",
 }

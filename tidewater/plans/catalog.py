@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import sig_round, sig_round_sql
 from tidewater.plans.tables import Tables, with_views
+from tidewater.session import ship_package
 
 SIGNIFICANT = 12
 
@@ -32,6 +34,7 @@ class Query:
     headline: bool = False
 
     def spark_df(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         df = self.build(Tables(spark, sf_dir))
         if self.rounding:
             df = df.select(
@@ -79,22 +82,11 @@ def query(
     return deco
 
 
+MODULES = ("relational", "features", "quality", "drift", "eval", "ranking", "sources", "functions")
+
+
 def load_all() -> dict[str, Query]:
-    # Importing the modules fills the registry.
-    from tidewater.plans import queries_relational  # noqa: F401
-
-    for mod in (
-        "queries_features",
-        "queries_quality",
-        "queries_drift",
-        "queries_eval",
-        "queries_ranking",
-        "queries_sources",
-        "queries_functions",
-    ):
-        try:
-            __import__(f"tidewater.plans.{mod}")
-        except ModuleNotFoundError as exc:  # module not written yet
-            if mod not in str(exc):
-                raise
+    """Import the query modules, which fill the registry."""
+    for name in MODULES:
+        import_module(f"tidewater.plans.queries_{name}")
     return REGISTRY

@@ -9,6 +9,8 @@ it, not overridden.
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -56,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    # Unset everywhere: only acceptable in a local test session.
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a folder that all executors share")
+    # Unset in a local session, as in tests: one machine, any folder is shared.
     path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(path)
     return path
@@ -64,3 +68,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, so that functions of its modules can run there.
+
+    Spark copies the archive from the driver to every executor; once per application.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidewater-ship-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)

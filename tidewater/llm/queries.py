@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, fingerprints, licenses, mixing, packing, quality, revisits, token_files
+from tidewater.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, revisits, token_files
 from tidewater.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), alpha=0.5, seed="mix").withColumn("rate", F.round("rate", 9))
 
 
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), threshold=0.8)
+
+
 def op4_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(documents(spark, sf_dir), "byte_bpe_50k.json", end_id=2)
 
@@ -53,6 +57,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_poisson_mixing": op2_poisson_mixing,
+    "op3_dart_minhash": op3_dart_minhash,
     "op4_huffman_token_files": op4_huffman_token_files,
     "op5_warc_revisits": op5_warc_revisits,
     "op6_quality_classifier": op6_quality_classifier,

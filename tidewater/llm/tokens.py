@@ -1,11 +1,12 @@
 """Exact tokenisation with the ``tokenizers`` library, each distinct word unit encoded once.
 
-A byte-level BPE text is cut before every single space (and around every single newline)
-whose neighbours are no white space; a word-end BPE text at spaces and newlines.  The
-tokenizers' own splitting never joins characters across such a cut, so the ids of a text are
-the ids of its units one after the other, and the units (words with their punctuation) can
-be cached.  Texts where a cut would be doubtful (runs of white space) are encoded whole by
-the library.
+The tokenizers' own splitting never joins characters across the borders of letter runs, digits and
+runs of other marks (with the one space before them, where the vocabulary keeps spaces), so the
+ids of a text are the ids of these units one after the other.  Units are found and hashed (64
+bits) for a whole batch of texts at once, and the ids of each unit are kept in a table by hash.
+That holds for texts of plain characters (Latin-1 letters, digits, ASCII marks but the apostrophe
+of contractions) without runs of white space; any other text is cut at single spaces only, or
+encoded whole where even that cut would be doubtful.
 """
 
 from __future__ import annotations
@@ -15,17 +16,29 @@ from itertools import chain
 
 import numpy as np
 
-from tidewater.llm.common import env_single_thread
+from tidewater.llm.common import env_single_thread, span_hashes
 
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-#: Texts of these characters only, without apostrophes (contractions) and runs of white space, are cut
-#: into letter runs, digit runs and runs of other marks, each with the space before it.
-_PLAIN = np.array([c == 10 or 32 <= c < 127 and c != 39 or 0xC0 <= c and c not in (0xD7, 0xF7) for c in range(256)])
 _GAPS = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
-_WORDS = re.compile(f"[{_LETTERS}]+|[0-9]|[^ \n{_LETTERS}0-9]+")
 _SINGLE = re.compile(f" ?[{_LETTERS}]+\\Z")
-_FINE = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[^ \n{_LETTERS}0-9]+|\n")
 _COARSE = re.compile(r" ?[^ \n]+|\n")
+SPACE, LETTER, DIGIT, MARK, NEWLINE, OTHER = range(6)
+
+
+def _classes() -> np.ndarray:
+    c = np.full(256, OTHER, dtype=np.uint8)
+    for b in range(256):
+        if re.match(f"[{_LETTERS}]", chr(b)):
+            c[b] = LETTER
+        elif 48 <= b < 58:
+            c[b] = DIGIT
+        elif 33 <= b < 127 and b != 39:
+            c[b] = MARK
+    c[32], c[10] = SPACE, NEWLINE
+    return c
+
+
+_CLASS = _classes()
 
 
 def vocabulary_path(name: str) -> str:
@@ -37,14 +50,6 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _plain(text: str) -> bool:
-    """Plain characters only."""
-    try:
-        return bool(_PLAIN[np.frombuffer(text.encode("latin-1"), dtype=np.uint8)].all())
-    except UnicodeEncodeError:
-        return False
-
-
 def _byte_letters() -> dict[int, str]:
     """Byte-level BPE writes each byte as a printable character: visible Latin-1 characters stand for
     themselves, the others follow from U+0100 in byte order (a fixed rule of the vocabulary files)."""
@@ -58,7 +63,8 @@ _BYTES = _byte_letters()
 class UnitEncoder:
     """``encode(texts)`` -> (flat ids, ids per text), equal to ``Tokenizer.encode(...).ids``."""
 
-    LIMIT = 600_000  # cached units; the cache is emptied beyond it
+    SLOTS = 1 << 22  # of the table by hash; a later unit replaces an earlier one in its slot
+    LIMIT = 2_000_000  # units with ids in memory; emptied beyond it
 
     def __init__(self, path: str):
         env_single_thread()
@@ -73,26 +79,24 @@ class UnitEncoder:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.keys = np.zeros(self.SLOTS, dtype=np.uint64)
+        self.places = np.zeros(self.SLOTS, dtype=np.int32)
         self.flat = np.empty(1 << 20, dtype=np.uint32)
         self.starts = np.zeros(1 << 18, dtype=np.int64)
-        self.used = 0
+        self.n = self.used = 0
 
     def _add(self, units: list[str]) -> None:
-        for lo in range(0, len(units), 4096):
-            part = units[lo:lo + 4096]
-            got = [self._unit_ids(u) for u in part]
-            n = len(self.index)
-            lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            total = int(lens.sum())
-            while self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            while n + len(part) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(got), dtype=np.uint32, count=total)
-            self.starts[n + 1:n + 1 + len(part)] = self.used + np.cumsum(lens)
-            self.used += total
-            self.index.update(zip(part, range(n, n + len(part))))
+        got = [self._unit_ids(u) for u in units]
+        lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        total = int(lens.sum())
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while self.n + len(got) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(got), dtype=np.uint32, count=total)
+        self.starts[self.n + 1:self.n + 1 + len(got)] = self.used + np.cumsum(lens)
+        self.used += total
+        self.n += len(got)
 
     def _unit_ids(self, unit: str) -> list[int]:
         """A plain word is one piece for the BPE model; anything else goes through the whole tokenizer."""
@@ -103,44 +107,112 @@ class UnitEncoder:
         raw = unit.translate(_BYTES) if unit.isascii() else unit.encode().decode("latin-1").translate(_BYTES)
         return [t.id for t in self.tok.model.tokenize(raw)]
 
-    def units(self, text: str) -> list[str]:
-        """Pieces whose ids, one after the other, are the ids of the text."""
-        for s in self.specials:
-            if s in text:
-                return [text]
+    def _whole(self, text: str) -> np.ndarray:
+        """A text outside the plain characters."""
+        if not any(s in text for s in self.specials):
+            if self.drops_space:
+                units = [u for u in text.replace("\n", " ").split(" ") if u]
+            else:
+                units = [] if _GAPS.search(text) else _COARSE.findall(text)
+            if len(units) > 1:
+                known = {u: self._ids(u) for u in set(units)}
+                return np.fromiter(chain.from_iterable(map(known.__getitem__, units)), dtype=np.uint32)
+        return np.array(self._ids(text), dtype=np.uint32)
+
+    def _plain_units(self, raws: list[bytes]):
+        """(buffer, unit starts, unit ends, units per text, texts that are not plain)."""
+        buffer = b"\n".join(raws) + b"\n"
+        c = _CLASS[np.frombuffer(buffer, dtype=np.uint8)]
+        last = np.cumsum(np.fromiter(map(len, raws), dtype=np.int64, count=len(raws)) + 1) - 1  # separators
+        bad = c == OTHER
+        if not self.drops_space:
+            blank = (c == SPACE) | (c == NEWLINE)
+            gap = blank[1:] & blank[:-1]
+            bad[1:] |= gap
+            bad[:-1] |= gap
+            if len(c):
+                bad[0] |= blank[0]
+            bad[last] = False  # of a pair with a separator the other character counts
+        odd = np.unique(np.searchsorted(last, np.flatnonzero(bad)))
+        if len(odd):
+            return buffer, None, None, None, odd
+        turn = np.empty(len(c), dtype=bool)
+        turn[0] = True
+        np.not_equal(c[1:], c[:-1], out=turn[1:])
+        if self.drops_space:
+            turn |= c == DIGIT  # every digit by itself
+            turn[1:] |= c[:-1] == DIGIT
+        at = np.flatnonzero(turn)
+        kind = c[at]
+        end = np.append(at[1:], len(c))
         if self.drops_space:
-            return _WORDS.findall(text) if _plain(text) else list(filter(None, text.replace("\n", " ").split(" ")))
-        if _plain(text):
-            if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
-                return [text]
-            return _FINE.findall(text)
-        return [text] if _GAPS.search(text) else _COARSE.findall(text)
+            use = (kind == LETTER) | (kind == DIGIT) | (kind == MARK)
+            start, end = at[use], end[use]
+        else:
+            c[last] = OTHER
+            use = (kind != SPACE) & (c[at] != OTHER)
+            start, end = at[use], end[use]
+            start = start - (c[np.maximum(start - 1, 0)] == SPACE) * (start > 0)
+        edges = np.concatenate([[0], np.searchsorted(start, last)])
+        return buffer, start, end, np.diff(edges), odd
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text."""
-        if len(self.index) > self.LIMIT:
+        raws: list[bytes | None] = []
+        for t in texts:
+            try:
+                raws.append(t.encode("latin-1") if t and not any(s in t for s in self.specials) else None)
+            except UnicodeEncodeError:
+                raws.append(None)
+        plain = [i for i, r in enumerate(raws) if r is not None]
+        counts = np.zeros(len(texts), dtype=np.int64)
+        flat = np.empty(0, dtype=np.uint32)
+        while plain:
+            buffer, start, end, per, odd = self._plain_units([raws[i] for i in plain])
+            if len(odd):
+                plain = [i for k, i in enumerate(plain) if k not in set(odd.tolist())]
+                continue
+            flat, lens = self._lookup(buffer, start, end)
+            upto = np.concatenate([[0], np.cumsum(lens)])
+            edges = np.concatenate([[0], np.cumsum(per)])
+            counts[plain] = upto[edges[1:]] - upto[edges[:-1]]
+            break
+        rest = sorted(set(range(len(texts))).difference(plain))
+        if not any(texts[i] for i in rest):
+            return flat, counts
+        at, parts, is_plain = 0, [], set(plain)
+        for i, t in enumerate(texts):
+            if i in is_plain:
+                parts.append(flat[at:at + counts[i]])
+                at += counts[i]
+            else:
+                parts.append(self._whole(t) if t else np.empty(0, dtype=np.uint32))
+                counts[i] = len(parts[-1])
+        return np.concatenate(parts), counts
+
+    def _lookup(self, buffer: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.n > self.LIMIT:
             self._clear()
-        units = [self.units(t) if t else [] for t in texts]
-        every = list(chain.from_iterable(units))
-        missing = set(every).difference(self.index)
-        long = [u for u in missing if len(u) > 1000]
-        if long and sum(map(len, long)) > 4_000_000:  # whole odd texts: not worth a place in the table
-            parts = [self.encode([t]) for t in texts] if len(texts) > 1 else [self._whole(texts[0])]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        if missing:
-            self._add(list(missing))
-        u = np.fromiter(map(self.index.__getitem__, every), dtype=np.int64, count=len(every))
-        lo = self.starts[u]
-        lens = self.starts[u + 1] - lo
+        h = span_hashes(buffer, start, end)
+        slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
+        place = self.places[slot].astype(np.int64)
+        new = np.flatnonzero(self.keys[slot] != h)
+        if len(new):
+            _, first, back = np.unique(h[new], return_index=True, return_inverse=True)
+            one = new[first]
+            base = self.n
+            self._add([buffer[a:b].decode("latin-1") for a, b in zip(start[one].tolist(), end[one].tolist())])
+            place[new] = base + back
+            own, last = np.unique(slot[one][::-1], return_index=True)  # one unit to a slot
+            keep = len(one) - 1 - last
+            self.keys[own] = h[one[keep]]
+            self.places[own] = base + keep
+        lo = self.starts[place]
+        lens = self.starts[place + 1] - lo
         ends = np.cumsum(lens)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(lo - ends + lens, lens)
-        edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, units), dtype=np.int64, count=len(units)))])
-        upto = np.concatenate([[0], ends])
-        return self.flat[at], upto[edges[1:]] - upto[edges[:-1]]
-
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(self._ids(text), dtype=np.uint32)
-        return ids, np.array([len(ids)])
+        at = np.arange(ends[-1] if len(ends) else 0)
+        at += np.repeat(lo - ends + lens, lens)
+        return self.flat[at], lens
 
 
 _encoders: dict[str, UnitEncoder] = {}

@@ -184,3 +184,8 @@ def distinct_per_text(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray
     new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
     v, o = v[new], o[new]
     return v, np.searchsorted(o, np.arange(len(edges)))
+
+
+def span_table() -> np.ndarray:
+    """A fixed random 64-bit number for every byte."""
+    return _BYTE

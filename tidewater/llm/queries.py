@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, revisits, token_files
+from tidewater.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, repeats, revisits, token_files
 from tidewater.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), "word_bpe_49k.json", end_id=1, max_tokens=4096).drop("row")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir), length=100)
+
+
 def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(documents(spark, sf_dir))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op5_warc_revisits": op5_warc_revisits,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_vector_best_fit": op7_vector_best_fit,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_imatch_fingerprints": op9_imatch_fingerprints,
     "op10_license_scan": op10_license_scan,
 }

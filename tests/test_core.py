@@ -60,11 +60,11 @@ def test_exact_quantiles_match_numpy(spark, buckets):
     groups = np.where(np.arange(len(vals)) % 3 == 0, "a", "b")
     df = spark.createDataFrame([(str(g), float(v)) for g, v in zip(groups, vals)], "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    q = exact_quantiles(df, "v", probs, ["g"], buckets=buckets).orderBy("g").collect()
+    q = exact_quantiles(df, "v", probs, ["g"], partitions=buckets).orderBy("g").collect()
     for row in q:
         expect = np.percentile(vals[groups == row.g], [p * 100 for p in probs])
         assert [row[f"q{int(round(p * 100)):02d}"] for p in probs] == pytest.approx(list(expect), abs=1e-12)
-    whole = exact_quantiles(df, "v", [0.5], buckets=buckets).first()
+    whole = exact_quantiles(df, "v", [0.5], partitions=buckets).first()
     assert whole.q50 == pytest.approx(float(np.percentile(vals, 50)))
 
 

@@ -49,10 +49,11 @@ def test_chunked_windows_equal_plain(spark, skewed, max_rows):
 
 
 def test_chunks_split_the_hot_key(spark, skewed):
-    c = sq.chunk_keys(skewed, ["k"], "ts", 50)
-    hot = c.where("k = 0").agg(F.countDistinct("_chunk").alias("n")).first().n
-    assert hot > 1
-    assert c.where("k != 0").agg(F.max("_chunk").alias("m")).first().m == 0
+    rest, hot = sq.split_hot(skewed, ["k"], ["ts"], 50)
+    sizes = [r.n for r in hot.where("k = 0").groupBy("_chunk").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) > 1 and max(sizes) < sum(sizes)
+    assert rest.where("k = 0").isEmpty() and rest.count() + hot.count() == skewed.count()
+    assert sq.split_hot(skewed, ["k"], ["ts"], 10**9)[1] is None
 
 
 def test_top_k_uses_group_limit(spark, skewed):
@@ -84,3 +85,59 @@ def test_feature_operators_identical_under_forced_hot_keys(spark):
     v_plain = sorted(map(tuple, fe.value_features(o, "2001-08-02 00:00:00", order=order, max_rows=None).collect()))
     v_hot = sorted(map(tuple, fe.value_features(o, "2001-08-02 00:00:00", order=order, max_rows=3).collect()))
     assert v_plain == v_hot
+
+
+@pytest.mark.parametrize("lookback", [1, 2, 5])
+def test_lookback_at_chunk_edges_with_tied_times(spark, lookback):
+    import random
+
+    from pyspark.sql import Window
+
+    rnd = random.Random(lookback)
+    rows = [(0 if rnd.random() < 0.8 else None if rnd.random() < 0.3 else 1, rnd.randrange(4), i, float(rnd.randrange(100))) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, t int, id int, x double")
+
+    def build(w):
+        return {"s": F.sum("x").over(w.rowsBetween(-lookback, 0)), "p": F.lag("x", lookback).over(w)}
+
+    got = {r.id: (r.s, r.p) for r in sq.lookback_columns(df, ["k"], ["t", "id"], lookback, build, max_rows=10).collect()}
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = {r.id: (r.s, r.p) for r in df.select("*", *[v.alias(k) for k, v in build(w).items()]).collect()}
+    assert got == want and len(got) == 200
+
+
+def test_one_key_one_time_is_split(spark):
+    df = spark.range(400).select(F.lit(7).alias("k"), F.lit(1).alias("t"), F.col("id"))
+    _, hot = sq.split_hot(df, ["k"], ["t"], 50)
+    assert hot.select("_chunk").distinct().count() > 1
+    run = sq.running_totals(df, ["k"], ["t"], {"n": F.lit(1)}, max_rows=50)
+    assert sorted(r.n for r in run.collect()) == list(range(400))
+
+
+def test_last_n_flag_keeps_equal_rows(spark):
+    df = spark.createDataFrame([(1, 5)] * 3 + [(1, 2), (1, None), (2, 1)], "k int, t int")
+    for m in (None, 2):
+        got = sorted((r.k, r.t if r.t is not None else -1, r.is_recent) for r in sq.last_n_flag(df, ["k"], ["t"], 3, max_rows=m).collect())
+        assert len(got) == 6 and sum(g[2] for g in got) == 4
+
+
+def test_trend_of_an_exact_line(spark):
+    df = spark.createDataFrame([("a", float(i), 2.0 * i) for i in range(5)] + [("b", float(i), 1.0) for i in range(5)], "k string, x double, y double")
+    got = {r.k: r for r in sq.metric_trend(df, ["k"], "x", "y").collect()}
+    assert got["a"].p_value == 0.0 and got["a"].trending is True
+    assert not got["b"].trending
+
+
+def test_as_of_join_hot_key_equals_pairs(spark):
+    import random
+
+    rnd = random.Random(4)
+    facts = [(rnd.choice([1, 1, 1, 2, None]), rnd.randrange(30), i) for i in range(150)]
+    snaps = [(rnd.choice([1, 1, 2, None]), t, rnd.randrange(1000)) for t in range(0, 30, 2) for _ in range(2)]
+    f = spark.createDataFrame(facts, "u int, t int, id int")
+    s = spark.createDataFrame(snaps, "u int, st int, v int")
+    for m in (None, 20):
+        got = {r.id: r.v for r in sq.as_of_join(f, s, ["u"], "t", "st", max_rows=m).collect()}
+        for u, t, i in facts:
+            before = [(st, v) for su, st, v in snaps if su == u and st <= t]
+            assert got[i] == (max(before)[1] if before else None)

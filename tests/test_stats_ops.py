@@ -37,7 +37,7 @@ def test_ks_statistic_matches_brute_force(spark):
     a = np.round(rng.normal(0, 1, 300), 1)
     b = np.round(rng.normal(0.3, 1, 200), 1)
     r, c = _frame(spark, a, b)
-    got = dft.ks_test(dft.stack_samples(r, c, ["x"]), buckets=4).first().ks_statistic
+    got = dft.ks_test(dft.stack_samples(r, c, ["x"]), partitions=4).first().ks_statistic
     grid = np.union1d(a, b)
     fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
     fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
@@ -62,7 +62,7 @@ def test_auc_with_ties_and_symmetry(spark):
     y = rng.integers(0, 2, 400)
     s = np.round(rng.random(400), 1)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, s double")
-    auc = ev.roc_auc(df, "y", "s", buckets=3).first().auc
+    auc = ev.roc_auc(df, "y", "s", partitions=3).first().auc
     assert auc == pytest.approx(_auc_brute(y, s))
     flip = ev.roc_auc(df.withColumn("s", 1 - F.col("s")), "y", "s").first().auc
     assert flip == pytest.approx(1 - auc)

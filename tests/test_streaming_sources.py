@@ -11,6 +11,13 @@ from tidewater.streaming import events as st
 SF = "/root/testdata/sf0.001"
 
 
+def _to_memory(df, name, mode, checkpoint):
+    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
 def _events(spark):
     t = Tables(spark, SF)
     return t.interactions.withColumnRenamed("interaction_id", "event_id")
@@ -22,10 +29,10 @@ def test_stream_sessions_and_dedup_equal_batch(spark, tmp_path):
     # the log arrives with every 10th event repeated (same id, same time)
     ev.unionByName(ev.where(F.pmod("event_id", F.lit(10)) == 0)).write.parquet(inp)
     stream = st.with_event_time(spark.readStream.schema(ev.schema).parquet(inp))
-    q = st.run_to_memory(st.dedup_events(stream), "dedup_out", "append", str(tmp_path / "ck1"))
+    q = _to_memory(st.dedup_events(stream), "dedup_out", "append", str(tmp_path / "ck1"))
     assert spark.table("dedup_out").count() == ev.count()
     q.stop()
-    q = st.run_to_memory(st.sessions(st.with_event_time(spark.readStream.schema(ev.schema).parquet(inp)).dropDuplicates(["event_id"])),
+    q = _to_memory(st.sessions(st.with_event_time(spark.readStream.schema(ev.schema).parquet(inp)).dropDuplicates(["event_id"])),
                          "sess_out", "append", str(tmp_path / "ck2"))
     batch = st.sessions(st.with_event_time(ev))
     # append mode emits sessions closed by the watermark; all of them match the batch twin
@@ -39,7 +46,7 @@ def test_running_counters_complete_mode(spark, tmp_path):
     inp = str(tmp_path / "in")
     ev.write.parquet(inp)
     s = st.with_event_time(spark.readStream.schema(ev.schema).parquet(inp))
-    q = st.run_to_memory(st.running_counters(s), "counters_out", "complete", str(tmp_path / "ck"))
+    q = _to_memory(st.running_counters(s), "counters_out", "complete", str(tmp_path / "ck"))
     got = {r.user_id: r.total_events for r in spark.table("counters_out").collect()}
     want = {r.user_id: r.total_events for r in st.running_counters(ev).collect()}
     assert got == want

@@ -1,16 +1,15 @@
-"""Order statistics without a global sort or a single giant window.
-
-``cumulative`` gives running totals over the distinct values of a column
-(per group).  It first pre-aggregates to distinct values (map-side combine),
-splits the value range into buckets from an approximate quantile sketch
-(bounded size), computes bucket totals (small table) and their prefix sums,
-and finally runs the ordered window inside each (group, bucket).  No window
-partition is larger than about ``distinct values / buckets``, whatever the
-skew of the raw rows, because a heavy value is one pre-aggregated row.
-
-``exact_quantiles`` picks the values at the two ranks around
-``q * (n - 1)`` from those running totals and interpolates linearly, which is
-``numpy.percentile`` / DuckDB ``quantile_cont``.
+"""Order statistics without a global sort in one task.
+
+Rows are first folded to distinct (group, value) rows with counts (map-side combine), then dealt over
+range partitions of (group, value), each partition an interval of the order.  That table is written
+once to the checkpoint folder.  Totals per (group, partition), a small table, give each
+partition's offset, and the ordered window runs inside (group, partition).  There is one path for all
+sizes: no window holds more than a partition's values, a heavy value is one row, and a group of any size
+is spread over as many partitions as it needs.  Counts are integers, so results do not depend on the number of
+partitions.
+
+``exact_quantiles`` picks the values at the two ranks around ``q * (n - 1)`` and interpolates linearly,
+which is ``numpy.percentile`` / DuckDB ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -20,91 +19,59 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-import math
-
-from tidewater.session import shuffle_partitions
-
-# A group with at most this many distinct values is ordered inside one task.
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 100_000
-
-
-GLOBAL = "_g"
-
-
-def _group_keys(by: Sequence[str]) -> list[str]:
-    """Grouping keys; a constant key stands for 'whole table' so that every
-    step stays an equi-join or grouped aggregate."""
-    return list(by) if by else [GLOBAL]
+from tidewater.session import materialize, shuffle_partitions
 
 
 def value_counts(
     df: DataFrame, value: str | Column, by: Sequence[str] = (), measures: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """Distinct (group, value) rows with ``_n`` and summed measures; nulls dropped."""
+    """Distinct (group, value) rows with ``_n`` and summed measures; null values dropped."""
     v = F.col(value) if isinstance(value, str) else value
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.sum(c).alias(name) for name, c in (measures or {}).items()]
-    keys = [F.col(c) for c in by] if by else [F.lit(0).alias(GLOBAL)]
-    return df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(*aggs)
-
+    return df.where(v.isNotNull()).groupBy(*[F.col(c) for c in by], v.alias("_v")).agg(*aggs)
 
-def default_buckets(df: DataFrame) -> int:
-    return max(1, shuffle_partitions(df.sparkSession))
 
-
-def estimate_buckets(df: DataFrame, value: str | Column, by: Sequence[str] = (),
-                     rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets needed so that no bucket of any group holds more than ``rows_per_bucket``
-    distinct values.  One small job: a HyperLogLog sketch per group (combined map-side),
-    and only the largest estimate reaches the driver."""
-    v = F.col(value) if isinstance(value, str) else value
-    nn = df.where(v.isNotNull())
-    per_group = nn.groupBy(*by).agg(F.approx_count_distinct(v, 0.05).alias("_d")) if by else nn.agg(
-        F.approx_count_distinct(v, 0.05).alias("_d"))
-    d = per_group.agg(F.max("_d").alias("_m")).first()["_m"]
-    return max(1, min(MAX_BUCKETS, math.ceil((d or 0) * 1.15 / rows_per_bucket)))
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join where null keys match each other; the right side's keys are dropped."""
+    r = right.select(*[F.col(c).alias(f"_k_{c}") if c in on else F.col(c) for c in right.columns])
+    j = left.join(r, [left[c].eqNullSafe(r[f"_k_{c}"]) for c in on], how)
+    return j.drop(*[f"_k_{c}" for c in on])
 
 
 def cumulative(
-    vc: DataFrame, measures: Sequence[str], by: Sequence[str] = (), buckets: int | None = None
+    vc: DataFrame, measures: Sequence[str], by: Sequence[str] = (), partitions: int | None = None
 ) -> DataFrame:
     """Add ``<m>_cum`` (inclusive running sum in ``_v`` order within ``by``) for each measure.
 
-    Also adds ``<m>_tot`` (group total).  ``vc`` must have one row per (by, _v),
-    as made by ``value_counts`` with the same ``by``.
+    Also adds ``<m>_tot`` (group total).  ``vc`` must have one row per (by, _v), as made by ``value_counts``.
     """
-    return cumulative_with_offsets(vc, measures, by, buckets)[0]
+    return cumulative_with_offsets(vc, measures, by, partitions)[0]
 
 
 def cumulative_with_offsets(
-    vc: DataFrame, measures: Sequence[str], by: Sequence[str] = (), buckets: int | None = None
+    vc: DataFrame, measures: Sequence[str], by: Sequence[str] = (), partitions: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """``cumulative`` plus the small per-bucket table (by, _bucket, _o_<m>, _t_<m>, <m>_tot)."""
-    by = _group_keys(by)
-    nb = buckets or default_buckets(vc)
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        bounds = vc.groupBy(*by).agg(F.percentile_approx("_v", probs, max(10000, 50 * nb)).alias("_bounds"))
-        b = vc.join(bounds, by)
-        b = b.withColumn("_bucket", F.size(F.filter("_bounds", lambda e: F.col("_v") > e))).drop("_bounds")
-    else:
-        b = vc.withColumn("_bucket", F.lit(0))
-    tot = b.groupBy(*by, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    prev = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    """``cumulative`` plus the small table per (group, range): by, _part, _o_<m> before it, _t_<m> in it, <m>_tot."""
+    by = list(by)
+    n = partitions or shuffle_partitions(vc.sparkSession)
+    dealt = vc.repartitionByRange(n, *by, "_v").withColumn("_part", F.spark_partition_id())
+    dealt = materialize(dealt, "ranks")
+    tot = dealt.groupBy(*by, "_part").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     whole = Window.partitionBy(*by)
+    prev = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(
         *by,
-        "_bucket",
+        "_part",
         *[F.col(f"_t_{m}") for m in measures],
         *[F.coalesce(F.sum(f"_t_{m}").over(prev), F.lit(0)).alias(f"_o_{m}") for m in measures],
         *[F.sum(f"_t_{m}").over(whole).alias(f"{m}_tot") for m in measures],
     )
-    j = b.join(off.drop(*[f"_t_{m}" for m in measures]), [*by, "_bucket"])
-    run = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    j = join_null_safe(dealt, off.drop(*[f"_t_{m}" for m in measures]), [*by, "_part"])
+    run = Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     cum = j.select(
         *vc.columns,
-        "_bucket",
+        "_part",
         *[(F.sum(m).over(run) + F.col(f"_o_{m}")).alias(f"{m}_cum") for m in measures],
         *[f"{m}_tot" for m in measures],
     )
@@ -117,15 +84,13 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    buckets: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per group with one column per probability (linear interpolation).
 
     Groups with no non-null value are absent.
     """
-    vc = value_counts(df, value, list(by))
-    nb = buckets if buckets is not None else estimate_buckets(df, value, list(by))
-    return quantiles_from_counts(vc, "_n", probs, by, names, nb)
+    return quantiles_from_counts(value_counts(df, value, list(by)), "_n", probs, by, names, partitions)
 
 
 def quantiles_from_counts(
@@ -134,60 +99,29 @@ def quantiles_from_counts(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    buckets: int = 1,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles from pre-aggregated (by, _v, count) rows (weighted by ``count_col``).
-
-    ``vc`` is a ``value_counts`` table (with ``_g`` when ``by`` is empty); rows with a zero
-    count are ignored.
-    """
-    user_by = list(by)
+    """Exact quantiles from pre-aggregated (by, _v, count) rows (weighted by ``count_col``); zero counts are ignored."""
+    by = list(by)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    by = _group_keys(user_by)
     vc = vc.select(*by, "_v", F.col(count_col).alias("_n")).where(F.col("_n") > 0)
-    nb = buckets
-    if nb == 1:
-        # every group fits one task: one exact aggregate over the pre-aggregated counts
-        q = vc.groupBy(*by).agg(
-            F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]), F.col("_n")).alias("_qs"))
-        return q.select(*user_by, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
-    cum, off = cumulative_with_offsets(vc, ["_n"], user_by, nb)
-    cum = cum.withColumn("_lo_rank", F.col("_n_cum") - F.col("_n"))
-    # Targets: per group and probability, the two ranks around q*(n-1); group sizes come
-    # from the small bucket table, not from another pass over the values.
-    n = off.groupBy(*by).agg(F.max("_n_tot").alias("_total"))
-    targets = n.select(
-        *by,
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_q"),
-        "_total",
-    ).select(
-        *by,
-        "_qi",
-        (F.col("_q") * (F.col("_total") - 1)).alias("_pos"),
-    )
-    targets = targets.select(
-        *by,
-        "_qi",
-        (F.col("_pos") - F.floor("_pos")).alias("_frac"),
-        F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_r"),
-    ).dropDuplicates([*by, "_qi", "_r"])
-    # Bucket of every target rank from the bucket offsets (small x small).
-    tb = targets.join(off.select(*by, "_bucket", "_o__n", "_t__n"), by)
-    tb = tb.where((F.col("_r") >= F.col("_o__n")) & (F.col("_r") < F.col("_o__n") + F.col("_t__n"))).drop(
-        "_o__n", "_t__n")
-    hit = tb.join(cum.select(*by, "_bucket", "_v", "_lo_rank", "_n_cum"), [*by, "_bucket"]).where(
-        (F.col("_r") >= F.col("_lo_rank")) & (F.col("_r") < F.col("_n_cum"))
-    )
-    per_q = hit.groupBy(*by, "_qi").agg(
-        F.min_by("_v", "_r").alias("_v_lo"), F.max_by("_v", "_r").alias("_v_hi"), F.first("_frac").alias("_frac")
-    )
-    per_q = per_q.select(
-        *by, "_qi", (F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * F.col("_frac")).alias("_val")
-    )
-    out = per_q.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_qi") == i, F.col("_val"))).alias(nm) for i, nm in enumerate(names)]
-    )
-    return out.select(*user_by, *names)
+    cum, off = cumulative_with_offsets(vc, ["_n"], by, partitions)
+    # ranks around q * (n - 1) that fall into each range: from the small table alone
+    hits = off.select(*by, "_part", "_o__n", "_t__n", "_n_tot", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_q"))
+    pos = F.col("_q") * (F.col("_n_tot") - 1)
+    hits = hits.select(*by, "_part", "_o__n", "_t__n", "_qi", (pos - F.floor(pos)).alias("_frac"),
+                       F.explode(F.array_distinct(F.array(F.floor(pos).cast("long"), F.ceil(pos).cast("long")))).alias("_r"))
+    hits = hits.where((F.col("_r") >= F.col("_o__n")) & (F.col("_r") < F.col("_o__n") + F.col("_t__n"))).drop("_o__n", "_t__n")
+    found = join_null_safe(cum.select(*by, "_part", "_v", "_n", "_n_cum"), hits, [*by, "_part"]).where(
+        (F.col("_r") >= F.col("_n_cum") - F.col("_n")) & (F.col("_r") < F.col("_n_cum")))
+    per_q = found.groupBy(*by, "_qi").agg(
+        F.min_by("_v", "_r").alias("_lo"), F.max_by("_v", "_r").alias("_hi"), F.first("_frac").alias("_frac"))
+    per_q = per_q.select(*by, "_qi", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("_val"))
+    if by:
+        wide = per_q.groupBy(*by)
+        return wide.agg(*[F.max(F.when(F.col("_qi") == i, F.col("_val"))).alias(nm) for i, nm in enumerate(names)])
+    one = per_q.agg(F.count(F.lit(1)).alias("_c"), *[F.max(F.when(F.col("_qi") == i, F.col("_val"))).alias(nm) for i, nm in enumerate(names)])
+    return one.where("_c > 0").drop("_c")
 
 
 def quantile_edges(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import md5_bucket
+from tidewater.functions.core import md5_bucket, with_scalars
 from tidewater.functions.stats import chi2_sf, normal_two_sided, student_t_two_sided
 
 
@@ -77,17 +77,26 @@ def t_test(data: DataFrame, variant: str, metric: str, control: str, treatment:
 
 
 def contingency_chi2(data: DataFrame, variant: str, outcome: str) -> DataFrame:
-    """ABT-04: chi-square of the 2 x 2 table variant x outcome with Yates' correction (df = 1)."""
-    cells = data.groupBy(variant, outcome).agg(F.count(F.lit(1)).alias("o"))
-    from pyspark.sql import Window
-
-    rw = Window.partitionBy(variant)
-    cw = Window.partitionBy(outcome)
-    allw = Window.partitionBy(F.lit(0))
-    e = F.sum("o").over(rw) * F.sum("o").over(cw) / F.sum("o").over(allw)
-    cells = cells.withColumn("e", e)
-    diff = F.greatest(F.abs(F.col("o") - F.col("e")) - F.lit(0.5), F.lit(0.0))
-    out = cells.agg((F.sum(diff * diff / F.col("e"))).alias("chi2_statistic"), F.count(F.lit(1)).alias("cells"))
-    return out.withColumn("p_value", chi2_sf(F.col("chi2_statistic"), F.lit(1.0))).withColumn(
+    """ABT-04: chi-square of the variant x outcome table: df = (r - 1)(c - 1), Yates' correction for 2 x 2 only.
+
+    Cells without rows count with o = 0; rows with a null variant or outcome take no part.
+    """
+    cells = data.where(F.col(variant).isNotNull() & F.col(outcome).isNotNull()).groupBy(
+        F.col(variant).alias("_r"), F.col(outcome).alias("_c")).agg(F.count(F.lit(1)).alias("o"))
+    # the aggregated table is as small as variants x outcomes: margins as maps, then the full grid of one row
+    rows = cells.groupBy("_r").agg(F.sum("o").alias("n")).agg(F.collect_list(F.struct("_r", "n")).alias("rows"))
+    cols = cells.groupBy("_c").agg(F.sum("o").alias("n")).agg(F.collect_list(F.struct("_c", "n")).alias("cols"))
+    table = cells.agg(F.collect_list(F.struct("_r", "_c", "o")).alias("cells"), F.sum("o").alias("total"))
+    one = with_scalars(with_scalars(table, rows), cols)
+    grid = one.select("cells", "total", F.size("rows").alias("r"), F.size("cols").alias("c"), F.explode("rows").alias("row"), "cols").select(
+        "cells", "total", "r", "c", "row", F.explode("cols").alias("col"))
+    hit = F.filter("cells", lambda x: (x["_r"] == F.col("row._r")) & (x["_c"] == F.col("col._c")))
+    o = F.when(F.size(hit) > 0, F.element_at(hit, 1)["o"]).otherwise(F.lit(0))
+    grid = grid.select("r", "c", o.alias("o"), (F.col("row.n") * F.col("col.n") / F.col("total")).alias("e"))
+    yates = F.when((F.col("r") == 2) & (F.col("c") == 2), F.lit(0.5)).otherwise(F.lit(0.0))
+    diff = F.greatest(F.abs(F.col("o") - F.col("e")) - yates, F.lit(0.0))
+    out = grid.agg(F.sum(diff * diff / F.col("e")).alias("chi2_statistic"), F.count(F.lit(1)).alias("cells"),
+                   F.max((F.col("r") - 1) * (F.col("c") - 1)).alias("dof"))
+    return out.withColumn("p_value", chi2_sf(F.col("chi2_statistic"), F.col("dof"))).withColumn(
         "significant", F.col("p_value") < 0.05
-    )
+    ).drop("dof")

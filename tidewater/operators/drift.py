@@ -9,7 +9,6 @@ tables (edges, ranges, bin grids) have a size bounded by features x bins.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,14 +16,13 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
 from tidewater.functions.ranks import (
-    ROWS_PER_BUCKET,
     cumulative,
-    estimate_buckets,
     quantiles_from_counts,
     value_counts,
 )
 from tidewater.functions.stats import chi2_sf, ks_asymptotic_p
 from tidewater.operators.profile import long_form
+from tidewater.session import materialize
 
 REF, CUR = "ref", "cur"
 # Smoothing constants and default thresholds of the reference.
@@ -82,14 +80,12 @@ def _hist_from_counts(vc: DataFrame, st: DataFrame, bins: int, full_grid: bool =
 # Each pre-aggregates the raw rows once (``sample_counts``); Spark reuses that
 # exchange for every branch of the plan.
 # ---------------------------------------------------------------------------
-def psi_quantile(long: DataFrame, bins: int = 10, stats: DataFrame | None = None,
-                 buckets: int | None = None) -> DataFrame:
+def psi_quantile(long: DataFrame, bins: int = 10, stats: DataFrame | None = None) -> DataFrame:
     """DFT-01: PSI with reference-quantile edges (duplicates dropped, equal-width fallback when
     fewer than 3 edges), bin = number of inner edges <= x, empty share -> 0.0001."""
     vc = sample_counts(long)
     st = stats if stats is not None else stats_from_counts(vc)
-    nb = buckets if buckets is not None else estimate_buckets(long.where(F.col("sample") == REF), "value", ["feature"])
-    return psi_from_counts(vc, st, bins, nb)
+    return psi_from_counts(vc, st, bins)
 
 
 def psi_width(long: DataFrame, bins: int = 10, eps: float = EPS, stats: DataFrame | None = None) -> DataFrame:
@@ -102,14 +98,13 @@ def psi_width(long: DataFrame, bins: int = 10, eps: float = EPS, stats: DataFram
     return c.groupBy("feature").agg(F.sum((pa - pe) * F.ln(pa / pe)).alias("psi_width"))
 
 
-def ks_test(long: DataFrame, buckets: int | None = None) -> DataFrame:
+def ks_test(long: DataFrame, partitions: int | None = None) -> DataFrame:
     """DFT-03: D = max |F_ref - F_cur| over the distinct values; asymptotic p-value (H19).
 
-    Running counts come from ``cumulative`` (bucketed windows), so a feature
+    Running counts come from ``cumulative`` (range partitions), so a feature
     with billions of rows is never one window partition.
     """
-    nb = buckets if buckets is not None else estimate_buckets(long, "value", ["feature"])
-    return ks_from_counts(sample_counts(long), nb)
+    return ks_from_counts(sample_counts(long), partitions)
 
 
 def js_divergence(long: DataFrame, bins: int = 50, stats: DataFrame | None = None) -> DataFrame:
@@ -207,10 +202,10 @@ def stats_from_counts(vc: DataFrame) -> DataFrame:
     )
 
 
-def psi_from_counts(vc: DataFrame, st: DataFrame, bins: int = 10, buckets: int = 1) -> DataFrame:
+def psi_from_counts(vc: DataFrame, st: DataFrame, bins: int = 10, partitions: int | None = None) -> DataFrame:
     probs = [i / bins for i in range(bins + 1)]
     names = [f"_q{i}" for i in range(bins + 1)]
-    q = quantiles_from_counts(vc, "c_ref", probs, ["feature"], names, buckets)
+    q = quantiles_from_counts(vc, "c_ref", probs, ["feature"], names, partitions)
     q = q.select("feature", F.array_distinct(F.array(*[F.col(n) for n in names])).alias("_qe"))
     e = st.join(q, "feature", "left").select(
         "feature", "n_ref", "n_cur",
@@ -231,9 +226,9 @@ def psi_from_counts(vc: DataFrame, st: DataFrame, bins: int = 10, buckets: int =
     return out.withColumn("psi_drift", F.col("psi") >= F.lit(PSI_THRESHOLD))
 
 
-def ks_from_counts(vc: DataFrame, buckets: int = 1) -> DataFrame:
+def ks_from_counts(vc: DataFrame, partitions: int | None = None) -> DataFrame:
     cum = cumulative(vc.select("feature", "_v", F.col("c_ref").alias("_c1"), F.col("c_cur").alias("_c2")),
-                     ["_c1", "_c2"], ["feature"], buckets)
+                     ["_c1", "_c2"], ["feature"], partitions)
     diff = F.abs(cum._c1_cum / cum._c1_tot - cum._c2_cum / cum._c2_tot)
     d = cum.groupBy("feature").agg(
         F.max(diff).alias("ks_statistic"), F.first("_c1_tot").alias("_n1"), F.first("_c2_tot").alias("_n2"))
@@ -263,25 +258,24 @@ def feature_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], psi_bi
     """DFT-07: one row per feature: PSI, KS, JS with flags; drifted if any flag.
 
     The raw rows are read and shuffled once, into per-(feature, value) counts of both
-    samples.  That table is checkpointed into the session's checkpoint folder (reliable,
-    lineage cut), its size per feature picks the bucket count, and every statistic is
-    computed from it, so the report never rescans the inputs.
+    samples.  That table is written to the session's checkpoint folder and every statistic is
+    computed from it, so the report never rescans the inputs.  A feature without values in one of the
+    samples is a row without statistics and with ``reason``.
     """
-    from tidewater.session import ensure_checkpoint_dir
-
-    long = stack_samples(ref, cur, columns)
-    ensure_checkpoint_dir(long.sparkSession)
-    vc = sample_counts(long).checkpoint()
-    widest = vc.groupBy("feature").agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d").alias("m")).first()["m"] or 0
-    nb = max(1, math.ceil(widest * 1.15 / ROWS_PER_BUCKET))
+    vc = materialize(sample_counts(stack_samples(ref, cur, columns)), "drift-counts")
     st = stats_from_counts(vc)
+    live = st.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    vc = vc.join(live.select("feature"), "feature", "left_semi")
+    names = ref.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
     out = (
-        st.join(psi_from_counts(vc, st, psi_bins, nb), "feature")
-        .join(ks_from_counts(vc, nb), "feature")
-        .join(js_from_counts(vc, st, js_bins), "feature")
-        .where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+        names.join(st, "feature", "left")
+        .join(psi_from_counts(vc, live, psi_bins), "feature", "left")
+        .join(ks_from_counts(vc), "feature", "left")
+        .join(js_from_counts(vc, live, js_bins), "feature", "left")
     )
-    return out.withColumn("drift_detected", F.col("psi_drift") | F.col("ks_drift") | F.col("js_drift")).drop("lo", "hi")
+    reason = F.when(F.coalesce("n_ref", F.lit(0)) == 0, "no reference values").when(F.col("n_cur") == 0, "no current values")
+    return out.fillna(0, ["n_ref", "n_cur"]).withColumn(
+        "drift_detected", F.col("psi_drift") | F.col("ks_drift") | F.col("js_drift")).withColumn("reason", reason).drop("lo", "hi")
 
 
 def drift_summary(report: DataFrame) -> DataFrame:

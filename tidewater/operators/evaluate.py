@@ -4,7 +4,7 @@ Metrics are aggregates over (label, score) columns, optionally grouped (by
 day, by model, by bootstrap replicate).  AUC uses the rank-sum identity over
 *distinct* scores: positives at a score beat the negatives strictly below it
 and tie with half the negatives at it.  Negatives below are running sums
-from ``cumulative`` (bucketed windows), so no global sort and no single-task
+from ``cumulative`` (range partitions), so no global sort and no single-task
 window, whatever the table size.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
-from tidewater.functions.ranks import cumulative, estimate_buckets, value_counts
+from tidewater.functions.ranks import cumulative, value_counts
 
 # Default decision thresholds of the comparison rules.
 PROMOTE_AUC_GAIN = 0.02
@@ -56,7 +56,7 @@ def per_class_accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), weight: Column | None = None,
-            buckets: int | None = None) -> DataFrame:
+            partitions: int | None = None) -> DataFrame:
     """EVL-02: ROC AUC with tied scores counted half (``roc_auc_score``); null for one class only."""
     w = weight if weight is not None else F.lit(1)
     y = F.col(label) == 1
@@ -64,18 +64,14 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), weigh
         df.where(F.col(label).isNotNull()), score, by,
         {"_pos": F.when(y, w).otherwise(0), "_neg": F.when(~y, w).otherwise(0)},
     )
-    nb = buckets if buckets is not None else estimate_buckets(df, score, by)
-    cum = cumulative(vc, ["_neg"], by, nb)
+    cum = cumulative(vc, ["_neg"], by, partitions)
     below = cum._neg_cum - cum._neg
-    keys = list(by) if by else ["_g"]
-    g = cum.groupBy(*keys).agg(
+    g = cum.groupBy(*by).agg(
         F.sum(cum._pos * (below + cum._neg * 0.5)).alias("_num"),
         F.sum("_pos").alias("_p"),
         F.sum("_neg").alias("_n"),
     )
-    out = g.select(*keys, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                                 F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
-    return out.drop("_g") if not by else out
+    return g.select(*by, F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
 
 
 def log_loss(df: DataFrame, label: str, score: str, by: Sequence[str] = (), eps: float = FLOAT64_EPS) -> DataFrame:
@@ -215,7 +211,7 @@ def decision_rule(both: DataFrame) -> DataFrame:
     return both.select("*", dec.alias("decision"))
 
 
-def _poisson1_cdf(kmax: int = 12) -> list[float]:
+def _poisson1_cdf(kmax: int = 20) -> list[float]:
     out, acc = [], 0.0
     for k in range(kmax):
         acc += math.exp(-1.0) / math.factorial(k)
@@ -244,13 +240,21 @@ def bootstrap_significance(df: DataFrame, label: str, baseline: str, candidate:
     stage); metrics are aggregated by replicate, so only replicates x distinct
     scores rows are shuffled.  The metric is chosen explicitly (H12).
     """
-    if metric not in ("auc", "accuracy"):
-        raise ValueError("bootstrap supports auc or accuracy")
+    if metric not in ("auc", "accuracy", "f1"):
+        raise ValueError("bootstrap supports auc, accuracy or f1")
     rep = df.select(label, baseline, candidate, F.explode(bootstrap_weights(F.col(row_key), replicates)).alias("_bw"))
     rep = rep.select(label, baseline, candidate, F.col("_bw.b").alias("b"), F.col("_bw.w").alias("w")).where("w > 0")
     if metric == "auc":
         a = roc_auc(rep, label, baseline, ["b"], F.col("w")).withColumnRenamed("auc", "m0")
         c = roc_auc(rep, label, candidate, ["b"], F.col("w")).withColumnRenamed("auc", "m1")
+    elif metric == "f1":
+        def f1(s):
+            y, p, w = F.col(label) == 1, F.col(s) >= 0.5, F.col("w")
+            g = rep.groupBy("b").agg(F.sum(F.when(y & p, w).otherwise(0)).alias("tp"), F.sum(F.when(y != p, w).otherwise(0)).alias("off"))
+            return g.select("b", safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("off")).alias("m"))
+
+        a = f1(baseline).withColumnRenamed("m", "m0")
+        c = f1(candidate).withColumnRenamed("m", "m1")
     else:
         def acc(s):
             ok = ((F.col(s) >= 0.5).cast("int") == F.col(label)).cast("double")

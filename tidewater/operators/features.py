@@ -147,7 +147,8 @@ def temporal_features(df: DataFrame, key="customer_id", ts="order_ts", order: Se
     parts = d.select(key, F.weekday(ts).alias("_dow"), F.hour(ts).alias("_hour"))
     day = mode_by(parts, [key], "_dow", "most_common_order_day")
     hour = mode_by(parts, [key], "_hour", "most_common_order_hour")
-    return g.join(day, key).join(hour, key)
+    # customers without any time keep their row, with null modes
+    return g.join(day, key, "left").join(hour, key, "left")
 
 
 # ---------------------------------------------------------------------------
@@ -182,7 +183,7 @@ def behavioral_features(df: DataFrame, key="customer_id", category="category", q
         (F.col("_bulk") / F.col("_n")).alias("bulk_buyer_score"),
     )
     top = mode_by(d, [key], category, "most_purchased_category")
-    return g.join(top, key)
+    return g.join(top, key, "left")  # a customer without any category keeps its row
 
 
 # ---------------------------------------------------------------------------
@@ -238,6 +239,13 @@ def value_features(df: DataFrame, as_of: str, key="customer_id", ts="order_ts",
     )
 
 
+def account_features(customers: DataFrame, as_of: str, key="customer_id", registered="registration_date", premium="is_premium"):
+    """AGG-10, customer-table form: account age in whole days and premium flag as 0/1 (null: 0)."""
+    return customers.select(
+        key, whole_days(F.col(registered).cast("timestamp_ntz"), _ts(as_of)).alias("account_age_days"),
+        F.coalesce(F.col(premium).cast("int"), F.lit(0)).alias("is_premium_customer"))
+
+
 # ---------------------------------------------------------------------------
 # AGG-11: trailing windows
 # ---------------------------------------------------------------------------

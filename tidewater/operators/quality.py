@@ -35,6 +35,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from tidewater.functions.ranks import join_null_safe
 from tidewater.functions.core import safe_div
 
 # The anchored e-mail pattern and type families of the schema check.
@@ -90,7 +91,7 @@ def _cnt_if(cond: Column) -> Column:
 KNOWN_KINDS = frozenset((
     "not_null", "null_fraction_max", "between", "below_min", "above_max", "in_set", "regex", "date_format",
     "not_after", "on_date", "rule", "mean_between", "stdev_between", "row_count_between", "relative_stat",
-    "product_equals", "finite", "not_all_null", "non_empty", "fresh",
+    "product_equals", "finite", "not_all_null", "non_empty", "fresh", "unique", "column_exists",
 ))
 
 # Check kinds added by users (UDX-05): kind -> compiler(Spec) -> Check.
@@ -186,6 +187,11 @@ def compile_spec(s: Spec) -> Check:
     if s.kind == "not_all_null":
         nn = F.count(c)
         return Check(name, s.column, F.when(nn == 0, 1).otherwise(0).cast("long"), nn.cast("double"), nn > 0, s.severity)
+    if s.kind == "unique":  # nulls are not compared
+        fails = F.count(c) - F.count_distinct(c)
+        return Check(name, s.column, fails.cast("long"), safe_div(fails, _n()).cast("double"), fails == 0, s.severity)
+    if s.kind == "column_exists":  # an absent column has failed before
+        return Check(name, s.column, F.lit(0).cast("long"), F.lit(1.0), F.lit(True), s.severity)
     if s.kind == "non_empty":
         n = _n()
         return Check(name, None, F.when(n == 0, 1).otherwise(0).cast("long"), n.cast("double"), n > 0, s.severity)
@@ -314,12 +320,15 @@ def duplicate_checks(df: DataFrame, unique_columns: Sequence[str] = (), check_fu
 
 
 def orphan_check(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """DQ-08 / JN-06: rows of ``child`` whose key has no match in ``parent`` (null key = orphan)."""
+    """DQ-08 / JN-06: rows of ``child`` whose key has no match in ``parent`` .
+
+    A null key is an orphan unless the parent holds a null key too.
+    """
     pk = parent_key or key
     # child keys are pre-aggregated (one row per key with its count) before the anti join,
     # so a key holding a large share of the rows costs one row in the shuffle
     keys = child.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    orphans = keys.join(parent.select(F.col(pk).alias(key)).distinct(), key, "left_anti")
+    orphans = join_null_safe(keys, parent.select(F.col(pk).alias(key)).distinct(), [key], "left_anti")
     one = orphans.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_o"))
     return check_row(one, "referential_integrity", key, "error", F.col("_o") == 0, F.col("_o"), F.col("_o"))
 
@@ -340,11 +349,12 @@ def violation_examples(df: DataFrame, bad: Column, column: str, n: int = 5) -> D
 
 def quality_summary(checks: DataFrame) -> DataFrame:
     """DQ-14: totals, pass rate, errors, warnings, status."""
+    failed = ~F.coalesce("passed", F.lit(False))  # a check without a result has not passed
     g = checks.agg(
         F.count(F.lit(1)).alias("total_checks"),
         F.count_if(F.col("passed")).alias("passed_checks"),
-        F.count_if(~F.col("passed") & (F.col("severity") == "error")).alias("errors"),
-        F.count_if(~F.col("passed") & (F.col("severity") == "warning")).alias("warnings"),
+        F.count_if(failed & (F.col("severity") == "error")).alias("errors"),
+        F.count_if(failed & (F.col("severity") == "warning")).alias("warnings"),
     )
     return g.select(
         "*",
@@ -365,29 +375,28 @@ def quality_trend(history: DataFrame, day: str = "ds") -> DataFrame:
 
 
 def reference_band(current: DataFrame, reference: DataFrame, column: str, mean_band=0.2, std_band=0.3):
-    """DQ-16: mean within +-20 percent and std within +-30 percent of a reference table."""
+    """DQ-16: mean within +-20 percent and std within +-30 percent of a reference table; no values: failed."""
     cur = current.agg(F.avg(column).alias("_m"), F.stddev_samp(column).alias("_s"))
     ref = reference.agg(F.avg(column).alias("_rm"), F.stddev_samp(column).alias("_rs"))
     from tidewater.functions.core import glue
 
     both = glue(cur, ref)
-    m_ok = F.abs(F.col("_m") - F.col("_rm")) <= F.abs(F.col("_rm")) * mean_band
-    s_ok = F.abs(F.col("_s") - F.col("_rs")) <= F.abs(F.col("_rs")) * std_band
+    m_ok = F.coalesce(F.abs(F.col("_m") - F.col("_rm")) <= F.abs(F.col("_rm")) * mean_band, F.lit(False))
+    s_ok = F.coalesce(F.abs(F.col("_s") - F.col("_rs")) <= F.abs(F.col("_rs")) * std_band, F.lit(False))
     return check_row(both, "mean_in_reference_band", column, "error", m_ok, F.when(m_ok, 0).otherwise(1), F.col("_m")).unionByName(
         check_row(both, "std_in_reference_band", column, "error", s_ok, F.when(s_ok, 0).otherwise(1), F.col("_s"))
     )
 
 
 def raise_on_failure(checks: DataFrame, severity: str = "error") -> None:
-    """The gate (DQ-17/19/20): one tiny aggregate to the driver; raises if any check failed."""
-    bad = (
-        checks.where(~F.col("passed") & (F.col("severity") == severity))
-        .select("check_name", "column_name")
-        .limit(20)
-        .collect()
-    )
-    if bad:
-        raise ValueError(f"data quality gate failed: {[tuple(r) for r in bad]}")
+    """The gate (DQ-17/19/20): raises if any check failed or has no result.
+
+    Only the number of failures and one example reach the driver; the rows stay in the check table.
+    """
+    failed = checks.where(~F.coalesce("passed", F.lit(False)) & (F.col("severity") == severity))
+    bad = failed.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("check_name", "column_name")).alias("one")).first()
+    if bad["n"]:
+        raise ValueError(f"data quality gate failed: {bad['n']} checks, among them {tuple(bad['one'])}")
 
 
 def output_gate(inp: DataFrame, out: DataFrame, score: str, confidence: str | None = None,

@@ -4,8 +4,8 @@ Splits never sort the whole table into one partition:
 
 * random and stratified splits use a stable hash of a key (md5 prefix,
   engine-neutral) instead of a row shuffle;
-* the temporal split by row position uses exact cut points on the time
-  column (``exact_quantiles``), so every row is routed by a comparison.
+* the temporal split by row position uses running counts over the distinct times
+  (``cumulative``), so almost every row is routed by a comparison.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import md5_bucket, safe_div, with_scalars
-from tidewater.functions.ranks import cumulative, estimate_buckets, value_counts
+from tidewater.functions.ranks import cumulative, join_null_safe, value_counts
+from tidewater.operators.sequence import running_totals
 
 
 def hash_split(df: DataFrame, key: str, fractions: Mapping[str, float], salt: str = "split") -> DataFrame:
@@ -32,18 +33,21 @@ def hash_split(df: DataFrame, key: str, fractions: Mapping[str, float], salt: st
     return df.withColumn("split", expr)
 
 
-def stratified_split(df: DataFrame, key: str, label: str, train_frac: float = 0.8, salt: str = "strat") -> DataFrame:
+def stratified_split(df: DataFrame, key: str, label: str, train_frac: float = 0.8, salt: str = "strat",
+                     min_rows: int | None = None) -> DataFrame:
     """TOP-05: per class, the floor(train_frac * n_class) rows with the smallest hash go to train.
 
     The position of a row within its class comes from running counts over
     (class, hash) values (``cumulative``), not from a per-class window, so a
-    class holding most rows is still spread over many tasks.
+    class holding most rows is still spread over many tasks.  A null label is a class of its own.
+    ``min_rows``: fail on a table with fewer rows.
     """
+    if min_rows is not None and df.count() < min_rows:
+        raise ValueError(f"fewer than {min_rows} rows")
     h = F.xxhash64(F.col(key).cast("string"), F.lit(salt))
     d = df.withColumn("_h", h)
-    vc = value_counts(d, "_h", [label])
-    cum = cumulative(vc, ["_n"], [label], estimate_buckets(d, "_h", [label])).select(label, F.col("_v").alias("_h"), "_n_cum", "_n_tot")
-    j = d.join(cum, [label, "_h"])
+    cum = cumulative(value_counts(d, "_h", [label]), ["_n"], [label]).select(label, F.col("_v").alias("_h"), "_n_cum", "_n_tot")
+    j = join_null_safe(d, cum, [label, "_h"])
     n_train = F.floor(F.col("_n_tot") * F.lit(train_frac))
     # rows sharing a hash (duplicate keys) stay together; they are counted by their last position
     return j.withColumn("split", F.when(F.col("_n_cum") <= n_train, "train").otherwise("test")).drop(
@@ -53,37 +57,38 @@ def stratified_split(df: DataFrame, key: str, label: str, train_frac: float = 0.
 
 def temporal_split(df: DataFrame, ts: str, order: Sequence[str], fractions: Sequence[float] = (0.7, 0.15, 0.15),
                    names: Sequence[str] = ("train", "val", "test")) -> DataFrame:
-    """TOP-06: rows sorted by ``order`` and cut at positions int(n*0.7), int(n*0.85).
+    """TOP-06: rows sorted by ``order`` (whose first column is ``ts``) and cut at positions int(n*0.7), int(n*0.85).
 
-    Exact without a global sort: running counts over the distinct values of
-    the leading order column give each value's position range; the cut
-    positions fall inside at most one value per cut, whose rows are ordered
-    by the remaining columns in a window over that value only.
+    Exact without a global sort: running counts over the distinct times give each time's position
+    range.  Only the rows of times that straddle a cut (at most one per cut) are placed by the other
+    columns too, again by running counts, and only rows equal in all of ``order`` by a window.  Rows
+    without a time come last.
     """
-    n = df.agg(F.count(F.lit(1)).alias("_rows_total"))
-    cuts = []
-    acc = 0.0
+    cuts, acc = [], 0.0
     for f in fractions[:-1]:
         acc += f
         cuts.append(acc)
-    vc = value_counts(df, ts)
-    cum = cumulative(vc, ["_n"], buckets=estimate_buckets(df, ts)).select(F.col("_v").alias(ts), "_n", "_n_cum")
-    j = with_scalars(df.join(cum, ts), n)
-    pos_expr = [F.floor(F.col("_rows_total") * F.lit(c)).cast("long") for c in cuts]
-    start = F.col("_n_cum") - F.col("_n")
-    # rows of a value straddling a cut get their exact position from a window over that value only
-    straddle = reduce(lambda a, b: a | b, [(start < p) & (F.col("_n_cum") > p) for p in pos_expr])
-    w = Window.partitionBy(ts).orderBy(*[F.col(c) for c in order])
+    first = F.struct(F.col(ts).isNull().alias("none"), F.col(ts).alias("at"))
+    d = df.withColumn("_t", first)
+    n = df.agg(F.count(F.lit(1)).alias("_rows_total"))
+    cum = cumulative(value_counts(d, "_t"), ["_n"]).select(F.col("_v").alias("_t"), (F.col("_n_cum") - F.col("_n")).alias("_start"),
+                                                         F.col("_n_cum").alias("_end"))
+    j = with_scalars(join_null_safe(d, cum, ["_t"]), n)
+    pos = [F.floor(F.col("_rows_total") * F.lit(c)).cast("long") for c in cuts]
+    straddle = reduce(lambda a, b: a | b, [(F.col("_start") < p) & (F.col("_end") > p) for p in pos])
     j = j.withColumn("_straddle", straddle)
-    fine = j.where("_straddle").withColumn("_pos", start + F.row_number().over(w) - 1)
-    coarse = j.where(~F.col("_straddle")).withColumn("_pos", start)
-    u = fine.unionByName(coarse)
+    rest = F.struct(*[x for c in order if c != ts for x in (F.col(c).isNull().alias(f"none_{c}"), F.col(c))] or [F.lit(0).alias("none")])
+    fine = j.where("_straddle").withColumn("_r", rest)
+    within = cumulative(value_counts(fine, "_r", ["_t"]), ["_n"], ["_t"]).select(
+        "_t", F.col("_v").alias("_r"), (F.col("_n_cum") - F.col("_n")).alias("_before"))
+    w = Window.partitionBy("_t", "_r").orderBy(F.lit(0))
+    fine = join_null_safe(fine, within, ["_t", "_r"]).withColumn(
+        "_pos", F.col("_start") + F.col("_before") + F.row_number().over(w) - 1).drop("_r", "_before")
+    u = fine.unionByName(j.where(~F.col("_straddle")).withColumn("_pos", F.col("_start")))
     label = None
-    for i, p in enumerate(pos_expr):
-        cond = F.col("_pos") < p
-        label = F.when(cond, F.lit(names[i])) if label is None else label.when(cond, F.lit(names[i]))
-    label = label.otherwise(F.lit(names[-1]))
-    return u.withColumn("split", label).drop("_n", "_n_cum", "_rows_total", "_straddle", "_pos")
+    for name, p in zip(names, pos):
+        label = F.when(F.col("_pos") < p, F.lit(name)) if label is None else label.when(F.col("_pos") < p, F.lit(name))
+    return u.withColumn("split", label.otherwise(F.lit(names[-1]))).select(*df.columns, "split")
 
 
 def split_summary(df: DataFrame, ts: str, label: str | None = None) -> DataFrame:
@@ -140,20 +145,39 @@ def minmax_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def training_pairs(positives: DataFrame, items: DataFrame, user: str, item: str, ts: str | None = None,
                    salt: str = "neg") -> DataFrame:
-    """SET-02: one negative per positive: a hash-picked catalogue item the user has not interacted with.
+    """SET-02: label 1 for every positive, and one negative for each: an item the user has no positive with.
 
-    The pick is ``item rank = md5(user:item:salt) mod catalogue size`` -
-    a join on a computed rank, not a cross join - then positives of the user
-    are removed with a left anti join (the reference may emit true positives).
+    Each positive (its n-th occurrence counted) hashes a number below the user's count of unseen catalogue
+    items; the item of that rank among the unseen ones is its negative.  With the user's seen ranks
+    ``s1 < s2 < ...`` that is the rank plus the number of ``si - (i - 1)`` not above it, a running
+    count per user over both kinds of rows (``running_totals``, so hot users are split).  Nothing is
+    drawn twice or dropped; a user who has every item has no negative (``saturated_users``).
     """
-    cat = items.select(item).distinct()
-    ranked = cumulative(value_counts(cat, item), ["_n"], buckets=estimate_buckets(cat, item)).select(F.col("_v").alias("_neg_item"),
-                                                                  (F.col("_n_cum") - 1).alias("_rank"))
+    cat = items.select(F.col(item)).where(F.col(item).isNotNull()).distinct()
+    ranked = cumulative(value_counts(cat, item), ["_n"]).select(F.col("_v").alias(item), (F.col("_n_cum") - 1).alias("_rank"))
     size = cat.agg(F.count(F.lit(1)).alias("_size"))
     pos = positives.select(user, item, *([ts] if ts else []))
-    key = F.concat(F.col(user).cast("string"), F.lit(":"), F.col(item).cast("string"), F.lit(f":{salt}"))
+    at = F.col(ts) if ts else F.lit(0)
+    pos = running_totals(pos.withColumn("_at", at), [user, item], ["_at"], {"_nth": F.lit(1)})
+    seen = pos.select(user, item).distinct().join(ranked, item).select(user, "_rank")
+    seen = running_totals(seen, [user], ["_rank"], {"_i": F.lit(1)})
+    counts = seen.groupBy(user).agg(F.count(F.lit(1)).alias("_seen"))
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (user, item, "_nth")], F.lit(salt))
     h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    picks = with_scalars(pos, size).withColumn("_rank", F.pmod(h, F.col("_size")))
-    neg = picks.join(ranked, "_rank").select(user, F.col("_neg_item").alias(item), *([ts] if ts else []))
-    neg = neg.join(positives.select(user, item).distinct(), [user, item], "left_anti")
-    return pos.withColumn("label", F.lit(1)).unionByName(neg.withColumn("label", F.lit(0)))
+    picks = with_scalars(join_null_safe(pos, counts, [user], "left"), size).withColumn(
+        "_free", F.col("_size") - F.coalesce("_seen", F.lit(0))).where("_free > 0")
+    picks = picks.select(user, *([ts] if ts else []), F.pmod(h, F.col("_free")).alias("_place"), F.lit(0).alias("_step"), F.lit(1).alias("_kind"))
+    steps = seen.select(user, *([F.lit(None).cast(positives.schema[ts].dataType).alias(ts)] if ts else []),
+                        (F.col("_rank") - F.col("_i")).alias("_place"), F.lit(1).alias("_step"), F.lit(0).alias("_kind"))
+    both = running_totals(picks.unionByName(steps), [user], ["_place", "_kind"], {"_skip": F.col("_step")})
+    neg = both.where("_kind = 1").withColumn("_rank", F.col("_place") + F.col("_skip")).join(ranked, "_rank")
+    neg = neg.select(user, item, *([ts] if ts else []))
+    return pos.select(*neg.columns).withColumn("label", F.lit(1)).unionByName(neg.withColumn("label", F.lit(0)))
+
+
+def saturated_users(positives: DataFrame, items: DataFrame, user: str, item: str) -> DataFrame:
+    """SET-02: users with a positive on every catalogue item, for whom no negative exists."""
+    cat = items.select(item).where(F.col(item).isNotNull()).distinct()
+    seen = positives.select(user, item).join(cat, item, "left_semi").distinct().groupBy(user).agg(F.count(F.lit(1)).alias("seen"))
+    size = cat.agg(F.count(F.lit(1)).alias("_size"))
+    return with_scalars(seen, size).where("seen >= _size").select(user, "seen")

@@ -5,15 +5,17 @@ one task.  When one key holds a third of a 100 TB table that task never
 finishes.  The helpers below keep window semantics exact while bounding the
 rows of any window partition:
 
-* ``chunk_keys`` counts rows per key (a combinable aggregate) and, for keys
-  above ``max_rows``, cuts their time line into chunks at approximate
-  quantiles of the order column (a bounded sketch per hot key).  Ordinary
-  keys get chunk 0, so for them nothing changes.
-* ``lookback_columns`` evaluates windows that look back at most ``L`` rows
-  (lag, rolling means): each chunk receives the last ``L`` rows of the
-  previous chunk as context rows, which are dropped afterwards.
+* ``split_hot`` counts rows per key (combined map-side).  Rows of keys with at most ``max_rows`` rows take
+  a plain window.  If there are larger keys, their rows, and only they, are dealt over range partitions
+  of (key, order, hash of the row) and written to the checkpoint folder: each partition holds a consecutive
+  chunk of a key, even where all its times are equal.
+* ``lookback_columns`` evaluates windows that look back at most ``L`` rows (lag, rolling means): each
+  chunk receives the last ``L`` rows before it as context rows, which are dropped afterwards.
 * ``running_totals`` evaluates unbounded-preceding sums: chunk-local running
   sums plus the totals of all earlier chunks of the key (a small table).
+
+Null keys are a key like any other.  Rows that agree in all order columns are in the order of their hash on
+hot keys and in any order otherwise.
 """
 
 from __future__ import annotations
@@ -24,9 +26,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import frac_days, whole_days
+from tidewater.functions.ranks import join_null_safe
+from tidewater.session import materialize, shuffle_partitions
 
 DEFAULT_MAX_ROWS = 2_000_000
-GRID = 256
 
 
 def _order_cols(order: Sequence[str | Column], desc: bool = False) -> list[Column]:
@@ -34,40 +37,24 @@ def _order_cols(order: Sequence[str | Column], desc: bool = False) -> list[Colum
     return [c.desc() for c in cols] if desc else [c.asc() for c in cols]
 
 
-def chunk_keys(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Add ``_chunk`` (0 for ordinary keys) and ``_nchunks`` per key."""
-    keys = list(keys)
-    if not max_rows:
-        return df.withColumn("_chunk", F.lit(0)).withColumn("_nchunks", F.lit(1))
-    tsn = F.unix_micros(F.col(ts).cast("timestamp")) if _is_time(df, ts) else F.col(ts).cast("double")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    hot = counts.where(F.col("_cnt") > max_rows)
-    probs = [i / GRID for i in range(1, GRID)]
-    sketch = (
-        df.join(hot, keys)
-        .groupBy(*keys)
-        .agg(F.max("_cnt").alias("_cnt"), F.percentile_approx(tsn, probs, 20 * GRID).alias("_grid"))
-        .withColumn("_want", F.least(F.ceil(F.col("_cnt") / F.lit(max_rows)), F.lit(GRID)).cast("int"))
-        .select(
-            *keys,
-            # distinct bounds: every chunk after the first holds at least the row equal to its bound,
-            # so the carry-in of chunk c always comes from chunk c - 1
-            F.array_distinct(F.transform(
-                F.sequence(F.lit(1), F.col("_want") - 1),
-                lambda j: F.element_at("_grid", (j * GRID / F.col("_want")).cast("int")),
-            )).alias("_bounds"),
-        )
-        .withColumn("_nchunks", F.size("_bounds") + 1)
-    )
-    j = df.join(sketch, keys, "left")
-    chunk = F.coalesce(F.size(F.filter("_bounds", lambda b: tsn >= b)), F.lit(0))
-    return j.withColumn("_chunk", chunk).withColumn("_nchunks", F.coalesce("_nchunks", F.lit(1))).drop("_bounds")
-
-
 def _is_time(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
 
 
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+              max_rows: int | None = DEFAULT_MAX_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys with ``_chunk`` and ``_tie``; None where there are none)."""
+    if not max_rows:
+        return df, None
+    keys = list(keys)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > max_rows).select(*keys)
+    if hot.isEmpty():
+        return df, None
+    rows = join_null_safe(df, hot, keys, "left_semi").withColumn("_tie", F.xxhash64(*df.columns))
+    rows = rows.repartitionByRange(shuffle_partitions(df.sparkSession), *keys, *order, "_tie")
+    return join_null_safe(df, hot, keys, "left_anti"), materialize(rows.withColumn("_chunk", F.spark_partition_id()), "hot-keys")
+
+
 def lookback_columns(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,23 +65,23 @@ def lookback_columns(
 ) -> DataFrame:
     """Add the columns ``build(window)`` returns, where ``window`` is the key's
     ordered window; valid for expressions that look back at most ``lookback`` rows."""
-    keys = list(keys)
-    c = chunk_keys(df, keys, order[0], max_rows).withColumn("_ctx", F.lit(False))
-    if max_rows:
-        tail_w = Window.partitionBy(*keys, "_chunk").orderBy(*_order_cols(order, desc=True))
-        ctx = (
-            c.where(F.col("_chunk") < F.col("_nchunks") - 1)
-            .withColumn("_rn", F.row_number().over(tail_w))
-            .where(F.col("_rn") <= lookback)
-            .drop("_rn")
-            .withColumn("_chunk", F.col("_chunk") + 1)
-            .withColumn("_ctx", F.lit(True))
-        )
-        c = c.unionByName(ctx)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*_order_cols(order))
-    cols = build(w)
-    out = c.select("*", *[v.alias(k) for k, v in cols.items()])
-    return out.where(~F.col("_ctx")).drop("_ctx", "_chunk", "_nchunks")
+    keys, full = list(keys), [*order, "_tie"]
+    rest, hot = split_hot(df, keys, order, max_rows)
+    out = rest.select("*", *[v.alias(k) for k, v in build(Window.partitionBy(*keys).orderBy(*_order_cols(order))).items()])
+    if hot is None:
+        return out
+    chunk = Window.partitionBy(*keys, "_chunk")
+    tail = hot.withColumn("_rn", F.row_number().over(chunk.orderBy(*_order_cols(full, desc=True)))).where(F.col("_rn") <= lookback).drop("_rn")
+    along = Window.partitionBy(*keys).orderBy("_chunk", *_order_cols(full))
+    row = F.struct(*df.columns, "_tie")
+    before = tail.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_chunk").alias("_at"),
+                         F.row_number().over(chunk.orderBy(*_order_cols(full))).alias("_first"),
+                         F.array_compact(F.array(*[F.lag(row, i).over(along) for i in range(1, lookback + 1)])).alias("_rows"))
+    context = before.where("_first = 1").select("_at", F.explode("_rows").alias("_row")).select("_row.*", F.col("_at").alias("_chunk"))
+    both = hot.withColumn("_ctx", F.lit(False)).unionByName(context.withColumn("_ctx", F.lit(True)))
+    cols = build(chunk.orderBy(*_order_cols(full)))
+    done = both.select("*", *[v.alias(k) for k, v in cols.items()]).where(~F.col("_ctx")).drop("_ctx", "_chunk", "_tie")
+    return out.unionByName(done)
 
 
 def running_totals(
@@ -106,25 +93,23 @@ def running_totals(
     max_rows: int | None = DEFAULT_MAX_ROWS,
 ) -> DataFrame:
     """Add for each measure the sum over the key's earlier rows (``inclusive``: and this row)."""
-    keys = list(keys)
-    c = chunk_keys(df, keys, order[0], max_rows)
-    names = list(measures)
-    c = c.select("*", *[measures[n].alias(f"_m_{n}") for n in names])
-    tot = (
-        c.where(F.col("_nchunks") > 1)
-        .groupBy(*keys, "_chunk")
-        .agg(*[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in names])
-    )
+    keys, end = list(keys), 0 if inclusive else -1
+    rest, hot = split_hot(df, keys, order, max_rows)
+
+    def before(w: WindowSpec, m: Column) -> Column:
+        return F.coalesce(F.sum(m).over(w.rowsBetween(Window.unboundedPreceding, end)), F.lit(0))
+
+    w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
+    out = rest.select("*", *[before(w, m).alias(n) for n, m in measures.items()])
+    if hot is None:
+        return out
+    tot = hot.groupBy(*keys, "_chunk").agg(*[F.sum(m).alias(f"_t_{n}") for n, m in measures.items()])
     prev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, "_chunk", *[F.sum(f"_t_{n}").over(prev).alias(f"_o_{n}") for n in names])
-    c = c.join(off, [*keys, "_chunk"], "left")
-    end = 0 if inclusive else -1
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, end)
-    out = c.select(
-        *df.columns,
-        *[(F.coalesce(F.sum(f"_m_{n}").over(w), F.lit(0)) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).alias(n) for n in names],
-    )
-    return out
+    off = tot.select(*keys, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(prev), F.lit(0)).alias(f"_o_{n}") for n in measures])
+    c = join_null_safe(hot, off, [*keys, "_chunk"])
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*_order_cols([*order, "_tie"]))
+    done = c.select(*df.columns, *[(before(w, m) + F.col(f"_o_{n}")).alias(n) for n, m in measures.items()])
+    return out.unionByName(done)
 
 
 # ---------------------------------------------------------------------------
@@ -156,20 +141,24 @@ def sequence_features(df, keys, order, ts, amount, max_rows=DEFAULT_MAX_ROWS) ->
     return lookback_columns(df, keys, order, 2, build, max_rows)
 
 
-def last_n_flag(df, keys, order, n, alias="is_recent", max_rows=None) -> DataFrame:
-    """WIN-05: 1 for the last ``n`` rows of each key (by order), else 0.
+def last_n_flag(df, keys, order, n, alias="is_recent", max_rows=DEFAULT_MAX_ROWS) -> DataFrame:
+    """WIN-05: 1 for the last ``n`` rows of each key (by order), else 0; every row once, equal rows too.
 
-    ``row_number <= n`` lets Spark insert a partial group limit before the
-    shuffle, so at most ``n`` rows per key and map task travel; the flag is
-    joined back on the full row key.
+    A row is among the last ``n`` if fewer than ``n`` rows of its key come before it from the end.
     """
+    back = df.select("*", *[F.struct(F.col(o).isNull().alias("none"), F.col(o).alias("at")).alias(f"_o{i}") for i, o in enumerate(order)])
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(order, desc=True))
-    last = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
-    last = last.select(*[F.col(c).alias(f"_l_{c}") for c in df.columns], F.lit(1).alias(alias))
-    cond = [df[c].eqNullSafe(last[f"_l_{c}"]) for c in df.columns]
-    out = df.join(last, cond, "left").select(*[df[c] for c in df.columns], F.coalesce(last[alias], F.lit(0)).alias(alias))
-    return out
+    rest, hot = split_hot(back, keys, [f"_o{i}" for i in range(len(order))], max_rows)
+    down = [F.col(f"_o{i}").desc() for i in range(len(order))]
+    out = rest.withColumn(alias, (F.row_number().over(Window.partitionBy(*keys).orderBy(*down)) <= n).cast("int"))
+    if hot is not None:
+        tot = hot.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_t"))
+        later = Window.partitionBy(*keys).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        off = tot.select(*keys, "_chunk", F.coalesce(F.sum("_t").over(later), F.lit(0)).alias("_o"))
+        w = Window.partitionBy(*keys, "_chunk").orderBy(*down, F.col("_tie").desc())
+        done = join_null_safe(hot, off, [*keys, "_chunk"]).withColumn(alias, (F.row_number().over(w) + F.col("_o") <= n).cast("int"))
+        out = out.unionByName(done.select(*out.columns))
+    return out.select(*df.columns, alias)
 
 
 def top_k_per_group(df, keys, order, k, rank_col="rank") -> DataFrame:
@@ -212,7 +201,8 @@ def metric_trend(history: DataFrame, keys, x: str, y: str) -> DataFrame:
     df_ = F.col("n") - 2
     t = F.col("slope") / F.abs(F.col("slope")) * F.sqrt(F.col("r2") * df_ / (F.lit(1.0) - F.col("r2")))
     g = g.withColumn("t_stat", F.when((df_ > 0) & (F.col("r2") < 1), t))
-    g = g.withColumn("p_value", student_t_two_sided(F.col("t_stat"), df_))
+    exact = (df_ > 0) & (F.col("r2") >= 1) & (F.col("slope") != 0)  # all points on one line
+    g = g.withColumn("p_value", F.when(exact, F.lit(0.0)).otherwise(student_t_two_sided(F.col("t_stat"), df_)))
     return g.withColumn("trending", (F.col("slope") > 0.01) & (F.col("p_value") < 0.05))
 
 
@@ -269,25 +259,25 @@ def point_in_time_features(
     )
 
 
-def as_of_join(facts: DataFrame, snapshots: DataFrame, keys: Sequence[str], ts: str, snap_ts: str) -> DataFrame:
+def as_of_join(facts: DataFrame, snapshots: DataFrame, keys: Sequence[str], ts: str, snap_ts: str,
+               max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """JN-12: for each fact row, the latest snapshot of its key taken at or before the row.
 
-    Left equi-join on the key with ``snap_ts <= ts`` as extra condition, then
-    a ``max_by`` pick per fact row.  Identical fact rows are folded first and
-    restored after, so the output keeps the input multiplicity.  Snapshots
-    per key are few (one per refresh), which bounds the join fan-out.
+    Facts and snapshots are put on one time line per key (snapshots first at equal times); the number of the
+    latest snapshot up to a row is a running count (``running_totals``: hot keys are split), and that number is an
+    equi-join.  No pair of fact and earlier snapshot is formed.  Of snapshots at the same time the last by value counts.
     """
     keys = list(keys)
-    fcols = facts.columns
     snap_cols = [c for c in snapshots.columns if c not in keys and c != snap_ts]
-    f = facts.groupBy(*fcols).agg(F.count(F.lit(1)).alias("_mult"))
-    s = snapshots.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.struct(*[F.col(c) for c in snap_cols]).alias("_snap"),
-        F.col(snap_ts).alias("_sts"),
-    )
-    cond = [f[k] == s[f"_k_{k}"] for k in keys] + [s["_sts"] <= f[ts]]
-    j = f.join(s, cond, "left")
-    best = j.groupBy(*fcols, "_mult").agg(F.max_by("_snap", "_sts").alias("_snap"))
-    out = best.select(*fcols, *[F.col(f"_snap.{c}").alias(c) for c in snap_cols], "_mult")
-    return out.withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_mult").cast("int")))).drop("_rep", "_mult")
+    s = snapshots.where(F.col(snap_ts).isNotNull()).groupBy(*keys, snap_ts).agg(F.max(F.struct(*snap_cols)).alias("_snap"))
+    kind = facts.schema[ts].dataType
+    line = facts.select(*[F.col(k) for k in keys], F.col(ts).alias("_at"), F.lit(0).alias("_is"), F.struct(*facts.columns).alias("_f"),
+                        F.lit(None).cast(s.schema["_snap"].dataType).alias("_snap"))
+    line = line.unionByName(s.select(*keys, F.col(snap_ts).cast(kind).alias("_at"), F.lit(1).alias("_is"),
+                                     F.lit(None).cast(line.schema["_f"].dataType).alias("_f"), "_snap"))
+    line = line.withColumn("_last", -F.col("_is"))
+    n = running_totals(line, keys, ["_at", "_last"], {"_n": F.col("_is")}, inclusive=True, max_rows=max_rows)
+    taken = n.where("_is = 1").select(*keys, "_n", "_snap")
+    f = n.where("_is = 0").select(*keys, "_n", "_f")
+    j = join_null_safe(f, taken, [*keys, "_n"], "left")
+    return j.select("_f.*", *[F.col(f"_snap.{c}").alias(c) for c in snap_cols])

@@ -218,14 +218,19 @@ def set04_topk_overlap(t: Tables):
 PAIRS_SQL = """
     WITH cat AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS rk FROM (SELECT DISTINCT item_id FROM items) c),
          sz AS (SELECT count(*) AS n FROM cat),
-         pos AS (SELECT user_id, item_id, ts FROM interactions WHERE click = 1),
-         picks AS (SELECT p.user_id, p.ts,
-                          CAST(('0x' || substr(md5(CAST(p.user_id AS VARCHAR) || ':' || CAST(p.item_id AS VARCHAR) || ':neg'), 1, 8))
-                               AS BIGINT) % sz.n AS rk
-                   FROM pos p, sz),
-         neg AS (SELECT k.user_id, c.item_id, k.ts FROM picks k JOIN cat c ON k.rk = c.rk
-                 WHERE NOT EXISTS (SELECT 1 FROM pos q WHERE q.user_id = k.user_id AND q.item_id = c.item_id))
-    SELECT user_id, item_id, ts, 1 AS label FROM pos UNION ALL SELECT user_id, item_id, ts, 0 FROM neg"""
+         pos AS (SELECT user_id, item_id, ts, row_number() OVER (PARTITION BY user_id, item_id ORDER BY ts) - 1 AS nth
+                 FROM interactions WHERE click = 1),
+         seen AS (SELECT user_id, rk, rk - (row_number() OVER (PARTITION BY user_id ORDER BY rk) - 1) AS step
+                  FROM (SELECT DISTINCT user_id, item_id FROM pos) d JOIN cat USING (item_id)),
+         own AS (SELECT user_id, count(*) AS k FROM seen GROUP BY 1),
+         picks AS (SELECT p.user_id, p.ts, p.nth, p.item_id, CAST(('0x' || substr(md5(CAST(p.user_id AS VARCHAR) || ':' ||
+                          CAST(p.item_id AS VARCHAR) || ':' || CAST(p.nth AS VARCHAR) || ':neg'), 1, 8)) AS BIGINT) % (sz.n - o.k) AS place
+                   FROM pos p JOIN own o ON o.user_id = p.user_id, sz WHERE sz.n > o.k),
+         skips AS (SELECT k.user_id, k.ts, k.nth, k.item_id, k.place, count(s.step) AS skip FROM picks k
+                   LEFT JOIN seen s ON s.user_id = k.user_id AND s.step <= k.place GROUP BY ALL),
+         pairs AS (SELECT user_id, item_id, ts, 1 AS label FROM pos
+                   UNION ALL SELECT k.user_id, c.item_id, k.ts, 0 FROM skips k JOIN cat c ON c.rk = k.place + k.skip)
+    SELECT user_id, item_id, ts, label FROM pairs"""
 
 
 @query("set01_02_training_pairs", PAIRS_SQL, views=["interactions", "items"])
@@ -236,21 +241,21 @@ def set01_02_training_pairs(t: Tables):
 
 @query(
     "nrm04_training_table",
-    """WITH u AS (SELECT user_id, avg(click) AS user_ctr, count(*) AS user_events FROM interactions GROUP BY 1),
+    f"""WITH u AS (SELECT user_id, avg(click) AS user_ctr, count(*) AS user_events FROM interactions GROUP BY 1),
             it AS (SELECT item_id, avg(click) AS item_ctr, count(*) AS item_events FROM interactions GROUP BY 1)
-       SELECT p.user_id, p.item_id, 1 AS label, u.user_ctr, u.user_events, it.item_ctr, it.item_events
-       FROM (SELECT user_id, item_id FROM interactions WHERE click = 1) p
+       SELECT p.user_id, p.item_id, p.ts, p.label, u.user_ctr, u.user_events, it.item_ctr, it.item_events
+       FROM ({PAIRS_SQL}) p
        LEFT JOIN u ON p.user_id = u.user_id LEFT JOIN it ON p.item_id = it.item_id""",
-    views=["interactions"],
+    views=["interactions", "items"],
     floats=["user_ctr", "item_ctr"],
 )
 def nrm04_training_table(t: Tables):
-    """NRM-04: positives joined to user and item features (the positive half of the pairs)."""
+    """NRM-04: positive and negative pairs joined to user and item features."""
     from tidewater.operators.features import entity_join
 
     i = t.interactions
     u = i.groupBy("user_id").agg(F.avg("click").alias("user_ctr"), F.count(F.lit(1)).alias("user_events"))
     it = i.groupBy("item_id").agg(F.avg("click").alias("item_ctr"), F.count(F.lit(1)).alias("item_events"))
-    pos = i.where(F.col("click") == 1).select("user_id", "item_id", F.lit(1).alias("label"))
-    return entity_join(pos, (u, "user_id"), (it, "item_id")).select(
-        "user_id", "item_id", "label", "user_ctr", "user_events", "item_ctr", "item_events")
+    pairs = sm.training_pairs(i.where(F.col("click") == 1), t.items, "user_id", "item_id", "ts")
+    return entity_join(pairs, (u, "user_id"), (it, "item_id")).select(
+        "user_id", "item_id", "ts", "label", "user_ctr", "user_events", "item_ctr", "item_events")

@@ -77,11 +77,12 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], fmt:
     """SRC-04 / SRC-05: partitioned write; reruns replace only the partitions present in ``df``.
 
     ``partitionOverwriteMode=dynamic`` is set on the write itself, so other
-    days of the table are never touched.  Rows are clustered by the
-    partition columns first so each task writes few files per partition.
+    days of the table are never touched.  Rows are rebalanced by the
+    partition columns first: each task writes few files per partition, and a large partition is split
+    over tasks (and files) of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
     (
-        df.repartition(*[F.col(p) for p in partitions])
+        df.hint("rebalance", *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
@@ -103,35 +104,38 @@ def append_json_lines(df: DataFrame, path: str) -> None:
 
 def write_report(report: DataFrame, path: str) -> None:
     """SRC-09: a (small) report frame saved as JSON (one file)."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    report.repartition(1).write.mode("overwrite").json(path)
 
 
 def write_snapshot(df: DataFrame, base: str, version: str, profile: DataFrame | None = None) -> None:
     """SRC-06: immutable versioned snapshot under ``version=<v>`` plus its column profile.
 
-    Readers get the newest version with ``read_latest``; the profile (AGG-14)
-    is written next to it as a small parquet table.
+    A version that exists is never replaced: writing it again fails.  Readers get the newest version with
+    ``read_latest``; the profile (AGG-14) is written next to it as a small parquet table.
     """
-    df.withColumn("version", F.lit(version)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("version").parquet(f"{base}/data")
+    df.write.mode("errorifexists").parquet(f"{base}/data/version={version}")
     if profile is not None:
-        profile.withColumn("version", F.lit(version)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("version").parquet(f"{base}/profile")
+        profile.write.mode("errorifexists").parquet(f"{base}/profile/version={version}")
+
+
+def partition_values(spark: SparkSession, base: str, partition: str) -> list[str]:
+    """Values of the leading partition column of a path-based table, from its folders alone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{partition}="))
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    """SRC-06: the newest version (one aggregate over the partition column, then a pruned read)."""
-    data = spark.read.parquet(f"{base}/data")
-    newest = data.agg(F.max("version").alias("v")).first()["v"]
-    return data.where(F.col("version") == F.lit(newest))
+    """SRC-06: the newest version, found by listing the folders, then a pruned read."""
+    newest = partition_values(spark, f"{base}/data", "version")[-1]
+    return spark.read.parquet(f"{base}/data").where(F.col("version") == F.lit(newest))
 
 
 def write_predictions(pred: DataFrame, base: str, ds: str, run_ts: str) -> None:
-    """SRC-07: dated prediction sink plus archive copy stamped with the run time (append)."""
+    """SRC-07: dated prediction sink plus archive copy stamped with the run time; a rerun with the same stamp replaces its rows."""
     out = pred.withColumn("ds", F.lit(ds).cast("date")).withColumn("run_ts", F.lit(run_ts))
-    out.write.mode("append").partitionBy("ds", "run_ts").parquet(base)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds", "run_ts").parquet(base)
 
 
 # ---------------------------------------------------------------------------

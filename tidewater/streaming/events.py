@@ -43,8 +43,8 @@ def validate_events(events: DataFrame, users: DataFrame, items: DataFrame, as_of
         *events.columns,
         F.coalesce("_known_user", F.lit(False)).alias("known_user"),
         F.coalesce("_known_item", F.lit(False)).alias("known_item"),
-        F.col(event_type).isin(*EVENT_TYPES).alias("valid_type"),
-        fresh.alias("fresh"),
+        F.coalesce(F.col(event_type).isin(*EVENT_TYPES), F.lit(False)).alias("valid_type"),
+        F.coalesce(fresh, F.lit(False)).alias("fresh"),
     )
     return out.withColumn("is_valid", F.col("known_user") & F.col("known_item") & F.col("valid_type") & F.col("fresh"))
 
@@ -142,31 +142,33 @@ def js_against_baseline(hist: DataFrame, baseline: DataFrame, bins: int) -> Data
 # running queries
 # ---------------------------------------------------------------------------
 def ingest(events: DataFrame, users: DataFrame, items: DataFrame, out_base: str, checkpoint: str,
-           trigger_available_now: bool = True) -> StreamingQuery:
-    """STR-01 / STR-10: validate each micro-batch, append valid rows to a day-partitioned
-    table and invalid rows to a side table.  ``availableNow`` processes what is there and
-    stops; the checkpoint makes reruns resume exactly where they ended."""
+           trigger_available_now: bool = True, as_of_col: str | None = None, max_age_hours: int = 1,
+           dedup_key: str | None = None, dedup_delay: str = "1 hour") -> StreamingQuery:
+    """STR-01 / STR-10: validate each micro-batch, write valid rows to a day-partitioned
+    table and invalid rows to a side table.
+
+    ``as_of_col`` (arrival time) turns on the age rule, ``dedup_key`` drops repeated keys within the
+    watermark.  Every row lands in exactly one of the two tables.  Files lie under the number of the
+    micro-batch (``epoch``), which a replay overwrites, so a batch that runs twice is there once.
+    """
+    if dedup_key:
+        events = dedup_events(events, dedup_key, "event_time", dedup_delay)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        v = validate_events(batch, users, items)
-        v = v.withColumn("ds", F.to_date("event_time"))
-        v.where("is_valid").drop("known_user", "known_item", "valid_type", "fresh", "is_valid").write.mode(
-            "append").partitionBy("ds").parquet(f"{out_base}/valid")
-        v.where(~F.col("is_valid")).write.mode("append").parquet(f"{out_base}/invalid")
+        v = validate_events(batch, users, items, as_of_col, max_age_hours)
+        v = v.withColumn("ds", F.to_date("event_time")).withColumn("epoch", F.lit(epoch)).persist()
+        flags = ("known_user", "known_item", "valid_type", "fresh", "is_valid")
+        for rows, name, parts in ((v.where("is_valid").drop(*flags), "valid", ["epoch", "ds"]), (v.where("NOT is_valid"), "invalid", ["epoch"])):
+            # an epoch without rows must still clear what a failed attempt may have left
+            target = f"{out_base}/{name}/epoch={epoch}"
+            rows.drop("epoch").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts[1:]).parquet(target)
+        v.unpersist()
 
     w = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def run_to_memory(df: DataFrame, name: str, mode: str, checkpoint: str) -> StreamingQuery:
-    """Run a streaming frame to the in-memory sink until the input is drained (tests, STR-10)."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q
-
-
 def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """STR-09 helper: run ``fn`` on every micro-batch (exactly-once with an idempotent ``fn``)."""
     q = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

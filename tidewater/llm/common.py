@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import materialize, scratch_path  # noqa: F401
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,16 +23,9 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's checkpoint folder (shared by driver and executors)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidewater-{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a scratch table and read it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def boxed(docs: DataFrame) -> DataFrame:
+    """Whole rows in one column ``doc``, so that no column of theirs meets a column of an operator."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
 
 def binary_column(values) -> pa.Array:
@@ -154,9 +146,10 @@ def shingle_runs(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     A text of 1 to n-1 words has one shingle, all its words.
     """
     h, count = words.h, np.diff(words.edges)
-    out = np.full(max(len(h) - n + 1, 0), n, dtype=np.uint64)
+    m = max(len(h) - n + 1, 0)
+    out = np.full(m, n, dtype=np.uint64)
     for j in range(n):
-        out = (out ^ h[j:len(h) - n + 1 + j]) * _M1
+        out = (out ^ h[j:m + j]) * _M1
         out ^= out >> np.uint64(29)
     out = mix64(out)
     per = np.where(count >= n, count - n + 1, (count > 0).astype(np.int64))

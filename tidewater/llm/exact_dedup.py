@@ -19,12 +19,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidewater.llm.common import binary_column, id_text, materialize
+from tidewater.llm.common import binary_column, boxed, id_text, materialize
 from tidewater.session import shuffle_partitions
 
 FAN_IN = 16
@@ -163,12 +164,12 @@ def drop_duplicates(docs: DataFrame, largest: bool = True) -> DataFrame:
 
     def tag(batches):
         for b in batches:
-            shas = [hashlib.sha256(t.as_buffer().to_pybytes().lower() if t.is_valid else b"").digest()
-                    for t in b.column(at)]
-            yield pa.RecordBatch.from_arrays([*b.columns, binary_column(shas)], names=[*b.schema.names, "_sha"])
-
-    schema = StructType([*docs.schema.fields, StructField("_sha", BinaryType())])
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("_id")
-    kept = duplicate_groups(docs, largest).where("kept").select(key, F.unhex("text_sha256").alias("_sha"))
-    tagged = docs.mapInArrow(tag, schema).select("*", key)
-    return tagged.join(kept, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+            texts = pc.struct_field(b.column(0), [at])
+            shas = [hashlib.sha256(t.as_buffer().to_pybytes().lower() if t.is_valid else b"").digest() for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), binary_column(shas)], names=["doc", "sha"])
+
+    box = boxed(docs)
+    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias("id")
+    kept = duplicate_groups(docs, largest).where("kept").select(key("doc_id"), F.unhex("text_sha256").alias("sha"))
+    tagged = box.mapInArrow(tag, StructType([*box.schema.fields, StructField("sha", BinaryType())])).select("doc", "sha", key("doc.doc_id"))
+    return tagged.join(kept, ["id", "sha"], "left_semi").dropDuplicates(["id", "sha"]).select("doc.*")

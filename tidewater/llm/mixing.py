@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import DOC_COLUMNS
+from tidewater.llm.common import DOC_COLUMNS, boxed
 from tidewater.session import shuffle_partitions
 
 MAX_BROADCAST_SOURCES = 10_000
@@ -78,23 +78,24 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, alpha: floa
     """Each document as often as its Poisson count says, all copies in a global random order.
 
     Returns the columns of ``docs`` and ``copy`` (from 1), ``rate``, ``mix_key`` (the order; in
-    [0, 1)).  Rows that agree in id and text get the same count.  An empty table stays empty.
+    [0, 1)), which take the place of columns of these names.  Rows that agree in id and text get the same count.  An empty table stays empty.
     """
     rates = source_rates(docs, weights, alpha, total).withColumn("_cdf", poisson_cdf(F.col("rate"))).select(
         F.col("mix_source").alias("_src"), F.col("rate").alias("_rate"), "_cdf")
-    d = docs.withColumn("_s", F.coalesce("source", F.lit("")))
+    d = boxed(docs).select("doc", "doc.doc_id", F.coalesce("doc.source", F.lit("")).alias("_s"))
     few = rates.select("_src").limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
     if few:
         d = d.join(F.broadcast(rates), d["_s"] == rates["_src"])
     else:
         salted = rates.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        d = d.withColumn("_p", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int"))
+        d = d.withColumn("_p", F.pmod(F.xxhash64("doc_id", "doc.text"), F.lit(SALTS)).cast("int"))
         d = d.join(salted, (d["_s"] == salted["_src"]) & (d["_p"] == salted["_part"]))
     u = hash_unit(F.lit(seed), "doc_id")
     count = F.size(F.filter("_cdf", lambda c: c <= u))
     d = d.withColumn("_n", count).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
     key = hash_unit(F.lit(seed), F.lit("order"), "doc_id", "copy")
-    out = d.select(*[F.col(c) for c in docs.columns], "copy", F.col("_rate").alias("rate"), key.alias("mix_key"))
+    own = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("copy", "rate", "mix_key")]
+    out = d.select(*own, "copy", F.col("_rate").alias("rate"), key.alias("mix_key"))
     n = shuffle_partitions(docs.sparkSession)
     out = out.repartitionById(n, F.floor(F.col("mix_key") * n).cast("int"))
     return out.sortWithinPartitions("mix_key") if keep_order else out

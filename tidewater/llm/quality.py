@@ -224,4 +224,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The documents that score at least ``threshold``, columns unchanged."""
     vectors, net = fit(docs, labels, max_labelled)
-    return with_score(docs, vectors, net, "_score").where(F.col("_score") >= threshold).select(*docs.columns)
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        for b in batches:
+            yield b.filter(pa.array(net.probability(pooled(b.column(at).to_pylist(), vectors)) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -11,12 +11,13 @@
   Two sets agree in a coordinate with the probability of their (weighted) Jaccard similarity, and a document
   costs its elements plus some ``k ln k`` darts.
 * **Banding.**  ``BANDS`` bands of ``ROWS`` coordinates; pairs of similarity 0.8 share one with probability 0.9998.
-* **Joining.**  In each bucket leaders are drawn in order of node and every member is compared with them
-  exactly (similarity of the whole sets).  Members similar to a leader leave the bucket, the others
-  go on to the next round with twice as many leaders, so no bucket emits all pairs.  What that leaves open, links between members of
+* **Joining.**  In each bucket the members that share most buckets with others, the centres of groups, become
+  leaders and are compared with every member exactly (similarity of the whole sets).  Members similar to a leader
+  leave the bucket, buckets whose members are in one class already are done, the others go on to the next round
+  with twice as many leaders, so no bucket emits all pairs.  What that leaves open, links between members of
   different leaders, is found by the triangle inequality: ``d(x, y) <= t`` needs ``d(y, A) <= t + d(x, A)``
-  for the leader ``A`` of ``x``; such pairs in different classes are compared too.  Together this finds every similar pair's class
-  among all pairs that share a bucket.
+  for the leader ``A`` of ``x``; such pairs in different classes are compared too.  Together this finds the class
+  of every similar pair that shares a bucket.
 * **Classes** are the connected components of the verified links.
 """
 
@@ -29,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import GOLDEN, SPACED, Words, binary_column, distinct_per_text, id_text, lowered, materialize, mix64, \
+from tidewater.llm.common import GOLDEN, SPACED, Words, binary_column, boxed, distinct_per_text, id_text, lowered, materialize, mix64, \
     shingle_runs, unit
 from tidewater.llm.components import components
 from tidewater.llm.tokens import char_batches
 
 SHINGLE = 5
-BANDS, ROWS = 28, 6
+BANDS, ROWS = 22, 5
 THRESHOLD = 0.8
 _U = np.uint64
 
@@ -61,12 +62,12 @@ def dart_minhash(elements: np.ndarray, edges: np.ndarray, k: int, weights: np.nd
         pick[left] = True
         at = np.flatnonzero(pick[owner])
         coord, when, value, own = _darts(elements[at], w[at], time[owner[at]], owner[at], k)
-        order = np.lexsort((value, when))
-        slot = own[order] * k + coord[order]
-        _, first = np.unique(slot, return_index=True)
-        best = order[first]
-        sig[own[best], coord[best]] = value[best]
-        filled = np.bincount(own[best], minlength=n)
+        slot = own * k + coord
+        earliest = np.full(n * k, np.inf)
+        np.minimum.at(earliest, slot, when)
+        best = np.flatnonzero(when == earliest[slot])
+        sig.reshape(-1)[slot[best]] = value[best]
+        filled = np.isfinite(earliest).reshape(n, k).sum(axis=1)
         left = left[filled[left] < k]
         sig[left] = 0
         time[left] *= 2.0
@@ -98,7 +99,7 @@ def _darts(elements, w, limit, owner, k):
                 hit = lo + width * unit(mix64(v + GOLDEN)) <= w[live]
             else:
                 hit = slice(None)  # weight 1 fills the band
-            out.append(((v[hit] % _U(k)).astype(np.int64), now[hit], v[hit], owner[live[hit]]))
+            out.append((((v[hit] >> _U(32)) * _U(k) >> _U(32)).astype(np.int64), now[hit], v[hit], owner[live[hit]]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -181,45 +182,53 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # links
 # ---------------------------------------------------------------------------
-def _shared(entries: DataFrame) -> DataFrame:
-    """The (key, node) entries of buckets with two members or more."""
-    keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return entries.join(keys, "key")
-
-
 def _leaders(members: DataFrame, count: int) -> DataFrame:
-    """``key, leader``: the smallest node of each of ``count`` hashed parts of a bucket (combined map-side)."""
+    """``key, leader``: of each of ``count`` hashed parts of a bucket the member of highest degree (combined map-side)."""
     part = F.pmod(F.xxhash64("node"), F.lit(count)).alias("part")
-    return members.groupBy("key", part).agg(F.min("node").alias("leader")).select("key", "leader")
+    best = members.groupBy("key", part).agg(F.max(F.struct("degree", "node")).alias("best"))
+    return best.select("key", F.col("best.node").alias("leader"))
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """``key, node, degree`` of all buckets of two members or more; degree: members met in all buckets of a node."""
+    entries = nodes.select("node", F.explode("keys").alias("key"))
+    keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = materialize(entries.join(keys, "key"), "buckets")
+    return met.join(met.groupBy("node").agg(F.sum("n").alias("degree")), "node").select("key", "node", "degree")
+
+
+def _undecided(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The entries of buckets that hold two classes or more."""
+    named = members.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return members.join(keys, "key", "left_semi")
 
 
-def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Compared pairs ``a < b, sim`` and the shingle sets of all nodes that share a bucket.
+def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compared pairs ``a < b, sim``, the classes so far, and the shingle sets of all nodes that share a bucket.
 
     ``nodes``: ``node, doc_id`` (a document that has it), ``keys``.
     """
-    members = materialize(_shared(nodes.select("node", F.explode("keys").alias("key"))), "buckets")
+    members = materialize(_buckets(nodes), "members")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"))
     found = id_text(docs).join(wanted.select("_id").distinct(), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
     sets = materialize(_shingle_sets(found).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    checked, count = None, 1
+    spark = docs.sparkSession
+    checked = spark.createDataFrame([], "a binary, b binary, sim double")
+    classes = spark.createDataFrame([], "node binary, component binary")
+    count = 1
     while not members.isEmpty():
         pairs = members.join(_leaders(members, count), "key")
-        pairs = materialize(pairs.select("key", "node", "leader", F.least("leader", "node").alias("a"),
-                                         F.greatest("leader", "node").alias("b")), "pairs")
-        new = pairs.where("a < b").select("a", "b").distinct()
-        if checked is not None:
-            new = new.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        sims = materialize(_similar(new, sets), "similar")
-        checked = sims if checked is None else checked.unionByName(sims)
+        pairs = materialize(pairs.select("key", "node", F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")), "pairs")
+        new = pairs.where("a < b").select("a", "b").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        checked = checked.unionByName(materialize(_similar(new, sets), "similar"))
         close = checked.where(F.col("sim") >= threshold).select("a", "b")
         # leaders have been compared with all members and leave, as do members similar to a leader
         gone = pairs.join(close, ["a", "b"], "left_semi").unionByName(pairs.where("a = b")).select("key", "node").distinct()
-        members = materialize(_shared(members.join(gone, ["key", "node"], "left_anti")), "open")
+        classes = components(close)
+        members = materialize(_undecided(members.join(gone, ["key", "node"], "left_anti"), classes), "open")
         count *= 2
-    if checked is None:
-        checked = docs.sparkSession.createDataFrame([], "a binary, b binary, sim double")
-    return checked, sets
+    return checked, classes, sets
 
 
 def _across(checked: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -249,9 +258,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     nodes = materialize(sig.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"),
                                                 F.max("size").alias("size"), F.count(F.lit(1)).alias("docs")), "nodes")
     # texts without words need no signature: equal sets are one node already
-    checked, sets = compared_pairs(nodes.where("size > 0"), docs, threshold)
+    checked, classes, sets = compared_pairs(nodes.where("size > 0"), docs, threshold)
     close = checked.where(F.col("sim") >= threshold).select("a", "b")
-    classes = components(close)
     more = materialize(_similar(_across(checked, classes, threshold), sets).where(F.col("sim") >= threshold), "across")
     if not more.isEmpty():
         classes = components(close.unionByName(more.select("a", "b")))
@@ -266,6 +274,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each class, columns unchanged (the one of the smallest id)."""
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
-    return kept
+    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    box = boxed(docs)
+    return box.join(gone, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("gone")), "left_anti").select("doc.*")

@@ -51,6 +51,8 @@ def _key(row):
 def test_query_matches_oracle(spark, con, name):
     q = REG[name]
     df = q.spark_df(spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     rows = df.collect()
     sql = q.oracle()
     if sql is None:

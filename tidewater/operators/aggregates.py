@@ -163,6 +163,35 @@ def rolling_7day(daily: DataFrame, day="order_date", orders="total_orders", reve
     ).drop("_rev")
 
 
+def rolling_distinct(df: DataFrame, day: Column, key: str, days: int = 7, alias: str = "unique_7d") -> DataFrame:
+    """AGG-22: true distinct keys of the trailing ``days`` days, for every day with data.
+
+    Each distinct (key, day) counts for itself and the days after it: an explode by ``days``, then a
+    two-level distinct count (combined map-side).
+    """
+    seen = df.select(F.col(key).alias("_k"), day.alias("_d")).where(F.col("_k").isNotNull() & F.col("_d").isNotNull()).distinct()
+    spread = seen.select("_k", F.explode(F.sequence(F.col("_d"), F.date_add("_d", days - 1))).alias("day")).distinct()
+    n = spread.groupBy("day").agg(F.count(F.lit(1)).alias(alias))
+    return n.join(seen.select(F.col("_d").alias("day")).distinct(), "day", "left_semi")
+
+
+def diversity_report(inter: DataFrame, items: DataFrame, as_of: str, keys: Sequence[str] = (), item="item_id", category="category",
+                     creator="creator_id", created="created_at", click="click", engaged="liked") -> DataFrame:
+    """AGG-24: entropy over categories and creators, mean item age in days, CTR and engagement rate per key (or overall)."""
+    keys = list(keys)
+    j = inter.join(items.select(item, category, creator, created), item)
+    age = (F.unix_micros(F.to_timestamp(F.lit(as_of))) - F.unix_micros(F.col(created).cast("timestamp"))) / F.lit(86400e6)
+    base = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("shown"), F.avg(age).alias("mean_item_age_days"),
+                                F.avg(F.col(click).cast("double")).alias("ctr"), F.avg(F.col(engaged).cast("double")).alias("engagement_rate"))
+    cat = entropy_by(j, keys, category, "category_entropy").withColumnRenamed("distinct_categories", "categories")
+    cre = entropy_by(j, keys, creator, "creator_entropy").withColumnRenamed("distinct_categories", "creators")
+    if keys:
+        return base.join(cat, keys).join(cre, keys)
+    from tidewater.functions.core import glue
+
+    return glue(base, cat, cre)
+
+
 def ranking_coverage(rankings: DataFrame, catalogue: DataFrame, user="user_id", item="item_id") -> DataFrame:
     """AGG-23: users, pairs, items per user, share of the catalogue shown."""
     shown = rankings.agg(
@@ -255,6 +284,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, corr)")
 
 
+def correlation_change(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """AGG-28: pairwise correlation of two samples and its change."""
+    r = correlation_matrix(ref, columns).withColumnRenamed("corr", "corr_ref")
+    c = correlation_matrix(cur, columns).withColumnRenamed("corr", "corr_cur")
+    return r.join(c, ["feature_a", "feature_b"]).withColumn("corr_change", F.col("corr_cur") - F.col("corr_ref"))
+
+
 def grouped_comparison(df: DataFrame, param: str, metric: str) -> DataFrame:
     """AGG-29: mean/std/min/max/count of a metric by a parameter value."""
     return _nonnull(df, [param]).groupBy(param).agg(

@@ -171,16 +171,9 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str | Non
     return df.select("*", *[(F.col(column) == F.lit(v)).cast("int").alias(f"{pre}_{v}") for v in values])
 
 
-def discover_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
-    """Distinct values of a low-cardinality column (one small aggregate to the driver).
-
-    Raises when the column has more than ``max_values`` values, so an
-    unbounded list never reaches the driver.
-    """
-    vals = df.select(column).distinct().limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values; pass them explicitly")
-    return sorted(r[0] for r in vals if r[0] is not None)
+def one_hot_long(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """PRJ-14 with discovered values, as (key, value, 1) rows: no list of values is needed, however many there are."""
+    return df.where(F.col(column).isNotNull()).select(*keys, F.col(column).alias("value"), F.lit(1).alias("flag")).distinct()
 
 
 def log1p_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_log") -> DataFrame:

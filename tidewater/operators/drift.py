@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
@@ -362,6 +362,29 @@ def history_summary(history: DataFrame, metric: str = "psi", threshold: float =
     )
 
 
+def history_overview(history: DataFrame, metric: str = "psi", threshold: float = PSI_THRESHOLD) -> DataFrame:
+    """DFT-12: features, checks, days covered, checks above the threshold and features ever above it."""
+    h = history.where(F.col("metric") == metric)
+    above = F.col("value") > threshold
+    return h.agg(F.countDistinct("feature").alias("features"), F.count(F.lit(1)).alias("checks"), F.countDistinct("ds").alias("days"),
+                 F.count_if(above).alias("checks_above"), F.countDistinct(F.when(above, F.col("feature"))).alias("features_above"))
+
+
+def prediction_trend(pred: DataFrame, day: Column, score: str, threshold: float = 0.5) -> DataFrame:
+    """DFT-12: per day predictions, mean score and positive rate, with the change to the day before (previous day with data)."""
+    g = pred.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("predictions"), F.avg(score).alias("mean_score"),
+                                           F.avg((F.col(score) >= threshold).cast("double")).alias("positive_rate"))
+    w = Window.orderBy("day")  # one row per day
+    return g.withColumn("mean_score_change", F.col("mean_score") - F.lag("mean_score").over(w))
+
+
+def accuracy_alert(df: DataFrame, label: str, score: str, floor: float = 0.80, threshold: float = 0.5) -> DataFrame:
+    """DFT-17: accuracy of labelled predictions; alert below the floor, null without labelled rows."""
+    ok = ((F.col(score) >= threshold).cast("int") == F.col(label)).cast("double")
+    one = df.where(F.col(label).isNotNull()).agg(F.avg(ok).alias("accuracy"), F.count(F.lit(1)).alias("labelled"))
+    return one.withColumn("accuracy_alert", F.col("accuracy") < F.lit(floor))
+
+
 def drift_alerts(summary: DataFrame, auc_now: Column | None = None, auc_base: Column | None = None) -> DataFrame:
     """DFT-14: severity from the number of drifted features (1 low, 2-4 medium, >=5 high);
     AUC drop > 0.05 alert (high above 0.1)."""

@@ -271,10 +271,15 @@ def bootstrap_significance(df: DataFrame, label: str, baseline: str, candidate:
 
 
 def compare_runs(metric_log: DataFrame, run: str = "run_id", metric: str = "metric", step: str = "step",
-                 value: str = "value", metrics: Sequence[str] | None = None) -> DataFrame:
-    """EVL-19: last value (highest step) of each metric per run, pivoted to columns."""
+                 value: str = "value", metrics: Sequence[str] | None = None, params: DataFrame | None = None,
+                 sort_by: str | None = None, descending: bool = True) -> DataFrame:
+    """EVL-19: last value (highest step) of each metric per run, pivoted to columns; next to the run's
+    parameters (``params``: one row per run) and sorted by a metric where asked."""
     last = metric_log.groupBy(run, metric).agg(F.max_by(value, step).alias("_last"))
-    return last.groupBy(run).pivot(metric, list(metrics) if metrics else None).agg(F.first("_last"))
+    out = last.groupBy(run).pivot(metric, list(metrics) if metrics else None).agg(F.first("_last"))
+    if params is not None:
+        out = params.join(out, run, "right")
+    return out.orderBy(F.col(sort_by).desc_nulls_last() if descending else F.col(sort_by).asc_nulls_last(), run) if sort_by else out
 
 
 def best_run(runs: DataFrame, run: str, metric: str, mode: str = "max") -> DataFrame:

@@ -417,6 +417,34 @@ def category_affinity(inter: DataFrame, items: DataFrame, user="user_id", item="
     return g.withColumn("affinity_rank", F.row_number().over(w)).where(F.col("affinity_rank") <= top_n).drop("_n")
 
 
+def attribute_affinity(inter: DataFrame, attribute: str, user="user_id", click="click") -> DataFrame:
+    """AGG-30 for any attribute of the event or its item (creator, media type, hour, device): per user and value
+    the share of the user's events and the CTR."""
+    g = _nonnull(inter, [user, attribute]).groupBy(user, attribute).agg(F.count(F.lit(1)).alias("_n"), F.avg(click).alias(f"{attribute}_ctr"))
+    total = g.groupBy(user).agg(F.sum("_n").alias("_all"))
+    return g.join(total, user).select(user, attribute, (F.col("_n") / F.col("_all")).alias(f"{attribute}_share"), f"{attribute}_ctr")
+
+
+def preference_match(inter: DataFrame, attribute: str, user="user_id") -> DataFrame:
+    """AGG-30: each event with 1 where its attribute (active hour, device) is its user's most frequent one, else 0."""
+    top = mode_by(inter, [user], attribute, "_preferred")
+    return inter.join(top, user, "left").withColumn(
+        f"{attribute}_match", F.coalesce((F.col(attribute) == F.col("_preferred")).cast("int"), F.lit(0))).drop("_preferred")
+
+
+def creator_rates(inter: DataFrame, items: DataFrame, item="item_id", creator="creator_id", created="created_at", user="user_id",
+                  liked="liked", disliked: str | None = None) -> DataFrame:
+    """AGG-31 per creator: followers (users with a like), items, posts per day of activity, likes / (likes + dislikes)."""
+    posts = items.groupBy(creator).agg(F.count(F.lit(1)).alias("items"), (F.datediff(F.max(created), F.min(created)) + 1).alias("_days"))
+    j = inter.join(items.select(item, creator), item)
+    likes = F.sum(F.col(liked))
+    against = F.sum(F.col(disliked)) if disliked else F.sum(F.lit(0))
+    g = j.groupBy(creator).agg(F.countDistinct(F.when(F.col(liked) > 0, F.col(user))).alias("followers"), likes.alias("likes"),
+                               safe_div(likes, likes + against).alias("like_share"))
+    return posts.join(g, creator, "left").select(creator, "items", (F.col("items") / F.col("_days")).alias("posts_per_day"),
+                                                 "followers", "likes", "like_share")
+
+
 def item_quality_rates(inter: DataFrame, items: DataFrame, item="item_id", creator="creator_id",
                        event="event_type") -> DataFrame:
     """AGG-31: per item completion (purchase / view), like share, click share; creator engagement."""

@@ -59,6 +59,15 @@ FEATURE_NAME_RULES = {
 }
 
 
+def feature_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """AGG-13: count, mean, std, min, exact quartiles and max of each numeric column, one row per column."""
+    long = long_form(df, columns)
+    stats = long.groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+                                        F.min("value").alias("min"), F.max("value").alias("max"))
+    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"], ["p25", "p50", "p75"])
+    return stats.join(q, "feature", "left")
+
+
 def feature_summary(df: DataFrame, segment_col: str | None = None) -> DataFrame:
     """AGG-13: rows, columns, column counts by name rule and segment counts, as long rows."""
     counts = {

@@ -82,7 +82,7 @@ def query(
     return deco
 
 
-MODULES = ("relational", "features", "quality", "drift", "eval", "ranking", "sources", "functions")
+MODULES = ("relational", "features", "quality", "drift", "eval", "ranking", "sources", "functions", "extended")
 
 
 def load_all() -> dict[str, Query]:

@@ -225,27 +225,20 @@ def agg11_multi_window(t: Tables):
 
 
 COMBINED_SQL = f"""
-    WITH r AS ({RFM_BASE_SQL}), v AS ({VALUE_SQL}), w AS ({_window_sql(30)}),
+    WITH r AS ({RFM_SCORES_SQL}), v AS ({VALUE_SQL}), w AS ({_window_sql(30)}), t AS ({TEMPORAL_SQL}), b AS ({BEHAVIOR_SQL}),
     c AS (SELECT customer_id, count(*) AS total_orders, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_spent,
-                 round(CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / count(total_amount)) / 100 AS avg_order_value, round(max(total_amount), 2) AS max_order_value,
-                 round(sum(quantity), 2) AS total_items, min(order_ts) AS first_order_date, max(order_ts) AS last_order_date
-          FROM ({ORDER_LINES_SQL}) s WHERE customer_id IS NOT NULL GROUP BY 1)
-    SELECT r.customer_id, r.recency_days, r.frequency, r.monetary_total, r.monetary_mean, r.monetary_std,
-           r.monetary_min, r.monetary_max,
-           coalesce(v.total_revenue, 0) AS total_revenue, coalesce(v.avg_order_value, 0) AS avg_order_value,
-           coalesce(v.tenure_days, 0) AS tenure_days, coalesce(v.num_orders, 0) AS num_orders,
-           coalesce(v.orders_per_month, 0) AS orders_per_month, coalesce(v.value_trend, 0) AS value_trend,
-           coalesce(v.engagement_score, 0) AS engagement_score, coalesce(v.days_since_last_order, 0) AS days_since_last_order,
-           coalesce(v.predicted_next_purchase_days, 0) AS predicted_next_purchase_days,
-           coalesce(w.orders_last_30d, 0) AS orders_last_30d, coalesce(w.revenue_last_30d, 0) AS revenue_last_30d,
-           coalesce(w.avg_order_value_last_30d, 0) AS avg_order_value_last_30d,
-           coalesce(w.max_order_value_last_30d, 0) AS max_order_value_last_30d,
-           coalesce(w.items_purchased_last_30d, 0) AS items_purchased_last_30d, w.top_category_last_30d,
-           coalesce(c.total_orders, 0) AS total_orders, coalesce(c.total_spent, 0) AS total_spent,
-           coalesce(c.avg_order_value, 0) AS avg_order_value_3, coalesce(c.max_order_value, 0) AS max_order_value,
-           coalesce(c.total_items, 0) AS total_items, c.first_order_date, c.last_order_date
-    FROM r LEFT JOIN v ON r.customer_id = v.customer_id LEFT JOIN w ON r.customer_id = w.customer_id
-    LEFT JOIN c ON r.customer_id = c.customer_id"""
+                 round(CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / count(total_amount)) / 100 AS avg_order_value_5,
+                 round(max(total_amount), 2) AS max_order_value, round(sum(quantity), 2) AS total_items,
+                 min(order_ts) AS first_order_date_5, max(order_ts) AS last_order_date_5
+          FROM ({ORDER_LINES_SQL}) s WHERE customer_id IS NOT NULL GROUP BY 1),
+    j AS (SELECT r.*, t.* EXCLUDE (customer_id), b.* EXCLUDE (customer_id), v.* EXCLUDE (customer_id), w.* EXCLUDE (customer_id),
+                 c.* EXCLUDE (customer_id)
+          FROM r LEFT JOIN t ON r.customer_id = t.customer_id LEFT JOIN b ON r.customer_id = b.customer_id
+          LEFT JOIN v ON r.customer_id = v.customer_id LEFT JOIN w ON r.customer_id = w.customer_id LEFT JOIN c ON r.customer_id = c.customer_id)
+    SELECT customer_segment, most_purchased_category, top_category_last_30d, first_order_date, last_order_date, first_order_date_5,
+           last_order_date_5, coalesce(COLUMNS(* EXCLUDE (customer_segment, most_purchased_category, top_category_last_30d,
+           first_order_date, last_order_date, first_order_date_5, last_order_date_5)), 0) AS '\\0'
+    FROM j"""
 
 
 @query(
@@ -254,13 +247,17 @@ COMBINED_SQL = f"""
     views=["corders", "sales"],
     floats=["monetary_total", "monetary_mean", "monetary_std", "total_revenue", "avg_order_value", "orders_per_month",
             "value_trend", "engagement_score", "predicted_next_purchase_days", "revenue_last_30d",
-            "avg_order_value_last_30d", "items_purchased_last_30d"],
+            "avg_order_value_last_30d", "items_purchased_last_30d", "rfm_score", "avg_days_between_orders", "std_days_between_orders",
+            "weekend_order_ratio", "category_diversity_score", "avg_items_per_order", "cancellation_rate", "delivery_rate",
+            "bulk_buyer_score"],
     headline=True,
 )
 def agg12_combined_features(t: Tables):
     return fe.combine_features(
-        fe.rfm_base(t.corders),
+        fe.rfm_scores(fe.rfm_base(t.corders)),
         [
+            fe.temporal_features(t.corders, order=ORDER_KEYS),
+            fe.behavioral_features(t.sales, cancelled="P", delivered="F"),
             fe.value_features(t.corders, ORDERS_AS_OF, order=ORDER_KEYS),
             fe.window_aggregates(t.sales, ORDERS_AS_OF, 30),
             agg.customer_summary(order_lines(t)),

@@ -60,15 +60,23 @@ def dedup_events(events: DataFrame, key: str = "event_id", ts: str = "event_time
 
 
 def stream_health(events: DataFrame, ts: str = "event_time", every: str = "1 minute", delay: str = "10 minutes",
-                  failure: str = "error") -> DataFrame:
-    """STR-04: per tumbling window: events, events per second, failures, failure rate."""
+                  failure: str = "error", arrival: str | None = None, key: str | None = None) -> DataFrame:
+    """STR-04: per tumbling window: events, events per second, failures, failure rate; with ``arrival`` the mean and
+    largest lag in seconds, with ``key`` the share of repeated keys (sketched distinct count, exact on a batch frame)."""
     w = events.withWatermark(ts, delay).groupBy(F.window(ts, every).alias("w"))
     seconds = F.unix_timestamp(F.col("w.end")) - F.unix_timestamp(F.col("w.start"))
-    out = w.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_type") == failure).alias("failures"))
+    more = []
+    if arrival:
+        lag = (F.unix_micros(F.col(arrival).cast("timestamp")) - F.unix_micros(ts)) / F.lit(1e6)
+        more += [F.avg(lag).alias("mean_lag_seconds"), F.max(lag).alias("max_lag_seconds")]
+    if key:
+        distinct = F.approx_count_distinct(key) if events.isStreaming else F.countDistinct(key)
+        more.append((F.lit(1.0) - F.least(distinct, F.count(key)) / F.count(key)).alias("duplicate_rate"))
+    out = w.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_type") == failure).alias("failures"), *more)
     return out.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events",
         (F.col("events") / seconds).alias("events_per_second"), "failures",
-        (F.col("failures") / F.col("events")).alias("failure_rate"),
+        (F.col("failures") / F.col("events")).alias("failure_rate"), *out.columns[3:],
     )
 
 
@@ -88,6 +96,19 @@ def rolling_item_activity(events: DataFrame, ts: str = "event_time", size: str =
              "unique_viewers")
 
 
+def item_momentum(events: DataFrame, as_of: str, ts: str = "event_time", item: str = "item_id", user: str = "user_id") -> DataFrame:
+    """STR-05, batch twin at one moment: views of the last 1 h, 24 h and 7 d, viewers of the last 24 h, and
+    acceleration: views of the last hour less those of the hour before."""
+    now = F.to_timestamp(F.lit(as_of))
+    age = (F.unix_micros(now) - F.unix_micros(F.col(ts).cast("timestamp"))) / F.lit(3600e6)
+    e = events.where((age >= 0) & (age < 168)).withColumn("_age", age)
+    last = F.count_if(F.col("_age") < 1)
+    return e.groupBy(item).agg(
+        last.alias("views_1h"), F.count_if(F.col("_age") < 24).alias("views_24h"), F.count(F.lit(1)).alias("views_7d"),
+        F.countDistinct(F.when(F.col("_age") < 24, F.col(user))).alias("viewers_24h"),
+        (last - F.count_if((F.col("_age") >= 1) & (F.col("_age") < 2))).alias("acceleration"))
+
+
 def sessions(events: DataFrame, ts: str = "event_time", gap: str = "30 minutes", delay: str = "1 hour",
              user: str = "user_id") -> DataFrame:
     """STR-06: sessions per user (gap-based); events and length in seconds per session."""

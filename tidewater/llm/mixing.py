@@ -20,6 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.core import with_scalars
 from tidewater.llm.common import DOC_COLUMNS, boxed
 from tidewater.session import shuffle_partitions
 
@@ -54,7 +55,7 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, al
     target = F.lit(float(total)) if total is not None else F.col("_all_chars").cast("double")
     share = F.when(F.col("_all_w") > 0, F.col("_w") / F.col("_all_w")).otherwise(F.lit(0.0))
     rate = F.when(F.col("source_chars") > 0, share * target / F.col("source_chars")).otherwise(F.lit(1.0))
-    return s.crossJoin(F.broadcast(t)).select("mix_source", "source_chars", share.alias("weight"), rate.alias("rate"))
+    return with_scalars(s, t).select("mix_source", "source_chars", share.alias("weight"), rate.alias("rate"))
 
 
 def poisson_cdf(rate: Column) -> Column:

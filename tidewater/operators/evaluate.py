@@ -26,8 +26,9 @@ FLOAT64_EPS = 2.220446049250313e-16
 
 
 def classification_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5,
-                           by: Sequence[str] = ()) -> DataFrame:
-    """EVL-01: confusion counts, accuracy, precision, recall, F1 (zero division -> 0)."""
+                           by: Sequence[str] = (), more: Sequence[Column] = ()) -> DataFrame:
+    """EVL-01: confusion counts, accuracy, precision, recall, F1 (zero division -> 0); ``more``: further
+    aggregates of the same pass."""
     y = F.col(label) == 1
     p = F.col(score) >= F.lit(threshold)
     g = df.groupBy(*by).agg(
@@ -35,6 +36,7 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
         F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"),
         F.count_if(~y & ~p).alias("tn"),
+        *more,
     )
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     prec = safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
@@ -74,25 +76,27 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), weigh
     return g.select(*by, F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
 
 
-def log_loss(df: DataFrame, label: str, score: str, by: Sequence[str] = (), eps: float = FLOAT64_EPS) -> DataFrame:
-    """EVL-03: mean cross-entropy with probabilities clipped to [eps, 1 - eps]."""
+def mean_log_loss(label: str, score: str, eps: float = FLOAT64_EPS) -> Column:
     p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label).cast("double")
-    ll = -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
-    return df.groupBy(*by).agg(F.avg(ll).alias("log_loss"))
+    return F.avg(-(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))).alias("log_loss")
+
+
+def log_loss(df: DataFrame, label: str, score: str, by: Sequence[str] = (), eps: float = FLOAT64_EPS) -> DataFrame:
+    """EVL-03: mean cross-entropy with probabilities clipped to [eps, 1 - eps]."""
+    return df.groupBy(*by).agg(mean_log_loss(label, score, eps))
 
 
 def binary_report(df: DataFrame, label: str, score: str, threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
-    """EVL-01..03 together: one row per group."""
+    """EVL-01..03 together: one row per group; one pass for the counts and the loss, one for the ordered scores."""
     by = list(by)
-    m = classification_metrics(df, label, score, threshold, by)
+    m = classification_metrics(df, label, score, threshold, by, [mean_log_loss(label, score)])
     a = roc_auc(df, label, score, by)
-    ll = log_loss(df, label, score, by)
     if by:
-        return m.join(a, by).join(ll, by)
+        return m.join(a, by)
     from tidewater.functions.core import glue
 
-    return glue(m, a, ll)
+    return glue(m, a)
 
 
 def precision_recall_at_k(df: DataFrame, label: str, score: str, ks: Sequence[int], order_tie: str) -> DataFrame:
@@ -180,11 +184,13 @@ def compare_models(df: DataFrame, label: str, baseline: str, candidate: str, pri
     """EVL-08: metrics of both score columns, absolute and percent improvement
     (log loss reversed), and the decision on the primary metric (>= gain)."""
     metrics = ["accuracy", "precision", "recall", "f1", "auc", "log_loss"]
-    b = binary_report(df, label, baseline, threshold).select(*[F.col(m).alias(m) for m in metrics])
-    c = binary_report(df, label, candidate, threshold).select(*[F.col(m).alias(f"new_{m}") for m in metrics])
-    from tidewater.functions.core import glue
-
-    both = glue(b, c)
+    # both scores under one another: every metric is computed once, by model
+    long = df.select(F.col(label).alias("y"), F.explode(F.array(
+        F.struct(F.lit(False).alias("new"), F.col(baseline).cast("double").alias("s")),
+        F.struct(F.lit(True).alias("new"), F.col(candidate).cast("double").alias("s")))).alias("m")).select("y", "m.new", "m.s")
+    report = binary_report(long, "y", "s", threshold, ["new"])
+    both = report.agg(*[F.max(F.when(~F.col("new"), F.col(m))).alias(m) for m in metrics],
+                      *[F.max(F.when(F.col("new"), F.col(m))).alias(f"new_{m}") for m in metrics])
     rows = []
     for m in metrics:
         imp = (F.col(m) - F.col(f"new_{m}")) if m == "log_loss" else (F.col(f"new_{m}") - F.col(m))

@@ -170,13 +170,14 @@ def lowered(texts: list[str | None]) -> list[bytes]:
 
 def distinct_per_text(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each text and their edges."""
-    owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    order = np.lexsort((values, owner))
-    v, o = values[order], owner[order]
+    v = values.copy()
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        v[a:b].sort()
     new = np.ones(len(v), dtype=bool)
-    new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
-    v, o = v[new], o[new]
-    return v, np.searchsorted(o, np.arange(len(edges)))
+    new[1:] = v[1:] != v[:-1]
+    new[edges[:-1][np.diff(edges) > 0]] = True
+    upto = np.concatenate([[0], np.cumsum(new)])
+    return v[new], upto[edges]
 
 
 def span_table() -> np.ndarray:

@@ -22,8 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("m"))
         hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.least("component", "m").alias("c"), F.col("component").alias("old"))
-        hooked = materialize(hooked, "hooked")
-        root = hooked.select(F.col("node").alias("r"), F.col("c").alias("rc"))
+        root = labels.select(F.col("node").alias("r"), F.col("component").alias("rc"))  # labels of labels
         new = materialize(hooked.join(root, hooked["c"] == root["r"]).select("node", F.least("c", "rc").alias("component"), "old"), "labels")
         labels = new.select("node", "component")
         if new.where("component <> old").isEmpty():

@@ -14,7 +14,7 @@
 * **Joining.**  In each bucket the members that share most buckets with others, the centres of groups, become
   leaders and are compared with every member exactly (similarity of the whole sets).  Members similar to a leader
   leave the bucket, buckets whose members are in one class already are done, the others go on to the next round
-  with twice as many leaders, so no bucket emits all pairs.  What that leaves open, links between members of
+  with more leaders, and members of one class are not compared, so no bucket emits all pairs.  What that leaves open, links between members of
   different leaders, is found by the triangle inequality: ``d(x, y) <= t`` needs ``d(y, A) <= t + d(x, A)``
   for the leader ``A`` of ``x``; such pairs in different classes are compared too.  Together this finds the class
   of every similar pair that shares a bucket.
@@ -27,7 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import GOLDEN, SPACED, Words, binary_column, boxed, distinct_per_text, id_text, lowered, materialize, mix64, \
@@ -36,7 +36,7 @@ from tidewater.llm.components import components
 from tidewater.llm.tokens import char_batches
 
 SHINGLE = 5
-BANDS, ROWS = 22, 5
+BANDS, ROWS = 28, 6
 THRESHOLD = 0.8
 _U = np.uint64
 
@@ -116,7 +116,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
         for b in batches:
             texts = b.column(1).to_pylist()
             nodes, sizes, keys = [], [], []
-            for s in char_batches(list(map(len, texts))):
+            for s in char_batches(list(map(len, texts)), 4_000_000):
                 v, edges = _sets(texts[s])
                 sig = dart_minhash(v, edges, bands * rows).reshape(-1, bands, rows)
                 key = np.tile(seeds, (len(edges) - 1, 1))
@@ -182,11 +182,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # links
 # ---------------------------------------------------------------------------
-def _leaders(members: DataFrame, count: int) -> DataFrame:
-    """``key, leader``: of each of ``count`` hashed parts of a bucket the member of highest degree (combined map-side)."""
-    part = F.pmod(F.xxhash64("node"), F.lit(count)).alias("part")
-    best = members.groupBy("key", part).agg(F.max(F.struct("degree", "node")).alias("best"))
-    return best.select("key", F.col("best.node").alias("leader"))
+GROWTH = 16  # leaders per bucket grow by it from round to round
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -197,11 +193,21 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return met.join(met.groupBy("node").agg(F.sum("n").alias("degree")), "node").select("key", "node", "degree")
 
 
+def _leaders(members: DataFrame, count: int) -> DataFrame:
+    """``key, leader, leader_degree, leader_class``: the ``count`` members of highest (degree, node) of each bucket.
+
+    Spark limits the ranking to ``count`` rows per bucket and task before the shuffle.
+    """
+    w = Window.partitionBy("key").orderBy(F.desc("degree"), F.desc("node"))
+    top = members.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= count)
+    return top.select("key", F.col("node").alias("leader"), F.col("degree").alias("leader_degree"), F.col("cls").alias("leader_class"))
+
+
 def _undecided(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The entries of buckets that hold two classes or more."""
-    named = members.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    return members.join(keys, "key", "left_semi")
+    """The entries of buckets that hold two classes or more, with their classes."""
+    named = members.drop("cls").join(classes.withColumnRenamed("component", "cls"), "node", "left").withColumn("cls", F.coalesce("cls", "node"))
+    keys = named.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("key")
+    return named.join(keys, "key", "left_semi")
 
 
 def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -209,7 +215,7 @@ def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple
 
     ``nodes``: ``node, doc_id`` (a document that has it), ``keys``.
     """
-    members = materialize(_buckets(nodes), "members")
+    members = materialize(_buckets(nodes).withColumn("cls", F.col("node")), "members")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"))
     found = id_text(docs).join(wanted.select("_id").distinct(), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
     sets = materialize(_shingle_sets(found).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
@@ -218,16 +224,21 @@ def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple
     classes = spark.createDataFrame([], "node binary, component binary")
     count = 1
     while not members.isEmpty():
-        pairs = members.join(_leaders(members, count), "key")
+        leaders = _leaders(members, count)
+        below = "(degree < leader_degree OR degree = leader_degree AND node < leader) AND cls <> leader_class"
+        pairs = members.join(leaders, "key").where(below)
         pairs = materialize(pairs.select("key", "node", F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")), "pairs")
-        new = pairs.where("a < b").select("a", "b").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        new = pairs.select("a", "b").distinct()
+        if count > 1:
+            new = new.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         checked = checked.unionByName(materialize(_similar(new, sets), "similar"))
         close = checked.where(F.col("sim") >= threshold).select("a", "b")
         # leaders have been compared with all members and leave, as do members similar to a leader
-        gone = pairs.join(close, ["a", "b"], "left_semi").unionByName(pairs.where("a = b")).select("key", "node").distinct()
+        gone = pairs.join(close, ["a", "b"], "left_semi").select("key", "node").unionByName(
+            leaders.select("key", F.col("leader").alias("node"))).distinct()
         classes = components(close)
         members = materialize(_undecided(members.join(gone, ["key", "node"], "left_anti"), classes), "open")
-        count *= 2
+        count *= GROWTH
     return checked, classes, sets
 
 

@@ -139,7 +139,8 @@ _LOW16 = ~np.uint64(0xFFFF)
 
 
 def _ranges(h: np.ndarray, ranges: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    """Range of each anchor by the upper 48 bits of its hash; mixed, as anchors are small hashes."""
+    return ((mix64(h & _LOW16) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
 # ---------------------------------------------------------------------------
@@ -161,6 +162,8 @@ def _anchor_rows(ranges: int, length: int):
         keep[2:] = h[2:] != h[:-2]
         h = h[keep]
         own = _ranges(h, ranges)
+        order = np.argsort(own, kind="stable")
+        h, own = h[order], own[order]
         some, at = np.unique(own, return_index=True)
         return pa.table({"rng": pa.array(some, pa.int32()), "shard": pa.array([key[0].as_py()] * len(some), pa.int32()),
                          "hashes": binary_column([_six(x) for x in np.split(h, at[1:])] if len(some) else [])})

@@ -73,7 +73,7 @@ class Shard:
             key <<= np.uint64(9)
             key[:n - j] |= np.where(left[:n - j] >= j, symbols[j:], np.uint64(0))
         bits = int(n).bit_length()
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank, depth, longest = _ranks(order, key), WORD, int(left.max()) + 1
         while depth < longest and int(rank.max()) + 1 < n:
             nxt = np.zeros(n, dtype=np.int64)
@@ -81,6 +81,7 @@ class Shard:
             order = _packed_order(bits, rank, nxt)
             rank = _ranks(order, rank, nxt)
             depth *= 2
+        order = _packed_order(bits, rank)  # equal suffixes of different strings in order of the strings
         first = np.zeros(n, dtype=bool)
         first[0] = True
         first[1:] = symbols[:-1] == 0

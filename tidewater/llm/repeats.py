@@ -34,7 +34,8 @@ from tidewater.session import shuffle_partitions
 
 LENGTH = 100
 GRAM = 32
-PIECE = 1 << 24  # bytes of text looked at together; fixed, as it sets the bits of the anchors' order
+PIECE = 1 << 24  # most bytes of text looked at together; fixed, as it sets the bits of the anchors' order
+BATCH = 1 << 19  # short texts are looked at in batches of about so many bytes
 _POS = np.uint64(PIECE - 1)
 
 
@@ -65,7 +66,7 @@ class Runs:
         for i, t in enumerate(texts):
             if len(t) < length:
                 continue
-            if size + len(t) >= PIECE and own:
+            if size + len(t) >= min(BATCH, PIECE) and own:
                 yield own, 0
                 own, size = [], 0
             if len(t) >= PIECE:
@@ -175,10 +176,14 @@ def _repeated_anchors(key, table):
     """Of one range: the anchors that come twice, for each shard that has them."""
     shards = table.column("shard").to_pylist()
     lists = [_from_six(v.as_buffer().to_pybytes()) for v in table.column("hashes")]
-    h = np.sort(np.concatenate(lists)) if lists else np.empty(0, np.uint64)
-    twice = np.unique(h[1:][h[1:] == h[:-1]])
-    own = [np.unique(x[np.isin(x, twice)]) for x in lists]
-    rows = [(s, _six(x)) for s, x in zip(shards, own) if len(x)]
+    h = np.concatenate(lists) if lists else np.empty(0, np.uint64)
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    twice = np.zeros(len(h), dtype=bool)
+    twice[order[1:]] = same
+    twice[order[:-1]] |= same
+    cuts = np.cumsum([len(x) for x in lists])[:-1]
+    rows = [(s, _six(np.unique(x[t]))) for s, x, t in zip(shards, lists, np.split(twice, cuts)) if t.any()]
     return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "hashes": binary_column([r[1] for r in rows])})
 
 
@@ -327,7 +332,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
         raise ValueError(f"strings of at least {GRAM} bytes")
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
-    ranges, shards = 4 * n, 8 * n
+    ranges, shards = 2 * n, 2 * n
     name = "tidewater_shards_" + scratch_path(spark, "x")[-32:]
     dealt = id_text(docs).withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
     dealt.repartition(n, "shard").sortWithinPartitions("shard").write.option("path", scratch_path(spark, "shards")).option(

@@ -99,7 +99,7 @@ _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the odd step and of its inverse modulo 2**64, at least ``n`` of each."""
     if len(_powers["up"]) < n:
-        size = 1 << max(20, (n - 1).bit_length())
+        size = 1 << max(18, (n - 1).bit_length())
         for name, step in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
             t = np.full(size, step, dtype=np.uint64)
             t[0] = 1
@@ -107,13 +107,25 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+_BLOCK = 1 << 17
+
+
 def span_hashes(buffer: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans of a buffer (never 0)."""
+    """64-bit hashes of the byte spans of a buffer (never 0); spans in ascending order, not overlapping.
+
+    Prefix sums of byte values times powers, block by block, so that the arrays stay in the cache.
+    """
     raw = np.frombuffer(buffer, dtype=np.uint8)
-    up, down = _power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[raw] * up[:len(raw)], out=sums[1:])
-    return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)) | np.uint64(1)
+    out = np.empty(len(start), dtype=np.uint64)
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(raw) + _BLOCK, _BLOCK)))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        lo, hi = int(start[a]), int(end[b - 1])
+        up, down = _power_tables(hi - lo + 1)
+        sums = np.zeros(hi - lo + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[raw[lo:hi]] * up[:hi - lo], out=sums[1:])
+        s, e = start[a:b] - lo, end[a:b] - lo
+        out[a:b] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
+    return mix64(out) | np.uint64(1)
 
 
 class Words:

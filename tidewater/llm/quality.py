@@ -63,8 +63,8 @@ def context_sums(docs: DataFrame) -> np.ndarray:
                     near = own[d:] == own[:-d]
                     left, right = word[:-d][near], word[d:][near]
                     for j in range(NONZERO):
-                        total += np.bincount(left * DIM + where[right, j], sign[right, j], BUCKETS * DIM)
-                        total += np.bincount(right * DIM + where[left, j], sign[left, j], BUCKETS * DIM)
+                        np.add.at(total, left * DIM + where[right, j], sign[right, j])
+                        np.add.at(total, right * DIM + where[left, j], sign[left, j])
         task = TaskContext.get().partitionId()
         parts = total.astype("<f8").reshape(CHUNKS, -1)
         some = [k for k in range(CHUNKS) if parts[k].any()]
@@ -107,10 +107,10 @@ def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
         if len(some):
             g = vectors[word]
             n = np.diff(edges)[some][:, None]
-            mean = np.add.reduceat(g, edges[some], axis=0, dtype=np.float64) / n
-            square = np.add.reduceat(g * g, edges[some], axis=0, dtype=np.float64) / n
-            step = np.einsum("ij,ij->i", g[1:], g[:-1], dtype=np.float64)
-            step = np.append(step, 0.0)
+            mean = np.add.reduceat(g, edges[some], axis=0) / n
+            step = np.append(np.einsum("ij,ij->i", g[1:], g[:-1]), np.float32(0.0)).astype(np.float64)
+            g *= g
+            square = np.add.reduceat(g, edges[some], axis=0) / n
             step[edges[some + 1] - 1] = 0.0  # a text's last word has no next one
             pairs = np.maximum(n[:, 0] - 1, 1)
             m1 = np.add.reduceat(step, edges[some]) / pairs

@@ -159,6 +159,18 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
 
 
+def test_classes_grow_by_links_between_them(spark):
+    rng = np.random.default_rng(4)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))]
+    df = lambda x: spark.createDataFrame(x, "a long, b long")
+    classes = spark.createDataFrame([], "node long, component long")
+    for part in (links[:30], [], links[30:60], links[60:]):
+        classes = components.joined_classes(classes, df(part))
+    got = {r.node: r.component for r in classes.collect()}
+    want = {r.node: r.component for r in components.components(df(links)).collect()}
+    assert got == {n: want.get(n, n) for n in got} and set(want) <= set(got)
+
+
 # ---- 4 ------------------------------------------------------------------------------------------
 @pytest.mark.parametrize("seed", range(6))
 def test_code_lengths_are_optimal_and_limited(seed):

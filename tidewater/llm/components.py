@@ -27,3 +27,19 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
         if new.where("component <> old").isEmpty():
             return labels
+
+
+def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (``node, component``) after adding links: only links between classes are followed, as links of their
+    components, so what is settled is not gone through again."""
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    known = materialize(classes.select("node", "component").unionByName(
+        ends.join(classes, "node", "left_anti").select("node", F.col("node").alias("component"))), "known")
+    of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    between = links.select("a", "b").join(of("a"), "a").join(of("b"), "b").where("ca <> cb")
+    between = materialize(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "between")
+    if between.isEmpty():
+        return known
+    merged = components(between).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    out = known.join(merged, known["component"] == merged["old"], "left")
+    return materialize(out.select("node", F.coalesce("new", "component").alias("component")), "classes")

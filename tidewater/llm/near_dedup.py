@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import GOLDEN, SPACED, Words, binary_column, boxed, distinct_per_text, id_text, lowered, materialize, mix64, \
-    shingle_runs, unit
-from tidewater.llm.components import components
+    release_memory, shingle_runs, unit
+from tidewater.llm.components import joined_classes
 from tidewater.llm.tokens import char_batches
 
 SHINGLE = 5
@@ -135,6 +135,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays([b.column(0), binary_column(nodes), pa.array(sizes, pa.int64()), lists],
                                              names=["doc_id", "node", "size", "keys"])
+        release_memory()
 
     return id_text(docs).mapInArrow(run, "doc_id long, node binary, size long, keys array<long>")
 
@@ -153,6 +154,7 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
                 items += own
                 nodes += [_node(x) for x in own]
             yield pa.RecordBatch.from_arrays([binary_column(nodes), binary_column(items)], names=["node", "items"])
+        release_memory()
 
     return rows.select("text").mapInArrow(run, "node binary, items binary")
 
@@ -177,6 +179,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 both = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
                 sims.append(both / (len(sa) + len(sb) - both) if len(sa) + len(sb) else 1.0)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sims, pa.float64())], names=["a", "b", "sim"])
+        release_memory()
 
     j = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
     j = j.join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
@@ -235,12 +238,13 @@ def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple
         new = pairs.select("a", "b").distinct()
         if count > 1:
             new = new.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        checked = checked.unionByName(materialize(_similar(new, sets), "similar"))
-        close = checked.where(F.col("sim") >= threshold).select("a", "b")
+        sims = materialize(_similar(new, sets), "similar")
+        checked = checked.unionByName(sims)
+        close = sims.where(F.col("sim") >= threshold).select("a", "b")  # pairs of an earlier round have left then
         # leaders have been compared with all members and leave, as do members similar to a leader
         gone = pairs.join(close, ["a", "b"], "left_semi").select("key", "node").unionByName(
             leaders.select("key", F.col("leader").alias("node"))).distinct()
-        classes = components(close)
+        classes = joined_classes(classes, close)
         members = materialize(_undecided(members.join(gone, ["key", "node"], "left_anti"), classes), "open")
         count *= GROWTH
     return checked, classes, sets
@@ -274,10 +278,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
                                                 F.max("size").alias("size"), F.count(F.lit(1)).alias("docs")), "nodes")
     # texts without words need no signature: equal sets are one node already
     checked, classes, sets = compared_pairs(nodes.where("size > 0"), docs, threshold)
-    close = checked.where(F.col("sim") >= threshold).select("a", "b")
     more = materialize(_similar(_across(checked, classes, threshold), sets).where(F.col("sim") >= threshold), "across")
     if not more.isEmpty():
-        classes = components(close.unionByName(more.select("a", "b")))
+        classes = joined_classes(classes, more.select("a", "b"))
     own = nodes.select("node", "doc_id", "docs").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     own = materialize(own, "own")
     heads = own.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("docs").alias("class_size"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 
 import numpy as np
@@ -66,6 +68,13 @@ def shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
     return mix64(out)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers are kept for later tasks and share an executor with its JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def env_single_thread() -> None:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidewater.llm.common import binary_column, boxed, id_text, materialize
+from tidewater.llm.common import binary_column, boxed, id_text, materialize, release_memory
 from tidewater.session import shuffle_partitions
 
 FAN_IN = 16
@@ -167,6 +167,7 @@ def drop_duplicates(docs: DataFrame, largest: bool = True) -> DataFrame:
             texts = pc.struct_field(b.column(0), [at])
             shas = [hashlib.sha256(t.as_buffer().to_pybytes().lower() if t.is_valid else b"").digest() for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), binary_column(shas)], names=["doc", "sha"])
+        release_memory()
 
     box = boxed(docs)
     key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias("id")

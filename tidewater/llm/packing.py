@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import id_text, materialize
+from tidewater.llm.common import id_text, materialize, release_memory
 from tidewater.llm.tokens import char_batches, encoder
 
 SHARD = 50_000
@@ -60,6 +60,7 @@ def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id:
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.take(pa.array(i, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
                 names=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
+        release_memory()
 
     return id_text(docs).mapInArrow(cut, PIECES)
 

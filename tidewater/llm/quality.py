@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidewater.llm.common import GOLDEN, WORDS_AND_MARKS, Words, binary_column, id_text, mix64
+from tidewater.llm.common import GOLDEN, WORDS_AND_MARKS, Words, binary_column, id_text, mix64, release_memory
 from tidewater.llm.tokens import char_batches
 
 BUCKETS = 1 << 15
@@ -71,6 +71,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int32()), pa.array([task % 64] * len(some), pa.int32()),
              binary_column([parts[k].astype("<f4").tobytes() for k in some])], names=["chunk", "part", "sums"])
+        release_memory()
 
     def add(key, table):
         total = None
@@ -209,6 +210,7 @@ def with_score(docs: DataFrame, vectors: np.ndarray, net: Network, name: str = "
         for b in batches:
             p = net.probability(pooled(b.column(at).to_pylist(), vectors))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, name])
+        release_memory()
 
     return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
@@ -229,5 +231,6 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_lab
     def keep(batches):
         for b in batches:
             yield b.filter(pa.array(net.probability(pooled(b.column(at).to_pylist(), vectors)) >= threshold))
+        release_memory()
 
     return docs.mapInArrow(keep, docs.schema)

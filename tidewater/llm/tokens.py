@@ -225,7 +225,7 @@ def encoder(path: str) -> UnitEncoder:
     return _encoders[path]
 
 
-def char_batches(lengths, limit: int = 1_000_000):
+def char_batches(lengths, limit: int = 300_000):
     """Slices of consecutive texts of about ``limit`` characters each (one text at least)."""
     lo = size = 0
     for i, n in enumerate(lengths):

@@ -16,7 +16,8 @@
   leave the bucket, buckets whose members are in one class already are done, the others go on to the next round
   with more leaders, and members of one class are not compared, so no bucket emits all pairs.  What that leaves open, links between members of
   different leaders, is found by the triangle inequality: ``d(x, y) <= t`` needs ``d(y, A) <= t + d(x, A)``
-  for the leader ``A`` of ``x``; such pairs in different classes are compared too.  Together this finds the class
+  for the leader ``A`` of ``x``; such pairs in different classes are compared too, unless a bound on their common
+  shingles rules them out.  Together this finds the class
   of every similar pair that shares a bucket.
 * **Classes** are the connected components of the verified links.
 """
@@ -141,22 +142,32 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
 
 
 def _shingle_sets(rows: DataFrame) -> DataFrame:
-    """``node, items``: digest and sorted shingle hashes of each text."""
+    """``node, items``: digest and sorted shingle hashes of each text; ``bits, over, size``: which of ``CELLS`` hash
+    cells they fall into, how many more shingles than such cells there are, how many shingles."""
 
     def run(batches):
         for b in batches:
             texts = b.column(0).to_pylist()
-            nodes, items = [], []
+            nodes, items, bits, over, size = [], [], [], [], []
             for s in char_batches(list(map(len, texts))):
                 v, edges = _sets(texts[s])
                 raw, cut = v.tobytes(), edges.tolist()
                 own = [raw[8 * x:8 * y] for x, y in zip(cut, cut[1:])]
                 items += own
                 nodes += [_node(x) for x in own]
-            yield pa.RecordBatch.from_arrays([binary_column(nodes), binary_column(items)], names=["node", "items"])
+                cells = (v % _U(CELLS)).astype(np.int64)
+                for x, y in zip(cut, cut[1:]):
+                    hit = np.bincount(cells[x:y], minlength=CELLS) > 0
+                    bits.append(np.packbits(hit).view("<i8"))
+                    over.append(y - x - int(hit.sum()))
+                    size.append(y - x)
+            flat = np.concatenate(bits) if bits else np.empty(0, dtype=np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, CELLS // 64, dtype=np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([binary_column(nodes), binary_column(items), lists, pa.array(over, pa.int64()), pa.array(size, pa.int64())],
+                                             names=["node", "items", "bits", "over", "size"])
         release_memory()
 
-    return rows.select("text").mapInArrow(run, "node binary, items binary")
+    return rows.select("text").mapInArrow(run, "node binary, items binary, bits array<long>, over long, size long")
 
 
 def _node(items: bytes) -> bytes:
@@ -189,6 +200,7 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # links
 # ---------------------------------------------------------------------------
+CELLS = 1024  # of the bound on common shingles
 GROWTH = 16  # leaders per bucket grow by it from round to round
 
 
@@ -217,8 +229,8 @@ def _undecided(members: DataFrame, classes: DataFrame) -> DataFrame:
     return named.join(keys, "key", "left_semi")
 
 
-def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Compared pairs ``a < b, sim``, the classes so far, and the shingle sets of all nodes that share a bucket.
+def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Compared pairs ``a < b, sim``, where they met, the classes so far, and the shingle sets of all nodes that share a bucket.
 
     ``nodes``: ``node, doc_id`` (a document that has it), ``keys``.
     """
@@ -229,12 +241,14 @@ def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple
     spark = docs.sparkSession
     checked = spark.createDataFrame([], "a binary, b binary, sim double")
     classes = spark.createDataFrame([], "node binary, component binary")
+    met = spark.createDataFrame([], "key long, node binary, a binary, b binary")
     count = 1
     while not members.isEmpty():
         leaders = _leaders(members, count)
         below = "(degree < leader_degree OR degree = leader_degree AND node < leader) AND cls <> leader_class"
         pairs = members.join(leaders, "key").where(below)
         pairs = materialize(pairs.select("key", "node", F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")), "pairs")
+        met = met.unionByName(pairs)
         new = pairs.select("a", "b").distinct()
         if count > 1:
             new = new.join(checked.select("a", "b"), ["a", "b"], "left_anti")
@@ -247,23 +261,34 @@ def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple
         classes = joined_classes(classes, close)
         members = materialize(_undecided(members.join(gone, ["key", "node"], "left_anti"), classes), "open")
         count *= GROWTH
-    return checked, classes, sets
+    return checked, met, classes, sets
 
 
-def _across(checked: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a < b`` in different classes that the triangle inequality allows to be similar."""
+def _across(met: DataFrame, checked: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a < b`` of one bucket in different classes, not compared yet, that the triangle inequality allows to be
+    similar: ``x`` left the bucket as similar to a leader, ``y`` was compared with the same leader there.
+
+    ``met``: ``key, node, a, b`` of every comparison of a bucket's member with a leader (the other of ``a, b``).
+    Two sets have at most as many common shingles as common cells plus what either has beyond its cells, so
+    pairs below the threshold by that bound are no rows at all.
+    """
     loss = 1.0 - threshold
-    near = checked.where((F.col("sim") < threshold) & (F.col("sim") >= 1.0 - 2.0 * loss - 1e-9))
-    near = near.select(F.col("a").alias("leader"), F.col("b").alias("y"), "sim").unionByName(
-        near.select(F.col("b").alias("leader"), F.col("a").alias("y"), "sim"))
+    rows = met.join(checked, ["a", "b"]).select("key", "node", F.when(F.col("node") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("leader"), "sim")
+    rows = rows.where(F.col("sim") >= 1.0 - 2.0 * loss - 1e-9)
     c = lambda name, of: classes.select(F.col("node").alias(of), F.col("component").alias(name))
+    near = rows.where(F.col("sim") < threshold).select("key", "leader", F.col("node").alias("y"), F.col("sim").alias("sy"))
     near = near.join(c("cl", "leader"), "leader", "left").join(c("cy", "y"), "y", "left")
-    near = near.where(F.coalesce("cl", "leader") != F.coalesce("cy", "y")).select("leader", "y", F.col("sim").alias("sy"))
-    close = checked.where(F.col("sim") >= threshold)
-    close = close.select(F.col("a").alias("leader"), F.col("b").alias("x"), F.col("sim").alias("sx")).unionByName(
-        close.select(F.col("b").alias("leader"), F.col("a").alias("x"), F.col("sim").alias("sx")))
-    open_ = near.join(close, "leader").where(F.col("sx") - F.col("sy") <= loss + 1e-9).where("x <> y")
-    return open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    near = near.where(F.coalesce("cl", "leader") != F.coalesce("cy", "y")).select("key", "leader", "y", "sy")
+    close = rows.where(F.col("sim") >= threshold).select("key", "leader", F.col("node").alias("x"), F.col("sim").alias("sx"))
+    slack = F.col("sx") - F.col("sy") <= loss + 1e-9
+    cells = lambda of, t: sets.select(F.col("node").alias(of), *[F.col(n).alias(f"{n}_{t}") for n in ("bits", "over", "size")])
+    near, close = near.join(cells("y", "y"), "y"), close.join(cells("x", "x"), "x")
+    shared = F.aggregate(F.zip_with("bits_x", "bits_y", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda s, n: s + n)
+    most = shared + F.least("over_x", "over_y")
+    possible = most >= threshold / (1.0 + threshold) * (F.col("size_x") + F.col("size_y")) - 1e-6
+    open_ = near.join(close, (near["key"] == close["key"]) & (near["leader"] == close["leader"]) & slack & possible)
+    found = open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
+    return found.join(checked.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -277,8 +302,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     nodes = materialize(sig.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"),
                                                 F.max("size").alias("size"), F.count(F.lit(1)).alias("docs")), "nodes")
     # texts without words need no signature: equal sets are one node already
-    checked, classes, sets = compared_pairs(nodes.where("size > 0"), docs, threshold)
-    more = materialize(_similar(_across(checked, classes, threshold), sets).where(F.col("sim") >= threshold), "across")
+    checked, met, classes, sets = compared_pairs(nodes.where("size > 0"), docs, threshold)
+    more = materialize(_similar(materialize(_across(met, checked, classes, sets, threshold), "open"), sets).where(F.col("sim") >= threshold), "across")
     if not more.isEmpty():
         classes = joined_classes(classes, more.select("a", "b"))
     own = nodes.select("node", "doc_id", "docs").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))

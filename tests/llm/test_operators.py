@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -406,6 +407,22 @@ def test_licenses_equal_brute_force(spark, hard):
     assert [(r.doc_id, r.license, r.span) for r in licenses.scan(hard).collect()] == [(9, "MIT-line", "released under the mit license")]
 
 
+def test_short_licence_lines_equal_a_search_of_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+    def words(text):
+        return f" {' '.join(re.findall('[a-z0-9\x80-\U0010ffff]+', (text or '').lower()))} "
+
+    lines = {n: words(x) for n, x in licenses.TEMPLATES.items() if n.endswith("-line")}
+    want = {(r.doc_id, n) for r in docs.collect() for n, x in lines.items() if x in words(r.text)}
+    got = {(r.doc_id, r.license) for r in licenses.scan(docs).collect() if r.containment == 1 and r.license in lines}
+    assert got == want and sum(n == "all-rights-reserved-line" for _, n in want) == 7
+    rows = [(1, "(c) 2020, ALL RIGHTS\nRESERVED!"), (2, "all rights reserved"), (3, "all rights"), (4, "all rights are reserved"), (5, "x y. Public domain")]
+    few = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"arr": "All rights reserved.", "pd": "public domain"})
+    assert {(r.doc_id, r.license, r.span) for r in few.collect()} == {
+        (1, "arr", "all rights\nreserved"), (2, "arr", "all rights reserved"), (5, "pd", "public domain")}
+
+
 def test_long_templates_and_edits(spark):
     name = "MIT-notice"
     notice = licenses.TEMPLATES[name]

@@ -9,6 +9,8 @@ one of them.  The similarity of that window to the template it contains is then
 Every window that a band retrieves is checked exactly: the share of the template's shingles in the
 window and as many words around it as the template has must reach ``threshold``.  Of templates found
 at overlapping places the best contained one is reported (then the longest).
+A template of fewer than five words is one shingle of all its words; the texts are also cut into shingles of
+that many words, and every one is compared.
 
 The templates are a bounded parameter and travel with the function; documents are read once and
 nothing is shuffled.
@@ -16,13 +18,14 @@ nothing is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import GOLDEN, WORDS, Words, binary_column, distinct_per_text, id_text, lowered, mix64, shingle_runs
+from tidewater.llm import common
+from tidewater.llm.common import GOLDEN, WORDS, Words, binary_column, distinct_per_text, id_text, lowered, mix64
 from tidewater.llm.tokens import char_batches
 
 N = 5
@@ -55,7 +58,8 @@ TEMPLATES = {
     "BSD-notice": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met"),
-    "all-rights-reserved-line": "All rights reserved. No part of this work may be reproduced.",
+    "all-rights-reserved-line": "All rights reserved.",
+    "all-rights-reserved-notice": "All rights reserved. No part of this work may be reproduced.",
 }
 
 
@@ -63,8 +67,15 @@ def _seeds(bands: int) -> np.ndarray:
     return mix64((np.arange(bands, dtype=np.uint64) + np.uint64(77)) * GOLDEN)
 
 
+def shingle_runs(words: Words, n: int = N, shorter: Sequence[int] = tuple(range(1, N))) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ``n``-word shingles of all texts, then of those of each ``shorter`` size, and their edges per size and text."""
+    parts = [common.shingle_runs(words, size) for size in (n, *shorter)]
+    per = np.concatenate([np.diff(edges) for _, edges in parts])
+    return np.concatenate([runs for runs, _ in parts]), np.concatenate([[0], np.cumsum(per)])
+
+
 class Index:
-    """Templates cut into pieces, their distinct shingles, their band values by window size."""
+    """Templates cut into pieces, their distinct shingles, their band values by window size; short templates by words."""
 
     def __init__(self, templates: Mapping[str, str], bands: int = BANDS):
         self.names = sorted(templates)
@@ -72,14 +83,18 @@ class Index:
         self.seeds = _seeds(bands)
         self.by_size: dict[int, list[int]] = {}
         self.of: list[np.ndarray] = []
+        self.short: dict[int, list[int]] = {}  # words, templates
         longest = SIZES[-1] // 2
         for t, name in enumerate(self.names):
             w = Words(lowered([templates[name]]), WORDS)
             if not len(w.h):
                 self.of.append(np.empty(0, dtype=np.uint64))
                 continue
-            runs, _ = shingle_runs(w, N)
+            runs, _ = shingle_runs(w, N, ())
             self.of.append(np.unique(runs))
+            if len(w.h) < N:
+                self.short.setdefault(len(w.h), []).append(t)
+                continue
             for lo in range(0, max(len(runs), 1), longest - N + 1):
                 part = runs[lo:lo + longest - N + 1]
                 words = len(part) + min(N, len(w.h)) - 1
@@ -108,9 +123,11 @@ def _minima(h: np.ndarray, steps: list[int]) -> dict[int, np.ndarray]:
 def find(texts: list[str | None], index: Index, threshold: float = 0.8) -> list[tuple[int, str, float, int, int]]:
     """(text, template, containment, first and last byte of the best span) of every template found."""
     w = Words(lowered(texts), WORDS)
-    runs, edges = shingle_runs(w, N)
-    if not len(runs):
+    every, bounds = shingle_runs(w, N, tuple(index.short))
+    if not len(every):
         return []
+    edges = bounds[:len(texts) + 1]
+    runs = every[:edges[-1]]
     steps = [s // 2 for s in sorted(SIZES)]
     found: set[tuple[int, int, int]] = set()  # window size, block, piece
     for j, seed in enumerate(index.seeds):
@@ -145,6 +162,13 @@ def find(texts: list[str | None], index: Index, threshold: float = 0.8) -> list[
                 word = w.edges[text] + spots[[0, -1]] - edges[text]
                 tail = min(word[1] + N, w.edges[text + 1]) - 1
                 best[text, t] = (share, int(w.start[word[0]] - w.text_start[text]), int(w.end[tail] - w.text_start[text]))
+    for k, (words, own) in enumerate(index.short.items(), 1):
+        cut = bounds[k * len(texts):(k + 1) * len(texts) + 1]
+        for t in own:
+            for at in (cut[0] + np.flatnonzero(every[cut[0]:cut[-1]] == index.of[t][0])).tolist():
+                text = int(np.searchsorted(cut, at, side="right")) - 1
+                word = int(w.edges[text] + at - cut[text])
+                best.setdefault((text, t), (1.0, int(w.start[word] - w.text_start[text]), int(w.end[word + words - 1] - w.text_start[text])))
     out: list[tuple[int, str, float, int, int]] = []
     # of templates that match the same place the one that is contained best, then the longest, counts
     for (text, t), (share, lo, hi) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][0], -len(index.of[x[0][1]]), x[0][1])):

@@ -423,6 +423,34 @@ def test_short_licence_lines_equal_a_search_of_words(spark):
         (1, "arr", "all rights\nreserved"), (2, "arr", "all rights reserved"), (5, "pd", "public domain")}
 
 
+def test_every_occurrence_of_several_licences(spark):
+    t = licenses.TEMPLATES
+    gap = " ".join(f"word{k}" for k in range(30))
+    notices = ["GPL-2.0-notice", "GPL-3.0-notice", "LGPL-2.1-notice", "LGPL-3.0-notice", "AGPL-3.0-notice"]
+    planted = {
+        1: ["GPL-2.0-line", "GPL-3.0-line"], 2: ["MIT-line", "CC-BY-NC-4.0-line", "MIT-line"], 3: ["GPL-3.0-line"] * 4,
+        4: notices, 5: ["MIT-notice", "all-rights-reserved-line", "Apache-2.0-notice"], **{10 + i: [n] for i, n in enumerate(notices)}}
+    for between in ("\n", f"\n{gap}\n"):
+        rows = [(i, f"{gap}\n{between.join(t[n] for n in names)}\n{gap}") for i, names in planted.items()]
+        got = defaultdict(list)
+        for r in sorted(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=lambda r: r.start):
+            got[r.doc_id].append((r.license, r.containment, re.findall("[a-z0-9]+", r.span)))
+        assert got == {i: [(n, 1.0, re.findall("[a-z0-9]+", t[n].lower())) for n in names] for i, names in planted.items()}
+
+
+def test_occurrences_are_tight_and_none_is_lost():
+    t, gap = licenses.TEMPLATES["MIT-notice"], " ".join(f"word{k}" for k in range(20))
+    w = t.split()
+    one = " ".join(w)
+    swapped = " ".join(w[35:] + w[:35])  # sentences in another order
+    inside = " ".join([*w[:30], *gap.split(), *w[30:]])  # words put in
+    stray = " ".join([*w[-8:], *gap.split(), one, *gap.split(), *w[:8]])  # parts before and after the whole
+    index = licenses.Index({"MIT-notice": t})
+    got = licenses.find([one, swapped, inside, stray], index)
+    assert [g[0] for g in got] == [0, 1, 2, 3]
+    assert stray[got[3][3]:got[3][4]] == one.rstrip(".")
+
+
 def test_long_templates_and_edits(spark):
     name = "MIT-notice"
     notice = licenses.TEMPLATES[name]

@@ -6,9 +6,10 @@ shingles.  A license template of ``n`` words is looked up in windows of the smal
 one of them.  The similarity of that window to the template it contains is then at least
 1/7, and with ``BANDS`` one-row bands some band agrees with probability
 ``1 - (6/7) ** BANDS`` (0.9999 for 64).  Templates too long for the largest window are looked up piece by piece.
-Every window that a band retrieves is checked exactly: the share of the template's shingles in the
-window and as many words around it as the template has must reach ``threshold``.  Of templates found
-at overlapping places the best contained one is reported (then the longest).
+Around every window that a band retrieves, as many words on each side as the template has are checked exactly:
+every stretch that holds the share ``threshold`` of the template's shingles is an occurrence of its own, from its first
+to its last shingle; stretches in the template's order come before those in any other.  Occurrences that share half of
+the words of the smaller one are the same place: the best contained one is reported (then the longest).
 A template of fewer than five words is one shingle of all its words; the texts are also cut into shingles of
 that many words, and every one is compared.
 
@@ -18,6 +19,7 @@ nothing is shuffled.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -44,11 +46,27 @@ TEMPLATES = {
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0-line": "Licensed under CC BY-SA 4.0.",
     "GPL-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
     "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
+    "LGPL-2.1-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version."),
+    "LGPL-3.0-notice": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."),
+    "AGPL-3.0-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."),
     "MIT-line": "Released under the MIT License.",
     "MIT-notice": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -83,15 +101,19 @@ class Index:
         self.seeds = _seeds(bands)
         self.by_size: dict[int, list[int]] = {}
         self.of: list[np.ndarray] = []
+        self.places: list[list[int]] = []  # where each distinct shingle first stands in its template
         self.short: dict[int, list[int]] = {}  # words, templates
         longest = SIZES[-1] // 2
         for t, name in enumerate(self.names):
             w = Words(lowered([templates[name]]), WORDS)
             if not len(w.h):
                 self.of.append(np.empty(0, dtype=np.uint64))
+                self.places.append([])
                 continue
             runs, _ = shingle_runs(w, N, ())
-            self.of.append(np.unique(runs))
+            mine, first = np.unique(runs, return_index=True)
+            self.of.append(mine)
+            self.places.append(first.tolist())
             if len(w.h) < N:
                 self.short.setdefault(len(w.h), []).append(t)
                 continue
@@ -120,8 +142,67 @@ def _minima(h: np.ndarray, steps: list[int]) -> dict[int, np.ndarray]:
     return out
 
 
+def _united(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(stretches):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(z, out[-1][1])
+        else:
+            out.append((a, z))
+    return out
+
+
+def _occurrences(spots: list[int], which: list[int], place: list[int], threshold: float, reach: int) -> list[tuple[bool, float, int, int]]:
+    """(loose, share, first, past the last) of the separate occurrences of a template among its matching shingles in a text.
+
+    ``spots``: places of the matching shingles in the text; ``which``: numbers of these; ``place``: where each number
+    stands in the template.  Shingles that follow each other as in the template, up to ``N`` places off, are an occurrence if
+    they hold ``threshold`` of the numbers.  Between these, the numbers may lie in any order within ``reach``: a loose one.
+    """
+    need = threshold * len(place)
+
+    def near(i, j):
+        return spots[j] - spots[i] <= abs(place[which[j]] - place[which[i]]) + N
+
+    def loose(lo, end):
+        count, j = Counter(), lo
+        while j < end:
+            count[which[j]] += 1
+            j += 1
+            while spots[j - 1] - spots[lo] >= reach:
+                lo = _left(count, which, lo)
+            if len(count) < need:
+                continue
+            while j < end and near(j - 1, j) and (which[j] not in count or place[which[j]] > place[which[j - 1]]):
+                count[which[j]] += 1
+                j += 1
+            # what comes again, or is far off and not needed, does not belong to it
+            while count[which[lo]] > 1 or (len(count) - 1 >= need and not near(lo, lo + 1)):
+                lo = _left(count, which, lo)
+            yield True, len(count) / len(place), lo, j
+            count.clear()
+            lo = j
+
+    out, i, rest = [], 0, 0
+    for j in range(1, len(spots) + 1):
+        if j < len(spots) and place[which[j]] > place[which[j - 1]] and near(j - 1, j):
+            continue
+        if j - i >= need:
+            out += [*loose(rest, i), (False, (j - i) / len(place), i, j)]
+            rest = j
+        i = j
+    return [*out, *loose(rest, len(spots))]
+
+
+def _left(count: Counter, which: list[int], lo: int) -> int:
+    count[which[lo]] -= 1
+    if not count[which[lo]]:
+        del count[which[lo]]
+    return lo + 1
+
+
 def find(texts: list[str | None], index: Index, threshold: float = 0.8) -> list[tuple[int, str, float, int, int]]:
-    """(text, template, containment, first and last byte of the best span) of every template found."""
+    """(text, template, containment, first and last byte) of every occurrence of a template."""
     w = Words(lowered(texts), WORDS)
     every, bounds = shingle_runs(w, N, tuple(index.short))
     if not len(every):
@@ -142,43 +223,50 @@ def find(texts: list[str | None], index: Index, threshold: float = 0.8) -> list[
                 while lo < len(values) and values[lo] == b[k]:
                     found.add((size, k, pieces[lo]))
                     lo += 1
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    near: dict[tuple[int, int], list[tuple[int, int]]] = {}  # stretches of shingles to look at, by text and template
+    reach: dict[int, int] = {}  # most shingles that an occurrence spans
     for size, k, p in found:
         t, _, words = index.pieces[p]
-        mine = index.of[t]
+        reach[t] = max(reach.get(t, 0), 3 * (size // 2) + 2 * words)
         # the block and its neighbours, and as many words around as the template has
         lo, hi = max(0, (k - 1) * (size // 2) - words), min(len(runs), (k + 2) * (size // 2) + words)
         first, last = np.searchsorted(edges, [lo, hi - 1], side="right") - 1
         for text in range(first, last + 1):
             a, z = max(lo, edges[text]), min(hi, edges[text + 1])
-            if a >= z:
-                continue
-            hit = np.isin(runs[a:z], mine)
-            if not hit.any():
-                continue
-            share = len(np.unique(runs[a:z][hit])) / len(mine)
-            if share >= threshold and share > best.get((text, t), (0.0,))[0]:
-                spots = a + np.flatnonzero(hit)
-                word = w.edges[text] + spots[[0, -1]] - edges[text]
-                tail = min(word[1] + N, w.edges[text + 1]) - 1
-                best[text, t] = (share, int(w.start[word[0]] - w.text_start[text]), int(w.end[tail] - w.text_start[text]))
+            if a < z:
+                near.setdefault((text, t), []).append((int(a), int(z)))
+    places: dict[int, list[tuple[bool, float, int, np.ndarray]]] = {}  # by text: loose, share, template, words of the matching shingles
+    for (text, t), stretches in near.items():
+        mine = index.of[t]
+        spots = np.concatenate([a + np.flatnonzero(np.isin(runs[a:z], mine)) for a, z in _united(stretches)])
+        which = np.searchsorted(mine, runs[spots])
+        for loose, share, i, j in _occurrences(spots.tolist(), which.tolist(), index.places[t], threshold, reach[t]):
+            word = (w.edges[text] - edges[text] + spots[i:j, None] + np.arange(N)).reshape(-1)
+            places.setdefault(text, []).append((loose, share, t, np.unique(word[word < w.edges[text + 1]])))
     for k, (words, own) in enumerate(index.short.items(), 1):
         cut = bounds[k * len(texts):(k + 1) * len(texts) + 1]
         for t in own:
             for at in (cut[0] + np.flatnonzero(every[cut[0]:cut[-1]] == index.of[t][0])).tolist():
                 text = int(np.searchsorted(cut, at, side="right")) - 1
-                word = int(w.edges[text] + at - cut[text])
-                best.setdefault((text, t), (1.0, int(w.start[word] - w.text_start[text]), int(w.end[word + words - 1] - w.text_start[text])))
+                places.setdefault(text, []).append((False, 1.0, t, w.edges[text] + at - cut[text] + np.arange(words)))
     out: list[tuple[int, str, float, int, int]] = []
-    # of templates that match the same place the one that is contained best, then the longest, counts
-    for (text, t), (share, lo, hi) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][0], -len(index.of[x[0][1]]), x[0][1])):
-        if not any(o[0] == text and lo < o[4] and o[3] < hi for o in reversed(out)):
-            out.append((text, index.names[t], share, lo, hi))
+    for text, found_here in sorted(places.items()):
+        owner = np.full(w.edges[text + 1] - w.edges[text], -1, dtype=np.int64)
+        sizes: list[int] = []
+        # of occurrences at the same place the one that is contained best, then the longest, counts
+        for _, share, t, word in sorted(found_here, key=lambda x: (x[0], -x[1], -len(x[3]), index.names[x[2]], x[3][0])):
+            mine = word - w.edges[text]
+            others, shared = np.unique(owner[mine][owner[mine] >= 0], return_counts=True)
+            if any(2 * n >= min(len(word), sizes[o]) for o, n in zip(others.tolist(), shared.tolist())):
+                continue
+            owner[mine[owner[mine] < 0]] = len(sizes)
+            sizes.append(len(word))
+            out.append((text, index.names[t], share, int(w.start[word[0]] - w.text_start[text]), int(w.end[word[-1]] - w.text_start[text])))
     return out
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, threshold: float = 0.8) -> DataFrame:
-    """One row per document and license found: ``doc_id, license, containment, start, end, span``.
+    """One row per document and occurrence of a license: ``doc_id, license, containment, start, end, span``.
 
     ``start``/``end``: bytes of the lower-cased UTF-8 text from the first to the last matching shingle;
     ``span`` is that text.  Documents without a match, without words and null texts give no row; equal

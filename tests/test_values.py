@@ -105,3 +105,16 @@ def test_cell_retrieval_with_all_cells_is_exact(spark):
     assert {(r.query_id, r.rank): r.item_id for r in every.collect()} == want
     some = {(r.query_id, r.item_id) for r in ranking.cell_top_k(q, e, 5, exclude_self=True, cell_rows=50, probes=5).collect()}
     assert len(some & {(a, c) for (a, _), c in want.items()}) > 0.7 * len(want)
+
+
+def test_cell_retrieval_with_few_of_many_cells_is_exact(spark):
+    rng = np.random.default_rng(1)
+    vecs = np.concatenate([rng.normal(size=(500, 16)), rng.normal(size=(500, 16)) * 0.05 + rng.normal(size=(20, 16)).repeat(25, axis=0) * 3])
+    rows = [(int(k), [float(x) for x in v]) for k, v in enumerate(vecs)] + [(1000, [0.0] * 16)]
+    e = spark.createDataFrame(rows, "item_id long, item_vec array<double>")
+    q = e.where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), F.col("item_vec").alias("query_vec"))
+    want = {(r.query_id, r.rank): r.item_id for r in ranking.top_k_inner_product(q, e, 10, exclude_self=True).collect()}
+    got = {(r.query_id, r.rank): r.item_id for r in ranking.cell_top_k(q, e, 10, exclude_self=True, cell_rows=10, probes=3, block=64).collect()}
+    assert got == want
+    part = {(r.query_id, r.rank): r.item_id for r in ranking.cell_top_k(q, e, 10, exclude_self=True, cell_rows=10, probes=3, exact=False).collect()}
+    assert part != want

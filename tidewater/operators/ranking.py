@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
+from tidewater.session import materialize
 
 
 def _blocks(n: int, size: int) -> int:
@@ -104,52 +105,77 @@ def fit_cells(items: DataFrame, i_id: str = "item_id", i_vec: str = "item_vec",
     k = int(min(MAX_CELLS, max(1, math.ceil(n / cell_rows)), max(1, len(x) // 10)))
     centres = x[:k].copy()
     for _ in range(rounds):
-        own = np.argmin((centres * centres).sum(1) - 2.0 * x @ centres.T, axis=1)
+        half = 0.5 * (centres * centres).sum(1)
+        own = np.concatenate([np.argmax(x[a:a + 1_024] @ centres.T - half, axis=1) for a in range(0, max(len(x), 1), 1_024)])
         for c in range(k):
             if (own == c).any():
                 centres[c] = x[own == c].mean(axis=0)
     return centres
 
 
+def _pieces(batches):
+    """At most 1,024 rows at a time, as every row meets every centre."""
+    for b in batches:
+        for a in range(0, len(b), 1_024):
+            yield b[a:a + 1_024]
+
+
 def cell_top_k(
     queries: DataFrame, items: DataFrame, k: int, q_id: str = "query_id", q_vec: str = "query_vec", i_id: str = "item_id",
     i_vec: str = "item_vec", probes: int = 16, exclude_self: bool = False, cell_rows: int = 1_000, block: int = 4_096,
-    centres: np.ndarray | None = None,
+    centres: np.ndarray | None = None, exact: bool = True,
 ) -> DataFrame:
-    """EVL-13 for large item sides: the best ``k`` items of the ``probes`` cells nearest to each query, exact inside.
-
-    Every item lies in the cell of its nearest centre (``fit_cells``), every query goes to ``probes`` cells, so a query
-    meets a bounded share of the items instead of all.  Cells and their queries are cut into blocks of
-    ``block`` rows (cell sizes, at most ``MAX_CELLS`` numbers, reach the driver), so a large cell is several groups.
-    Recall against ``top_k_inner_product`` grows with ``probes``; all cells give the exact answer.
+    """EVL-13 for large item sides: the best ``k`` items per query, by cells.
+
+    Every item lies in the cell of its nearest centre (``fit_cells``; the cells are written once to the checkpoint folder).
+    Every query goes to the ``probes`` cells of largest product with the centre first.  No item of a cell scores more
+    than product with the centre + query norm x cell radius, nor more than query norm x largest norm in the cell:
+    a second round asks every cell whose bound reaches the query's ``k``-th score so far, so the answer is that of
+    ``top_k_inner_product``.  Small cells travel together there, in groups of about ``block`` items, so a query
+    is never sent out more often than in the blocked retrieval plus ``probes``.  With ``exact=False`` the first round is the answer, and its recall falls as cells grow in number.
+    How many cells the second round asks depends on the data; vectors without clusters part little.
+    Cells and their queries are cut into blocks of ``block`` rows (cell sizes and radii, at most ``MAX_CELLS`` numbers
+    each, reach the driver), so a large cell is several groups.
     """
     centres = fit_cells(items, i_id, i_vec, cell_rows) if centres is None else centres
     half = 0.5 * (centres * centres).sum(1)
     probes = min(probes, len(centres))
 
     def nearest(batches):
-        for b in batches:
-            x = np.stack(b["vec"].to_numpy()).astype(np.float64)
-            yield pd.DataFrame({"id": b["id"], "vec": b["vec"], "cell": np.argmax(x @ centres.T - half, axis=1)})
-
-    def probe(batches):
-        for b in batches:
+        for b in _pieces(batches):
             x = np.stack(b["vec"].to_numpy()).astype(np.float64)
-            best = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :probes]
-            yield pd.DataFrame({"id": np.repeat(b["id"].to_numpy(), probes), "vec": np.repeat(b["vec"].to_numpy(), probes), "cell": best.reshape(-1)})
-
-    vec = "id long, vec array<double>, cell int"
-    it = items.select(F.col(i_id).cast("long").alias("id"), F.col(i_vec).cast("array<double>").alias("vec")).mapInPandas(nearest, vec)
-    q = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).cast("array<double>").alias("vec")).mapInPandas(probe, vec)
-    sizes = {r["cell"]: r["n"] for r in it.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    asked = {r["cell"]: r["n"] for r in q.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    def parts(counts: dict):
-        per = F.array(*[F.lit(_blocks(counts.get(c, 0), block)) for c in range(len(centres))])
-        return F.element_at(per, F.col("cell") + 1)
-
-    it = it.withColumn("ib", F.pmod(F.xxhash64("id"), parts(sizes)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), parts(asked) - 1)))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), parts(asked)).cast("int")).withColumn("ib", F.explode(F.sequence(F.lit(0), parts(sizes) - 1)))
+            cell = np.argmax(x @ centres.T - half, axis=1)
+            yield pd.DataFrame({"id": b["id"], "vec": b["vec"], "cell": cell, "away": np.linalg.norm(x - centres[cell], axis=1),
+                                "norm": np.linalg.norm(x, axis=1)})
+
+    item = items.select(F.col(i_id).cast("long").alias("id"), F.col(i_vec).cast("array<double>").alias("vec"))
+    it = materialize(item.mapInPandas(nearest, "id long, vec array<double>, cell int, away double, norm double"), "cells")
+    cells = it.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r"), F.max("norm").alias("m")).collect()
+    rows = np.zeros(len(centres), dtype=np.int64)
+    radius, longest = np.full(len(centres), -np.inf), np.full(len(centres), -np.inf)  # an empty cell is never asked
+    for r in cells:
+        rows[r["cell"]], radius[r["cell"]], longest[r["cell"]] = r["n"], r["r"], r["m"]
+    alone = np.arange(len(centres))
+    group = (np.cumsum(rows) - rows) // block  # of the second round
+
+    def probe(further: bool):
+        def run(batches):
+            for b in _pieces(batches):
+                x = np.stack(b["vec"].to_numpy()).astype(np.float64)
+                near = x @ centres.T
+                first = np.argsort(-near, axis=1, kind="stable")[:, :probes]
+                ask = np.zeros(near.shape, dtype=bool)
+                np.put_along_axis(ask, first, True, axis=1)
+                if further:
+                    norm = np.linalg.norm(x, axis=1)[:, None]
+                    bound = np.minimum(near + norm * radius, norm * longest)
+                    slack = 1e-9 * norm * np.abs(longest)  # of rounding
+                    ask = ~ask & np.isfinite(radius) & (bound + np.where(np.isfinite(slack), slack, 0) >= b["least"].to_numpy()[:, None])
+                    ask = np.stack([ask[:, group == g].any(axis=1) for g in range(int(group[-1]) + 1)], axis=1)
+                row, cell = np.nonzero(ask)
+                yield pd.DataFrame({"id": b["id"].to_numpy()[row], "vec": b["vec"].to_numpy()[row], "least": b["least"].to_numpy()[row], "cell": cell})
+
+        return run
 
     def best(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -159,17 +185,44 @@ def cell_top_k(
             if exclude_self:
                 scores[qdf["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
             take = min(k, len(ids))
-            for qid, row in zip(qdf["id"].to_numpy(), scores):
-                at = np.flatnonzero(row >= -np.partition(-row, take - 1)[take - 1])  # ties stay for the merge
+            least = qdf["least"].to_numpy()
+            least = np.where(np.isfinite(least), least - 1e-9 * (1 + np.abs(least)), -np.inf)
+            for qid, row, low in zip(qdf["id"].to_numpy(), scores, least):
+                at = np.flatnonzero(row >= max(low, -np.partition(-row, take - 1)[take - 1]))  # ties stay for the merge
                 out.append(pd.DataFrame({"qid": qid, "iid": ids[at], "score": row[at]}))
         out = pd.concat(out) if out else pd.DataFrame({"qid": [], "iid": [], "score": []})
         return out[np.isfinite(out["score"].to_numpy(dtype=np.float64))].astype({"qid": "int64", "iid": "int64", "score": "float64"})
 
     keys = ["cell", "ib", "qb"]
-    found = q.groupBy(*keys).cogroup(it.groupBy(*keys)).applyInPandas(best, "qid long, iid long, score double")
     w = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("iid"))
-    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(F.col("qid").alias(q_id), F.col("iid").alias(i_id), "score", "rank")
+
+    def found(q: DataFrame, of: np.ndarray) -> DataFrame:
+        asked = {r["cell"]: r["n"] for r in q.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        sizes = dict(enumerate(np.bincount(of, rows).astype(int).tolist()))
+
+        def parts(counts: dict):
+            per = F.array(*[F.lit(_blocks(counts.get(c, 0), block)) for c in range(len(sizes))])
+            return F.element_at(per, F.col("cell") + 1)
+
+        i = it.select("id", "vec", F.element_at(F.array(*[F.lit(int(g)) for g in of]), F.col("cell") + 1).alias("cell"))
+        i = i.withColumn("ib", F.pmod(F.xxhash64("id"), parts(sizes)).cast("int")).withColumn(
+            "qb", F.explode(F.sequence(F.lit(0), parts(asked) - 1)))
+        q = q.withColumn("qb", F.pmod(F.xxhash64("id"), parts(asked)).cast("int")).withColumn("ib", F.explode(F.sequence(F.lit(0), parts(sizes) - 1)))
+        return q.groupBy(*keys).cogroup(i.groupBy(*keys)).applyInPandas(best, "qid long, iid long, score double")
+
+    def ranked(df: DataFrame) -> DataFrame:
+        return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    asking = "id long, vec array<double>, least double, cell int"
+    vec = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).cast("array<double>").alias("vec"))
+    out = ranked(found(vec.withColumn("least", F.lit(float("-inf"))).mapInPandas(probe(False), asking), alone))
+    if exact and probes < len(centres):
+        first = materialize(out, "probed")
+        least = first.where(F.col("rank") == k).select(F.col("qid").alias("id"), F.col("score").alias("least"))
+        again = vec.join(least, "id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        both = first.drop("rank").unionByName(found(again.mapInPandas(probe(True), asking), group))
+        out = ranked(both.groupBy("qid", "iid").agg(F.max("score").alias("score")))  # a group may hold cells of the first round
+    return out.select(F.col("qid").alias(q_id), F.col("iid").alias(i_id), "score", "rank")
 
 
 def unseen_top_k(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, user: str = "user_id",

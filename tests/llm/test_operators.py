@@ -367,6 +367,39 @@ def test_texts_longer_than_a_piece(monkeypatch):
             assert all(at.get(int(a) + k, int(h)) == int(h) for k in range(n))
 
 
+@pytest.mark.parametrize("hot", [1, 30])
+def test_hot_anchors_in_single_windows_give_the_same_result(spark, hard, hot):
+    rng = np.random.default_rng(5)
+    passage = bytes(rng.integers(97, 123, 300)).decode()
+    own = [bytes(rng.integers(97, 123, 260)).decode() for _ in range(60)]
+    few = [*own[:4], *own[:4]] * 8
+    rows = [(i, x[:130] + passage + y[130:]) for i, (x, y) in enumerate(zip(own, few))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for df in (docs, hard.where("doc_id <> 11")):
+        a, b = (Counter(tuple(r) for r in repeats.remove_repeats(df, hot=k, with_text=True).collect()) for k in (10**9, hot))
+        assert a == b and sum(a.values()) > 0
+    assert sum(r.n_removed >= 300 for r in repeats.remove_repeats(docs, hot=hot).collect()) == 59
+
+
+def test_a_hot_anchor_is_spread_over_ranges():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    passage = bytes(rng.integers(97, 123, 300))
+    texts = [(bytes(rng.integers(97, 123, 150)) + passage + bytes(rng.integers(97, 123, 150))).decode() for _ in range(5000)]
+    table = pa.table({"doc_id": list(range(5000)), "text": texts})
+    key = (pa.scalar(0),)
+    anchors = repeats._anchor_rows(8, 100)(key, table)
+    find = getattr(repeats, "HOT", None) and repeats._repeated_anchors(repeats.HOT) or repeats._repeated_anchors
+    known = [find((g,), anchors.filter(pa.compute.equal(anchors["rng"], g))) for g in pa.compute.unique(anchors["rng"])]
+    runs = repeats._run_rows(8, 100)(key, table, pa.concat_tables(known)).to_pylist()
+    size = Counter()
+    for r in runs:
+        if r["rng"] >= 0:
+            size[r["rng"]] += len(repeats._unpack(pa.scalar(r["runs"]), "<u8", "<i8", "<i8", "<i4", "<i4")[0][0])
+    assert len(size) == 8 and max(size.values()) < 0.2 * sum(size.values())
+
+
 # ---- 9 ------------------------------------------------------------------------------------------
 def test_fingerprints_of_hard_rows(hard):
     rows = sorted(((r.doc_id is not None, r.doc_id or 0), r.text or "") for r in hard.collect())

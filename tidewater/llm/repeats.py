@@ -14,6 +14,9 @@ smaller id, or earlier in the same document).  Strings never cross documents.
   an anchor has several different strings, shard transforms of these strings are merged
   (``tidewater.llm.bwt``) to ``LENGTH`` symbols; the blocks are the repeated intervals, and every window
   but the first of a block is repeated.
+* **Hot anchors.**  The runs of an anchor with more than ``HOT`` runs do not travel to one range: each is cut into its
+  windows, folded in the shard, and every window goes by itself to the range of a hash of its bytes.  Equal windows
+  have one anchor, so all of them travel this way and meet.
 
 Texts are whole UTF-8 texts (null: empty); rows of equal id are told apart by their text, null ids
 come first.
@@ -34,6 +37,7 @@ from tidewater.session import shuffle_partitions
 
 LENGTH = 100
 GRAM = 32
+HOT = 4_096  # most runs of an anchor that one range takes together
 PIECE = 1 << 24  # most bytes of text looked at together; fixed, as it sets the bits of the anchors' order
 BATCH = 1 << 19  # short texts are looked at in batches of about so many bytes
 _POS = np.uint64(PIECE - 1)
@@ -158,38 +162,48 @@ def _texts(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
 
 def _anchor_rows(ranges: int, length: int):
     def run(key, table):
-        h = np.sort(Runs(_texts(table)[1], length).hash & _LOW16)
-        keep = np.ones(len(h), dtype=bool)  # twice is enough
-        keep[2:] = h[2:] != h[:-2]
-        h = h[keep]
+        h, count = np.unique(Runs(_texts(table)[1], length).hash & _LOW16, return_counts=True)
         own = _ranges(h, ranges)
         order = np.argsort(own, kind="stable")
-        h, own = h[order], own[order]
+        h, own = h[order] | np.minimum(count[order], 0xFFFF).astype(np.uint64), own[order]
         some, at = np.unique(own, return_index=True)
         return pa.table({"rng": pa.array(some, pa.int32()), "shard": pa.array([key[0].as_py()] * len(some), pa.int32()),
-                         "hashes": binary_column([_six(x) for x in np.split(h, at[1:])] if len(some) else [])})
+                         "hashes": binary_column([x.astype("<u8").tobytes() for x in np.split(h, at[1:])] if len(some) else [])})
 
     return run
 
 
-def _repeated_anchors(key, table):
-    """Of one range: the anchors that come twice, for each shard that has them."""
-    shards = table.column("shard").to_pylist()
-    lists = [_from_six(v.as_buffer().to_pybytes()) for v in table.column("hashes")]
-    h = np.concatenate(lists) if lists else np.empty(0, np.uint64)
-    order = np.argsort(h)
-    same = h[order][1:] == h[order][:-1]
-    twice = np.zeros(len(h), dtype=bool)
-    twice[order[1:]] = same
-    twice[order[:-1]] |= same
-    cuts = np.cumsum([len(x) for x in lists])[:-1]
-    rows = [(s, _six(np.unique(x[t]))) for s, x, t in zip(shards, lists, np.split(twice, cuts)) if t.any()]
-    return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "hashes": binary_column([r[1] for r in rows])})
+def _repeated_anchors(hot: int):
+    """Of one range: the anchors that come twice, for each shard that has them, and which of them are hot."""
+
+    def run(key, table):
+        shards = table.column("shard").to_pylist()
+        lists = [np.frombuffer(v.as_buffer().to_pybytes(), "<u8") for v in table.column("hashes")]
+        every = np.concatenate(lists) if lists else np.empty(0, np.uint64)
+        _, back = np.unique(every & _LOW16, return_inverse=True)
+        total = np.bincount(back, (every & ~_LOW16).astype(np.float64))[back] if len(every) else np.empty(0)
+        cuts = np.cumsum([len(x) for x in lists])[:-1]
+        rows = [(s, _six(x[t > 1]), _six(x[t > hot])) for s, x, t in zip(shards, lists, np.split(total, cuts)) if (t > 1).any()]
+        return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "hashes": binary_column([r[1] for r in rows]),
+                         "hot": binary_column([r[2] for r in rows])})
+
+    return run
 
 
 def _run_rows(ranges: int, length: int):
     """Runs of repeated anchors, each distinct string of the shard once; further places are marked at once."""
 
+    def fold(texts, text, start, windows, out_range, out_rows, shard):
+        """Strings of the runs and the first places of the different ones; the others are marked."""
+        strings = [texts[t][a:a + n + length - 1] for t, a, n in zip(text.tolist(), start.tolist(), windows.tolist())]
+        seen: dict[bytes, int] = {}
+        first = np.fromiter((seen.setdefault(s, k) == k for k, s in enumerate(strings)), dtype=bool, count=len(strings))
+        again = np.flatnonzero(~first)
+        if len(again):
+            out_range.append(-1 - shard)
+            out_rows.append(_pack(text[again].astype("<i4"), start[again].astype("<i8"), (start + windows)[again].astype("<i8")))
+        return strings, np.flatnonzero(first)
+
     def run(key, table, hits):
         shard = key[0].as_py()
         ids, texts = _texts(table)
@@ -200,14 +214,21 @@ def _run_rows(ranges: int, length: int):
             some = np.flatnonzero(np.isin(r.hash & _LOW16, known))
             some = some[np.lexsort((r.start[some], r.text[some]))]
             h, text, start, windows = r.hash[some], r.text[some], r.start[some], r.windows[some]
-            strings = [texts[t][a:a + n + length - 1] for t, a, n in zip(text.tolist(), start.tolist(), windows.tolist())]
-            seen: dict[bytes, int] = {}
-            first = np.fromiter((seen.setdefault(s, k) == k for k, s in enumerate(strings)), dtype=bool, count=len(strings))
-            again = np.flatnonzero(~first)
-            if len(again):
-                out_range.append(-1 - shard)
-                out_rows.append(_pack(text[again].astype("<i4"), start[again].astype("<i8"), (start + windows)[again].astype("<i8")))
-            one = np.flatnonzero(first)
+            strings, one = fold(texts, text, start, windows, out_range, out_rows, shard)
+            hot = np.concatenate([_from_six(v.as_buffer().to_pybytes()) for v in hits.column("hot")])
+            large = np.isin(h[one] & _LOW16, hot)
+            if large.any():
+                whole, cut = one[~large], one[large]
+                n = windows[cut]
+                each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                t, a = np.repeat(text[cut], n), np.repeat(start[cut], n) + each
+                parts, single = fold(texts, t, a, np.ones_like(a), out_range, out_rows, shard)
+                parts = [parts[i] for i in single.tolist()]
+                key = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in parts), "<u8")
+                strings = [strings[i] for i in whole.tolist()] + parts
+                h, text = np.concatenate([h[whole], key]), np.concatenate([text[whole], t[single]])
+                start, windows = np.concatenate([start[whole], a[single]]), np.concatenate([windows[whole], np.ones(len(single), np.int64)])
+                one = np.arange(len(h))
             own = _ranges(h[one], ranges)
             one, own = one[np.argsort(own, kind="stable")], np.sort(own)
             for g in np.split(np.arange(len(one)), np.flatnonzero(own[1:] != own[:-1]) + 1):
@@ -326,7 +347,7 @@ def _cut_rows(length: int, with_text: bool):
 # ---------------------------------------------------------------------------
 # jobs
 # ---------------------------------------------------------------------------
-def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the remaining bytes)."""
     if length < GRAM:
         raise ValueError(f"strings of at least {GRAM} bytes")
@@ -340,7 +361,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     table = spark.table(name)
     by_shard = table.groupBy("shard")
     anchors = by_shard.applyInArrow(_anchor_rows(ranges, length), "rng int, shard int, hashes binary")
-    hits = materialize(anchors.groupBy("rng").applyInArrow(_repeated_anchors, "shard int, hashes binary"), "anchors")
+    hits = materialize(anchors.groupBy("rng").applyInArrow(_repeated_anchors(hot), "shard int, hashes binary, hot binary"), "anchors")
     runs = by_shard.cogroup(hits.groupBy("shard")).applyInArrow(_run_rows(ranges, length), "rng int, shard int, runs binary")
     marks = materialize(runs.groupBy("rng").applyInArrow(_mark_rows(length), "shard int, marks binary"), "marks")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import os
 
 import numpy as np
@@ -20,9 +21,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def id_text(docs: DataFrame) -> DataFrame:
-    """Only ``doc_id`` and ``text`` (null: empty); other columns, whatever their names, are ignored."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def id_text(docs: DataFrame, *more: str) -> DataFrame:
+    """Only ``doc_id`` and ``text`` (null: empty) and columns named; others, whatever their names, are ignored."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
 def boxed(docs: DataFrame) -> DataFrame:
@@ -100,41 +101,42 @@ _spaced = np.ones(256, dtype=np.int8)
 _spaced[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = 0
 SPACED = _spaced  # whatever white space separates
 
-_STEP = 0x9E3779B97F4A7C15
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
-_powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
+OCTETS = 8  # leading octets of a span that are hashed eight at once; the rest of a longer span by blake2b
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd step and of its inverse modulo 2**64, at least ``n`` of each."""
-    if len(_powers["up"]) < n:
-        size = 1 << max(18, (n - 1).bit_length())
-        for name, step in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
-            t = np.full(size, step, dtype=np.uint64)
-            t[0] = 1
-            _powers[name] = np.multiply.accumulate(t)
-    return _powers["up"], _powers["down"]
+class Spans:
+    """Byte spans of a buffer, read eight bytes at a time (little-endian, zeros after the end)."""
 
+    def __init__(self, buffer: bytes, start: np.ndarray, end: np.ndarray):
+        padded = buffer + bytes(8)
+        self.buffer, self.start, self.size = buffer, start, end - start
+        self.eight = np.ndarray((len(buffer) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        self.first = self.eight[start] & _MASKS[np.minimum(self.size, 8)]
 
-_BLOCK = 1 << 17
+    def octets(self, k: int, of: np.ndarray) -> np.ndarray:
+        """Octet ``k`` of spans that reach it."""
+        return self.eight[self.start[of] + 8 * k] & _MASKS[np.minimum(self.size[of] - 8 * k, 8)]
 
 
-def span_hashes(buffer: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans of a buffer (never 0); spans in ascending order, not overlapping.
+def span_hashes(spans: Spans) -> np.ndarray:
+    """64-bit hashes of byte spans (never 0).
 
-    Prefix sums of byte values times powers, block by block, so that the arrays stay in the cache.
+    Length and octets are mixed in one after the other, so no sum or power of bytes can cancel out.
     """
-    raw = np.frombuffer(buffer, dtype=np.uint8)
-    out = np.empty(len(start), dtype=np.uint64)
-    cuts = np.unique(np.searchsorted(start, np.arange(0, len(raw) + _BLOCK, _BLOCK)))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        lo, hi = int(start[a]), int(end[b - 1])
-        up, down = _power_tables(hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[raw[lo:hi]] * up[:hi - lo], out=sums[1:])
-        s, e = start[a:b] - lo, end[a:b] - lo
-        out[a:b] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
-    return mix64(out) | np.uint64(1)
+    h = mix64(spans.size.astype(np.uint64) * GOLDEN + spans.first)
+    live = np.flatnonzero(spans.size > 8)
+    for k in range(1, OCTETS):
+        if not len(live):
+            break
+        h[live] = mix64((h[live] ^ GOLDEN) * _M2 + spans.octets(k, live))
+        live = live[spans.size[live] > 8 * (k + 1)]
+    for i in live.tolist():
+        at = spans.start[i]
+        rest = hashlib.blake2b(spans.buffer[at + 8 * OCTETS:at + spans.size[i]], digest_size=8).digest()
+        h[i] = mix64((h[i:i + 1] ^ GOLDEN) * _M2 + np.frombuffer(rest, dtype="<u8"))[0]
+    return h | np.uint64(1)
 
 
 class Words:
@@ -150,7 +152,7 @@ class Words:
         word = c[at] != 0
         after = np.append(at[1:], len(c))
         self.start, self.end = at[word], after[word]
-        self.h = span_hashes(buffer, self.start, self.end)
+        self.h = span_hashes(Spans(buffer, self.start, self.end))
         sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
         self.text_end = np.cumsum(sizes)  # one past the separator
         self.text_start = self.text_end - sizes

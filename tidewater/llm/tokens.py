@@ -2,8 +2,8 @@
 
 The tokenizers' own splitting never joins characters across the borders of letter runs, digits and
 runs of other marks (with the one space before them, where the vocabulary keeps spaces), so the
-ids of a text are the ids of these units one after the other.  Units are found and hashed (64
-bits) for a whole batch of texts at once, and the ids of each unit are kept in a table by hash.
+ids of a text are the ids of these units one after the other.  Units are found for a whole batch of texts at
+once, and the ids of each unit are kept in a table: by hash, with all its bytes, which are compared on every hit.
 That holds for texts of plain characters (Latin-1 letters, digits, ASCII marks but the apostrophe
 of contractions) without runs of white space; any other text is cut at single spaces only, or
 encoded whole where even that cut would be doubtful.
@@ -16,7 +16,7 @@ from itertools import chain
 
 import numpy as np
 
-from tidewater.llm.common import env_single_thread, span_hashes
+from tidewater.llm.common import Spans, env_single_thread, span_hashes
 
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _GAPS = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
@@ -63,7 +63,8 @@ _BYTES = _byte_letters()
 class UnitEncoder:
     """``encode(texts)`` -> (flat ids, ids per text), equal to ``Tokenizer.encode(...).ids``."""
 
-    SLOTS = 1 << 22  # of the table by hash; a later unit replaces an earlier one in its slot
+    SLOTS = 1 << 20  # of the table by hash; a later unit replaces an earlier one in its slot
+    EXACT = 4  # octets of a unit in the table
     LIMIT = 2_000_000  # units with ids in memory; emptied beyond it
 
     def __init__(self, path: str):
@@ -79,7 +80,9 @@ class UnitEncoder:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self.keys = np.zeros(self.SLOTS, dtype=np.uint64)
+        self.sizes = np.zeros(self.SLOTS, dtype=np.int32)  # 0: empty
+        self.octets = [np.zeros(self.SLOTS, dtype=np.uint64) for _ in range(self.EXACT)]
+        self.long: dict[bytes, int] = {}
         self.places = np.zeros(self.SLOTS, dtype=np.int32)
         self.flat = np.empty(1 << 20, dtype=np.uint32)
         self.starts = np.zeros(1 << 18, dtype=np.int64)
@@ -191,22 +194,49 @@ class UnitEncoder:
         return np.concatenate(parts), counts
 
     def _lookup(self, buffer: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units one after the other, and ids per unit.
+
+        A unit's place is found by its hash and taken only where its bytes and length are those that the place was
+        filled with; units longer than ``8 * EXACT`` bytes are found by their bytes.
+        """
         if self.n > self.LIMIT:
             self._clear()
-        h = span_hashes(buffer, start, end)
+        spans = Spans(buffer, start, end)
+        h = span_hashes(spans)
         slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
         place = self.places[slot].astype(np.int64)
-        new = np.flatnonzero(self.keys[slot] != h)
+        same = (self.sizes[slot] == spans.size) & (self.octets[0][slot] == spans.first)
+        live, k = np.flatnonzero(spans.size > 8), 1
+        while len(live) and k < self.EXACT:
+            same[live] &= self.octets[k][slot[live]] == spans.octets(k, live)
+            k += 1
+            live = live[spans.size[live] > 8 * k]
+        same[live] = True  # longer units, below
+        new = np.flatnonzero(~same)
         if len(new):
-            _, first, back = np.unique(h[new], return_index=True, return_inverse=True)
+            # units of this batch that are not in the table, told apart by length and octets
+            key = np.zeros((len(new), 1 + self.EXACT), dtype=np.uint64)
+            key[:, 0], key[:, 1] = spans.size[new], spans.first[new]
+            for k in range(1, self.EXACT):
+                more = np.flatnonzero(spans.size[new] > 8 * k)
+                key[more, 1 + k] = spans.octets(k, new[more])
+            _, first, back = np.unique(key, axis=0, return_index=True, return_inverse=True)
             one = new[first]
             base = self.n
             self._add([buffer[a:b].decode("latin-1") for a, b in zip(start[one].tolist(), end[one].tolist())])
-            place[new] = base + back
-            own, last = np.unique(slot[one][::-1], return_index=True)  # one unit to a slot
+            place[new] = base + back.reshape(-1)
+            at, last = np.unique(slot[one][::-1], return_index=True)  # one unit to a slot
             keep = len(one) - 1 - last
-            self.keys[own] = h[one[keep]]
-            self.places[own] = base + keep
+            self.sizes[at] = spans.size[one[keep]]
+            for k in range(self.EXACT):
+                self.octets[k][at] = key[first[keep], 1 + k]
+            self.places[at] = base + keep
+        for i in live.tolist():
+            unit = buffer[start[i]:end[i]]
+            if unit not in self.long:
+                self.long[unit] = self.n
+                self._add([unit.decode("latin-1")])
+            place[i] = self.long[unit]
         lo = self.starts[place]
         lens = self.starts[place + 1] - lo
         ends = np.cumsum(lens)

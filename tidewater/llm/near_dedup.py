@@ -39,6 +39,7 @@ from tidewater.llm.tokens import char_batches
 SHINGLE = 5
 BANDS, ROWS = 40, 8
 THRESHOLD = 0.8
+ROW = "_near_row"
 _U = np.uint64
 
 
@@ -114,7 +115,8 @@ def _sets(texts: list[str]):
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, node`` (digest of the shingle set), ``size`` (shingles) and the band keys."""
+    """``doc_id, node`` (digest of the shingle set), ``size`` (shingles), the band keys, ``row`` (as given, or else a number)
+    and ``mark`` (hash of the text)."""
 
     def run(batches):
         seeds = mix64((np.arange(bands, dtype=np.uint64) + _U(9)) * GOLDEN)
@@ -134,11 +136,13 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
                 keys.append(key.view(np.int64).reshape(-1))
             flat = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column(0), binary_column(nodes), pa.array(sizes, pa.int64()), lists],
-                                             names=["doc_id", "node", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), binary_column(nodes), pa.array(sizes, pa.int64()), lists, b.column(2), b.column(3)],
+                                             names=["doc_id", "node", "size", "keys", "row", "mark"])
         release_memory()
 
-    return id_text(docs).mapInArrow(run, "doc_id long, node binary, size long, keys array<long>")
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    texts = id_text(docs.withColumn(ROW, row), ROW).select("doc_id", "text", F.col(ROW).alias("row"), F.xxhash64("text").alias("mark"))
+    return texts.mapInArrow(run, "doc_id long, node binary, size long, keys array<long>, row long, mark long")
 
 
 def _shingle_sets(rows: DataFrame) -> DataFrame:
@@ -232,11 +236,12 @@ def _undecided(members: DataFrame, classes: DataFrame) -> DataFrame:
 def compared_pairs(nodes: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Compared pairs ``a < b, sim``, where they met, the classes so far, and the shingle sets of all nodes that share a bucket.
 
-    ``nodes``: ``node, doc_id`` (a document that has it), ``keys``.
+    ``nodes``: ``node, doc_id, mark`` (a document that has it and the hash of its text), ``keys``.
     """
     members = materialize(_buckets(nodes).withColumn("cls", F.col("node")), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"))
-    found = id_text(docs).join(wanted.select("_id").distinct(), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    one_of = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_mark") == F.xxhash64("text"))
+    found = id_text(docs).join(wanted.select("_id", "_mark").distinct(), one_of, "left_semi")
     sets = materialize(_shingle_sets(found).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
     spark = docs.sparkSession
     checked = spark.createDataFrame([], "a binary, b binary, sim double")
@@ -292,31 +297,40 @@ def _across(met: DataFrame, checked: DataFrame, classes: DataFrame, sets: DataFr
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: ``doc_id, class_id`` (smallest id of the class), ``class_size``, ``kept`` (the
-    document of that id), ``n_shingles``.
+    """One row per document: ``doc_id, class_id`` (smallest id of the class), ``class_size``, ``kept`` (one row of
+    each class, of that id), ``n_shingles``.
 
     Documents without words form one class, their sets being equal; null text is empty, null ids
-    take part and come last.  With repeated ids every row of the smallest id is ``kept``.
+    take part and come last.  Of several rows of the smallest id one is ``kept``.
     """
+    return _classed(docs, threshold, bands, rows).drop("row")
+
+
+def _classed(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``near_duplicates`` with ``row``: the documents' own ``ROW`` column where they have one."""
     sig = materialize(signatures(docs, bands, rows), "signatures")
-    nodes = materialize(sig.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"),
-                                                F.max("size").alias("size"), F.count(F.lit(1)).alias("docs")), "nodes")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "mark")
+    nodes = materialize(sig.groupBy("node").agg(F.min(first).alias("head"), F.first("keys").alias("keys"), F.max("size").alias("size"),
+                                                F.count(F.lit(1)).alias("docs")).select("*", "head.doc_id", "head.mark"), "nodes")
     # texts without words need no signature: equal sets are one node already
     checked, met, classes, sets = compared_pairs(nodes.where("size > 0"), docs, threshold)
     more = materialize(_similar(materialize(_across(met, checked, classes, sets, threshold), "open"), sets).where(F.col("sim") >= threshold), "across")
     if not more.isEmpty():
         classes = joined_classes(classes, more.select("a", "b"))
-    own = nodes.select("node", "doc_id", "docs").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = nodes.select("node", "head", "docs").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     own = materialize(own, "own")
-    heads = own.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("docs").alias("class_size"))
-    named = own.join(heads, "component").select("node", "class_id", "class_size")
+    heads = own.groupBy("component").agg(F.min("head").alias("least"), F.sum("docs").alias("class_size"))
+    named = own.join(heads, "component").select("node", "least", "class_size")
     return sig.join(named, "node").select(
-        "doc_id", "class_id", F.col("class_size").cast("long").alias("class_size"),
-        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), F.col("size").alias("n_shingles"))
+        "row", "doc_id", F.col("least.doc_id").alias("class_id"), F.col("class_size").cast("long").alias("class_size"),
+        (F.col("row") == F.col("least.row")).alias("kept"), F.col("size").alias("n_shingles"))
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class, columns unchanged (the one of the smallest id)."""
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    box = boxed(docs)
-    return box.join(gone, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("gone")), "left_anti").select("doc.*")
+    """One document of each class, columns unchanged (the one of the smallest id; null ids last, one row of several).
+
+    Rows are numbered and written first, so that documents of one id, or without any, are told apart.
+    """
+    numbered = materialize(boxed(docs).withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    kept = _classed(numbered.select("doc.doc_id", "doc.text", ROW), **options).where("kept").select(F.col("row").alias(ROW))
+    return numbered.join(kept, ROW, "left_semi").select("doc.*")

@@ -184,9 +184,9 @@ def feature_buckets(texts: list[bytes], max_words: int, buckets: int):
         m = max(len(end) - n + 1, 0)
         inside = np.flatnonzero(owner[:m] == owner[n - 1:n - 1 + m])
         a, b = inside, inside + n - 1
-        found.append(crc_between(before[a], after[b], end[b] - start[a]) % np.uint32(buckets))
+        found.append(crc_between(before[a], after[b], end[b] - start[a]).astype(np.int64) % buckets)
         owners.append(owner[inside])
-    got, owner = np.concatenate(found).astype(np.int64), np.concatenate(owners)
+    got, owner = np.concatenate(found), np.concatenate(owners)
     if max_words > 1:
         order = np.argsort(owner, kind="stable")
         got, owner = got[order], owner[order]
@@ -278,5 +278,6 @@ def resample(docs: DataFrame, target: DataFrame, seed: str = "2024", percent: in
     """``doc_id, n_features, weight, score, rank`` of every row of ``docs``; ``rank`` is null where it is not drawn."""
     gains = bucket_gains(bucket_counts(docs, "text", max_words, buckets), bucket_counts(target, target_column, max_words, buckets))
     scored = weights(docs, gains, max_words).withColumn("score", F.col("weight") + gumbel(seed))
+    scored = materialize(scored, "scored")  # range partitioning reads its input twice
     out = ranked(scored, F.col("n_words") >= min_words, percent)
     return out.select("doc_id", "n_features", "weight", "score", "rank")

@@ -76,7 +76,7 @@ def test_poisson_inversion_at_extreme_rates(spark):
 
 def test_mixing_hard_rows_and_the_salted_way(hard, monkeypatch):
     a = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r.copy) for r in mixing.mix(hard).collect())
-    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 1)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", 1)
     b = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r.copy) for r in mixing.mix(hard).collect())
     assert a == b and a
     assert mixing.mix(hard, weights={"a": 1.0}).where("source <> 'a' OR source IS NULL").count() == 0

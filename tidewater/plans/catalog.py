@@ -82,7 +82,7 @@ def query(
     return deco
 
 
-MODULES = ("relational", "features", "quality", "drift", "eval", "ranking", "sources", "functions", "extended")
+MODULES = ("relational", "features", "quality", "drift", "eval", "ranking", "sources", "functions", "extended", "streams")
 
 
 def load_all() -> dict[str, Query]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import money_avg, money_sum, safe_div
-from tidewater.functions.ranks import exact_quantiles
+from tidewater.functions.ranks import exact_quantiles, join_null_safe
 
 
 def _nonnull(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -253,7 +253,7 @@ def latency_percentiles(df: DataFrame, value: str, keys: Sequence[str] = (), err
         aggs.append(F.avg(error.cast("double")).alias("error_rate"))
     base = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     if keys:
-        return base.join(q, keys, "left")
+        return join_null_safe(base, q, keys, "left")
     from tidewater.functions.core import glue
 
     return glue(base, q)

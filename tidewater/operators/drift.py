@@ -306,16 +306,16 @@ def prediction_drift(ref: DataFrame, cur: DataFrame, score: str, threshold: floa
 
 
 def class_share_shift(ref: DataFrame, cur: DataFrame, cls: str, threshold: float = 0.1) -> DataFrame:
-    """DFT-08: class shares of both tables full-joined; shift above 0.1 flagged."""
-    r = ref.groupBy(cls).agg(F.count(F.lit(1)).alias("_r"))
+    """DFT-08: class shares of both tables full-joined, null a class like any other; shift above 0.1 flagged."""
+    r = ref.groupBy(F.col(cls).alias("_ref_class")).agg(F.count(F.lit(1)).alias("_r"))
     c = cur.groupBy(cls).agg(F.count(F.lit(1)).alias("_c"))
     from pyspark.sql import Window
 
     w = Window.partitionBy(F.lit(0))
     r = r.withColumn("ref_share", F.col("_r") / F.sum("_r").over(w))
     c = c.withColumn("cur_share", F.col("_c") / F.sum("_c").over(w))
-    j = r.join(c, cls, "full").fillna(0.0, ["ref_share", "cur_share"])
-    return j.select(cls, "ref_share", "cur_share", (F.col("cur_share") - F.col("ref_share")).alias("share_shift")) \
+    j = r.join(c, r["_ref_class"].eqNullSafe(c[cls]), "full").fillna(0.0, ["ref_share", "cur_share"])
+    return j.select(F.coalesce(cls, "_ref_class").alias(cls), "ref_share", "cur_share", (F.col("cur_share") - F.col("ref_share")).alias("share_shift")) \
         .withColumn("shift_alert", F.abs(F.col("share_shift")) > threshold)
 
 

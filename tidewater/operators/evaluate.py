@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
-from tidewater.functions.ranks import cumulative, value_counts
+from tidewater.functions.ranks import cumulative, join_null_safe, value_counts
 
 # Default decision thresholds of the comparison rules.
 PROMOTE_AUC_GAIN = 0.02
@@ -93,7 +93,7 @@ def binary_report(df: DataFrame, label: str, score: str, threshold: float = 0.5,
     m = classification_metrics(df, label, score, threshold, by, [mean_log_loss(label, score)])
     a = roc_auc(df, label, score, by)
     if by:
-        return m.join(a, by)
+        return join_null_safe(m, a, by, "left")
     from tidewater.functions.core import glue
 
     return glue(m, a)
@@ -308,10 +308,10 @@ def shadow_comparison(prod: DataFrame, cand: DataFrame, key: str, score: str, th
 
 
 def online_metrics(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
-    """DFT-13: per group n, mean/std score, AUC, CTR (label mean), log loss."""
+    """DFT-13: per group n, mean/std score, AUC, CTR (label mean), log loss; the last three are null without labels."""
     by = list(by)
     base = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"), F.stddev_samp(score).alias("std_score"),
         F.avg(F.col(label).cast("double")).alias("ctr"),
     )
-    return base.join(roc_auc(df, label, score, by), by).join(log_loss(df, label, score, by), by)
+    return join_null_safe(join_null_safe(base, roc_auc(df, label, score, by), by, "left"), log_loss(df, label, score, by), by, "left")

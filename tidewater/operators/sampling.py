@@ -45,14 +45,18 @@ def stratified_split(df: DataFrame, key: str, label: str, train_frac: float = 0.
     if min_rows is not None and df.count() < min_rows:
         raise ValueError(f"fewer than {min_rows} rows")
     h = F.xxhash64(F.col(key).cast("string"), F.lit(salt))
-    d = df.withColumn("_h", h)
-    cum = cumulative(value_counts(d, "_h", [label]), ["_n"], [label]).select(label, F.col("_v").alias("_h"), "_n_cum", "_n_tot")
+    d = df.withColumn("_h", h).withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    cum = cumulative(value_counts(d, "_h", [label]), ["_n"], [label]).select(
+        F.col(label), F.col("_v").alias("_h"), F.col("_n").alias("_same"), "_n_cum", "_n_tot")
     j = join_null_safe(d, cum, [label, "_h"])
     n_train = F.floor(F.col("_n_tot") * F.lit(train_frac))
-    # rows sharing a hash (duplicate keys) stay together; they are counted by their last position
-    return j.withColumn("split", F.when(F.col("_n_cum") <= n_train, "train").otherwise("test")).drop(
-        "_h", "_n_cum", "_n_tot"
-    )
+    before = F.col("_n_cum") - F.col("_same")
+    # rows that share a hash (a repeated key) and lie across the cut are placed by the hash of the row
+    across = (before < n_train) & (F.col("_n_cum") > n_train)
+    clear = j.where(~across).withColumn("split", F.when(F.col("_n_cum") <= n_train, "train").otherwise("test"))
+    cut = running_totals(j.where(across), [label], ["_tie"], {"_place": F.lit(1)}, inclusive=True)
+    cut = cut.withColumn("split", F.when(before + F.col("_place") <= n_train, "train").otherwise("test"))
+    return clear.unionByName(cut.drop("_place")).drop("_h", "_tie", "_same", "_n_cum", "_n_tot")
 
 
 def temporal_split(df: DataFrame, ts: str, order: Sequence[str], fractions: Sequence[float] = (0.7, 0.15, 0.15),

@@ -217,13 +217,13 @@ def previous_period_compare(daily: DataFrame, day: str, metrics: Sequence[str],
 
 
 def peak_hour_and_weekend_share(df: DataFrame, user: str, ts: str) -> DataFrame:
-    """WIN-10: per user the modal hour (lowest on ties) and the weekend share."""
+    """WIN-10: per user the modal hour (lowest on ties) and the weekend share; both null for users without a time."""
     from tidewater.operators.aggregates import mode_by
 
     h = df.select(user, F.hour(ts).alias("hour"), (F.weekday(ts) >= 5).cast("double").alias("_we"))
     peak = mode_by(h, [user], "hour", "peak_hour")
     share = h.groupBy(user).agg(F.avg("_we").alias("weekend_share"))
-    return peak.join(share, user)
+    return join_null_safe(share, peak, [user], "left").select(user, "peak_hour", "weekend_share")
 
 
 def earlier_pair_count(df, keys, order, alias="prior_interactions", mode="history", max_rows=DEFAULT_MAX_ROWS):

@@ -3,6 +3,8 @@ EVL-19, STR-04/05, and the source readers and writers called as such."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tidewater.operators import aggregates as agg
@@ -17,6 +19,8 @@ from tidewater.plans.catalog import query
 from tidewater.plans.tables import EVENTS_AS_OF, EVENTS_SPLIT_TS, ORDERS_AS_OF, Tables
 from tidewater.session import scratch_path
 from tidewater.sources import files as src
+from tidewater.sources import publish as pub
+from tidewater.sources.incremental import DailyTables
 from tidewater.streaming import events as st
 
 
@@ -254,18 +258,68 @@ def src03_written_day_range(t: Tables):
 def src06_snapshot_roundtrip(t: Tables):
     """SRC-06: two versions written, the newer one read."""
     path = scratch_path(t.spark, "snapshot")
-    src.write_snapshot(t.customer, path, "v1")
-    src.write_snapshot(t.customer.where(F.pmod("c_custkey", F.lit(2)) == 0), path, "v2")
-    return src.read_latest(t.spark, path).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    pub.write_snapshot(t.customer, path, "v9")
+    pub.write_snapshot(t.customer.where(F.pmod("c_custkey", F.lit(2)) == 0), path, "v10")
+    return pub.read_latest(t.spark, path).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src07_prediction_sink", "SELECT lang, count(*) AS n, avg(s1) AS mean_score FROM scored GROUP BY 1", views=["scored"], floats=["mean_score"])
-def src07_prediction_sink(t: Tables):
-    """SRC-07: predictions written twice with the same stamp are there once."""
+SRC07_ROWS = """SELECT lang, {n} AS n, avg(s1) AS mean_score FROM scored{where} GROUP BY 1"""
+
+
+def _prediction_runs(t: Tables) -> str:
+    """Two runs of one day, the second over half of the rows, and one of another day, written twice with one stamp."""
     path = scratch_path(t.spark, "predictions")
+    pub.write_predictions(t.scored, path, "2024-01-30", "run-1")
+    pub.write_predictions(t.scored.where(F.pmod("doc_id", F.lit(2)) == 0), path, "2024-01-30", "run-2")
     for _ in range(2):
-        src.write_predictions(t.scored, path, "2024-01-31", "run-1")
-    return t.spark.read.parquet(path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.avg("s1").alias("mean_score"))
+        pub.write_predictions(t.scored, path, "2024-01-31", "run-1")
+    return path
+
+
+@query("src07_prediction_sink", """SELECT CAST('2024-01-30' AS DATE) AS ds, lang, count(*) AS n, avg(s1) AS mean_score FROM scored WHERE doc_id % 2 = 0 GROUP BY 2
+                                   UNION ALL SELECT CAST('2024-01-31' AS DATE), lang, count(*), avg(s1) FROM scored GROUP BY 2""",
+       views=["scored"], floats=["mean_score"])
+def src07_prediction_sink(t: Tables):
+    """SRC-07: the dated sink holds the last run of each day."""
+    return pub.read_predictions(t.spark, _prediction_runs(t)).groupBy("ds", "lang").agg(F.count(F.lit(1)).alias("n"), F.avg("s1").alias("mean_score"))
+
+
+@query("src07_prediction_archive", """SELECT CAST('2024-01-30' AS DATE) AS ds, 'run-1' AS run_ts, count(*) AS n FROM scored
+                                      UNION ALL SELECT CAST('2024-01-30' AS DATE), 'run-2', count(*) FROM scored WHERE doc_id % 2 = 0
+                                      UNION ALL SELECT CAST('2024-01-31' AS DATE), 'run-1', count(*) FROM scored""", views=["scored"])
+def src07_prediction_archive(t: Tables):
+    """SRC-07: the archive holds every run."""
+    return pub.read_archive(t.spark, _prediction_runs(t)).groupBy("ds", "run_ts").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("src11_expired_folders", """SELECT CAST(ts AS DATE) AS ds, count(*) AS n FROM events WHERE CAST(ts AS DATE) >= DATE '2024-02-10' - 30 GROUP BY 1""")
+def src11_expired_folders(t: Tables):
+    """SRC-11: day folders beyond the retention are listed by name and dropped."""
+    path = scratch_path(t.spark, "retention")
+    src.write_partitioned(t.events.withColumn("ds", F.to_date("ts")), path, ["ds"])
+    src.drop_expired(t.spark, path, "2024-02-10", 30)
+    return t.spark.read.parquet(path).groupBy("ds").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "str10_refreshed_rollups",
+    """WITH d AS (SELECT CAST(ts AS DATE) AS ds, count(*) AS events, CAST(sum(click) AS BIGINT) AS clicks FROM interactions GROUP BY 1)
+       SELECT d.ds, CAST(sum(p.events) AS BIGINT) AS events_7d, CAST(sum(p.clicks) AS BIGINT) AS clicks_7d, count(*) AS days_7d
+       FROM d JOIN d p ON p.ds BETWEEN d.ds - 6 AND d.ds GROUP BY 1""",
+    views=["interactions"],
+)
+def str10_refreshed_rollups(t: Tables):
+    """STR-10, SRC-12, STR-08: a first refresh without some rows of three days, then those rows come late and a second one."""
+    rows = t.interactions.select("interaction_id", "click", F.to_date("ts").alias("ds"))
+    late = F.col("ds").isin([date(2024, 1, d) for d in (5, 6, 20)]) & (F.pmod("interaction_id", F.lit(3)) == 0)
+    path = scratch_path(t.spark, "raw")
+    rows.where(~late).write.partitionBy("ds").parquet(path)
+    daily = lambda d: d.groupBy("ds").agg(F.count(F.lit(1)).alias("events"), F.sum("click").cast("bigint").alias("clicks"))
+    tables = DailyTables(t.spark, scratch_path(t.spark, "daily"), daily, ["events", "clicks"])
+    tables.refresh(t.spark.read.schema(rows.schema).parquet(path), "2024-01-31")
+    rows.where(late).write.mode("append").partitionBy("ds").parquet(path)
+    tables.refresh(t.spark.read.schema(rows.schema).parquet(path), "2024-01-31")
+    return tables.read()[1].withColumn("ds", F.col("ds").cast("date"))
 
 
 @query("src08_log_written_and_read", "SELECT event_type, 2 * count(*) AS n FROM events GROUP BY 1")

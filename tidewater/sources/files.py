@@ -9,13 +9,16 @@ is collected except partition values and counts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewater.sources.publish import read_latest, write_predictions, write_snapshot  # noqa: F401
+
 
 # ---------------------------------------------------------------------------
 # readers
@@ -107,17 +110,6 @@ def write_report(report: DataFrame, path: str) -> None:
     report.repartition(1).write.mode("overwrite").json(path)
 
 
-def write_snapshot(df: DataFrame, base: str, version: str, profile: DataFrame | None = None) -> None:
-    """SRC-06: immutable versioned snapshot under ``version=<v>`` plus its column profile.
-
-    A version that exists is never replaced: writing it again fails.  Readers get the newest version with
-    ``read_latest``; the profile (AGG-14) is written next to it as a small parquet table.
-    """
-    df.write.mode("errorifexists").parquet(f"{base}/data/version={version}")
-    if profile is not None:
-        profile.write.mode("errorifexists").parquet(f"{base}/profile/version={version}")
-
-
 def partition_values(spark: SparkSession, base: str, partition: str) -> list[str]:
     """Values of the leading partition column of a path-based table, from its folders alone."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
@@ -126,23 +118,25 @@ def partition_values(spark: SparkSession, base: str, partition: str) -> list[str
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{partition}="))
 
 
-def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    """SRC-06: the newest version, found by listing the folders, then a pruned read."""
-    newest = partition_values(spark, f"{base}/data", "version")[-1]
-    return spark.read.parquet(f"{base}/data").where(F.col("version") == F.lit(newest))
+# ---------------------------------------------------------------------------
+# retention and late data
+# ---------------------------------------------------------------------------
+def expired_partition_dirs(spark: SparkSession, base: str, run_date: str, keep_days: int = 30, partition: str = "ds") -> list[str]:
+    """SRC-11: partition values strictly older than run_date - keep_days, from the folders alone; values that are no dates stay."""
+    cut = date.fromisoformat(run_date) - timedelta(days=keep_days)
+    dated = [v for v in partition_values(spark, base, partition) if re.fullmatch(r"\d{4}-\d{2}-\d{2}", v)]
+    return [v for v in dated if date.fromisoformat(v) < cut]
 
 
-def write_predictions(pred: DataFrame, base: str, ds: str, run_ts: str) -> None:
-    """SRC-07: dated prediction sink plus archive copy stamped with the run time; a rerun with the same stamp replaces its rows."""
-    out = pred.withColumn("ds", F.lit(ds).cast("date")).withColumn("run_ts", F.lit(run_ts))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds", "run_ts").parquet(base)
+def drop_expired(spark: SparkSession, base: str, run_date: str, keep_days: int = 30, partition: str = "ds") -> list[str]:
+    """SRC-11: delete the expired day folders of a path-based table; returns their values."""
+    gone = expired_partition_dirs(spark, base, run_date, keep_days, partition)
+    drop_partition_dirs(spark, base, gone, partition)
+    return gone
 
 
-# ---------------------------------------------------------------------------
-# retention and late data
-# ---------------------------------------------------------------------------
 def expired_partitions(df: DataFrame, run_date: str, keep_days: int = 30, partition: str = "ds") -> DataFrame:
-    """SRC-11: partition values strictly older than run_date - keep_days."""
+    """SRC-11: partition values strictly older than run_date - keep_days, of a table without day folders."""
     cut = F.date_sub(F.lit(run_date).cast("date"), keep_days)
     return df.select(F.col(partition).cast("date").alias(partition)).distinct().where(F.col(partition) < cut)
 

@@ -11,8 +11,8 @@ Top-k retrieval by inner product is exact and blocked:
 
 No user x item pair is ever a row: the largest intermediate has
 ``queries x item_blocks x k`` rows, and the memory of one task is bounded by
-the two block sizes.  Variable ``k`` per query (``k_col``) serves exact
-"top-k among unseen items" by asking for k + seen items.
+the two block sizes.  Items that a user has seen are left out inside the block, by a bitmap of
+the block's places (``unseen_top_k``).  For large item sides see ``codes``.
 """
 
 from __future__ import annotations
@@ -33,6 +33,17 @@ def _blocks(n: int, size: int) -> int:
     return max(1, math.ceil(n / size))
 
 
+def _best(scores: np.ndarray, ids: np.ndarray, k: int, allowed: np.ndarray | None = None) -> np.ndarray:
+    """Places of the ``k`` highest scores, ties to the smaller id; only what ties for the last place is sorted besides them."""
+    at = np.arange(len(ids)) if allowed is None else np.flatnonzero(allowed)
+    if k <= 0:
+        return at[:0]
+    if k < len(at):
+        least = -np.partition(-scores[at], k - 1)[k - 1]
+        at = at[scores[at] >= least]
+    return at[np.lexsort((ids[at], -scores[at]))][:k]
+
+
 def top_k_inner_product(
     queries: DataFrame, items: DataFrame, k: int, q_id: str = "query_id", q_vec: str = "query_vec",
     i_id: str = "item_id", i_vec: str = "item_vec", k_col: str | None = None, exclude_self: bool = False,
@@ -62,22 +73,11 @@ def top_k_inner_product(
         im = np.stack(idf["iv"].to_numpy()).astype(np.float64)
         iids = idf["iid"].to_numpy(dtype=np.int64)
         scores = qm @ im.T
-        out_q, out_i, out_s = [], [], []
-        for r, (qid, kk) in enumerate(zip(qdf["qid"].to_numpy(dtype=np.int64), qdf["kq"].to_numpy())):
-            s = scores[r]
-            keep = np.ones(len(iids), dtype=bool) if not exclude_self else iids != qid
-            s_k, i_k = s[keep], iids[keep]
-            take = min(int(kk), len(i_k))
-            if take <= 0:
-                continue
-            order = np.lexsort((i_k, -s_k))[:take]
-            out_q.append(np.full(take, qid, dtype=np.int64))
-            out_i.append(i_k[order])
-            out_s.append(s_k[order])
-        if not out_q:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "iid": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        return pd.DataFrame({"qid": np.concatenate(out_q), "iid": np.concatenate(out_i), "score": np.concatenate(out_s)})
+        out = []
+        for qid, kk, s in zip(qdf["qid"].to_numpy(dtype=np.int64), qdf["kq"].to_numpy(), scores):
+            at = _best(s, iids, int(kk), iids != qid if exclude_self else None)
+            out.append(pd.DataFrame({"qid": qid, "iid": iids[at], "score": s[at]}))
+        return pd.concat(out)
 
     part = q.groupBy("qb", "ib").cogroup(it.groupBy("qb", "ib")).applyInPandas(
         block_topk, "qid long, iid long, score double"
@@ -225,21 +225,76 @@ def cell_top_k(
     return out.select(F.col("qid").alias(q_id), F.col("iid").alias(i_id), "score", "rank")
 
 
+def item_places(items: DataFrame, item: str, block: int) -> DataFrame:
+    """``iid, ib, place``: a block of about ``block`` items and the place in it, for every distinct item id."""
+    ids = items.select(F.col(item).cast("long").alias("iid")).where(F.col("iid").isNotNull()).distinct()
+    n = _blocks(ids.count(), block)
+    ids = ids.withColumn("ib", F.pmod(F.xxhash64("iid"), F.lit(n)).cast("int"))
+    return ids.withColumn("place", F.row_number().over(Window.partitionBy("ib").orderBy("iid")) - 1)
+
+
+def seen_bitmaps(seen: DataFrame, places: DataFrame, user: str, item: str) -> DataFrame:
+    """``qid, ib, parts``: the places of a block that a user has seen, as bitmaps of 32,768 places without the zeros at their end.
+
+    Tasks fold their rows to bitmaps before the shuffle, so a user with any number of events is one row a block and task.
+    """
+    s = seen.select(F.col(user).cast("long").alias("qid"), F.col(item).cast("long").alias("iid")).where("qid IS NOT NULL AND iid IS NOT NULL")
+    number = F.col("place") + 1  # Spark's buckets begin with 1
+    at = s.join(places, "iid")
+    bits = at.groupBy("qid", "ib", F.bitmap_bucket_number(number).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+    used = F.length(F.rtrim(F.hex("bits"), F.lit("0")))
+    bits = bits.withColumn("bits", F.substring("bits", F.lit(1), F.floor((used + 1) / 2).cast("int")))
+    return bits.groupBy("qid", "ib").agg(F.array_sort(F.collect_list(F.struct("bucket", "bits"))).alias("parts"))
+
+
 def unseen_top_k(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, user: str = "user_id",
-                 item: str = "item_id", **kw) -> DataFrame:
-    """SET-03: best ``k`` items per user among items the user has not interacted with.
+                 item: str = "item_id", query_block: int = 2048, item_block: int = 4096) -> DataFrame:
+    """SET-03: best ``k`` items per user among items the user has not interacted with; ties to the smaller item id.
 
-    Exact: each user asks retrieval for k + (number of distinct seen items),
-    then the seen pairs are removed with a left anti join and ranks renumbered.
+    What a user has seen of a block of items goes into the block as a bitmap and is taken out before the selection, so at most
+    ``k`` rows per user leave a block, however much the user has seen.
     """
-    s = seen.select(user, item).distinct()
-    cnt = s.groupBy(user).agg(F.count(F.lit(1)).alias("_seen"))
-    u = users.join(cnt, user, "left").withColumn("_kq", F.lit(k) + F.coalesce(F.col("_seen"), F.lit(0)))
-    cand = top_k_inner_product(u, items, k, q_id=user, q_vec="user_vec", i_id=item, i_vec="item_vec",
-                               k_col="_kq", **kw)
-    cand = cand.join(s, [user, item], "left_anti")
-    w = Window.partitionBy(user).orderBy(F.desc("score"), F.col(item))
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    part = _unseen_of_blocks(users, items, seen, k, user, item, query_block, item_block)
+    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("iid"))
+    out = part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return out.select(F.col("qid").alias(user), F.col("iid").alias(item), "score", "rank")
+
+
+def _unseen_of_blocks(users, items, seen, k, user, item, query_block, item_block) -> DataFrame:
+    """``qid, ib, iid, score``: the best ``k`` unseen items of each user in each block."""
+    places = materialize(item_places(items, item, item_block), "places")
+    ni = _blocks(places.count(), item_block)
+    nq = _blocks(users.count(), query_block)
+    marks = seen_bitmaps(seen, places, user, item)
+    q = users.select(F.col(user).cast("long").alias("qid"), F.col("user_vec").cast("array<double>").alias("qv"))
+    q = q.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(ni - 1)))).join(marks, ["qid", "ib"], "left")
+    q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(nq)).cast("int"))
+    it = items.select(F.col(item).cast("long").alias("iid"), F.col("item_vec").cast("array<double>").alias("iv")).join(places, "iid")
+    it = it.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+
+    def block(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"qid": [], "ib": [], "iid": [], "score": []})]
+        if len(qdf) and len(idf):
+            ids, place = idf["iid"].to_numpy(dtype=np.int64), idf["place"].to_numpy()
+            scores = np.stack(qdf["qv"].to_numpy()) @ np.stack(idf["iv"].to_numpy()).T
+            for qid, parts, s in zip(qdf["qid"].to_numpy(), qdf["parts"], scores):
+                at = _best(s, ids, k, ~_seen_places(parts, int(place.max()) + 1)[place])
+                out.append(pd.DataFrame({"qid": qid, "ib": idf["ib"].iloc[0], "iid": ids[at], "score": s[at]}))
+        return pd.concat(out).astype({"qid": "int64", "ib": "int32", "iid": "int64", "score": "float64"})
+
+    return q.groupBy("qb", "ib").cogroup(it.groupBy("qb", "ib")).applyInPandas(block, "qid long, ib int, iid long, score double")
+
+
+def _seen_places(parts, n: int) -> np.ndarray:
+    """Flags of the first ``n`` places from the bitmaps of a block (32,768 places each, lowest bit first)."""
+    flags = np.zeros(n, dtype=bool)
+    for p in parts if parts is not None else ():
+        bits = np.unpackbits(np.frombuffer(bytes(p["bits"]), dtype=np.uint8), bitorder="little")
+        low = (int(p["bucket"]) - 1) * 32_768
+        use = min(len(bits), n - low)
+        if use > 0:
+            flags[low:low + use] = bits[:use].astype(bool)
+    return flags
 
 
 def top_k_overlap(ranked: DataFrame, truth: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:

@@ -8,12 +8,13 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidewater.operators import aggregates as agg
-from tidewater.operators import clean
+from tidewater.operators import clean, codes
 from tidewater.operators import drift as dft
 from tidewater.operators import evaluate as ev
 from tidewater.operators import features as fe
 from tidewater.operators import profile as prof
 from tidewater.operators import quality as dq
+from tidewater.operators import ranking as rk
 from tidewater.operators import sampling as sm
 from tidewater.plans.catalog import query
 from tidewater.plans.tables import EVENTS_AS_OF, EVENTS_SPLIT_TS, ORDERS_AS_OF, Tables
@@ -344,20 +345,28 @@ def prj14_one_hot_long(t: Tables):
     return clean.one_hot_long(t.orders, ["o_custkey"], "o_orderpriority")
 
 
-@query(
-    "evl13_cell_retrieval_recall",
-    "SELECT count(*) AS queries, true AS recall_reached FROM embeddings WHERE vec_id % 20 = 0",
-)
-def evl13_cell_retrieval_recall(t: Tables):
-    """EVL-13 by cells: every 20th vector asks for its 10 best others; recall against the exact blocked retrieval.
+DOT = "list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[]))"
+NEIGHBOURS = f"""SELECT query_id, item_id, score, rank FROM (
+          SELECT q.vec_id AS query_id, i.vec_id AS item_id, {DOT.format(a='q.embedding', b='i.embedding')} AS score,
+                 row_number() OVER (PARTITION BY q.vec_id ORDER BY {DOT.format(a='q.embedding', b='i.embedding')} DESC, i.vec_id) AS rank
+          FROM embeddings q JOIN embeddings i ON q.vec_id <> i.vec_id{{where}}) x WHERE rank <= 10"""
 
-    100 cells at 2,000 vectors, of which 8 are asked before the bounds."""
-    from tidewater.operators import ranking as rk
 
+def _vectors(t: Tables):
     e = t.embeddings.select(F.col("vec_id").cast("long").alias("item_id"), F.col("embedding").cast("array<double>").alias("item_vec"))
-    q = e.where(F.pmod("item_id", F.lit(20)) == 0).select(F.col("item_id").alias("query_id"), F.col("item_vec").alias("query_vec"))
-    exact = rk.top_k_inner_product(q, e, 10, exclude_self=True).select("query_id", "item_id")
-    near = rk.cell_top_k(q, e, 10, exclude_self=True, cell_rows=20, probes=8).select("query_id", "item_id", F.lit(1).alias("hit"))
-    share = exact.join(near, ["query_id", "item_id"], "left").agg(
-        F.countDistinct("query_id").alias("queries"), F.avg(F.coalesce("hit", F.lit(0)).cast("double")).alias("r"))
-    return share.select("queries", (F.col("r") >= 0.9).alias("recall_reached"))
+    return e.select(F.col("item_id").alias("query_id"), F.col("item_vec").alias("query_vec")), e
+
+
+@query("evl13_cell_retrieval_recall", NEIGHBOURS.format(where=" WHERE q.vec_id % 20 = 0"), floats=["score"])
+def evl13_cell_retrieval_recall(t: Tables):
+    """EVL-13 by cells: every 20th vector asks for its 10 best others, 8 cells before the bounds."""
+    q, e = _vectors(t)
+    out = rk.cell_top_k(q.where(F.pmod("query_id", F.lit(20)) == 0), e, 10, exclude_self=True, cell_rows=20, probes=8)
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("evl13_code_neighbors", NEIGHBOURS.format(where=""), floats=["score"])
+def evl13_code_neighbors(t: Tables):
+    """EVL-13 by product-quantised codes: every vector asks for its 10 best others, exactly."""
+    q, e = _vectors(t)
+    return codes.code_top_k(q, e, 10, exclude_self=True).withColumn("rank", F.col("rank").cast("bigint"))

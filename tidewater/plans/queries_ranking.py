@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewater.operators import codes
 from tidewater.operators import ranking as rk
 from tidewater.operators import sampling as sm
 from tidewater.plans.catalog import query
@@ -67,8 +68,7 @@ CAND_SQL = f"""SELECT user_id, item_id, score, rank FROM (
 
 
 def _candidates(t: Tables, k: int):
-    return rk.top_k_inner_product(user_vectors(t), item_vectors(t), k, q_id="user_id", q_vec="user_vec",
-                                  i_id="item_id", i_vec="item_vec")
+    return codes.best_k(user_vectors(t), item_vectors(t), k, q_id="user_id", q_vec="user_vec", i_id="item_id", i_vec="item_vec")
 
 
 @query("jn10_user_item_candidates", CAND_SQL, views=["interactions", "items"], floats=["score"])
@@ -117,8 +117,7 @@ def _feed(t: Tables):
     ref = F.to_timestamp(F.lit(EVENTS_AS_OF)).cast("timestamp_ntz")
     active = t.interactions.where(F.col("ts") >= ref - F.expr("INTERVAL 30 DAYS")).select("user_id").distinct()
     users = user_vectors(t).join(active, "user_id", "left_semi")
-    cands = rk.top_k_inner_product(users, item_vectors(t), 100, q_id="user_id", q_vec="user_vec",
-                                   i_id="item_id", i_vec="item_vec")
+    cands = codes.best_k(users, item_vectors(t), 100, q_id="user_id", q_vec="user_vec", i_id="item_id", i_vec="item_vec")
     it = t.items.select("item_id", "category", "creator_id", "quality",
                         F.timestamp_diff("HOUR", F.col("created_at"), ref).alias("age_hours"))
     c = cands.drop("rank").join(it, "item_id")
@@ -168,8 +167,7 @@ def evl16_promoted_slots(t: Tables):
     ref = F.to_timestamp(F.lit(EVENTS_AS_OF)).cast("timestamp_ntz")
     active = t.interactions.where(F.col("ts") >= ref - F.expr("INTERVAL 30 DAYS")).select("user_id").distinct()
     users = user_vectors(t).join(active, "user_id", "left_semi")
-    cands = rk.top_k_inner_product(users, item_vectors(t), 100, q_id="user_id", q_vec="user_vec",
-                                   i_id="item_id", i_vec="item_vec")
+    cands = codes.best_k(users, item_vectors(t), 100, q_id="user_id", q_vec="user_vec", i_id="item_id", i_vec="item_vec")
     rest = cands.join(ranked.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti").join(
         t.items.select("item_id", "quality"), "item_id")
     w = Window.partitionBy("user_id").orderBy(F.desc("quality"), F.col("item_id"))

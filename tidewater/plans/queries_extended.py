@@ -16,9 +16,10 @@ from tidewater.operators import profile as prof
 from tidewater.operators import quality as dq
 from tidewater.operators import ranking as rk
 from tidewater.operators import sampling as sm
+from tidewater.operators import sketches as sk
 from tidewater.plans.catalog import query
 from tidewater.plans.tables import EVENTS_AS_OF, EVENTS_SPLIT_TS, ORDERS_AS_OF, Tables
-from tidewater.session import scratch_path
+from tidewater.session import materialize, scratch_path
 from tidewater.sources import files as src
 from tidewater.sources import publish as pub
 from tidewater.sources.incremental import DailyTables
@@ -370,3 +371,45 @@ def evl13_code_neighbors(t: Tables):
     """EVL-13 by product-quantised codes: every vector asks for its 10 best others, exactly."""
     q, e = _vectors(t)
     return codes.code_top_k(q, e, 10, exclude_self=True).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+SKETCHED_SQL = """SELECT event_type, 'value' AS feature, count(*) AS rows, count(value) AS n, min(value) AS low, max(value) AS high, avg(value) AS mean,
+       stddev_samp(value) AS std, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99
+       FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-31' GROUP BY 1"""
+
+
+def _daily_sketches(t: Tables, by=()):
+    """The daily rows, published by day and read back; at this size a range of days is held whole, so percentiles are exact."""
+    daily = sk.daily_sketches(t.events, ["value"], "ts", by, k=32_768)
+    table = pub.Published(t.spark, scratch_path(t.spark, "sketches"))
+    daily = materialize(daily, "daily")
+    days = [str(r["ds"]) for r in daily.select("ds").distinct().collect()]
+    table.publish_partitions(daily, "ds", days)
+    return table.read(schema=daily.schema)
+
+
+@query("agg27_sketched_percentiles", SKETCHED_SQL, floats=["mean", "std", "low", "high", "p50", "p95", "p99"])
+def agg27_sketched_percentiles(t: Tables):
+    """AGG-27, AGG-14 over 30 days from 30 day rows."""
+    merged = sk.over_days(_daily_sketches(t, ["event_type"]), "2024-01-02", "2024-01-31", ["event_type"])
+    return sk.percentiles(merged, [0.5, 0.95, 0.99])
+
+
+@query(
+    "dft01_sketched_psi",
+    """WITH r AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16' AND value IS NOT NULL),
+       c AS (SELECT value FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND value IS NOT NULL),
+       e AS (SELECT list_sort(list_distinct(quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) AS edges FROM r),
+       b AS (SELECT len(list_filter(edges, lambda x: x < value)) AS bin, 1 AS is_r FROM r, e
+             UNION ALL SELECT len(list_filter(edges, lambda x: x < value)), 0 FROM c, e),
+       s AS (SELECT g.bin, coalesce(sum(is_r), 0) / (SELECT count(*) FROM r) AS pe, count(is_r) FILTER (is_r = 0) / (SELECT count(*) FROM c) AS pa
+             FROM (SELECT unnest(range(0, len(edges) + 1)) AS bin FROM e) g LEFT JOIN b USING (bin) GROUP BY 1),
+       k AS (SELECT CASE WHEN pe <= 0 THEN 0.0001 ELSE pe END AS pe, CASE WHEN pa <= 0 THEN 0.0001 ELSE pa END AS pa FROM s)
+       SELECT 'value' AS feature, (SELECT count(*) FROM r) AS n_ref, (SELECT count(*) FROM c) AS n_cur, CAST(count(*) AS INTEGER) AS bins,
+              sum((pa - pe) * ln(pa / pe)) AS psi FROM k""",
+    floats=["psi"],
+)
+def dft01_sketched_psi(t: Tables):
+    """DFT-01 between two ranges of days from their day rows."""
+    daily = _daily_sketches(t)
+    return sk.psi(sk.over_days(daily, "2023-01-01", "2024-01-15"), sk.over_days(daily, "2024-01-16", "2024-12-31"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.core import money_sum
 from tidewater.operators import aggregates as agg
+from tidewater.operators import customers as cu
 from tidewater.operators import features as fe
 from tidewater.operators import sequence as sq
 from tidewater.operators.profile import column_profile, feature_summary
@@ -224,19 +225,25 @@ def agg11_multi_window(t: Tables):
     return fe.multi_window_aggregates(t.corders, ORDERS_AS_OF, [30, 365])
 
 
+ACCOUNTS = f"""SELECT c_custkey AS customer_id, TIMESTAMP '1992-01-01 00:00:00' + to_days(CAST(c_custkey % 2000 AS INTEGER)) AS registration_date,
+                      c_mktsegment = 'BUILDING' AS is_premium FROM customer"""
+
 COMBINED_SQL = f"""
-    WITH r AS ({RFM_SCORES_SQL}), v AS ({VALUE_SQL}), w AS ({_window_sql(30)}), t AS ({TEMPORAL_SQL}), b AS ({BEHAVIOR_SQL}),
+    WITH r AS ({RFM_SCORES_SQL}), v AS ({VALUE_SQL}), w AS ({_window_sql(30)}), w9 AS ({_window_sql(90)}),
+    ac AS (SELECT customer_id, CAST(date_diff('day', registration_date, TIMESTAMP '{ORDERS_AS_OF}') AS BIGINT) AS account_age_days,
+                  CAST(is_premium AS INTEGER) AS is_premium_customer FROM ({ACCOUNTS}) a), t AS ({TEMPORAL_SQL}), b AS ({BEHAVIOR_SQL}),
     c AS (SELECT customer_id, count(*) AS total_orders, CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_spent,
                  round(CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / count(total_amount)) / 100 AS avg_order_value_5,
                  round(max(total_amount), 2) AS max_order_value, round(sum(quantity), 2) AS total_items,
                  min(order_ts) AS first_order_date_5, max(order_ts) AS last_order_date_5
           FROM ({ORDER_LINES_SQL}) s WHERE customer_id IS NOT NULL GROUP BY 1),
     j AS (SELECT r.*, t.* EXCLUDE (customer_id), b.* EXCLUDE (customer_id), v.* EXCLUDE (customer_id), w.* EXCLUDE (customer_id),
-                 c.* EXCLUDE (customer_id)
+                 w9.* EXCLUDE (customer_id), ac.* EXCLUDE (customer_id), c.* EXCLUDE (customer_id)
           FROM r LEFT JOIN t ON r.customer_id = t.customer_id LEFT JOIN b ON r.customer_id = b.customer_id
-          LEFT JOIN v ON r.customer_id = v.customer_id LEFT JOIN w ON r.customer_id = w.customer_id LEFT JOIN c ON r.customer_id = c.customer_id)
-    SELECT customer_segment, most_purchased_category, top_category_last_30d, first_order_date, last_order_date, first_order_date_5,
-           last_order_date_5, coalesce(COLUMNS(* EXCLUDE (customer_segment, most_purchased_category, top_category_last_30d,
+          LEFT JOIN v ON r.customer_id = v.customer_id LEFT JOIN w ON r.customer_id = w.customer_id LEFT JOIN c ON r.customer_id = c.customer_id
+          LEFT JOIN w9 ON r.customer_id = w9.customer_id LEFT JOIN ac ON r.customer_id = ac.customer_id)
+    SELECT customer_segment, most_purchased_category, top_category_last_30d, top_category_last_90d, first_order_date, last_order_date, first_order_date_5,
+           last_order_date_5, coalesce(COLUMNS(* EXCLUDE (customer_segment, most_purchased_category, top_category_last_30d, top_category_last_90d,
            first_order_date, last_order_date, first_order_date_5, last_order_date_5)), 0) AS '\\0'
     FROM j"""
 
@@ -249,20 +256,18 @@ COMBINED_SQL = f"""
             "value_trend", "engagement_score", "predicted_next_purchase_days", "revenue_last_30d",
             "avg_order_value_last_30d", "items_purchased_last_30d", "rfm_score", "avg_days_between_orders", "std_days_between_orders",
             "weekend_order_ratio", "category_diversity_score", "avg_items_per_order", "cancellation_rate", "delivery_rate",
-            "bulk_buyer_score"],
+            "bulk_buyer_score", "revenue_last_90d", "avg_order_value_last_90d", "items_purchased_last_90d"],
     headline=True,
 )
 def agg12_combined_features(t: Tables):
-    return fe.combine_features(
-        fe.rfm_scores(fe.rfm_base(t.corders)),
-        [
-            fe.temporal_features(t.corders, order=ORDER_KEYS),
-            fe.behavioral_features(t.sales, cancelled="P", delivered="F"),
-            fe.value_features(t.corders, ORDERS_AS_OF, order=ORDER_KEYS),
-            fe.window_aggregates(t.sales, ORDERS_AS_OF, 30),
-            agg.customer_summary(order_lines(t)),
-        ],
-    )
+    return cu.combined_features(t.corders, t.sales, ORDERS_AS_OF, accounts(t), order=ORDER_KEYS, cancelled="P", delivered="F")
+
+
+def accounts(t: Tables):
+    """The customer table with a registration date and a premium flag."""
+    return t.customer.select(
+        F.col("c_custkey").alias("customer_id"), (F.lit("1992-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+            F.pmod("c_custkey", F.lit(2000)).cast("int"))).alias("registration_date"), (F.col("c_mktsegment") == "BUILDING").alias("is_premium"))
 
 
 @query("agg13_feature_summary", None)

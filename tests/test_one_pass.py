@@ -123,3 +123,102 @@ def test_sketches_of_a_stream_are_those_of_the_days(spark, tmp_path):
     streamed = labels.read_epochs(spark, str(tmp_path / "out"), out.schema)
     want = sk.percentiles(sk.over_days(sk.daily_sketches(df, ["v"], "ts"), "2024-01-01", "2024-01-05"), [0.1, 0.5, 0.9]).collect()
     assert sk.percentiles(sk.over_days(streamed, "2024-01-01", "2024-01-05"), [0.1, 0.5, 0.9]).collect() == want and want[0].n == 120
+
+
+# ---- bootstrap from counts -----------------------------------------------------------------------
+def test_draws_are_poisson(spark):
+    from tidewater.operators import evaluate as ev
+
+    for n in (1, 3, 40, 256, 5000):
+        df = spark.range(4000).select(F.lit(n).cast("long").alias("n"), ((F.xxhash64("id") % 1000003 + 1000003) % 1000003 / 1000003.0 + 1e-9).alias("u"),
+                                      ((F.xxhash64("id", F.lit(1)) % 1000003 + 1000003) % 1000003 / 1000003.0 + 1e-9).alias("v"))
+        k = np.array([r.k for r in df.select(ev.poisson_draw(F.col("n"), F.col("u"), F.col("v")).alias("k")).collect()], dtype=float)
+        assert abs(k.mean() - n) < 5 * math.sqrt(n / 4000) and 0.85 * n < k.var() < 1.15 * n and k.min() >= 0
+        if n == 1:
+            assert abs((k == 0).mean() - math.exp(-1)) < 0.04 and abs((k == 1).mean() - math.exp(-1)) < 0.04
+
+
+def test_bootstrap_rows_do_not_grow_with_equal_rows(spark):
+    from tidewater.operators import evaluate as ev
+
+    few = spark.createDataFrame([(i % 2, (i % 5) / 5, (i % 3) / 3) for i in range(300)], "y int, a double, b double")
+    many = few.unionByName(few).unionByName(few)
+    n = [ev.bootstrap_rows(d, ["y", "a", "b"], 20).count() for d in (few, many)]
+    assert n[0] <= 600 and n[1] <= 600  # 30 distinct rows, 20 replicates
+    total = ev.bootstrap_rows(many, ["y", "a", "b"], 20).groupBy("_rep").agg(F.sum("_w").alias("n")).collect()
+    assert all(abs(r.n - 900) < 6 * 30 for r in total)
+    # p of a case that is decided and of one that is not
+    good = spark.createDataFrame([(i % 2, 0.5 + 0.1 * ((i * 7) % 3 - 1), 0.2 + 0.6 * (i % 2)) for i in range(400)], "y int, a double, b double")
+    assert ev.bootstrap_significance(good, "y", "a", "b").first().p_value == 0.0
+    assert ev.bootstrap_significance(good, "y", "b", "b", metric="accuracy").first().p_value == 1.0
+
+
+# ---- Gram matrices --------------------------------------------------------------------------------
+def test_correlations_of_many_columns_with_missing_values(spark, monkeypatch):
+    import pandas as pd
+
+    from tidewater.operators import gram
+
+    monkeypatch.setattr(gram, "BLOCK", 7)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 20)) @ rng.normal(size=(20, 20)) + 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 3] = 5.0
+    x[:, 4] = np.nan
+    x[1:, 5] = np.nan
+    names = [f"a b{i}" for i in range(20)]
+    frame = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for i, v in enumerate(r)) for r in x],
+                               ", ".join(f"`{n}` double" for n in names)).repartition(5)
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in gram.correlations(df, names).collect()}
+    assert set(got) == {(a, b) for i, a in enumerate(names) for b in names[i + 1:]}
+    want = frame.corr(min_periods=2)
+    for (a, b), v in got.items():
+        w = want.loc[a, b]
+        assert (v is None and np.isnan(w)) or v == pytest.approx(w, abs=1e-8), (a, b, v, w)
+    assert gram.correlations(df.limit(0), names[:3]).where("corr IS NOT NULL").count() == 0
+
+
+def test_five_hundred_columns_in_two_reads(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 500))
+    x[:, 499] = 2 * x[:, 0] - 1
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").select(*[F.element_at("v", i + 1).alias(f"c{i}") for i in range(500)])
+    from tidewater.operators.gram import correlations
+
+    rows = correlations(df, df.columns).collect()
+    assert len(rows) == 500 * 499 // 2
+    want = np.corrcoef(x.T)
+    worst = max(abs(r["corr"] - want[int(r.feature_a[1:]), int(r.feature_b[1:])]) for r in rows)
+    assert worst < 1e-10
+
+
+# ---- sessions of users of any size ------------------------------------------------------------------
+@pytest.mark.parametrize("max_rows", [None, 30])
+def test_sessions_in_batch_equal_session_windows(spark, max_rows):
+    rng = np.random.default_rng(8)
+    rows = [(1, T0 + dt.timedelta(minutes=int(m))) for m in np.cumsum(rng.choice([0, 0, 1, 10, 29, 30, 31, 90], 400))]  # most rows, ties, gaps of exactly 30
+    rows += [(int(u), T0 + dt.timedelta(minutes=int(m))) for u, m in zip(rng.integers(2, 9, 200), rng.integers(0, 3000, 200))]
+    rows += [(None, T0), (None, T0 + dt.timedelta(minutes=5)), (4, None)]
+    df = spark.createDataFrame(rows, "user_id long, event_time timestamp").repartition(7)
+    want = sorted(map(tuple, st.sessions(df).collect()), key=repr)
+    assert sorted(map(tuple, st.sessions_in_batch(df, max_rows=max_rows).collect()), key=repr) == want
+
+
+# ---- reports over mixed columns ---------------------------------------------------------------------
+def test_drift_of_numbers_and_text_in_one_report(spark):
+    from tidewater.operators import drift
+
+    ref = spark.createDataFrame([(float(i), "abc"[i % 3], None, 1, True) for i in range(300)], "x double, c string, empty string, flat int, b boolean")
+    cur = spark.createDataFrame([(float(i) + 200, "aabd"[i % 4], None, 1, True) for i in range(200)], "x double, c string, empty string, flat int, b boolean")
+    got = {r.feature: r for r in drift.mixed_drift(ref, cur).collect()}
+    assert {k: r.kind for k, r in got.items()} == {"x": "number", "flat": "number", "c": "text", "empty": "text", "b": "text"}
+    assert got["x"].drift_detected and got["x"].kl_drift and got["x"].psi_drift and got["x"].ks_drift
+    assert not got["flat"].drift_detected and got["flat"].kl_divergence is None
+    # tested categories a, b, c: observed 100, 50, 0 of 150, expected 50 each
+    c = got["c"]
+    assert c.chi2_statistic == pytest.approx((50 ** 2 + 0 + 50 ** 2) / 50) and c.dof == 2 and c.unseen_categories == 1 and c.chi2_drift
+    assert c.chi2_p_value == pytest.approx(math.exp(-50), rel=1e-6) and c.n_ref == 300 and c.n_cur == 200
+    assert got["empty"].chi2_statistic is None and not got["empty"].drift_detected and not got["b"].drift_detected
+    same = {r.feature: r.drift_detected for r in drift.mixed_drift(ref, ref, ["x", "c", "not there"]).collect()}
+    assert same == {"x": False, "c": False}

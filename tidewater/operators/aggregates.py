@@ -277,11 +277,10 @@ def _health(long: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """AGG-28: pairwise Pearson correlation (one pass, one row per pair)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return one.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, corr)")
+    """AGG-28: pairwise Pearson correlation, one row per pair, for any number of columns (``gram.correlations``)."""
+    from tidewater.operators.gram import correlations
+
+    return correlations(df, columns)
 
 
 def correlation_change(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -31,6 +31,8 @@ EPS = 1e-10
 PSI_THRESHOLD = 0.2
 KS_P_THRESHOLD = 0.05
 JS_THRESHOLD = 0.1
+KL_THRESHOLD = 0.1
+CHI2_P_THRESHOLD = 0.05
 
 
 def stack_samples(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -118,15 +120,7 @@ def kl_divergence(long: DataFrame, bins: int = 50, eps: float = EPS, stats: Data
     """DFT-05: KL of reference p vs current q on densities: p/(sum p + eps) + eps, then
     sum(p ln(p/q) - p + q) (``scipy.special.kl_div``)."""
     vc = sample_counts(long)
-    h = _hist_from_counts(vc, stats if stats is not None else stats_from_counts(vc), bins)
-    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    dens_p = F.col("c_ref") / (F.col("n_ref") * w)
-    dens_q = F.col("c_cur") / (F.col("n_cur") * w)
-    p = dens_p / (F.lit(1.0) / w + F.lit(eps)) + F.lit(eps)
-    q = dens_q / (F.lit(1.0) / w + F.lit(eps)) + F.lit(eps)
-    return h.where(F.col("hi") > F.col("lo")).groupBy("feature").agg(
-        F.sum(p * F.ln(p / q) - p + q).alias("kl_divergence")
-    )
+    return kl_from_counts(vc, stats if stats is not None else stats_from_counts(vc), bins, eps)
 
 
 # ---------------------------------------------------------------------------
@@ -251,6 +245,18 @@ def js_from_counts(vc: DataFrame, st: DataFrame, bins: int = 50) -> DataFrame:
     return out.withColumn("js_drift", F.col("js_divergence") >= F.lit(JS_THRESHOLD))
 
 
+def kl_from_counts(vc: DataFrame, st: DataFrame, bins: int = 50, eps: float = EPS) -> DataFrame:
+    h = _hist_from_counts(vc, st, bins)
+    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    dens_p = F.col("c_ref") / (F.col("n_ref") * w)
+    dens_q = F.col("c_cur") / (F.col("n_cur") * w)
+    p = dens_p / (F.lit(1.0) / w + F.lit(eps)) + F.lit(eps)
+    q = dens_q / (F.lit(1.0) / w + F.lit(eps)) + F.lit(eps)
+    return h.where(F.col("hi") > F.col("lo")).groupBy("feature").agg(
+        F.sum(p * F.ln(p / q) - p + q).alias("kl_divergence")
+    )
+
+
 # ---------------------------------------------------------------------------
 # DFT-07 / 08 / 09 / 10: reports
 # ---------------------------------------------------------------------------
@@ -263,7 +269,7 @@ def feature_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], psi_bi
     samples is a row without statistics and with ``reason``.
     """
     vc = materialize(sample_counts(stack_samples(ref, cur, columns)), "drift-counts")
-    st = stats_from_counts(vc)
+    st = materialize(stats_from_counts(vc), "drift-stats")
     live = st.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     vc = vc.join(live.select("feature"), "feature", "left_semi")
     names = ref.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
@@ -278,6 +284,64 @@ def feature_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], psi_bi
         "drift_detected", F.col("psi_drift") | F.col("ks_drift") | F.col("js_drift")).withColumn("reason", reason).drop("lo", "hi")
 
 
+def category_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """DFT-06 for several text columns at once: ``feature, n_ref, n_cur, chi2_statistic, dof, chi2_p_value, unseen_categories, chi2_drift``.
+
+    Expected counts are the reference's, rescaled to the tested categories (H5); nulls are left out.  A column with fewer than two
+    tested categories has no statistic.
+    """
+    def counts(df: DataFrame, sample: str) -> DataFrame:
+        long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "feature", "category")
+        return long.where("category IS NOT NULL").groupBy("feature", "category").agg(F.count(F.lit(1)).alias(sample))
+
+    j = counts(ref, "e0").join(counts(cur, "o"), ["feature", "category"], "full").fillna(0, ["e0", "o"])
+    tested = F.when(F.col("e0") > 0, F.col("o"))
+    t = j.groupBy("feature").agg(F.sum("e0").alias("n_ref"), F.sum("o").alias("n_cur"), F.sum(tested).alias("_no"),
+                                 F.count_if(F.col("e0") == 0).alias("unseen_categories"), (F.count_if(F.col("e0") > 0) - 1).alias("dof"))
+    e = F.col("e0") * F.col("_no") / F.col("n_ref")
+    x = j.join(t.select("feature", "n_ref", "_no"), "feature").where((F.col("e0") > 0) & (F.col("_no") > 0))
+    x = x.groupBy("feature").agg(F.sum((F.col("o") - e) ** 2 / e).alias("chi2_statistic"))
+    names = ref.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    out = names.join(t, "feature", "left").join(x, "feature", "left").fillna(0, ["n_ref", "n_cur", "unseen_categories"])
+    out = out.withColumn("chi2_statistic", F.when(F.col("dof") >= 1, F.col("chi2_statistic")))
+    p = F.when(F.col("chi2_statistic").isNotNull(), chi2_sf(F.col("chi2_statistic"), F.greatest(F.col("dof"), F.lit(1))))
+    out = out.select("feature", "n_ref", "n_cur", "chi2_statistic", "dof", p.alias("chi2_p_value"), "unseen_categories")
+    return out.withColumn("chi2_drift", F.col("chi2_p_value") < F.lit(CHI2_P_THRESHOLD))
+
+
+def mixed_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None, psi_bins=10, js_bins=50) -> DataFrame:
+    """DFT-07 over number and text columns (default: those that both tables have): one row per feature with its ``kind``.
+
+    Numbers: PSI, KS, JS and KL; text: chi-square.  ``drift_detected`` if any flag is set (null flags are not).
+    """
+    common = [c for c in ref.columns if c in cur.columns] if columns is None else [c for c in columns if c in ref.columns and c in cur.columns]
+    kinds = dict(ref.dtypes)
+    text = [c for c in common if kinds[c] in ("string", "boolean") or kinds[c].startswith(("char", "varchar"))]
+    numbers = [c for c in common if c not in text and (kinds[c] in ("double", "float", "bigint", "int", "smallint", "tinyint") or kinds[c].startswith("decimal"))]
+    parts = []
+    if numbers:
+        vc = materialize(sample_counts(stack_samples(ref, cur, numbers)), "drift-counts")
+        st = materialize(stats_from_counts(vc), "drift-stats")
+        live = st.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+        some = vc.join(live.select("feature"), "feature", "left_semi")
+        names = ref.sparkSession.createDataFrame([(c,) for c in numbers], "feature string")
+        kl = kl_from_counts(some, live, js_bins).withColumn("kl_drift", F.col("kl_divergence") > F.lit(KL_THRESHOLD))
+        out = names.join(st.drop("lo", "hi"), "feature", "left").fillna(0, ["n_ref", "n_cur"])
+        for stat in (psi_from_counts(some, live, psi_bins), ks_from_counts(some), js_from_counts(some, live, js_bins), kl):
+            out = out.join(stat, "feature", "left")
+        parts.append(out.withColumn("kind", F.lit("number")))
+    if text:
+        parts.append(category_drift(ref, cur, text).withColumn("kind", F.lit("text")))
+    if not parts:
+        raise ValueError("the tables have no number or text column in common")
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    flags = [c for c in ("psi_drift", "ks_drift", "js_drift", "kl_drift", "chi2_drift") if c in out.columns]
+    hit = F.lit(False)
+    for c in flags:
+        hit = hit | F.coalesce(c, F.lit(False))
+    return out.withColumn("drift_detected", hit)
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """DFT-07: totals, drifted count and percent, overall flag."""
     return report.agg(

@@ -102,18 +102,15 @@ def binary_report(df: DataFrame, label: str, score: str, threshold: float = 0.5,
 def precision_recall_at_k(df: DataFrame, label: str, score: str, ks: Sequence[int], order_tie: str) -> DataFrame:
     """EVL-04 (whole table): precision@k and recall@k for each k; ties broken by ``order_tie``.
 
-    Each k is a ``orderBy(...).limit(k)`` (per-task top-k, then merge).
+    The rows are ranked once, for the largest k (per-task top-k, then merge).
     """
-    total_pos = df.agg(F.sum(F.col(label)).alias("_tp"))
-    parts = []
-    for k in ks:
-        top = df.orderBy(F.desc(score), F.col(order_tie)).limit(k)
-        parts.append(top.agg(F.lit(k).alias("k"), F.sum(label).alias("_hits"), F.count(F.lit(1)).alias("_n")))
-    from functools import reduce
-
     from tidewater.functions.core import with_scalars
 
-    u = with_scalars(reduce(lambda a, b: a.unionByName(b), parts), total_pos)
+    top = df.select(label, score, order_tie).orderBy(F.desc(score), F.col(order_tie)).limit(max(ks))
+    one = Window.orderBy(F.desc(score), F.col(order_tie))  # over the largest k rows
+    top = top.withColumn("_r", F.row_number().over(one))
+    asked = top.withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks]))).where(F.col("_r") <= F.col("k"))
+    u = with_scalars(asked.groupBy("k").agg(F.sum(label).alias("_hits")), df.agg(F.sum(F.col(label)).alias("_tp")))
     return u.select(
         "k",
         (F.col("_hits") / F.lit(1.0) / F.col("k")).alias("precision_at_k"),
@@ -217,58 +214,72 @@ def decision_rule(both: DataFrame) -> DataFrame:
     return both.select("*", dec.alias("decision"))
 
 
-def _poisson1_cdf(kmax: int = 20) -> list[float]:
-    out, acc = [], 0.0
-    for k in range(kmax):
-        acc += math.exp(-1.0) / math.factorial(k)
-        out.append(acc)
-    return out
-
-
-def bootstrap_weights(row_key: Column, replicates: int = 100, seed: int = 7) -> Column:
-    """Per (row, replicate) Poisson(1) weight from a hash (deterministic, no shuffle)."""
-    cdf = F.array(*[F.lit(c) for c in _poisson1_cdf()])
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(replicates - 1)),
-        lambda b: F.struct(
-            b.alias("b"),
-            F.size(F.filter(cdf, lambda c: (F.abs(F.xxhash64(row_key, b, F.lit(seed))) % 1000000007) / 1000000007.0 > c))
-            .alias("w"),
-        ),
-    )
+POISSON_EXACT = 256  # larger means are drawn from the normal distribution of the same mean and variance
+
+
+def _uniform(b: Column, keys: Sequence[str], salt: str, seed: int) -> Column:
+    """Number in (0, 1) with 52 bits from the row's values and the replicate."""
+    h = F.xxhash64(*[F.col(k) for k in keys], b, F.lit(salt), F.lit(seed))
+    return (F.shiftrightunsigned(h, 12).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def poisson_draw(n: Column, u: Column, u2: Column) -> Column:
+    """A Poisson number of mean ``n``: the distribution inverted at ``u`` up to ``POISSON_EXACT``, rounded normal beyond."""
+    mean = n.cast("double")
+    top = F.ceil(mean + F.lit(12.0) * F.sqrt(mean) + F.lit(24.0)).cast("int")
+    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0).alias("k"))
+
+    def step(a: Column, k: Column) -> Column:
+        p = a["p"] * mean / k
+        return F.struct(p.alias("p"), (a["cdf"] + p).alias("cdf"), F.when(a["cdf"] < u, k).otherwise(a["k"]).alias("k"))
+
+    small = F.aggregate(F.sequence(F.lit(1), top), start, step)["k"]
+    normal = F.sqrt(F.lit(-2.0) * F.ln(u)) * F.cos(F.lit(2.0 * math.pi) * u2)
+    large = F.greatest(F.round(mean + F.sqrt(mean) * normal), F.lit(0.0))
+    return F.when(n <= POISSON_EXACT, small.cast("long")).otherwise(large.cast("long"))
+
+
+def bootstrap_rows(df: DataFrame, columns: Sequence[str], replicates: int, seed: int = 7) -> DataFrame:
+    """Distinct rows of ``columns``, per replicate ``_rep`` with the number ``_w`` of times they are drawn.
+
+    Resampling ``n`` equal rows draws Poisson(n) of them, so equal rows are counted first and drawn together.
+    """
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_rep"))
+    w = poisson_draw(F.col("_n"), _uniform(F.col("_rep"), columns, "u", seed), _uniform(F.col("_rep"), columns, "v", seed))
+    return rows.withColumn("_w", w).where("_w > 0").drop("_n")
 
 
-def bootstrap_significance(df: DataFrame, label: str, baseline: str, candidate: str, row_key: str,
+def bootstrap_significance(df: DataFrame, label: str, baseline: str, candidate: str, row_key: str | None = None,
                            metric: str = "auc", replicates: int = 100) -> DataFrame:
     """EVL-09: Poisson bootstrap; p = share of replicates where the candidate is not better.
 
-    Each row gets ``replicates`` weights in place (explode inside the map
-    stage); metrics are aggregated by replicate, so only replicates x distinct
-    scores rows are shuffled.  The metric is chosen explicitly (H12).
+    Rows of equal label and scores are counted first and drawn together (``bootstrap_rows``); metrics are aggregated by
+    replicate.  Only distinct rows are shuffled, and repeated.  The draws hang on the values, so ``row_key`` plays no part.
+    The metric is chosen explicitly (H12).
     """
     if metric not in ("auc", "accuracy", "f1"):
         raise ValueError("bootstrap supports auc, accuracy or f1")
-    rep = df.select(label, baseline, candidate, F.explode(bootstrap_weights(F.col(row_key), replicates)).alias("_bw"))
-    rep = rep.select(label, baseline, candidate, F.col("_bw.b").alias("b"), F.col("_bw.w").alias("w")).where("w > 0")
+    rep = bootstrap_rows(df, [label, baseline, candidate], replicates)
     if metric == "auc":
-        a = roc_auc(rep, label, baseline, ["b"], F.col("w")).withColumnRenamed("auc", "m0")
-        c = roc_auc(rep, label, candidate, ["b"], F.col("w")).withColumnRenamed("auc", "m1")
+        a = roc_auc(rep, label, baseline, ["_rep"], F.col("_w")).withColumnRenamed("auc", "m0")
+        c = roc_auc(rep, label, candidate, ["_rep"], F.col("_w")).withColumnRenamed("auc", "m1")
     elif metric == "f1":
         def f1(s):
-            y, p, w = F.col(label) == 1, F.col(s) >= 0.5, F.col("w")
-            g = rep.groupBy("b").agg(F.sum(F.when(y & p, w).otherwise(0)).alias("tp"), F.sum(F.when(y != p, w).otherwise(0)).alias("off"))
-            return g.select("b", safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("off")).alias("m"))
+            y, p, w = F.col(label) == 1, F.col(s) >= 0.5, F.col("_w")
+            g = rep.groupBy("_rep").agg(F.sum(F.when(y & p, w).otherwise(0)).alias("tp"), F.sum(F.when(y != p, w).otherwise(0)).alias("off"))
+            return g.select("_rep", safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("off")).alias("m"))
 
         a = f1(baseline).withColumnRenamed("m", "m0")
         c = f1(candidate).withColumnRenamed("m", "m1")
     else:
         def acc(s):
             ok = ((F.col(s) >= 0.5).cast("int") == F.col(label)).cast("double")
-            return rep.groupBy("b").agg((F.sum(ok * F.col("w")) / F.sum("w")).alias("m"))
+            return rep.groupBy("_rep").agg((F.sum(ok * F.col("_w")) / F.sum("_w")).alias("m"))
 
         a = acc(baseline).withColumnRenamed("m", "m0")
         c = acc(candidate).withColumnRenamed("m", "m1")
-    d = a.join(c, "b").select((F.col("m1") - F.col("m0")).alias("delta"))
+    d = a.join(c, "_rep").select((F.col("m1") - F.col("m0")).alias("delta"))
     return d.agg(
         F.avg((F.col("delta") <= 0).cast("double")).alias("p_value"),
         F.avg("delta").alias("mean_delta"),

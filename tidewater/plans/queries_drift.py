@@ -242,6 +242,37 @@ def dft07_drift_summary(t: Tables):
     return dft.drift_summary(dft.feature_drift(ref, cur, FEATS))
 
 
+KL_BODY = """SELECT feature, sum(p * ln(p / q) - p + q) AS kl_divergence FROM (
+                   SELECT feature,
+                          (c_ref / (n_ref * ((hi - lo) / 50.0))) / (1.0 / ((hi - lo) / 50.0) + 1e-10) + 1e-10 AS p,
+                          (c_cur / (n_cur * ((hi - lo) / 50.0))) / (1.0 / ((hi - lo) / 50.0) + 1e-10) + 1e-10 AS q
+                   FROM h50 WHERE hi > lo) x GROUP BY feature"""
+
+
+@query(
+    "dft07_mixed_report",
+    with_long(f"""SELECT r.* EXCLUDE (drift_detected), kl_divergence, kl_divergence > 0.1 AS kl_drift, 'number' AS kind,
+                         CAST(NULL AS DOUBLE) AS chi2_statistic, CAST(NULL AS BIGINT) AS dof, CAST(NULL AS BIGINT) AS unseen_categories,
+                         CAST(NULL AS BOOLEAN) AS chi2_drift, drift_detected OR kl_divergence > 0.1 AS drift_detected
+                  FROM ({REPORT_BODY}) r JOIN ({KL_BODY}) k ON r.feature = k.feature
+                  UNION ALL BY NAME
+                  SELECT feature, n_ref, n_cur, 'text' AS kind, chi2_statistic, dof, unseen_categories, chi2_statistic > 9.487729036781154 AS chi2_drift,
+                         chi2_statistic > 9.487729036781154 AS drift_detected
+                  FROM (SELECT 'event_type' AS feature, CAST(sum(e0) AS BIGINT) AS n_ref, CAST(sum(o) AS BIGINT) AS n_cur,
+                               sum(CASE WHEN e > 0 THEN (o - e) * (o - e) / e END) AS chi2_statistic,
+                               CAST(count_if(e > 0) - 1 AS BIGINT) AS dof, CAST(count_if(e0 = 0) AS BIGINT) AS unseen_categories
+                        FROM (SELECT e0, o, e0 * (sum(CASE WHEN e0 > 0 THEN o END) OVER ()) / sum(e0) OVER () AS e FROM (
+                                SELECT count_if(ts < {SPLIT}) AS e0, count_if(ts >= {SPLIT}) AS o FROM interactions GROUP BY event_type) g) x) y""",
+              psi_sql(), KS_SQL, JS_SQL),
+    views=["interactions"],
+    floats=[*REPORT_FLOATS, "kl_divergence", "chi2_statistic"],
+)
+def dft07_mixed_report(t: Tables):
+    """Numbers and text in one report; 9.4877 is the 0.05 point of chi-square with the four degrees of freedom of five types."""
+    ref, cur = drift_inputs(t)
+    return dft.mixed_drift(ref, cur, [*FEATS, "event_type"]).drop("chi2_p_value")
+
+
 PRED_LONG = """
     SELECT 'score' AS feature, 'ref' AS sample, s1 AS value FROM scored WHERE s1 IS NOT NULL AND NOT isnan(s1)
     UNION ALL SELECT 'score', 'cur', s2 FROM scored WHERE s2 IS NOT NULL AND NOT isnan(s2)"""

@@ -334,6 +334,47 @@ def src08_log_written_and_read(t: Tables):
     return src.read_json_lines(t.spark, path, rows.schema).groupBy(F.col("event.event_type").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("src01_csv_read_back", """SELECT o_orderstatus, count(*) AS n, count(CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END) AS prices,
+                                        min(o_orderdate) AS first_order, max(o_orderdate) AS last_order FROM orders GROUP BY 1""")
+def src01_csv_read_back(t: Tables):
+    """SRC-01: orders written as CSV with a header and empty cells, read with a schema and parsed dates."""
+    path = scratch_path(t.spark, "csv")
+    o = t.orders.select("o_orderkey", "o_orderstatus", F.when(F.pmod("o_orderkey", F.lit(7)) != 0, F.col("o_totalprice")).alias("o_totalprice"),
+                        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"))
+    o.write.option("header", True).csv(path)
+    back = src.read_csv(t.spark, path, o.schema, ["o_orderdate"], "yyyy-MM-dd HH:mm:ss")
+    return back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.count("o_totalprice").alias("prices"),
+                                             *[f("o_orderdate").cast("timestamp_ntz").alias(n) for f, n in ((F.min, "first_order"), (F.max, "last_order"))])
+
+
+@query("src09_report_read_back", "SELECT event_type, count(*) AS n, avg(value) AS mean_value FROM events GROUP BY 1", floats=["mean_value"])
+def src09_report_read_back(t: Tables):
+    """SRC-09: a report of nested values saved as JSON and read back."""
+    path = scratch_path(t.spark, "report")
+    types = t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"))
+    report = types.agg(F.collect_list(F.struct("event_type", F.struct("n", "mean_value").alias("stats"))).alias("types"))  # one entry a type
+    src.write_report(report, path)
+    back = t.spark.read.schema(report.schema).json(path)
+    return back.select(F.explode("types").alias("x")).select("x.event_type", "x.stats.n", "x.stats.mean_value")
+
+
+@query("prj23_multi_hot", """SELECT p_partkey, CAST(list_contains(string_split(p_type, ' '), 'STEEL') AS INTEGER) AS tag_STEEL,
+                                    CAST(list_contains(string_split(p_type, ' '), 'PROMO') AS INTEGER) AS tag_PROMO FROM part""")
+def prj23_multi_hot(t: Tables):
+    return clean.multi_hot(t.part.select("p_partkey", F.split("p_type", " ").alias("tags")), "tags", ["STEEL", "PROMO"]).drop("tags")
+
+
+@query("agg28_correlations_of_all_columns", """SELECT a.feature AS feature_a, b.feature AS feature_b, corr(a.v, b.v) AS corr
+       FROM (SELECT vec_id, unnest(range(0, 64)) AS feature, unnest(embedding)::DOUBLE AS v FROM embeddings) a
+       JOIN (SELECT vec_id, unnest(range(0, 64)) AS feature, unnest(embedding)::DOUBLE AS v FROM embeddings) b
+         ON a.vec_id = b.vec_id AND a.feature < b.feature GROUP BY 1, 2""", floats=["corr"])
+def agg28_correlations_of_all_columns(t: Tables):
+    """AGG-28: all pairs of 64 columns from Gram matrices."""
+    wide = t.embeddings.select(*[F.element_at("embedding", i + 1).alias(str(i)) for i in range(64)])
+    out = agg.correlation_matrix(wide, [str(i) for i in range(64)])
+    return out.select(F.col("feature_a").cast("bigint").alias("feature_a"), F.col("feature_b").cast("bigint").alias("feature_b"), "corr")
+
+
 @query("prj14_one_hot", """SELECT c_custkey, CAST(c_mktsegment = 'AUTOMOBILE' AS INTEGER) AS seg_AUTOMOBILE,
                                   CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS seg_BUILDING FROM customer""")
 def prj14_one_hot(t: Tables):

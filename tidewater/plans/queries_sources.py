@@ -142,6 +142,22 @@ def str05_rolling_item_activity(t: Tables):
     return _ntz(out, "window_start", "window_end").withColumn("likes", F.col("likes").cast("bigint"))
 
 
+@query(
+    "str06_sessions_in_batch",
+    """WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL 30 MINUTE
+                                           THEN 1 ELSE 0 END AS new_session
+                  FROM interactions WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+            n AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+       SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events,
+              CAST(floor(epoch(max(ts))) AS BIGINT) - CAST(floor(epoch(min(ts))) AS BIGINT) AS active_seconds
+       FROM n GROUP BY user_id, sid""",
+    views=["interactions"],
+)
+def str06_sessions_in_batch(t: Tables):
+    """Sessions by gaps and running numbers; users above 50 events are dealt over range partitions."""
+    return _ntz(st.sessions_in_batch(_ev(t), max_rows=50), "session_start", "session_end")
+
+
 @query(
     "str06_sessions",
     """WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE

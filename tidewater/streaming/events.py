@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewater.operators.sequence import DEFAULT_MAX_ROWS, lookback_columns, running_totals
+
 # Accepted event types of the activity log (STR-02).
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
 
@@ -120,6 +122,24 @@ def sessions(events: DataFrame, ts: str = "event_time", gap: str = "30 minutes",
     )
 
 
+def sessions_in_batch(events: DataFrame, ts: str = "event_time", gap: str = "30 minutes", user: str = "user_id",
+                      max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+    """STR-06, batch form for users of any size: the rows of ``sessions`` (an event exactly ``gap`` after the last one belongs to its session).
+
+    Users with more than ``max_rows`` events are dealt over range partitions of their times; the gap before a row and
+    the number of sessions begun so far are carried from partition to partition, and a session's rows are folded per task.
+    Events without a time are left out, events without a user are one user's.
+    """
+    e = events.where(F.col(ts).isNotNull()).select(user, ts)
+    new = lambda w: {"_new": F.coalesce(F.col(ts) > F.lag(ts).over(w) + F.expr(f"INTERVAL {gap}"), F.lit(True)).cast("int")}
+    e = lookback_columns(e, [user], [ts], 1, new, max_rows)
+    e = e.withColumn("_same", F.lit(1) - F.col("_new"))  # of rows at one moment the one that begins a session comes first
+    e = running_totals(e, [user], [ts, "_same"], {"_session": F.col("_new")}, inclusive=True, max_rows=max_rows)
+    g = e.groupBy(user, "_session").agg(F.count(F.lit(1)).alias("events"), F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    return g.select(user, F.col("_first").alias("session_start"), (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("session_end"), "events",
+                    (F.unix_timestamp("_last") - F.unix_timestamp("_first")).alias("active_seconds"))
+
+
 def running_counters(events: DataFrame, user: str = "user_id") -> DataFrame:
     """STR-07: per user running totals (run in ``update`` or ``complete`` output mode)."""
     return events.groupBy(user).agg(

@@ -69,10 +69,13 @@ def merged_headers(stored: Column, update: Column) -> Column:
 def latest_earlier(records: DataFrame) -> DataFrame:
     """``record_id, full_id`` of each revisit: the latest full response of its key before it (null: none).
 
-    ``records``: ``key string, time timestamp or number, record_id long, full boolean``; rows of equal time are
-    in order of record id, a full response before a revisit of the same id; null times come first.
+    ``records``: ``key string, time timestamp or number, record_id long, full boolean`` and, if ids do not order the rows,
+    ``tie``; rows of equal time are in order of tie, else id, a full response before a revisit of the same one; null
+    times come first.
     """
     n = shuffle_partitions(records.sparkSession)
+    if "tie" not in records.columns:
+        records = records.withColumn("tie", F.col("record_id"))
 
     def forward(batches):
         part = TaskContext.get().partitionId()
@@ -102,9 +105,8 @@ def latest_earlier(records: DataFrame) -> DataFrame:
                 [pa.array([None], pa.int64()), pa.array([last], pa.int64()), pa.array([key]), pa.array([part], pa.int32()),
                  pa.array([2], pa.int32())], names=["record_id", "full_id", "key", "part", "kind"])
 
-    ordered = records.select("key", "time", "record_id", "full").repartitionByRange(
-        n, F.col("key"), F.col("time").asc_nulls_first(), F.col("record_id"), F.col("full").desc()).sortWithinPartitions(
-        F.col("key"), F.col("time").asc_nulls_first(), F.col("record_id"), F.col("full").desc())
+    order = [F.col("key"), F.col("time").asc_nulls_first(), F.col("tie"), F.col("full").desc(), F.col("record_id")]
+    ordered = records.select("key", "time", "tie", "record_id", "full").repartitionByRange(n, *order).sortWithinPartitions(*order)
     passed = materialize(ordered.mapInArrow(forward, "record_id long, full_id long, key string, part int, kind int"), "revisits")
     ends = passed.where("kind = 2 AND full_id IS NOT NULL").select("key", F.col("part").alias("e_part"), F.col("full_id").alias("e_full"))
     # at most one row per partition on the right; partitions in between hold the same key only
@@ -118,26 +120,31 @@ def latest_earlier(records: DataFrame) -> DataFrame:
 def resolve(records: DataFrame) -> DataFrame:
     """Resolve every revisit record.
 
-    ``records``: ``record_id long`` (unique), ``url``, ``time``, ``status int``, ``headers map<string,string>``, ``digest``
+    ``records``: ``record_id long``, ``url``, ``time``, ``status int``, ``headers map<string,string>``, ``digest``
     (of the payload; a 304 may name the digest it refers to).  Status 304 is a revisit, 200 a full
     response, anything else takes no part.  Returns per revisit: ``record_id, canonical_url, full_id, state``
     (``resolved``, ``unchecked``, ``validator_mismatch``, ``no_response``), ``headers`` (merged where the state is one of the
     first two, else null), ``digest`` (of the response it resolves to).
+
+    Rows are numbered and matched by number: a revisit given twice is resolved twice, one without an id once, and a
+    response given twice resolves a revisit once.
     """
     r = records.where(F.col("status").isin(200, 304)).select(
         "record_id", canonical_url(F.col("url")).alias("key"), "time", (F.col("status") == 200).alias("full"),
-        _headers(F.col("headers")).alias("headers"), "digest")
-    r = materialize(r, "records")
-    links = latest_earlier(r)
-    own = r.where(~F.col("full")).select("record_id", "key", F.col("headers").alias("h"), F.col("digest").alias("d"))
-    stored = r.where("full").select(F.col("record_id").alias("full_id"), F.col("headers").alias("s_h"), F.col("digest").alias("s_d"))
-    j = own.join(links, "record_id").join(stored, "full_id", "left")
+        _headers(F.col("headers")).alias("headers"), "digest", F.monotonically_increasing_id().alias("row"))
+    r = materialize(r, "records")  # fixes the row numbers
+    links = latest_earlier(r.select("key", "time", F.col("row").alias("record_id"), "full", F.col("record_id").alias("tie")))
+    links = links.select(F.col("record_id").alias("row"), F.col("full_id").alias("full_row"))
+    own = r.where(~F.col("full")).select("row", "record_id", "key", F.col("headers").alias("h"), F.col("digest").alias("d"))
+    stored = r.where("full").select(F.col("row").alias("full_row"), F.col("record_id").alias("full_id"), F.col("headers").alias("s_h"),
+                                    F.col("digest").alias("s_d"))
+    j = own.join(links, "row").join(stored, "full_row", "left")
     pairs = [(_tag(F.col("h")), _tag(F.col("s_h"))), (F.element_at("h", "last-modified"), F.element_at("s_h", "last-modified")),
              (F.col("d"), F.col("s_d"))]
     agree = F.lit(None).cast("boolean")
     for a, b in reversed(pairs):
         agree = F.when(a.isNotNull() & b.isNotNull(), a == b).otherwise(agree)
-    state = (F.when(F.col("full_id").isNull(), "no_response").when(agree.isNull(), "unchecked")
+    state = (F.when(F.col("full_row").isNull(), "no_response").when(agree.isNull(), "unchecked")
              .when(agree, "resolved").otherwise("validator_mismatch"))
     good = F.col("state").isin("resolved", "unchecked")
     return j.withColumn("state", state).select(
@@ -146,8 +153,9 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def with_bodies(resolved: DataFrame, records: DataFrame, body: str = "body") -> DataFrame:
-    """Resolved revisits as complete responses: the referred response's body and the merged headers."""
-    bodies = records.select(F.col("record_id").alias("full_id"), F.col(body).alias("body"))
+    """Resolved revisits as complete responses: the referred response's body and the merged headers; responses are found by
+    their ids, of several with one id one body is taken."""
+    bodies = records.where("status = 200").select(F.col("record_id").alias("full_id"), F.col(body).alias("body")).dropDuplicates(["full_id"])
     return resolved.where(F.col("digest").isNotNull() | F.col("headers").isNotNull()).join(bodies, "full_id")
 
 

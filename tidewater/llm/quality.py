@@ -3,7 +3,7 @@
 * **Word vectors.**  Words (runs of letters and digits, runs of marks; case kept) are hashed to
   ``BUCKETS`` buckets.  Every bucket has a fixed sparse ternary index vector; its context vector is
   the sum of the index vectors of all neighbours within ``WINDOW`` words, over every word of every
-  document.  Each task sums into one dense table and the tables are added up in two rounds, so the
+  document.  Each task sums into one dense table and the tables are added up in rounds, so the
   model has a fixed size (``BUCKETS x DIM`` numbers) whatever the corpus.
 * **Pooling.**  A document is the mean and the standard deviation of its words' unit vectors, the mean
   and the standard deviation of the products of consecutive ones, and the logarithm of their number.
@@ -34,6 +34,7 @@ DIM = 32
 NONZERO = 4
 WINDOW = 2
 CHUNKS = 32
+ROUNDS = (4096, 64, 1)  # tables left after each round of adding up, so that a group has few rows whatever the tasks
 MAX_LABELLED = 20_000
 
 
@@ -69,21 +70,23 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         parts = total.astype("<f8").reshape(CHUNKS, -1)
         some = [k for k in range(CHUNKS) if parts[k].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int32()), pa.array([task % 64] * len(some), pa.int32()),
+            [pa.array(some, pa.int32()), pa.array([task] * len(some), pa.int32()),
              binary_column([parts[k].astype("<f4").tobytes() for k in some])], names=["chunk", "part", "sums"])
         release_memory()
 
     def add(key, table):
         total = None
-        for v in table.column("sums"):
-            x = np.frombuffer(v.as_buffer(), dtype="<f4").astype(np.float64)
+        for i in np.argsort(table.column("part").to_numpy(), kind="stable").tolist():  # the same sum in whatever order they come
+            x = np.frombuffer(table.column("sums")[i].as_buffer(), dtype="<f4").astype(np.float64)
             total = x if total is None else total + x
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([0], pa.int32()),
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()),
                          "sums": binary_column([total.astype("<f4").tobytes()])})
 
     schema = "chunk int, part int, sums binary"
     parts = docs.select("text").mapInArrow(sums, schema)
-    rows = parts.groupBy("chunk", "part").applyInArrow(add, schema).groupBy("chunk").applyInArrow(add, schema).collect()
+    for left in ROUNDS:
+        parts = parts.groupBy("chunk", (F.col("part") % left).alias("_to")).applyInArrow(add, schema)
+    rows = parts.collect()
     out = np.zeros((CHUNKS, BUCKETS * DIM // CHUNKS))
     for r in rows:  # CHUNKS rows: the model's fixed size
         out[r["chunk"]] = np.frombuffer(r["sums"], dtype="<f4")

@@ -37,6 +37,8 @@ from tidewater.session import shuffle_partitions
 
 LENGTH = 100
 GRAM = 32
+SHARD_BYTES = 64 << 20  # of text in a shard, as measured; shards are smaller where there are few
+MAX_BUCKETS = 100_000  # Spark's most buckets of a table; more shards share buckets
 HOT = 4_096  # most runs of an anchor that one range takes together
 PIECE = 1 << 24  # most bytes of text looked at together; fixed, as it sets the bits of the anchors' order
 BATCH = 1 << 19  # short texts are looked at in batches of about so many bytes
@@ -334,8 +336,8 @@ def _cut_rows(length: int, with_text: bool):
             kept = raw[lo:lo + n][~g].tobytes() if k else t
             shas.append(hashlib.sha256(kept).hexdigest())
             kept_texts.append(kept)
-        lowest = np.iinfo(np.int64).min
-        out = {"doc_id": pa.array(ids, mask=ids == lowest), "n_bytes": pa.array(lens), "n_removed": pa.array(removed, pa.int64()),
+        without = np.arange(len(ids)) < table.column("doc_id").null_count  # rows without an id come first
+        out = {"doc_id": pa.array(ids, mask=without), "n_bytes": pa.array(lens), "n_removed": pa.array(removed, pa.int64()),
                "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())}
         if with_text:
             out["kept"] = binary_column(kept_texts)
@@ -352,12 +354,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     if length < GRAM:
         raise ValueError(f"strings of at least {GRAM} bytes")
     spark = docs.sparkSession
+    texts = id_text(docs)
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = shuffle_partitions(spark)
-    ranges, shards = 2 * n, 2 * n
+    ranges = shards = max(2 * n, -(-n_bytes // SHARD_BYTES))
+    buckets = min(max(n, -(-shards // 2)), MAX_BUCKETS)
     name = "tidewater_shards_" + scratch_path(spark, "x")[-32:]
-    dealt = id_text(docs).withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
-    dealt.repartition(n, "shard").sortWithinPartitions("shard").write.option("path", scratch_path(spark, "shards")).option(
-        "compression", "zstd").bucketBy(n, "shard").sortBy("shard").saveAsTable(name)
+    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
+    dealt.repartition(buckets, "shard").sortWithinPartitions("shard").write.option("path", scratch_path(spark, "shards")).option(
+        "compression", "zstd").bucketBy(buckets, "shard").sortBy("shard").saveAsTable(name)
     table = spark.table(name)
     by_shard = table.groupBy("shard")
     anchors = by_shard.applyInArrow(_anchor_rows(ranges, length), "rng int, shard int, hashes binary")
@@ -365,4 +370,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     runs = by_shard.cogroup(hits.groupBy("shard")).applyInArrow(_run_rows(ranges, length), "rng int, shard int, runs binary")
     marks = materialize(runs.groupBy("rng").applyInArrow(_mark_rows(length), "shard int, marks binary"), "marks")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return by_shard.cogroup(marks.groupBy("shard")).applyInArrow(_cut_rows(length, with_text), schema)
+    out = materialize(by_shard.cogroup(marks.groupBy("shard")).applyInArrow(_cut_rows(length, with_text), schema), "cut")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # its name in the catalog; the files lie in the scratch folder
+    return out

@@ -10,7 +10,7 @@
   the time at which ``k ln k + 2 k`` are expected are thrown; while a coordinate is still empty the time doubles.
   Two sets agree in a coordinate with the probability of their (weighted) Jaccard similarity, and a document
   costs its elements plus some ``k ln k`` darts.
-* **Banding.**  ``BANDS`` bands of ``ROWS`` coordinates; pairs of similarity 0.8 share one with probability 0.9994.
+* **Banding.**  ``BANDS`` bands of ``ROWS`` coordinates; pairs of similarity 0.8 share one with probability 0.99985.
 * **Joining.**  In each bucket the members that share most buckets with others, the centres of groups, become
   leaders and are compared with every member exactly (similarity of the whole sets).  Members similar to a leader
   leave the bucket, buckets whose members are in one class already are done, the others go on to the next round
@@ -37,7 +37,7 @@ from tidewater.llm.components import joined_classes
 from tidewater.llm.tokens import char_batches
 
 SHINGLE = 5
-BANDS, ROWS = 40, 8
+BANDS, ROWS = 48, 8
 THRESHOLD = 0.8
 ROW = "_near_row"
 _U = np.uint64

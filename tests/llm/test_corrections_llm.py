@@ -132,3 +132,66 @@ def test_the_salted_way_by_measured_bytes(hard, monkeypatch):
     a = sorted(map(key, mixing.mix(hard).collect()))
     monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", 1)
     assert sorted(map(key, mixing.mix(hard).collect())) == a and a
+
+
+# ---- runs of digests -------------------------------------------------------------------------------
+def test_merged_runs_equal_one_sorted_run():
+    from tidewater.llm import exact_dedup as ed
+
+    rng = np.random.default_rng(3)
+    cols = {k: rng.integers(-3, 3, 5000) for k in ed.KEY}
+    cols["d1"][:] = 0  # few digests, words of zeros at the end and in the middle
+    cols["chk"][:] = 0
+    cols |= {"ord": rng.integers(-5, 5, 5000), "row": rng.permutation(5000), "n": rng.integers(1, 4, 5000)}
+    cols = {k: v.astype(np.int64) for k, v in cols.items()}
+    whole = ed._run(cols)
+    want = {}
+    for i in range(5000):
+        key = tuple(int(cols[k][i]) for k in ed.KEY)
+        o, r, n = want.get(key, (10, 0, 0))
+        want[key] = (*min((o, r), (int(cols["ord"][i]), int(cols["row"][i]))), n + int(cols["n"][i])) if n else (int(cols["ord"][i]), int(cols["row"][i]), int(cols["n"][i]))
+    for parts in (1, 2, 3, 16):
+        merged = ed._merged([ed._run({k: v[p::parts] for k, v in cols.items()}) for p in range(parts)])
+        assert merged.tobytes() == whole.tobytes()
+        assert (merged["key"][1:] > merged["key"][:-1]).all()
+    assert sorted((int(o), int(r), int(n)) for _, o, r, n in whole) == sorted(want.values())
+
+
+@pytest.mark.parametrize("largest", [True, False])
+def test_extreme_ids_are_no_marks_of_null(spark, largest):
+    from tidewater.llm import exact_dedup, repeats
+
+    low, high = -(1 << 63), (1 << 63) - 1
+    rows = [(low, "a"), (None, "a"), (high, "b"), (None, "b"), (None, "c"), (None, "c"), (low, "d"), (high, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = exact_dedup.duplicate_groups(df, largest).collect()
+    keep = {r.text_sha256: r.keep_id for r in got}
+    import hashlib
+
+    of = lambda t: keep[hashlib.sha256(t.encode()).hexdigest()]
+    assert (of("a"), of("b"), of("c"), of("d")) == (low, high, None, high if largest else low)
+    assert sum(r.kept for r in got) == 4 and all(r.doc_id == r.keep_id for r in got if r.kept)
+    out = repeats.remove_repeats(df.withColumn("text", F.repeat("text", 150)))
+    assert Counter(r.doc_id for r in out.collect()) == Counter(i for i, _ in rows)
+
+
+def test_no_table_is_left_in_the_catalog(spark):
+    from tidewater.llm import repeats
+
+    before = {t.name for t in spark.catalog.listTables()}
+    repeats.remove_repeats(spark.createDataFrame([(1, "x" * 300)], "doc_id long, text string")).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_revisits_that_repeat_or_have_no_id(spark):
+    from tidewater.llm import revisits
+
+    schema = "record_id long, url string, time long, status int, headers map<string,string>, digest string, key string, row string, full string"
+    full = (2, "http://h/x", 10, 200, {"ETag": '"t"', "A": "1"}, "d", "k", "r", "f")
+    again = (3, "http://h/x", 20, 304, {"ETag": '"t"'}, None, "k", "r", "f")
+    rows = [full, full, again, again, (None, *again[1:]), (4, "http://h/y", 20, 304, None, None, "k", "r", "f"), (None, "http://h/x", 30, 200, {"B": "2"}, "e", "k", "r", "f"),
+            (5, "http://h/x", 40, 304, {}, "e", "k", "r", "f"), (6, None, 1, 304, None, None, None, None, None)]
+    got = revisits.resolve(spark.createDataFrame(rows, schema).repartition(4)).collect()
+    assert Counter((r.record_id, r.full_id, r.state) for r in got) == Counter(
+        [(3, 2, "resolved")] * 2 + [(None, 2, "resolved"), (4, None, "no_response"), (5, None, "resolved"), (6, None, "no_response")])
+    assert {r.digest for r in got if r.record_id == 5} == {"e"}

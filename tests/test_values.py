@@ -118,3 +118,45 @@ def test_cell_retrieval_with_few_of_many_cells_is_exact(spark):
     assert got == want
     part = {(r.query_id, r.rank): r.item_id for r in ranking.cell_top_k(q, e, 10, exclude_self=True, cell_rows=10, probes=3, exact=False).collect()}
     assert part != want
+
+
+def test_ranking_from_learnt_factors(spark):
+    from tidewater.operators.codes import best_k
+
+    rows = [(u, i, 1.0) for u in range(20) for i in range(20) if u % 2 == i % 2 and (u * 7 + i * 3) % 5]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, w float")
+    u, i = models.factor_tables(models.train_implicit_als(df, "user_id", "item_id", "w", rank=4, max_iter=5))
+    for small in (100, 1):  # by multiplying everything and by codes
+        best = best_k(u, i, 10, q_id="user_id", q_vec="user_vec", i_id="item_id", i_vec="item_vec", small_side=small).collect()
+        assert len(best) == 200 and all(r.user_id % 2 == r.item_id % 2 for r in best)
+
+
+def test_a_classifier_on_separable_rows(spark):
+    rows = [(k, k % 2 * 2.0 + (k % 7) / 10, (k * 3 % 11) / 11, k % 2) for k in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, noise double, y int")
+    model = models.train_classifier(df.where("id < 150"), ["x", "noise"], "y")
+    scored = models.score_with_pipeline(df.where("id >= 150"), model, "id", "v1", "2024-01-31 00:00:00", ["y"])
+    r = evaluate.binary_report(scored, "y", "prediction_score").first()
+    assert (r.accuracy, r.precision, r.recall, r.f1, r.auc) == (1.0, 1.0, 1.0, 1.0, 1.0)
+
+
+def test_drift_report_row(spark):
+    from tidewater.operators import drift
+    from tidewater.plans.catalog import load_all
+    from tidewater.plans.queries_drift import drift_inputs
+    from tidewater.plans.tables import Tables
+
+    got = load_all()["dft10_drift_report"].spark_df(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == 1
+    r = got[0]
+    ref, cur = drift_inputs(Tables(spark, "/root/testdata/sf0.001"))
+    want = {x.feature: x for x in drift.feature_drift(ref, cur, ["dwell_time", "item_id", "hour", "user_id"]).collect()}
+    assert {f.feature: (f.psi, f.ks_statistic, f.drift_detected) for f in r.features} == {
+        k: (x.psi, x.ks_statistic, x.drift_detected) for k, x in want.items()}
+    drifted = sum(bool(x.drift_detected) for x in want.values())
+    assert (r.total_features, r.drifted_features, r.drift_percentage, r.overall_drift_detected) == (4, drifted, drifted * 25.0, drifted > 0)
+    # the scaled column by hand: counts and means of both periods
+    values = [[x.dwell_time for x in d.select("dwell_time").collect()] for d in (ref, cur)]
+    x = want["dwell_time"]
+    assert (x.n_ref, x.n_cur) == tuple(map(len, values)) and x.mean_cur == pytest.approx(np.mean(values[1])) and x.std_ref == pytest.approx(np.std(values[0]))
+    assert r.thresholds.psi == 0.2

@@ -12,9 +12,11 @@ from tidewater.functions import core as fc
 from tidewater.functions.ranks import quantile_edges
 from tidewater.functions.stats import ks_asymptotic_p, normal_two_sided, student_t_two_sided
 from tidewater.operators import clean, models, quality, udx
+from tidewater.operators.codes import best_k
 from tidewater.operators.features import combine_features, temporal_features, behavioral_features
 from tidewater.operators.quality import Spec
 from tidewater.plans.catalog import query
+from tidewater.plans.queries_features import BEHAVIOR_SQL, TEMPORAL_SQL
 from tidewater.plans.queries_relational import CLEANED_ORDERS_SQL, cleaned_orders
 from tidewater.plans.tables import Tables
 from tidewater.sources import files as src
@@ -79,7 +81,13 @@ def prj19_threshold_labels(t: Tables):
                     clean.threshold_label(F.col("y"), 1).alias("positive"))
 
 
-@query("jn03_combine_temporal_behavior", None)
+@query("jn03_combine_temporal_behavior", f"""
+    WITH t AS ({TEMPORAL_SQL}), b AS ({BEHAVIOR_SQL})
+    SELECT customer_id, first_order_date, last_order_date, most_purchased_category, coalesce(COLUMNS(* EXCLUDE (customer_id, first_order_date, last_order_date,
+           most_purchased_category)), 0) AS '\\0'
+    FROM (SELECT t.*, b.* EXCLUDE (customer_id), b.num_unique_categories AS num_unique_categories_dup FROM t LEFT JOIN b ON t.customer_id = b.customer_id) j""",
+       views=["corders", "sales"], floats=["avg_days_between_orders", "std_days_between_orders", "weekend_order_ratio", "category_diversity_score",
+                                           "avg_items_per_order", "cancellation_rate", "delivery_rate", "bulk_buyer_score"])
 def jn03_combine_temporal_behavior(t: Tables):
     """JN-03: feature sets joined on one key; ``total_items``-style clashes get suffixes; numeric nulls -> 0."""
     tmp = temporal_features(t.corders, order=["order_ts", "order_id"])
@@ -157,11 +165,11 @@ def evl10_train_and_validate(t: Tables):
 
 @query("evl11_12_als_item_factors", None)
 def evl11_12_als_item_factors(t: Tables):
-    """EVL-11/12: implicit ALS on interactions (weight = 1 + click); item factor table."""
+    """EVL-11/12 and retrieval from them: implicit ALS on interactions (weight = 1 + click); each user's ten best items by factors."""
     i = t.interactions.groupBy("user_id", "item_id").agg((F.count(F.lit(1)) + F.sum("click")).cast("float").alias("w"))
     model = models.train_implicit_als(i, "user_id", "item_id", "w", rank=8, max_iter=5)
-    _, items = models.factor_tables(model)
-    return items.select("item_id", F.size("item_vec").alias("dim"))
+    users, items = models.factor_tables(model)
+    return best_k(users, items, 10, q_id="user_id", q_vec="user_vec", i_id="item_id", i_vec="item_vec")
 
 
 # ---------------------------------------------------------------------------
@@ -267,15 +275,16 @@ def udx02_builtin_lambda_aggregates(t: Tables):
     return m.join(c, "customer_id")
 
 
-@query("udx03_per_group_pandas", None)
+@query("udx03_per_group_pandas", """SELECT user_id, CAST(ts AS DATE) AS ds, count(*) AS events,
+              coalesce((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 / nullif(count(*) - 1, 0), 0.0) AS mean_gap_seconds FROM interactions GROUP BY ALL""",
+       views=["interactions"], floats=["mean_gap_seconds"])
 def udx03_per_group_pandas(t: Tables):
     """UDX-03: a pandas function per (user, day) group - bounded groups - through applyInPandas."""
 
     def gaps(pdf: pd.DataFrame) -> pd.DataFrame:
-        ts = pdf["ts"].sort_values()
-        g = ts.diff().dt.total_seconds().dropna()
+        n, span = len(pdf), pdf["ts"].max() - pdf["ts"].min()  # the gaps of the sorted times add up to it
         return pd.DataFrame({"user_id": [pdf["user_id"].iloc[0]], "ds": [pdf["ds"].iloc[0]],
-                             "events": [len(pdf)], "mean_gap_seconds": [float(g.mean()) if len(g) else 0.0]})
+                             "events": [n], "mean_gap_seconds": [span // pd.Timedelta(microseconds=1) / 1e6 / (n - 1) if n > 1 else 0.0]})
 
     i = t.interactions.select("user_id", "ts", F.to_date("ts").alias("ds"))
     return udx.per_group(i, ["user_id", "ds"], gaps, "user_id long, ds date, events long, mean_gap_seconds double")

@@ -12,12 +12,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import safe_div
 from tidewater.functions.ranks import cumulative, join_null_safe, value_counts
+from tidewater.session import materialize
 
 # Default decision thresholds of the comparison rules.
 PROMOTE_AUC_GAIN = 0.02
@@ -223,20 +227,35 @@ def _uniform(b: Column, keys: Sequence[str], salt: str, seed: int) -> Column:
     return (F.shiftrightunsigned(h, 12).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+@lru_cache(maxsize=None)
+def _poisson_cdf(n: int) -> np.ndarray:
+    """The distribution of mean ``n`` up to a number that a draw of 52 bits does not pass."""
+    top = math.ceil(n + 12.0 * math.sqrt(n) + 24.0)
+    p = total = math.exp(-n)
+    cdf = [total]
+    for k in range(1, top):
+        p = p * n / k
+        total += p
+        cdf.append(total)
+    return np.array(cdf)
+
+
 def poisson_draw(n: Column, u: Column, u2: Column) -> Column:
     """A Poisson number of mean ``n``: the distribution inverted at ``u`` up to ``POISSON_EXACT``, rounded normal beyond."""
-    mean = n.cast("double")
-    top = F.ceil(mean + F.lit(12.0) * F.sqrt(mean) + F.lit(24.0)).cast("int")
-    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0).alias("k"))
 
-    def step(a: Column, k: Column) -> Column:
-        p = a["p"] * mean / k
-        return F.struct(p.alias("p"), (a["cdf"] + p).alias("cdf"), F.when(a["cdf"] < u, k).otherwise(a["k"]).alias("k"))
+    @F.pandas_udf("long")
+    def small(mean: pd.Series, at: pd.Series) -> pd.Series:
+        mean, at = mean.to_numpy(), at.to_numpy()
+        out = np.zeros(len(mean), dtype=np.int64)
+        for m in np.unique(mean):
+            own = mean == m
+            out[own] = np.searchsorted(_poisson_cdf(int(m)), at[own])
+        return pd.Series(out)
 
-    small = F.aggregate(F.sequence(F.lit(1), top), start, step)["k"]
+    mean = n.cast("double")
     normal = F.sqrt(F.lit(-2.0) * F.ln(u)) * F.cos(F.lit(2.0 * math.pi) * u2)
     large = F.greatest(F.round(mean + F.sqrt(mean) * normal), F.lit(0.0))
-    return F.when(n <= POISSON_EXACT, small.cast("long")).otherwise(large.cast("long"))
+    return F.when(n <= POISSON_EXACT, small(F.least(n, F.lit(POISSON_EXACT)).cast("long"), u)).otherwise(large.cast("long"))
 
 
 def bootstrap_rows(df: DataFrame, columns: Sequence[str], replicates: int, seed: int = 7) -> DataFrame:
@@ -262,8 +281,10 @@ def bootstrap_significance(df: DataFrame, label: str, baseline: str, candidate:
         raise ValueError("bootstrap supports auc, accuracy or f1")
     rep = bootstrap_rows(df, [label, baseline, candidate], replicates)
     if metric == "auc":
-        a = roc_auc(rep, label, baseline, ["_rep"], F.col("_w")).withColumnRenamed("auc", "m0")
-        c = roc_auc(rep, label, candidate, ["_rep"], F.col("_w")).withColumnRenamed("auc", "m1")
+        models = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_s")) for i, c in enumerate((baseline, candidate))]))
+        both = rep.select(label, "_rep", "_w", models.alias("_x")).select(label, "_rep", "_w", "_x.*")  # drawn once
+        both = materialize(roc_auc(both, label, "_s", ["_rep", "_m"], F.col("_w")), "auc")
+        a, c = (both.where(F.col("_m") == i).select("_rep", F.col("auc").alias(f"m{i}")) for i in (0, 1))
     elif metric == "f1":
         def f1(s):
             y, p, w = F.col(label) == 1, F.col(s) >= 0.5, F.col("_w")

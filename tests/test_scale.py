@@ -3,11 +3,10 @@
 import datetime as dt
 
 import numpy as np
-
-
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tidewater.operators import evaluate
+from tidewater.operators import evaluate, udx
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -29,3 +28,22 @@ def test_draws_invert_the_distribution_without_a_loop_per_row(spark, capsys):
     assert all(r.k == _poisson_by_steps(r.n, r.u) for r in got)
     evaluate.bootstrap_rows(df, ["n", "u"], 5).explain()
     assert "lambda" not in capsys.readouterr().out
+
+
+def test_many_groups_in_one_call_and_none_split(spark):
+    big = 2**53 + 1
+    rows = [(None if g == 3 else big + g, None if g % 5 == 4 else dt.date(2024, 1, 1 + g % 3), i) for g in range(60) for i in range(1 + 9 * (g % 4))]
+    df = spark.createDataFrame(rows, "k long, d date, v long")
+
+    def sums(pdf):
+        g = pdf.groupby(["k", "d"], dropna=False, sort=False)["v"].agg(["size", "sum"]).reset_index()
+        return pd.DataFrame({"k": g["k"], "d": g["d"], "n": g["size"], "s": g["sum"], "groups": len(g)})
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")  # batches end within groups
+    try:
+        got = udx.per_group(df, ["k", "d"], sums, "k long, d date, n long, s long, groups long", at_once=True).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = df.groupBy("k", "d").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect()
+    assert sorted((tuple(r)[:4] for r in got), key=repr) == sorted(map(tuple, want), key=repr) and max(r.groups for r in got) > 1

@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import evaluate, udx
@@ -47,3 +48,21 @@ def test_many_groups_in_one_call_and_none_split(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     want = df.groupBy("k", "d").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect()
     assert sorted((tuple(r)[:4] for r in got), key=repr) == sorted(map(tuple, want), key=repr) and max(r.groups for r in got) > 1
+
+
+def test_rolling_activity_folds_to_panes_before_windows(spark, capsys):
+    from tidewater.streaming import events as st
+
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 50 == 7 else int(rng.integers(0, 4)), None if i % 31 == 2 else int(rng.integers(0, 9)),
+             None if i % 40 == 9 else T0 + dt.timedelta(minutes=int(rng.integers(0, 60 * 24 * 6))), None if i % 3 == 1 else i % 2) for i in range(400)]
+    df = st.with_event_time(spark.createDataFrame(rows + rows[:60], "item_id int, user_id long, ts timestamp_ntz, liked int"))
+    for size, slide in (("24 hours", "1 hour"), ("3 hours", "45 minutes"), ("2 hours", "2 hours"), ("50 minutes", "20 minutes")):
+        out = st.rolling_item_activity(df, size=size, slide=slide, exact_distinct=True)
+        g = df.groupBy(F.window("event_time", size, slide).alias("w"), "item_id").agg(
+            F.count(F.lit(1)).alias("views"), F.sum("liked").alias("likes"), F.countDistinct("user_id").alias("unique_viewers"))
+        want = g.select("w.start", "w.end", "item_id", "views", "likes", "unique_viewers")
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    capsys.readouterr()
+    st.rolling_item_activity(df, exact_distinct=True).explain()
+    assert "Expand" not in capsys.readouterr().out

@@ -13,9 +13,10 @@ session-zone ``timestamp`` (watermarks reject ``timestamp_ntz``), so
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -88,8 +89,10 @@ def rolling_item_activity(events: DataFrame, ts: str = "event_time", size: str =
     """STR-05: per item and sliding window: views, likes, unique viewers.
 
     Streams use ``approx_count_distinct`` (bounded sketch state); the batch twin
-    can ask for the exact count.
+    can ask for the exact count, which goes by panes of one ``slide`` where ``size`` is a multiple of it.
     """
+    if exact_distinct and not events.isStreaming and (steps := _steps(events, size, slide)):
+        return _rolling_by_panes(events, ts, slide, steps, item, user)
     uniq = F.countDistinct(user) if exact_distinct else F.approx_count_distinct(user)
     g = events.withWatermark(ts, delay).groupBy(F.window(ts, size, slide).alias("w"), item)
     return g.agg(
@@ -98,6 +101,39 @@ def rolling_item_activity(events: DataFrame, ts: str = "event_time", size: str =
              "unique_viewers")
 
 
+def _steps(events: DataFrame, size: str, slide: str) -> int | None:
+    """How many windows hold an event; none if ``size`` is no multiple of ``slide``."""
+    lengths = [F.expr(f"CAST(INTERVAL {x} AS INTERVAL DAY TO SECOND)") for x in (size, slide)]
+    length, step = events.sparkSession.range(1).select(*lengths).first()
+    return length // step if length % step == dt.timedelta(0) else None
+
+
+def _rolling_by_panes(events: DataFrame, ts: str, slide: str, steps: int, item: str, user: str) -> DataFrame:
+    """The exact form: events are folded to panes of one ``slide`` before the windows take them up.
+
+    A viewer of a pane counts in the windows that begin from ``steps - 1`` panes before it, or after the pane in which he
+    was last seen, up to it; so distinct viewers are a running sum of arrivals and departures per item.
+    """
+    step = F.expr(f"INTERVAL {slide}")
+    e = events.select(F.window(ts, slide)["start"].alias("at"), F.col(item).alias("item"), F.col(user).alias("user"), "liked")
+    back = F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))
+    panes = e.groupBy("item", "at").agg(F.count(F.lit(1)).alias("views"), F.sum("liked").alias("likes"))
+    windows = panes.select("item", "at", "views", "likes", back.alias("k")).select("item", (F.col("at") - step * F.col("k")).alias("at"), "views", "likes")
+    seen = e.where(F.col("user").isNotNull()).groupBy("item", "user", "at").agg(F.lit(1).alias("d"))
+    before = F.lag("at").over(Window.partitionBy("item", "user").orderBy("at"))
+    comes = F.greatest(F.col("at") - step * F.lit(steps - 1), before + step)  # greatest passes over null
+    seen = seen.select("item", comes.alias("first"), (F.col("at") + step).alias("gone"))
+    changes = seen.select("item", F.explode(F.array(F.struct(F.col("first").alias("at"), F.lit(1).alias("d")),
+                                                    F.struct(F.col("gone").alias("at"), F.lit(-1).alias("d")))).alias("x")).select("item", "x.at", "x.d")
+    none = F.lit(None).cast("bigint")
+    rows = windows.withColumn("d", F.lit(0)).unionByName(changes.select("item", "at", none.alias("views"), none.cast(windows.schema["likes"].dataType).alias("likes"), "d"))
+    rows = rows.groupBy("item", "at").agg(F.sum("views").alias("views"), F.sum("likes").alias("likes"), F.sum("d").alias("d"))
+    viewers = F.sum("d").over(Window.partitionBy("item").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    out = rows.withColumn("unique_viewers", viewers).where(F.col("views").isNotNull())
+    return out.select(F.col("at").alias("window_start"), (F.col("at") + step * F.lit(steps)).alias("window_end"), F.col("item").alias(item),
+                      "views", "likes", "unique_viewers")
+
+
 def item_momentum(events: DataFrame, as_of: str, ts: str = "event_time", item: str = "item_id", user: str = "user_id") -> DataFrame:
     """STR-05, batch twin at one moment: views of the last 1 h, 24 h and 7 d, viewers of the last 24 h, and
     acceleration: views of the last hour less those of the hour before."""

@@ -66,3 +66,29 @@ def test_rolling_activity_folds_to_panes_before_windows(spark, capsys):
     capsys.readouterr()
     st.rolling_item_activity(df, exact_distinct=True).explain()
     assert "Expand" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_many_users_share_a_key_of_the_state(spark, tmp_path, buckets):
+    from tidewater.streaming import events as st
+    from tidewater.streaming import labels, rings, totals
+
+    rings.use_state_store(spark)
+    rows = [(u, 1, u % 2, T0 + dt.timedelta(hours=24 * d + u % 5)) for u in range(400) for d in (0, 1, 9 + u % 3) if (u + d) % 4]
+    rows += [(None, 1, 1, T0)]
+    schema = "user_id long, click int, liked int, ts timestamp_ntz"
+    for k, (a, b) in enumerate([(0, 1), (1, 8), (8, 20)]):
+        part = [r for r in rows if a <= (r[3] - T0).days < b]
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/k={k}"))
+    spark.createDataFrame([(None, None, None, T0 + dt.timedelta(days=90))], schema).write.parquet(str(tmp_path / "in/k=9"))
+    s = st.with_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/k=*")))
+    out = totals.span_totals(s, idle_days=2, buckets=buckets)
+    q = labels.write_epochs(out, str(tmp_path / "out"), str(tmp_path / "ck"), "update")
+    q.awaitTermination()
+    spans = labels.latest(labels.read_epochs(spark, str(tmp_path / "out"), out.schema), ["user_id", "span"])
+    want = st.running_counters(spark.createDataFrame(rows, schema).where("user_id IS NOT NULL")).collect()
+    assert sorted(map(tuple, totals.totals_of_spans(spans).collect())) == sorted(map(tuple, want))
+    per_user = spans.groupBy("user_id").count().where("count > 1").count()
+    assert per_user == sum(u % 4 > 0 or (u + 1) % 4 > 0 for u in range(400) if (u + 9 + u % 3) % 4)
+    state = [s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]]
+    assert state[-1] == 0 and max(state) > 0

@@ -124,13 +124,9 @@ def daily_summary(df: DataFrame, ts="order_ts", amount="total_amount", customer=
 
 def daily_breakdown(df: DataFrame, dims: dict[str, Column], ts="order_ts") -> DataFrame:
     """AGG-19 counts by category / hour / payment as long rows (day, dimension, value, n)."""
-    parts = [
-        df.select(F.to_date(ts).alias("order_date"), F.lit(name).alias("dimension"), c.cast("string").alias("value"))
-        for name, c in dims.items()
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    # one pass over ``df``: an entry per dimension
+    entries = F.array(*[F.struct(F.lit(name).alias("dimension"), c.cast("string").alias("value")) for name, c in dims.items()])
+    u = df.select(F.to_date(ts).alias("order_date"), F.explode(entries).alias("_x")).select("order_date", "_x.*")
     return u.groupBy("order_date", "dimension", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -24,6 +24,10 @@ EXPERIMENT = "feed_v2"
 # Fixed "now" of each fact table (the reference reads the wall clock instead).
 ORDERS_AS_OF = "2001-08-02 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
+# Rows of a fact table that one task of a join or fold takes, so that its memory does not grow with the table.
+ROWS_PER_TASK = 500_000
+# Rows from which the smaller side of such a join is dealt too; below, Spark may broadcast it.
+LARGE_SIDE = 2_000_000
 
 
 def _m50(c: str) -> Column:
@@ -37,6 +41,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._base: dict[str, DataFrame] = {}
+        self._parts: dict[str, int] = {}
 
     def base(self, name: str) -> DataFrame:
         # one reader per table: the file listing and footer schema are read once per query
@@ -44,6 +49,19 @@ class Tables:
             self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._base[name]
 
+    def parts(self, name: str) -> int | None:
+        """Tasks over which rows of the size of a base table are dealt (counted from the file footers); none for one."""
+        if name not in self._parts:
+            self._parts[name] = -(-self.base(name).count() // ROWS_PER_TASK)
+        return self._parts[name] if self._parts[name] > 1 else None
+
+    def _join(self, facts: DataFrame, side: DataFrame, key: str, fact: str, table: str) -> DataFrame:
+        """Inner join; with a large side both are dealt over as many tasks as the facts need."""
+        n = self.parts(fact)
+        if n and (self.parts(table) or 0) * ROWS_PER_TASK > LARGE_SIDE:
+            facts, side = facts.repartition(n, key), side.repartition(n, key)
+        return facts.join(side, key)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.base(name)
@@ -76,10 +94,10 @@ class Tables:
         )
         c = self.base("customer").select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
         n = self.base("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
+        rows = self._join(li, o, "order_id", "lineitem", "orders")
+        rows = self._join(rows, p, "product_id", "lineitem", "part")
         return (
-            li.join(o, "order_id")
-            .join(p, "product_id")
-            .join(c.join(n, "c_nationkey"), "customer_id")
+            self._join(rows, c.join(n, "c_nationkey"), "customer_id", "lineitem", "customer")
             .select(
                 "order_id", "line_no", "customer_id", "product_id", "order_ts", "quantity", "price",
                 "total_amount", "discount", "category", "product_type", "country", "status",

@@ -108,10 +108,12 @@ def segment_distribution(rfm: DataFrame) -> DataFrame:
 # AGG-08: order rhythm
 # ---------------------------------------------------------------------------
 def temporal_features(df: DataFrame, key="customer_id", ts="order_ts", order: Sequence[str] | None = None,
-                      max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                      max_rows: int | None = DEFAULT_MAX_ROWS, partitions: int | None = None) -> DataFrame:
     """AGG-08: first/last, lifetime, gap statistics (0 for a single order), modal weekday/hour,
-    weekend counts and ratio."""
+    weekend counts and ratio.  ``partitions`` deals the keys over so many tasks before."""
     d = _nonnull(df, [key])
+    if partitions:
+        d = d.select(*dict.fromkeys([key, ts, *(order or [])])).repartition(partitions, key)
     order = list(order or [ts])
     gaps = lookback_columns(
         d.select(key, *[c for c in dict.fromkeys([ts, *order])]),
@@ -155,21 +157,36 @@ def temporal_features(df: DataFrame, key="customer_id", ts="order_ts", order: Se
 # AGG-09: behaviour
 # ---------------------------------------------------------------------------
 def behavioral_features(df: DataFrame, key="customer_id", category="category", qty="quantity", status="status",
-                        cancelled="cancelled", delivered="delivered") -> DataFrame:
-    """AGG-09: top category, distinct categories, diversity, items, cancel/deliver counts and rates, bulk share."""
-    d = _nonnull(df, [key])
-    n = F.count(F.lit(1))
-    g = d.groupBy(key).agg(
-        F.countDistinct(category).alias("num_unique_categories"),
-        n.alias("_n"),
-        F.avg(qty).alias("avg_items_per_order"),
-        F.sum(qty).cast("long").alias("total_items_purchased"),
-        F.max(qty).cast("long").alias("max_items_in_order"),
-        F.count_if(F.col(status) == cancelled).alias("cancelled_orders"),
-        F.count_if(F.col(status) == delivered).alias("delivered_orders"),
+                        cancelled="cancelled", delivered="delivered", partitions: int | None = None) -> DataFrame:
+    """AGG-09: top category, distinct categories, diversity, items, cancel/deliver counts and rates, bulk share.
+
+    One pass: rows are folded to (key, category) and these to keys.  ``partitions`` deals the rows over so many tasks before.
+    """
+    d = _nonnull(df, [key]).select(key, category, qty, status)
+    if partitions:
+        d = d.repartition(partitions, key, category)
+    c = d.groupBy(key, category).agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.count(qty).alias("_q"),
+        F.sum(qty).alias("_items"),
+        F.max(qty).alias("_max"),
+        F.count_if(F.col(status) == cancelled).alias("_cancelled"),
+        F.count_if(F.col(status) == delivered).alias("_delivered"),
         F.count_if(F.col(qty) > 3).alias("_bulk"),
     )
-    g = g.select(
+    by_count = F.when(F.col(category).isNotNull(), F.struct(-F.col("_c"), F.col(category)))
+    g = c.groupBy(key).agg(
+        F.count(category).alias("num_unique_categories"),
+        F.sum("_c").alias("_n"),
+        (F.sum("_items") / F.sum("_q")).alias("avg_items_per_order"),
+        F.sum("_items").cast("long").alias("total_items_purchased"),
+        F.max("_max").cast("long").alias("max_items_in_order"),
+        F.sum("_cancelled").alias("cancelled_orders"),
+        F.sum("_delivered").alias("delivered_orders"),
+        F.sum("_bulk").alias("_bulk"),
+        F.min_by(F.col(category), by_count).alias("most_purchased_category"),  # null for a customer without any category
+    )
+    return g.select(
         key,
         "num_unique_categories",
         (F.col("num_unique_categories") / F.col("_n")).alias("category_diversity_score"),
@@ -181,9 +198,8 @@ def behavioral_features(df: DataFrame, key="customer_id", category="category", q
         (F.col("cancelled_orders") / F.col("_n")).alias("cancellation_rate"),
         (F.col("delivered_orders") / F.col("_n")).alias("delivery_rate"),
         (F.col("_bulk") / F.col("_n")).alias("bulk_buyer_score"),
+        "most_purchased_category",
     )
-    top = mode_by(d, [key], category, "most_purchased_category")
-    return g.join(top, key, "left")  # a customer without any category keeps its row
 
 
 # ---------------------------------------------------------------------------

@@ -164,7 +164,7 @@ def agg07_segment_distribution(t: Tables):
     floats=["avg_days_between_orders", "std_days_between_orders", "weekend_order_ratio"],
 )
 def agg08_temporal_features(t: Tables):
-    return fe.temporal_features(t.corders, order=ORDER_KEYS)
+    return fe.temporal_features(t.corders, order=ORDER_KEYS, partitions=t.parts("orders"))
 
 
 @query(
@@ -174,7 +174,7 @@ def agg08_temporal_features(t: Tables):
     floats=["avg_items_per_order", "category_diversity_score", "cancellation_rate", "delivery_rate", "bulk_buyer_score"],
 )
 def agg09_behavioral_features(t: Tables):
-    return fe.behavioral_features(t.sales, cancelled="P", delivered="F")
+    return fe.behavioral_features(t.sales, cancelled="P", delivered="F", partitions=t.parts("lineitem"))
 
 
 @query(

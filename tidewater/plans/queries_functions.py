@@ -19,6 +19,7 @@ from tidewater.plans.catalog import query
 from tidewater.plans.queries_features import BEHAVIOR_SQL, TEMPORAL_SQL
 from tidewater.plans.queries_relational import CLEANED_ORDERS_SQL, cleaned_orders
 from tidewater.plans.tables import Tables
+from tidewater.session import materialize
 from tidewater.sources import files as src
 
 # ---------------------------------------------------------------------------
@@ -90,8 +91,8 @@ def prj19_threshold_labels(t: Tables):
                                            "avg_items_per_order", "cancellation_rate", "delivery_rate", "bulk_buyer_score"])
 def jn03_combine_temporal_behavior(t: Tables):
     """JN-03: feature sets joined on one key; ``total_items``-style clashes get suffixes; numeric nulls -> 0."""
-    tmp = temporal_features(t.corders, order=["order_ts", "order_id"])
-    beh = behavioral_features(t.sales, cancelled="P", delivered="F")
+    tmp = materialize(temporal_features(t.corders, order=["order_ts", "order_id"], partitions=t.parts("orders")), "temporal")
+    beh = materialize(behavioral_features(t.sales, cancelled="P", delivered="F", partitions=t.parts("lineitem")), "behavior")
     return combine_features(tmp, [beh, beh.select("customer_id", "num_unique_categories")], suffixes=["", "_dup"])
 
 

@@ -46,7 +46,10 @@ class SpanTotals(StatefulProcessor):
                 pass
             return
         hours = pd.concat(list(rows)).groupby(["user", "hour"], sort=True).agg(
-            first=("first", "min"), last=("last", "max"), events=("events", "sum"), clicks=("clicks", "sum"), likes=("likes", "sum")).reset_index()
+            first=("first", "min"), last=("last", "max"), events=("events", "sum"), clicks=("clicks", "sum"), likes=("likes", "sum"))
+        hours = hours.astype("int64").reset_index()  # rows without a time are left out and made the others doubles
+        if hours.empty:
+            return
         if self.kind not in ("float", "double") and hours["user"].dtype.kind == "f":  # came in one batch with null users
             hours["user"] = hours["user"].astype("int64")
         spans = {r[0]: tuple(r[1:]) for r in self.state.get()}

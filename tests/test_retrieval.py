@@ -105,3 +105,64 @@ def test_bitmaps_of_seen_places(spark):
     few = rk.seen_bitmaps(seen.where("item_id < 8"), places, "user_id", "item_id").first()
     assert [len(p.bits) for p in few.parts] == [1]
     assert not rk._seen_places(None, 5).any()
+
+
+def test_only_the_best_leave_a_tile(spark):
+    """Candidate pairs were rows before, and travelled with their vectors."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 16)).round(3)
+    qs, items = _frames(spark, x[:40], x)
+    args = (qs, items, 3, "query_id", "query_vec", "item_id", "item_vec", None, True, True, None, 20, 300)
+    _, left = codes._ranked(*args)
+    assert left.count() == 40 * 3 * 3  # three blocks of items
+    assert codes._with_products(*args)[1].count() > left.count()
+
+
+def test_bounds_lose_nothing_at_any_size(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(5_000, 5)).round(3)
+    x[:, 0] += 40.0
+    for factor in (1e-160, 1e-30, 1.0, 1e30, 1e140):
+        y = x * factor
+        books = rng.normal(size=(3, codes.CENTRES, 2)) * factor
+        s = codes._split(y, 2)
+        code = np.stack([codes._nearest(s[:, m], books[m]) for m in range(3)], axis=1)
+        rest = codes._norms((s - books[np.arange(3), code]).reshape(len(s), -1))
+        side, scale = codes._bounds(code, rest, books)
+        ids = rng.permutation(len(x))
+        q = np.vstack([y[:7], -y[:7], np.zeros((1, 5))])
+        row, item, score = codes._best_of_tile(np.full(len(q), -1), q, ids, y, side, scale, 4, 6, False, False)
+        want = q @ y.T
+        for r in range(len(q)):
+            best = np.lexsort((ids, -np.einsum("ij,ij->i", np.repeat(q[r:r + 1], len(y), 0), y)))[:4]
+            assert item[row == r].tolist() == best.tolist()
+            assert np.allclose(score[row == r], want[r, best], rtol=1e-12, atol=0)
+
+
+def test_queries_without_an_id_and_ids_in_common(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(50, 4)).round(3)
+    qs, items = _frames(spark, x[:4], x)
+    no_id = spark.createDataFrame([(None, x[9].tolist())], qs.schema)
+    got = codes.code_top_k(qs.unionByName(no_id), items.unionByName(no_id.toDF("item_id", "item_vec")), 3, exclude_self=True).collect()
+    assert {(r.query_id, r.item_id, r["rank"]) for r in got} == _want(x[:4], x, 3, range(4), range(50), self_too=False)
+    twice = codes.code_top_k(qs, items.unionByName(items.where("item_id = 20")), 60, exclude_self=True)
+    assert sorted(r["n"] for r in twice.where("query_id = 0").groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).collect()) == [1] * 48 + [4]
+
+
+def test_copies_and_near_copies_are_not_multiplied_one_by_one(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1_200, 8)).round(3)
+    x[200:700] = x[0]
+    x[700:] = x[1] + 1e-7 * rng.normal(size=(500, 8))
+    ids = rng.permutation(len(x))
+    qs, items = _frames(spark, x[::3], x, ids[::3], ids)
+    args = (qs, items, 4, "query_id", "query_vec", "item_id", "item_vec", None, True, True, None, 2_048, 2_048)
+    best, multiplied = codes._with_products(*args)
+    want = set()
+    for a, v in zip(ids[::3], x[::3]):
+        s = np.einsum("ij,ij->i", np.repeat(v[None], len(x), 0), x)
+        order = [i for i in np.lexsort((ids, -s)) if ids[i] != a][:4]
+        want |= {(int(a), int(ids[i]), r + 1) for r, i in enumerate(order)}
+    assert {(r.qid, r.iid, r["rank"]) for r in best.collect()} == want
+    assert multiplied.count() <= qs.count() * 120

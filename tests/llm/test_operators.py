@@ -400,6 +400,71 @@ def test_a_hot_anchor_is_spread_over_ranges():
     assert len(size) == 8 and max(size.values()) < 0.2 * sum(size.values())
 
 
+def test_a_range_takes_its_anchors_in_batches(monkeypatch):
+    """What a worker merges at once does not grow with its range; the marks are those of brute force."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    line = lambda n: bytes(rng.integers(97, 123, n)).decode()
+    passages = [line(140) for _ in range(40)]
+    texts = [line(60) + passages[k % 40] + line(60) for k in range(400)] + [line(50) + passages[0] * 2] * 3
+    table = pa.table({"doc_id": list(range(len(texts))), "text": texts})
+    key = (pa.scalar(0),)
+    anchors = repeats._anchor_rows(2, 100)(key, table)
+    find = repeats._repeated_anchors(repeats.HOT)
+    known = [find((g,), anchors.filter(pa.compute.equal(anchors["rng"], g))) for g in pa.compute.unique(anchors["rng"])]
+    took, merge = [], repeats.equal_windows
+    monkeypatch.setattr(repeats, "equal_windows", lambda strings, length: (took.append(sum(map(len, strings))), merge(strings, length))[1])
+    monkeypatch.setattr(repeats, "BATCH", 1 << 12)
+    runs = repeats._run_rows(2, 100)(key, table, pa.concat_tables(known))
+    marks = [repeats._mark_rows(100)((g,), runs.filter(pa.compute.equal(runs["rng"], g))) for g in pa.compute.unique(runs["rng"])]
+    got = repeats._cut_rows(100, False)(key, table, pa.concat_tables(marks)).to_pylist()
+    assert Counter(tuple(r.values()) for r in got) == _cut(list(enumerate(texts)), 100)
+    most = max(Counter(repeats.Runs([t.encode() for t in texts]).hash.tolist()).values())
+    assert len(took) > 5 and max(took) < (1 << 12) + 168 * most
+
+
+def test_rows_of_runs_are_handed_over_in_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(repeats, "SENT_BYTES", 1 << 12)
+    rng = np.random.default_rng(9)
+    texts = [bytes(rng.integers(97, 123, 3000)).decode() for _ in range(20)] * 2
+    table = pa.table({"doc_id": list(range(40)), "text": texts})
+    key = (pa.scalar(0),)
+    anchors = repeats._anchor_rows(16, 100)(key, table)
+    find = repeats._repeated_anchors(repeats.HOT)
+    known = [find((g,), anchors.filter(pa.compute.equal(anchors["rng"], g))) for g in pa.compute.unique(anchors["rng"])]
+    batches = repeats._run_rows(16, 100)(key, table, pa.concat_tables(known)).to_batches()
+    sizes = [[len(v.as_buffer()) for v in b.column("runs")] for b in batches]
+    assert len(batches) > 3 and all(sum(s) - s[-1] <= (1 << 12) + max(s) for s in sizes)
+    assert repeats._table([], shard=pa.int32(), marks=pa.binary()).num_rows == 0
+
+
+@pytest.mark.parametrize("length", [32, 40, 63, 64, 100])
+def test_windows_have_equal_keys_where_they_are_equal(length):
+    rng = np.random.default_rng(length)
+    strings = [bytes(rng.integers(97, 99, n)) for n in (length, length + 30, length + 7)] * 2
+    windows = np.array([len(s) - length + 1 for s in strings])
+    keys = repeats._window_keys(strings, windows, length).tolist()
+    every = [s[a:a + length] for s, n in zip(strings, windows.tolist()) for a in range(n)]
+    assert len(keys) == len(every) and len(set(keys)) == len(set(every)) == len(set(zip(keys, every)))
+
+
+def test_shards_do_not_grow_where_shuffle_partitions_are_few(spark, monkeypatch):
+    """Their number follows the bytes of text, that of the ranges the bytes of the runs."""
+    made = {}
+    for name in ("_anchor_rows", "_run_rows"):
+        monkeypatch.setattr(repeats, name, lambda ranges, length, f=getattr(repeats, name), name=name: made.update({name: ranges}) or f(ranges, length))
+    rows = [(i, "".join(chr(97 + c) for c in np.random.default_rng(i % 50).integers(0, 26, 2000))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter(map(tuple, repeats.remove_repeats(docs).collect()))
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 5_000)
+    monkeypatch.setattr(repeats, "RANGE_BYTES", 20_000)
+    assert Counter(map(tuple, repeats.remove_repeats(docs).collect())) == want
+    assert made["_anchor_rows"] == 40 and made["_run_rows"] > 30
+
+
 # ---- 9 ------------------------------------------------------------------------------------------
 def test_fingerprints_of_hard_rows(hard):
     rows = sorted(((r.doc_id is not None, r.doc_id or 0), r.text or "") for r in hard.collect())

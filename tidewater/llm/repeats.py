@@ -13,10 +13,13 @@ smaller id, or earlier in the same document).  Strings never cross documents.
 * **Merge.**  In a range, strings that recur as a whole are known to be repeated in all but their first place.  Where
   an anchor has several different strings, shard transforms of these strings are merged
   (``tidewater.llm.bwt``) to ``LENGTH`` symbols; the blocks are the repeated intervals, and every window
-  but the first of a block is repeated.
+  but the first of a block is repeated.  A range takes whole anchors together up to ``BATCH`` bytes of strings and one anchor.
 * **Hot anchors.**  The runs of an anchor with more than ``HOT`` runs do not travel to one range: each is cut into its
   windows, folded in the shard, and every window goes by itself to the range of a hash of its bytes.  Equal windows
   have one anchor, so all of them travel this way and meet.
+* **Memory.**  A shard is ``SHARD_BYTES`` of text and a range ``RANGE_BYTES`` of runs, both as measured, whatever the number of
+  shuffle partitions.  A worker holds the texts of one shard or the packed runs of one range, whose strings are cut out a
+  range or a batch at a time.
 
 Texts are whole UTF-8 texts (null: empty); rows of equal id are told apart by their text, null ids
 come first.
@@ -32,16 +35,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.bwt import equal_windows
-from tidewater.llm.common import binary_column, id_text, materialize, mix64, scratch_path, span_table
+from tidewater.llm.common import binary_column, id_text, materialize, mix64, release_memory, scratch_path, span_table
 from tidewater.session import shuffle_partitions
 
 LENGTH = 100
 GRAM = 32
-SHARD_BYTES = 64 << 20  # of text in a shard, as measured; shards are smaller where there are few
+SHARD_BYTES = 16 << 20  # of text in a shard, as measured; shards are smaller where there are few
+RANGE_BYTES = 64 << 20  # of runs in a range, as estimated from the counts of the repeated anchors
+RUN_BYTES, HOT_RUN_BYTES = 160, 2_048  # of a run that travels whole, and of one cut into windows, on average
+SENT_BYTES = 4 << 20  # of rows that a worker hands over at once
 MAX_BUCKETS = 100_000  # Spark's most buckets of a table; more shards share buckets
 HOT = 4_096  # most runs of an anchor that one range takes together
 PIECE = 1 << 24  # most bytes of text looked at together; fixed, as it sets the bits of the anchors' order
-BATCH = 1 << 19  # short texts are looked at in batches of about so many bytes
+BATCH = 1 << 19  # short texts, and strings of a range, are looked at in batches of about so many bytes
 _POS = np.uint64(PIECE - 1)
 
 
@@ -57,6 +63,26 @@ def _gram_hashes(raw: np.ndarray) -> np.ndarray:
     return mix64(h)
 
 
+def _window_keys(strings: list[bytes], windows: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every window of strings that have so many."""
+    if not strings:
+        return np.empty(0, np.uint64)
+    power, m = span_table()[np.frombuffer(b"".join(strings), dtype=np.uint8)], 0x9E3779B97F4A7C15
+    h, done, step = None, 0, 1
+    while step <= length:  # hashes of 1, 2, 4 ... bytes, put together to length bytes
+        if length & step:
+            if h is None:
+                h = power
+            else:
+                n = len(h) - step
+                h = h[:n] * np.uint64(pow(m, step, 1 << 64)) + power[done:done + n]
+            done += step
+        if 2 * step <= length:
+            power = power[:-step] * np.uint64(pow(m, step, 1 << 64)) + power[step:]
+        step *= 2
+    return mix64(h[np.arange(windows.sum()) + np.repeat((length - 1) * np.arange(len(windows)), windows)])
+
+
 class Runs:
     """Runs of several byte strings: anchor hash, text number, first window, number of windows."""
 
@@ -120,7 +146,7 @@ def _pack(*arrays: np.ndarray, tail: bytes = b"") -> bytes:
     return len(body).to_bytes(8, "little") + pa.compress(body, codec=_CODEC, asbytes=True)
 
 
-def _unpack(value: pa.Scalar, *kinds: str) -> tuple[list[np.ndarray], bytes]:
+def _unpack(value: pa.Scalar, *kinds: str) -> tuple[list[np.ndarray], memoryview]:
     raw = value.as_buffer().to_pybytes()
     body = pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec=_CODEC, asbytes=True)
     n, at, out = int(np.frombuffer(body, "<i8", 1)[0]), 8, []
@@ -128,7 +154,16 @@ def _unpack(value: pa.Scalar, *kinds: str) -> tuple[list[np.ndarray], bytes]:
         a = np.frombuffer(body, k, n, at)
         out.append(a)
         at += a.nbytes
-    return out, body[at:]
+    return out, memoryview(body)[at:]
+
+
+def _table(rows: list[tuple], **kinds: pa.DataType) -> pa.Table:
+    """Table of the rows, whose last values are bytes; in batches of SENT_BYTES, as a batch is held in whole by Spark."""
+    ends = np.cumsum([len(r[-1]) for r in rows], dtype=np.int64) // SENT_BYTES
+    cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), len(rows)]
+    schema = pa.schema(list(kinds.items()))
+    return pa.Table.from_batches([pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[a:b]), kinds.values())], schema=schema)
+                                  for a, b in zip(cuts, cuts[1:]) if b > a], schema)
 
 
 def _six(h: np.ndarray) -> bytes:
@@ -156,7 +191,7 @@ def _ranges(h: np.ndarray, ranges: int) -> np.ndarray:
 def _texts(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
     """(ids, UTF-8 texts) of a shard in order of id (null first) and text."""
     ids = table.column("doc_id").to_pylist()
-    raw = [t.encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
+    raw = table.column("text").cast(pa.large_binary()).to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, raw[i]))
     lowest = np.iinfo(np.int64).min
     return np.array([lowest if ids[i] is None else ids[i] for i in order], dtype=np.int64), [raw[i] for i in order]
@@ -176,71 +211,78 @@ def _anchor_rows(ranges: int, length: int):
 
 
 def _repeated_anchors(hot: int):
-    """Of one range: the anchors that come twice, for each shard that has them, and which of them are hot."""
+    """Of one range: the anchors that come twice, for each shard that has them, which of them are hot, and the bytes their runs take."""
 
     def run(key, table):
         shards = table.column("shard").to_pylist()
         lists = [np.frombuffer(v.as_buffer().to_pybytes(), "<u8") for v in table.column("hashes")]
         every = np.concatenate(lists) if lists else np.empty(0, np.uint64)
         _, back = np.unique(every & _LOW16, return_inverse=True)
-        total = np.bincount(back, (every & ~_LOW16).astype(np.float64))[back] if len(every) else np.empty(0)
+        count = (every & ~_LOW16).astype(np.float64)
+        total = np.bincount(back, count)[back] if len(every) else np.empty(0)
+        size = np.where(total > hot, HOT_RUN_BYTES, RUN_BYTES) * count
         cuts = np.cumsum([len(x) for x in lists])[:-1]
-        rows = [(s, _six(x[t > 1]), _six(x[t > hot])) for s, x, t in zip(shards, lists, np.split(total, cuts)) if (t > 1).any()]
+        rows = [(s, _six(x[t > 1]), _six(x[t > hot]), int(z[t > 1].sum()))
+                for s, x, t, z in zip(shards, lists, np.split(total, cuts), np.split(size, cuts)) if (t > 1).any()]
         return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "hashes": binary_column([r[1] for r in rows]),
-                         "hot": binary_column([r[2] for r in rows])})
+                         "hot": binary_column([r[2] for r in rows]), "run_bytes": pa.array([r[3] for r in rows], pa.int64())})
 
     return run
 
 
+def _parts(own: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(range, its members in order) of every range that has any."""
+    order = np.argsort(own, kind="stable")
+    some, at = np.unique(own[order], return_index=True)
+    return list(zip(some.tolist(), np.split(order, at[1:]))) if len(own) else []
+
+
 def _run_rows(ranges: int, length: int):
     """Runs of repeated anchors, each distinct string of the shard once; further places are marked at once."""
 
-    def fold(texts, text, start, windows, out_range, out_rows, shard):
-        """Strings of the runs and the first places of the different ones; the others are marked."""
-        strings = [texts[t][a:a + n + length - 1] for t, a, n in zip(text.tolist(), start.tolist(), windows.tolist())]
-        seen: dict[bytes, int] = {}
-        first = np.fromiter((seen.setdefault(s, k) == k for k, s in enumerate(strings)), dtype=bool, count=len(strings))
-        again = np.flatnonzero(~first)
-        if len(again):
-            out_range.append(-1 - shard)
-            out_rows.append(_pack(text[again].astype("<i4"), start[again].astype("<i8"), (start + windows)[again].astype("<i8")))
-        return strings, np.flatnonzero(first)
-
     def run(key, table, hits):
         shard = key[0].as_py()
         ids, texts = _texts(table)
         known = np.concatenate([_from_six(v.as_buffer().to_pybytes()) for v in hits.column("hashes")] or [np.empty(0, np.uint64)])
-        out_range, out_rows = [], []
+        rows, again = [], []
+
+        def send(h, text, start, windows):
+            """One row of the runs of a range: of all places of the shard, so equal strings are all there."""
+            strings = [texts[t][a:a + n + length - 1] for t, a, n in zip(text.tolist(), start.tolist(), windows.tolist())]
+            seen: dict[bytes, int] = {}
+            one = np.fromiter((seen.setdefault(s, i) == i for i, s in enumerate(strings)), dtype=bool, count=len(strings))
+            if not one.all():
+                again.append((text[~one].astype("<i4"), start[~one].astype("<i8"), (start + windows)[~one].astype("<i8")))
+            return _pack(h[one].astype("<u8"), ids[text[one]].astype("<i8"), start[one].astype("<i8"), text[one].astype("<i4"),
+                         windows[one].astype("<i4"), tail=b"".join(seen))
+
         if len(known) and len(texts):
             r = Runs(texts, length)
             some = np.flatnonzero(np.isin(r.hash & _LOW16, known))
             some = some[np.lexsort((r.start[some], r.text[some]))]
             h, text, start, windows = r.hash[some], r.text[some], r.start[some], r.windows[some]
-            strings, one = fold(texts, text, start, windows, out_range, out_rows, shard)
+            del r
             hot = np.concatenate([_from_six(v.as_buffer().to_pybytes()) for v in hits.column("hot")])
-            large = np.isin(h[one] & _LOW16, hot)
-            if large.any():
-                whole, cut = one[~large], one[large]
-                n = windows[cut]
-                each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                t, a = np.repeat(text[cut], n), np.repeat(start[cut], n) + each
-                parts, single = fold(texts, t, a, np.ones_like(a), out_range, out_rows, shard)
-                parts = [parts[i] for i in single.tolist()]
-                key = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in parts), "<u8")
-                strings = [strings[i] for i in whole.tolist()] + parts
-                h, text = np.concatenate([h[whole], key]), np.concatenate([text[whole], t[single]])
-                start, windows = np.concatenate([start[whole], a[single]]), np.concatenate([windows[whole], np.ones(len(single), np.int64)])
-                one = np.arange(len(h))
-            own = _ranges(h[one], ranges)
-            one, own = one[np.argsort(own, kind="stable")], np.sort(own)
-            for g in np.split(np.arange(len(one)), np.flatnonzero(own[1:] != own[:-1]) + 1):
-                k = one[g]
-                out_range.append(int(own[g[0]]))
-                out_rows.append(_pack(h[k].astype("<u8"), ids[text[k]].astype("<i8"), start[k].astype("<i8"),
-                                      text[k].astype("<i4"), windows[k].astype("<i4"), tail=b"".join(strings[i] for i in k.tolist())))
-        n = len(out_range)
-        return pa.table({"rng": pa.array(out_range, pa.int32()), "shard": pa.array([shard] * n, pa.int32()),
-                         "runs": binary_column(out_rows)})
+            large = np.isin(h & _LOW16, hot)
+            whole, cut = np.flatnonzero(~large), np.flatnonzero(large)
+            ends = np.cumsum(windows[cut])
+            first = ends - windows[cut]
+            keys = np.concatenate([_window_keys([texts[t][a:a + n + length - 1] for t, a, n in zip(*(x[c].tolist() for x in (text, start, windows)))],
+                                                windows[c], length) for c in np.split(cut, range(HOT, len(cut), HOT))])
+            runs, singles = dict(_parts(_ranges(h[whole], ranges))), dict(_parts(_ranges(keys, ranges)))
+            none = np.empty(0, np.int64)
+            for own in sorted(runs.keys() | singles.keys()):
+                k, w = whole[runs.get(own, none)], singles.get(own, none)
+                of = np.searchsorted(ends, w, side="right")
+                c = cut[of]
+                rows.append((own, shard, send(*(np.concatenate(x) for x in (
+                    (h[k], keys[w]), (text[k], text[c]), (start[k], start[c] + w - first[of]), (windows[k], np.ones(len(w), np.int64)))))))
+        if again:
+            rows.append((-1 - shard, shard, _pack(*(np.concatenate(c) for c in zip(*again)))))
+        out = _table(rows, rng=pa.int32(), shard=pa.int32(), runs=pa.binary())
+        del rows, again, texts
+        release_memory()
+        return out
 
     return run
 
@@ -287,30 +329,50 @@ def repeated_windows(strings: list[bytes], anchor: np.ndarray, order: tuple[np.n
     return marks
 
 
+def _batches(h: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Members of the anchors that come twice, in batches of whole anchors; about BATCH bytes and one anchor."""
+    order = np.argsort(h, kind="stable")
+    _, first, count = np.unique(h[order], return_index=True, return_counts=True)
+    order = order[np.repeat(count > 1, count)]
+    count = count[count > 1]
+    if not len(count):
+        return []
+    before = (np.cumsum(size[order]) - size[order])[np.cumsum(count) - count] // BATCH
+    return np.split(order, (np.cumsum(count) - count)[1:][before[1:] != before[:-1]])
+
+
 def _mark_rows(length: int):
     def run(key, table):
         shards = table.column("shard").to_pylist()
         if key[0].as_py() < 0:  # marked within the shard already
             return pa.table({"shard": pa.array(shards, pa.int32()), "marks": table.column("runs").combine_chunks().cast(pa.binary())})
-        cols, strings, own = [], [], []
-        for s, v in zip(shards, table.column("runs")):
+        cols, tails = [], []
+        for v in table.column("runs"):
             arrays, tail = _unpack(v, "<u8", "<i8", "<i8", "<i4", "<i4")
             cols.append(arrays)
-            ends = np.cumsum(arrays[4].astype(np.int64) + length - 1)
-            strings += [tail[a:b] for a, b in zip((ends - arrays[4] - length + 1).tolist(), ends.tolist())]
-            own.append(np.full(len(arrays[0]), s, dtype=np.int64))
-        h, ids, start, text, _ = [np.concatenate(c) for c in zip(*cols)]
-        shard = np.concatenate(own)
-        marks = repeated_windows(strings, h, (ids, shard, text.astype(np.int64)), start, length)
-        if not marks:
-            return pa.table({"shard": pa.array([], pa.int32()), "marks": binary_column([])})
-        i, a, b = np.array(marks, dtype=np.int64).T
-        o = np.argsort(shard[i], kind="stable")
-        i, a, b = i[o], a[o], b[o]
-        some, at = np.unique(shard[i], return_index=True)
-        rows = [_pack(text[i[g]].astype("<i4"), (start[i[g]] + a[g]).astype("<i8"), (start[i[g]] + b[g]).astype("<i8"))
-                for g in np.split(np.arange(len(i)), at[1:])]
-        return pa.table({"shard": pa.array(some, pa.int32()), "marks": binary_column(rows)})
+            tails.append(tail)
+        h, ids, start, text, windows = [np.concatenate(c) for c in zip(*cols)]
+        counts = [len(c[0]) for c in cols]
+        del cols
+        row = np.repeat(np.arange(len(counts)), counts)
+        size = windows.astype(np.int64) + length - 1
+        at = np.cumsum(size) - size
+        at -= np.repeat(at[np.cumsum(counts) - counts], counts)
+        shard = np.array(shards, dtype=np.int64)[row]
+        marks = []
+        for k in _batches(h, size):
+            strings = [bytes(tails[r][a:a + n]) for r, a, n in zip(row[k].tolist(), at[k].tolist(), size[k].tolist())]
+            if found := repeated_windows(strings, h[k], (ids[k], shard[k], text[k].astype(np.int64)), start[k], length):
+                i, a, b = np.array(found, dtype=np.int64).T
+                marks.append((k[i], a, b))
+        rows = []
+        if marks:
+            i, a, b = [np.concatenate(c) for c in zip(*marks)]
+            rows = [(s, _pack(text[i[g]].astype("<i4"), (start[i[g]] + a[g]).astype("<i8"), (start[i[g]] + b[g]).astype("<i8")))
+                    for s, g in _parts(shard[i])]
+        del tails, marks
+        release_memory()
+        return _table(rows, shard=pa.int32(), marks=pa.binary())
 
     return run
 
@@ -318,29 +380,34 @@ def _mark_rows(length: int):
 def _cut_rows(length: int, with_text: bool):
     def run(key, table, marks):
         ids, texts = _texts(table)
-        lens = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        base = np.cumsum(lens) - lens
-        cover = np.zeros(int(lens.sum()) + 1, dtype=np.int32)
-        for v in marks.column("marks"):
-            (text, a, b), _ = _unpack(v, "<i4", "<i8", "<i8")
-            np.add.at(cover, base[text] + a, 1)
-            np.add.at(cover, base[text] + b + length - 1, -1)
-        gone = np.cumsum(cover[:-1]) > 0
-        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        every = [_unpack(v, "<i4", "<i8", "<i8")[0] for v in marks.column("marks")]
+        text, a, b = [np.concatenate(c) for c in zip(*every)] if every else [np.empty(0, np.int64)] * 3
+        del every
+        order = np.argsort(text, kind="stable")
+        a, b = a[order], b[order]
+        edges = np.searchsorted(text[order], np.arange(len(texts) + 1)).tolist()
         removed, spans, shas, kept_texts = [], [], [], []
-        for t, lo, n in zip(texts, base.tolist(), lens.tolist()):
-            g = gone[lo:lo + n]
-            k = int(g.sum())
+        for t, lo, hi in zip(texts, edges, edges[1:]):
+            kept, k, n = t, 0, 0
+            if hi > lo:
+                cover = np.zeros(len(t) + 1, dtype=np.int32)
+                np.add.at(cover, a[lo:hi], 1)
+                np.add.at(cover, b[lo:hi] + length - 1, -1)
+                g = np.cumsum(cover[:-1], dtype=np.int32) > 0
+                k, n = int(g.sum()), int(g[0]) + int((g[1:] & ~g[:-1]).sum())
+                kept = np.frombuffer(t, dtype=np.uint8)[~g].tobytes()
             removed.append(k)
-            spans.append(int(g[0]) + int((g[1:] & ~g[:-1]).sum()) if k else 0)
-            kept = raw[lo:lo + n][~g].tobytes() if k else t
+            spans.append(n)
             shas.append(hashlib.sha256(kept).hexdigest())
-            kept_texts.append(kept)
+            if with_text:
+                kept_texts.append(kept)
         without = np.arange(len(ids)) < table.column("doc_id").null_count  # rows without an id come first
-        out = {"doc_id": pa.array(ids, mask=without), "n_bytes": pa.array(lens), "n_removed": pa.array(removed, pa.int64()),
+        out = {"doc_id": pa.array(ids, mask=without), "n_bytes": pa.array(list(map(len, texts)), pa.int64()), "n_removed": pa.array(removed, pa.int64()),
                "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())}
         if with_text:
             out["kept"] = binary_column(kept_texts)
+        del texts, kept_texts
+        release_memory()
         return pa.table(out)
 
     return run
@@ -357,18 +424,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     texts = id_text(docs)
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = shuffle_partitions(spark)
-    ranges = shards = max(2 * n, -(-n_bytes // SHARD_BYTES))
+    shards = max(2 * n, -(-n_bytes // SHARD_BYTES))
     buckets = min(max(n, -(-shards // 2)), MAX_BUCKETS)
+
+    def by_range(df, ranges):
+        """Grouped by range; a task takes two ranges at most on average."""
+        return (df if ranges <= 2 * n else df.repartition(-(-ranges // 2), "rng")).groupBy("rng")
+
     name = "tidewater_shards_" + scratch_path(spark, "x")[-32:]
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
     dealt.repartition(buckets, "shard").sortWithinPartitions("shard").write.option("path", scratch_path(spark, "shards")).option(
         "compression", "zstd").bucketBy(buckets, "shard").sortBy("shard").saveAsTable(name)
     table = spark.table(name)
     by_shard = table.groupBy("shard")
-    anchors = by_shard.applyInArrow(_anchor_rows(ranges, length), "rng int, shard int, hashes binary")
-    hits = materialize(anchors.groupBy("rng").applyInArrow(_repeated_anchors(hot), "shard int, hashes binary, hot binary"), "anchors")
-    runs = by_shard.cogroup(hits.groupBy("shard")).applyInArrow(_run_rows(ranges, length), "rng int, shard int, runs binary")
-    marks = materialize(runs.groupBy("rng").applyInArrow(_mark_rows(length), "shard int, marks binary"), "marks")
+    anchors = by_range(by_shard.applyInArrow(_anchor_rows(shards, length), "rng int, shard int, hashes binary"), shards)
+    hits = materialize(anchors.applyInArrow(_repeated_anchors(hot), "shard int, hashes binary, hot binary, run_bytes long"), "anchors")
+    ranges = max(2 * n, -(-(hits.agg(F.sum("run_bytes")).first()[0] or 0) // RANGE_BYTES))
+    runs = by_shard.cogroup(hits.drop("run_bytes").groupBy("shard")).applyInArrow(_run_rows(ranges, length), "rng int, shard int, runs binary")
+    marks = materialize(by_range(runs, ranges).applyInArrow(_mark_rows(length), "shard int, marks binary"), "marks")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     out = materialize(by_shard.cogroup(marks.groupBy("shard")).applyInArrow(_cut_rows(length, with_text), schema), "cut")
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # its name in the catalog; the files lie in the scratch folder
